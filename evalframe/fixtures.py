@@ -229,7 +229,7 @@ def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The fixture as a DataFrame; its plan is bound to ``sf_dir`` at call time.
     Base tables are passed as DataFrame arguments, so no session-wide view
     is touched."""
-    sql = FIXTURE_SQL[name]
+    sql = FIXTURE_SQL[name].replace("{", "{{").replace("}", "}}")
     used = [t for t in TABLES if re.search(rf"\b(from|join)\s+{t}\b", sql)]
     for t in used:
         sql = re.sub(rf"\b(from|join)(\s+){t}\b", rf"\1\2{{{t}}}", sql)

@@ -77,7 +77,8 @@ def end_point(finished_at, now) -> Column:
 def elapsed_seconds(started_at, finished_at, now) -> Column:
     """(finished or now) - started, NULL when never started."""
     start = _col(started_at).cast("timestamp")
-    return F.when(start.isNotNull(), epoch_seconds(end_point(finished_at, now)) - epoch_seconds(start))
+    micros = F.unix_micros(end_point(finished_at, now)) - F.unix_micros(start)
+    return F.when(start.isNotNull(), micros / F.lit(1e6))
 
 
 def estimate_remaining(completed, total, started_at, finished_at, now) -> Column:
