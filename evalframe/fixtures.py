@@ -215,6 +215,12 @@ from supplier
 """
 
 
+# Reference configs: the same documents without a fault.
+FIXTURE_SQL["fx_slice_truth"] = FIXTURE_SQL["fx_slice_yaml"].replace("c_custkey % 8 as f", "0 as f")
+FIXTURE_SQL["fx_amf_truth"] = FIXTURE_SQL["fx_amf_yaml"].replace("c_custkey % 6 as f", "0 as f")
+FIXTURE_SQL["fx_sub_truth"] = FIXTURE_SQL["fx_sub_yaml"].replace("c_custkey % 5 as f", "0 as f")
+
+
 def register_tables(spark: SparkSession, sf_dir: str) -> None:
     """Register the driver's parquet tables as temp views (lazy scans)."""
     for t in TABLES:

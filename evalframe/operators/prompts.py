@@ -58,7 +58,7 @@ def assemble_transcript(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     itself; turns are sorted inside the group, never by partition order."""
     t = F.struct(F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
     return (turns.groupBy(conv_col).agg(F.array_sort(F.collect_list(t)).alias("_t"))
-            .select(conv_col, F.size("_t").alias("n_turns"),
+            .select(conv_col, F.size("_t").cast("bigint").alias("n_turns"),
                     F.array_join(F.transform("_t", lambda x: F.concat(x["role"], F.lit(": "),
                                                                       F.coalesce(x["text"], F.lit("")))),
                                  sep).alias("transcript")))
