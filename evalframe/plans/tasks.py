@@ -1,0 +1,97 @@
+"""User-defined scorers, metrics and tasks.
+
+A scorer is a Python function that returns Columns (``value``, ``answer``,
+optionally ``explanation``) from the columns of a completions-with-targets
+DataFrame; it stays in the JVM unless the function itself chooses a pandas
+UDF. A metric is a function (scores DataFrame, keys) -> DataFrame. A task
+bundles dataset, prompt, scorer and metrics under a name; running it is a
+composition of DataFrame functions.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from evalframe.operators import metrics as M
+
+ScorerFn = Callable[..., dict[str, Column]]
+MetricFn = Callable[[DataFrame, Sequence[str]], DataFrame]
+
+
+@dataclass(frozen=True)
+class ScorerDef:
+    name: str
+    fn: ScorerFn
+    metrics: tuple[str, ...]
+
+
+SCORERS: dict[str, ScorerDef] = {}
+METRICS: dict[str, MetricFn] = {
+    "accuracy": lambda s, k: M.accuracy(s, k),
+    "stderr": lambda s, k: M.stderr(s, k),
+    "mean": lambda s, k: M.mean(s, k).select(*k, "mean"),
+    "pass_at_1": lambda s, k: M.pass_at_1(s, k).select(*k, "pass_at_1"),
+    "maj_at_k": lambda s, k: M.maj_at_k(s, k),
+}
+
+
+def scorer(name: str | None = None, metrics: Sequence[str] = ("accuracy", "stderr")):
+    """Register a per-row scorer with its default metrics."""
+    def deco(fn: ScorerFn) -> ScorerFn:
+        SCORERS[name or fn.__name__] = ScorerDef(name or fn.__name__, fn, tuple(metrics))
+        return fn
+    return deco
+
+
+def metric(name: str | None = None):
+    """Register an aggregate over (sample, epoch) scores."""
+    def deco(fn: MetricFn) -> MetricFn:
+        METRICS[name or fn.__name__] = fn
+        return fn
+    return deco
+
+
+def apply_scorer(df: DataFrame, name: str, keep: Sequence[str], **cols) -> DataFrame:
+    out = SCORERS[name].fn(**cols)
+    return df.select(*keep, *[c.alias(k) for k, c in out.items()])
+
+
+def compute_metrics(scores: DataFrame, names: Sequence[str], keys: Sequence[str] = ("model",)) -> DataFrame:
+    """Each metric is its own small aggregate; results are joined on the keys
+    (a handful of rows each)."""
+    keys = list(keys)
+    out = None
+    for n in names:
+        m = METRICS[n](scores, keys)
+        out = m if out is None else out.join(m, keys, "outer")
+    return out
+
+
+@dataclass(frozen=True)
+class Task:
+    """dataset(spark, sf_dir) -> samples; completions(spark, sf_dir) -> rows
+    keyed (model, sample_id, epoch); scorer named in the registry with the
+    column mapping it needs; metrics by name."""
+    name: str
+    dataset: Callable[[SparkSession, str], DataFrame]
+    completions: Callable[[SparkSession, str], DataFrame]
+    scorer: str
+    scorer_cols: dict[str, str]
+    metrics: tuple[str, ...] = ()
+    system_prompt: Callable[[DataFrame], Column] | None = None
+    params: dict = field(default_factory=dict)
+
+    def scores(self, spark: SparkSession, sf: str) -> DataFrame:
+        samples = self.dataset(spark, sf)
+        comp = self.completions(spark, sf)
+        j = comp.join(samples, "sample_id")
+        cols = {k: F.col(v) for k, v in self.scorer_cols.items()}
+        return apply_scorer(j, self.scorer, ["model", "sample_id", "epoch"], **cols)
+
+    def run(self, spark: SparkSession, sf: str) -> DataFrame:
+        names = self.metrics or SCORERS[self.scorer].metrics
+        return compute_metrics(self.scores(spark, sf), names).withColumn("task", F.lit(self.name))

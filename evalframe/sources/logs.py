@@ -14,6 +14,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+def log_name(path) -> "F.Column":
+    """File name, prefixed by its ``key=value`` folder when the log table was
+    written partitioned (file names repeat across such folders)."""
+    parts = F.split(F.col(path) if isinstance(path, str) else path, "/")
+    parent, fname = F.element_at(parts, -2), F.element_at(parts, -1)
+    return F.when(parent.contains("="), F.concat(parent, F.lit("/"), fname)).otherwise(fname)
+
+
 def list_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json") -> DataFrame:
     """name, path, size, modified (epoch seconds), type for the JSON logs of
     several folders; folders in the given order, newest first inside each."""
@@ -21,7 +29,7 @@ def list_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json
     for rank, d in enumerate(dirs):
         df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
               .option("recursiveFileLookup", "true").load(d)
-              .select(F.element_at(F.split("path", "/"), -1).alias("name"), "path",
+              .select(log_name("path").alias("name"), "path",
                       F.col("length").alias("size"),
                       (F.unix_micros("modificationTime") / F.lit(1e6)).alias("modified"),
                       F.lit("json").alias("type"), F.lit(rank).alias("dir_rank")))
@@ -38,7 +46,8 @@ def read_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json
     for rank, d in enumerate(dirs):
         df = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
               .text(d, wholetext=True)
-              .select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_path").alias("path"),
+              .select(log_name(F.url_decode(F.col("_metadata.file_path"))).alias("name"),
+                      F.url_decode(F.col("_metadata.file_path")).alias("path"),
                       F.col("value").alias("body"), F.lit(rank).alias("dir_rank")))
         parts.append(df)
     allv = reduce(lambda a, b: a.unionByName(b), parts)

@@ -1,0 +1,69 @@
+"""Per-job progress kept as log lines arrive (Structured Streaming).
+
+Lines are parsed JVM-side (``line_updates``); the stateful step only folds
+three numbers per line. State per job: completed count, total, last update,
+last seq, line count. Within a micro-batch a job's lines are sorted by
+``seq``; across batches the file source delivers files in arrival order.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from evalframe.operators.progress import line_updates
+
+STATE_SCHEMA = ("completed long, has_count boolean, total long, last_update_us long, last_seq long, "
+                "n_lines long")
+OUT_SCHEMA = "job_id long, samples_completed long, total_samples long, last_update_us long, n_lines long"
+
+
+def _fold_job(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    if state.exists:
+        completed, _has, total, last_us, last_seq, n = state.get
+    else:
+        completed, total, last_us, last_seq, n = 0, None, None, None, 0
+    pdf = pd.concat(list(pdfs), ignore_index=True)
+    if len(pdf):
+        pdf = pdf.sort_values("seq", kind="stable")
+        has_set = pdf["has_set"].to_numpy(dtype=bool)
+        contrib = pdf["contrib"].to_numpy(dtype="float64", na_value=np.nan)
+        if has_set.any():
+            i = int(np.flatnonzero(has_set)[-1])
+            completed = int(np.nanmax(contrib[i:]))
+        else:
+            tail = contrib[~np.isnan(contrib)]
+            if tail.size:
+                completed = int(max(completed, tail.max()))
+        tot = pdf["total"].dropna()
+        if len(tot):
+            total = int(tot.iloc[-1])
+        last_us = int(pdf["ts_us"].iloc[-1])
+        last_seq = int(pdf["seq"].iloc[-1])
+        n = int(n) + len(pdf)
+    state.update((int(completed), True, total, last_us, last_seq, int(n)))
+    yield pd.DataFrame({"job_id": [key[0]], "samples_completed": [int(completed)], "total_samples": [total],
+                        "last_update_us": [last_us], "n_lines": [int(n)]})
+
+
+def progress_updates(lines: DataFrame, job_col: str = "job_id") -> DataFrame:
+    """Streaming (or batch) lines -> one updated state row per job and
+    micro-batch (output mode ``update``)."""
+    u = line_updates(lines, "line").select(
+        F.col(job_col).alias("job_id"), "seq", F.unix_micros(F.col("ts").cast("timestamp")).alias("ts_us"),
+        "has_set", F.col("contrib").cast("double").alias("contrib"), F.col("total").cast("double").alias("total"))
+    return u.groupBy("job_id").applyInPandasWithState(
+        _fold_job, OUT_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
+
+
+def latest_progress(updates: DataFrame) -> DataFrame:
+    """The newest state row per job from the appended update rows."""
+    return (updates.groupBy("job_id").agg(F.max_by(F.struct("*"), F.col("batch_id")).alias("r"))
+            .select("job_id", "r.samples_completed", "r.total_samples",
+                    F.timestamp_micros("r.last_update_us").cast("timestamp_ntz").alias("last_update"),
+                    "r.n_lines"))
