@@ -1,10 +1,11 @@
 """Rule-based scoring of generated YAML configurations against the three
 configuration rubrics (network slice, AMF, subscriber profile).
 
-Plan: ``flatten_yaml`` (the one Python step: parse each document once, emit
-one row per node) -> keep only the paths a rubric reads -> one hash
-aggregate per sample pivots submission and reference values into columns ->
-every criterion is a native expression -> sum x 100 / max.
+Plan: parse each submission and its reference once per row (the one Python
+step, on Arrow batches) into a map path -> (value, type) holding only the
+paths the rubric reads -> every criterion is a native expression over map
+lookups -> sum x 100 / max. It is a single narrow stage: no shuffle.
+``flatten_yaml`` gives the same nodes as rows, for relational use.
 
 Criteria score 5 / 3 / 1. A document that cannot be parsed scores 1 on
 every criterion (the rubric floor, 20). Readings of the rubric text that it
@@ -70,8 +71,9 @@ def _walk(node, path: str, out: list) -> None:
 
 def _load_mapping(text):
     import yaml  # gated: only this step needs it
+    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)   # libyaml when present
     try:
-        doc = yaml.safe_load(text)
+        doc = yaml.load(text, Loader=loader)
     except yaml.YAMLError:
         return None
     return doc if isinstance(doc, dict) else None
@@ -118,27 +120,71 @@ def flatten_yaml(df: DataFrame, id_col: str = "sample_id", text_col: str = "subm
     return out if id_col == "sample_id" else out.withColumnRenamed("sample_id", id_col)
 
 
-# ---- pivot -----------------------------------------------------------------------------
+# ---- node maps (scoring path) ---------------------------------------------------------
+
+def _node_map_batches(text_cols: dict[str, str], paths: Sequence[str] | None):
+    import pandas as pd
+    wanted = set(paths) if paths is not None else None
+
+    def run(batches):
+        for pdf in batches:
+            extra: dict[str, list] = {}
+            for side, col in text_cols.items():
+                status, keys, vals, types = [], [], [], []
+                for text in pdf[col].tolist():
+                    st, doc = parse_config(text)
+                    nodes: list = []
+                    if doc is not None:
+                        _walk(doc, "", nodes)
+                    if wanted is not None:
+                        nodes = [n for n in nodes if n[0] in wanted]
+                    status.append(st)
+                    keys.append([n[0] for n in nodes])
+                    vals.append([n[1] for n in nodes])
+                    types.append([n[2] for n in nodes])
+                extra[f"{side}_status"], extra[f"{side}_paths"] = status, keys
+                extra[f"{side}_values"], extra[f"{side}_vtypes"] = vals, types
+            yield pdf.assign(**extra) if len(pdf) else pd.DataFrame(columns=list(pdf.columns) + list(extra))
+    return run
+
+
+def node_maps(df: DataFrame, text_cols: dict[str, str], paths: Sequence[str] | None = None) -> DataFrame:
+    """Adds ``<side>_status`` and ``<side>_nodes`` (map path -> struct(value,
+    vtype)) for each YAML text column, parsed once per row inside the scan's
+    stage: no shuffle, and only the requested paths are kept."""
+    fields = list(df.schema.fields)
+    for side in text_cols:
+        fields += [T.StructField(f"{side}_status", T.StringType()),
+                   T.StructField(f"{side}_paths", T.ArrayType(T.StringType())),
+                   T.StructField(f"{side}_values", T.ArrayType(T.StringType())),
+                   T.StructField(f"{side}_vtypes", T.ArrayType(T.StringType()))]
+    out = df.mapInPandas(_node_map_batches(text_cols, paths), T.StructType(fields))
+    for side in text_cols:
+        nodes = F.map_from_arrays(F.col(f"{side}_paths"),
+                                  F.arrays_zip(F.col(f"{side}_values").alias("value"),
+                                               F.col(f"{side}_vtypes").alias("vtype")))
+        out = out.withColumn(f"{side}_nodes", nodes).drop(f"{side}_paths", f"{side}_values", f"{side}_vtypes")
+    return out
+
 
 @dataclass
 class Doc:
-    """Columns of one pivoted sample: submission (``s``) and reference (``t``)."""
-    cols: dict[str, int]
+    """Node lookups on the submission (``s``) and reference (``t``) maps."""
 
-    def _c(self, side: str, kind: str, p: str) -> Column:
-        return F.col(f"{side}{kind}_{self.cols[p]}")
+    def _n(self, side: str, p: str) -> Column:
+        return F.col(f"{side}_nodes")[p]
 
     def sv(self, p):
-        return self._c("s", "v", p)
+        return self._n("s", p)["value"]
 
     def st(self, p):
-        return self._c("s", "t", p)
+        return self._n("s", p)["vtype"]
 
     def tv(self, p):
-        return self._c("t", "v", p)
+        return self._n("t", p)["value"]
 
     def tt(self, p):
-        return self._c("t", "t", p)
+        return self._n("t", p)["vtype"]
 
     def has(self, p) -> Column:
         return self.st(p).isNotNull()
@@ -147,23 +193,6 @@ class Doc:
         return F.coalesce(self.sv(p) == self.tv(p), F.lit(False))
 
 
-def pivot_docs(sub: DataFrame, ref: DataFrame | None, paths: Sequence[str], id_col: str = "sample_id") -> DataFrame:
-    """One row per sample: status plus value/type of every requested path for
-    submission and reference. Only the requested paths cross the shuffle."""
-    idx = {p: i for i, p in enumerate(paths)}
-    sides = sub.withColumn("_side", F.lit("s"))
-    if ref is not None:
-        sides = sides.unionByName(ref.withColumn("_side", F.lit("t")))
-    keep = sides.filter(F.col("path").isNull() | F.col("path").isin(list(paths)))
-    aggs = [F.max(F.when(F.col("_side") == "s", F.col("status"))).alias("status")]
-    for p, i in idx.items():
-        for side in ("s", "t"):
-            hit = (F.col("_side") == side) & (F.col("path") == p)
-            aggs.append(F.max(F.when(hit, F.col("value"))).alias(f"{side}v_{i}"))
-            aggs.append(F.max(F.when(hit, F.col("vtype"))).alias(f"{side}t_{i}"))
-    return keep.groupBy(id_col).agg(*aggs)
-
-
 # ---- criterion helpers --------------------------------------------------------------
 
 def count_true(*conds: Column) -> Column:
@@ -294,7 +323,7 @@ def _slice(d: Doc, task: dict[str, Column]) -> list[Column]:
     name, region = "metadata.name", "metadata.labels.region"
     strip0 = lambda c: F.lower(F.regexp_replace(c, "^0+", ""))
     return [
-        parsability(F.col("status")),
+        parsability(F.col("s_status")),
         band(count_true(*[d.has(p) for p in SLICE_ROOT]), 4, 2),
         band(count_true(*[d.has(p) for p in SLICE_SPEC]), 6, 4),
         type_errors(d, SLICE_LEAVES),
@@ -328,7 +357,7 @@ def _amf(d: Doc, task: dict[str, Column]) -> list[Column]:
     plmn_agree = count_true(*[(d.sv(mcc[i]) == d.sv(mcc[0])) & (d.sv(mnc[i]) == d.sv(mnc[0])) for i in (1, 2)]) == 2
     addr_ok = count_true(*[d.sv(p).rlike(r"^192\.168\.[0-9]{1,3}\.[0-9]{1,3}$") for p in AMF_ADDRESSES]) == 2
     return [
-        parsability(F.col("status")),
+        parsability(F.col("s_status")),
         band(count_true(*[d.has(p) for p in AMF_ROOT]), 2, 1),
         band(count_true(*[d.has(p) for p in AMF_NESTED]), 7, 4),
         type_errors(d, AMF_LEAVES),
@@ -350,7 +379,7 @@ def _subscriber(d: Doc, task: dict[str, Column]) -> list[Column]:
     hex32 = r"^[0-9A-Fa-f]{32}$"
     unquoted = count_true(*[d.st(p).isin("int", "float") for p in SUB_NUMERIC_STRINGS])
     return [
-        parsability(F.col("status")),
+        parsability(F.col("s_status")),
         band(count_true(*[d.has(p) for p in SUB_ROOT]), 8, 5),
         band(count_true(*[d.has(p) for p in SUB_NESTED]), 6, 4),
         type_errors(d, SUB_LEAVES),
@@ -368,23 +397,27 @@ _CRITERIA = {"slice_deployment": _slice, "amf_configuration": _amf, "ue_provisio
 
 
 def score_rubric(rubric_key: str, configs: DataFrame, task_cols: dict[str, str], id_col: str = "sample_id",
-                 submission_col: str = "submission", reference_col: str = "reference") -> DataFrame:
+                 submission_col: str = "submission", reference_col: str = "reference",
+                 min_partitions: int | None = None) -> DataFrame:
     """Score each submission against its reference config and task values.
 
     ``task_cols`` maps the rubric's task inputs (slice: sst, sd, region;
     AMF: tac, mcc, mnc; subscriber: imsi, sd) to columns of ``configs``.
-    Returns sample_id, status, one column per criterion, total and score."""
+    Returns sample_id, status, one column per criterion, total and score.
+    One narrow stage: parse both documents per row, then expressions.
+    Parsing is CPU-bound; ``min_partitions`` spreads the rows round-robin
+    first when the input arrives in few partitions."""
     r = RUBRICS[rubric_key]
-    sub = flatten_yaml(configs.select(id_col, submission_col), id_col, submission_col)
-    ref = flatten_yaml(configs.select(id_col, F.col(reference_col).alias(submission_col)), id_col, submission_col)
-    wide = pivot_docs(sub, ref, r.paths, id_col)
-    task = configs.select(id_col, *[F.col(c).alias(f"task_{k}") for k, c in task_cols.items()])
-    joined = wide.join(task, id_col)
-    d = Doc({p: i for i, p in enumerate(r.paths)})
+    src = configs.select(id_col, submission_col, reference_col,
+                         *[F.col(c).alias(f"task_{k}") for k, c in task_cols.items()])
+    if min_partitions:
+        src = src.repartition(min_partitions)
+    docs = node_maps(src, {"s": submission_col, "t": reference_col}, r.paths)
+    d = Doc()
     crit = _CRITERIA[rubric_key](d, {k: F.col(f"task_{k}") for k in task_cols})
-    unparsed = F.col("status") == "unparseable"
+    unparsed = F.col("s_status") == "unparseable"
     named = [F.when(unparsed, F.lit(1)).otherwise(c).alias(cid) for c, (cid, _) in zip(crit, r.criteria)]
-    out = joined.select(id_col, "status", *named)
+    out = docs.select(id_col, F.col("s_status").alias("status"), *named)
     total = sum((F.col(cid) for cid, _ in r.criteria), F.lit(0))
     return out.withColumn("total", total.cast("int")) \
         .withColumn("score", F.col("total") * F.lit(100.0) / F.lit(r.max_points))

@@ -60,7 +60,8 @@ from (select sample_id, f, case f when 0 then 80 when 1 then 72 when 2 then 16 w
   when 5 then 76 when 6 then 78 else 76 end as tot from fx_slice_yaml) t""", ("fx_slice_yaml",))
 def q_score_slice_rubric(spark, sf):
     c = _configs(spark, sf, "fx_slice_yaml", "fx_slice_truth")
-    out = RB.score_rubric("slice_deployment", c, {"sst": "req_sst", "sd": "req_sd", "region": "req_region"})
+    out = RB.score_rubric("slice_deployment", c, {"sst": "req_sst", "sd": "req_sd", "region": "req_region"},
+                          min_partitions=spark.sparkContext.defaultParallelism)
     return out.select("sample_id", "status", "total", F.round("score", 9).alias("score"))
 
 
@@ -71,7 +72,8 @@ from (select sample_id, f, case f when 0 then 55 when 1 then 53 when 2 then 45 w
   else 53 end as tot from fx_amf_yaml) t""", ("fx_amf_yaml",))
 def q_score_amf_rubric(spark, sf):
     c = _configs(spark, sf, "fx_amf_yaml", "fx_amf_truth")
-    out = RB.score_rubric("amf_configuration", c, {"tac": "req_tac", "mcc": "req_mcc", "mnc": "req_mnc"})
+    out = RB.score_rubric("amf_configuration", c, {"tac": "req_tac", "mcc": "req_mcc", "mnc": "req_mnc"},
+                          min_partitions=spark.sparkContext.defaultParallelism)
     return out.select("sample_id", "status", "total", F.round("score", 9).alias("score"))
 
 
@@ -81,5 +83,6 @@ from (select sample_id, f, case f when 0 then 55 when 1 then 51 when 2 then 51 w
   from fx_sub_yaml) t""", ("fx_sub_yaml",))
 def q_score_subscriber_rubric(spark, sf):
     c = _configs(spark, sf, "fx_sub_yaml", "fx_sub_truth")
-    out = RB.score_rubric("ue_provisioning", c, {"imsi": "req_imsi", "sd": "req_sd"})
+    out = RB.score_rubric("ue_provisioning", c, {"imsi": "req_imsi", "sd": "req_sd"},
+                          min_partitions=spark.sparkContext.defaultParallelism)
     return out.select("sample_id", "status", "total", F.round("score", 9).alias("score"))
