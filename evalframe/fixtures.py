@@ -13,6 +13,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from evalframe.session import spread
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -228,7 +230,9 @@ def register_tables(spark: SparkSession, sf_dir: str) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A base table; single-split files are spread over the cores so row-wise
+    work before the first shuffle is not serial."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
