@@ -203,7 +203,7 @@ from events group by user_id % 25
 FIXTURE_SQL["fx_task_requests"] = """
 select user_id as job_id,
   case user_id % 6 when 0 then 'telemath' when 1 then 'teleqna' when 2 then 'telelogs'
-    when 3 then 'open_telco' when 4 then 'teleqna_bench' else 'telelogs_bench' end as requested_task
+    when 3 then 'teleqna_bench' when 4 then 'telelogs_bench' else 'telemath' end as requested_task
 from events group by user_id
 """
 

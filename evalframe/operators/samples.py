@@ -113,10 +113,11 @@ def join_targets(completions: DataFrame, samples: DataFrame, cols: Sequence[str]
     return completions.join(samples.select("sample_id", *cols), "sample_id", "inner")
 
 
-# ---- fixed values: task names and their aliases ----
+# ---- fixed values: task names and their benchmark aliases ----
 TASK_NAMES = ("telemath", "teleqna", "telelogs")
-TASK_ALIASES = {"open_telco": "telemath", "teleqna_bench": "teleqna", "telelogs_bench": "telelogs"}
+TASK_ALIASES = {"teleqna_bench": "teleqna", "telelogs_bench": "telelogs"}
 # ---- end of fixed values ----
+# (a further alias, the evaluation package's own name, is left to the caller's ``aliases``)
 
 
 def resolve_task_alias(df: DataFrame, column: str = "requested_task", out: str = "task",

@@ -179,7 +179,7 @@ def q_job_display_name(spark, sf):
 
 
 @plan("resolve_task_alias", """
-select job_id, requested_task, case requested_task when 'open_telco' then 'telemath' when 'teleqna_bench' then 'teleqna'
+select job_id, requested_task, case requested_task when 'teleqna_bench' then 'teleqna'
   when 'telelogs_bench' then 'telelogs' else requested_task end as task from fx_task_requests""",
       ("fx_task_requests",))
 def q_resolve_task_alias(spark, sf):

@@ -50,7 +50,7 @@ def test_join_rubrics_fails_on_missing(spark):
 
 
 def test_resolve_task_alias_rejects_unknown(spark):
-    df = spark.createDataFrame([("open_telco",), ("nope",)], "requested_task string")
+    df = spark.createDataFrame([("teleqna_bench",), ("nope",)], "requested_task string")
     with pytest.raises(Exception, match="Unsupported task"):
         SM.resolve_task_alias(df).collect()
 
