@@ -64,43 +64,47 @@ def line_updates(lines: DataFrame, line_col: str = "line") -> DataFrame:
             .drop("_p"))
 
 
-def _segment_end(df: DataFrame, group: list[str], order: str, has_set: str, contrib: str) -> DataFrame:
-    """Per group: (any SET, value after the group as if entered with -inf).
-    The unordered window gives every row its group's last SET position;
-    the aggregate then keeps that SET's contribution and later ones."""
+def _segment_end(df: DataFrame, group: list[str], order: str, has_set: str, contrib: str,
+                 extra: list[Column] = ()) -> DataFrame:
+    """Per group: (any SET, value after the group as if entered with -inf),
+    plus ``extra`` aggregates over the same rows. The unordered window gives
+    every row its group's last SET position; the aggregate then keeps that
+    SET's contribution and later ones. Window and aggregate share one
+    partitioning, so the rows cross the network once."""
     w = Window.partitionBy(*group)
     last_set = F.max(F.when(F.col(has_set), F.col(order))).over(w)
     d = df.withColumn("_ls", last_set)
     after = F.when(F.col("_ls").isNull() | (F.col(order) > F.col("_ls")), F.col(contrib))
     return d.groupBy(*group).agg(
         F.max(F.col(has_set)).alias("any_set"),
-        F.greatest(F.max_by(F.col(contrib), F.when(F.col(has_set), F.col(order))), F.max(after)).alias("end_value"))
+        F.greatest(F.max_by(F.col(contrib), F.when(F.col(has_set), F.col(order))), F.max(after)).alias("end_value"),
+        *extra)
+
+
+def _pieces(lines: DataFrame, job_col: str, seq_col: str, ts_col: str, line_col: str, bucket: int) -> DataFrame:
+    return line_updates(lines.select(job_col, seq_col, ts_col, line_col), line_col) \
+        .withColumn("_b", F.floor(F.col(seq_col) / F.lit(bucket)).cast("bigint"))
 
 
 def progress_fold(lines: DataFrame, job_col: str = "job_id", seq_col: str = "seq", ts_col: str = "ts",
                   line_col: str = "line", bucket: int = DEFAULT_BUCKET) -> DataFrame:
     """Final ``samples_completed``, ``total_samples``, ``last_update`` and line
     count per job."""
-    u = line_updates(lines.select(job_col, seq_col, ts_col, line_col), line_col) \
-        .withColumn("_b", F.floor(F.col(seq_col) / F.lit(bucket)).cast("bigint"))
-    piece = _segment_end(u, [job_col, "_b"], seq_col, "has_set", "contrib")
-    side = u.groupBy(job_col, "_b").agg(
-        F.max_by(F.col("total"), F.when(F.col("total").isNotNull(), F.col(seq_col))).alias("_tot"),
-        F.max(F.when(F.col("total").isNotNull(), F.col(seq_col))).alias("_tot_seq"),
-        F.max_by(F.col(ts_col), F.col(seq_col)).alias("_last_ts"),
-        F.max(seq_col).alias("_last_seq"),
-        F.count("*").alias("_n"))
-    pieces = piece.join(side, [job_col, "_b"])
-    job = _segment_end(pieces, [job_col], "_b", "any_set", "end_value")
-    other = pieces.groupBy(job_col).agg(
+    u = _pieces(lines, job_col, seq_col, ts_col, line_col, bucket)
+    tot_key = F.when(F.col("total").isNotNull(), F.col(seq_col))
+    pieces = _segment_end(u, [job_col, "_b"], seq_col, "has_set", "contrib", [
+        F.max_by(F.col("total"), tot_key).alias("_tot"), F.max(tot_key).alias("_tot_seq"),
+        F.max_by(F.col(ts_col), F.col(seq_col)).alias("_last_ts"), F.max(seq_col).alias("_last_seq"),
+        F.count("*").alias("_n")])
+    job = _segment_end(pieces, [job_col], "_b", "any_set", "end_value", [
         F.max_by(F.col("_tot"), F.col("_tot_seq")).alias("total_samples"),
         F.max_by(F.col("_last_ts"), F.col("_last_seq")).alias("last_update"),
-        F.sum("_n").alias("n_lines"))
-    return job.join(other, job_col).select(
+        F.sum("_n").alias("n_lines")])
+    zero = F.lit(0).cast("bigint")
+    return job.select(
         job_col,
         F.when(F.col("any_set"), F.col("end_value"))
-         .otherwise(F.greatest(F.lit(0).cast("bigint"), F.coalesce(F.col("end_value"), F.lit(0).cast("bigint"))))
-         .alias("samples_completed"),
+         .otherwise(F.greatest(zero, F.coalesce(F.col("end_value"), zero))).alias("samples_completed"),
         "total_samples", "last_update", "n_lines")
 
 
@@ -109,32 +113,31 @@ def progress_history(lines: DataFrame, job_col: str = "job_id", seq_col: str = "
     """``samples_completed`` and ``total_samples`` after every line.
 
     Inside a piece: segment = running count of SET lines, local value =
-    running max of contributions within the segment. Across pieces: the
-    count entering a piece comes from an ordered window over the job's piece
-    summaries (one row per piece)."""
-    u = line_updates(lines.select(job_col, seq_col, ts_col, line_col), line_col) \
-        .withColumn("_b", F.floor(F.col(seq_col) / F.lit(bucket)).cast("bigint"))
+    running max of contributions within the segment; the piece's summary is
+    its last row. Across pieces: the count entering a piece comes from an
+    ordered window over the job's piece summaries (one row per piece)."""
+    u = _pieces(lines, job_col, seq_col, ts_col, line_col, bucket)
     wp = Window.partitionBy(job_col, "_b").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
     u = u.withColumn("_seg", F.sum(F.col("has_set").cast("int")).over(wp)) \
          .withColumn("_tot_local", F.last("total", ignorenulls=True).over(wp))
     ws = Window.partitionBy(job_col, "_b", "_seg").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
     u = u.withColumn("_local", F.max("contrib").over(ws))
 
-    summary = _segment_end(u, [job_col, "_b"], seq_col, "has_set", "contrib").join(
-        u.groupBy(job_col, "_b").agg(
-            F.max_by(F.col("total"), F.when(F.col("total").isNotNull(), F.col(seq_col))).alias("_tot_b")),
-        [job_col, "_b"])
+    summary = u.groupBy(job_col, "_b").agg(
+        (F.max("_seg") > 0).alias("any_set"),
+        F.max_by(F.col("_local"), F.col(seq_col)).alias("end_value"),
+        F.max_by(F.col("_tot_local"), F.col(seq_col)).alias("_tot_b"))
     wj = Window.partitionBy(job_col).orderBy("_b")
     summary = summary.withColumn("_seg2", F.sum(F.col("any_set").cast("int")).over(
         wj.rowsBetween(Window.unboundedPreceding, 0)))
     w2 = Window.partitionBy(job_col, "_seg2").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    zero = F.lit(0).cast("bigint")
     summary = summary.withColumn("_run", F.max("end_value").over(w2))
     summary = summary.withColumn(
-        "_after", F.when(F.col("_seg2") == 0, F.greatest(F.lit(0).cast("bigint"), F.coalesce("_run", F.lit(0).cast("bigint"))))
-        .otherwise(F.col("_run")))
+        "_after", F.when(F.col("_seg2") == 0, F.greatest(zero, F.coalesce("_run", zero))).otherwise(F.col("_run")))
     carry = summary.select(
         job_col, "_b",
-        F.coalesce(F.lag("_after").over(wj), F.lit(0).cast("bigint")).alias("_c_in"),
+        F.coalesce(F.lag("_after").over(wj), zero).alias("_c_in"),
         F.last("_tot_b", ignorenulls=True).over(wj.rowsBetween(Window.unboundedPreceding, -1)).alias("_tot_in"))
     out = u.join(carry, [job_col, "_b"])
     value = F.when(F.col("_seg") > 0, F.col("_local")).otherwise(F.greatest(F.col("_c_in"), F.col("_local")))

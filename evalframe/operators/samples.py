@@ -11,13 +11,19 @@ from evalframe.functions import scalars as S
 
 # Dimension sides joined by broadcast must be proven small first.
 BROADCAST_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a bounded count shows it has at most
-    ``max_rows`` rows; otherwise leave the join strategy to the planner/AQE."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when a bounded scan (at most ``max_rows + 1`` rows
+    are read) proves it has at most ``max_rows`` rows and ``max_bytes`` of
+    JSON-encoded data; otherwise leave the join strategy to the planner and
+    AQE."""
+    probe = df.limit(max_rows + 1).agg(
+        F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
+    small = probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
+    return F.broadcast(df) if small else df
 
 
 def _opt(df: DataFrame, name: str, dtype: str = "string") -> Column:
