@@ -49,13 +49,23 @@ class VersionedTable:
 
     Each batch reads the previous version, merges the new rows and writes a
     new version; re-running a batch rewrites the same version, so retries are
-    idempotent. The table stays small (its size is bounded by the keys, not
-    by the stream)."""
+    idempotent. Committed versions are listed in a manifest table next to
+    them (written after the data), so a restarted driver resuming the stream
+    from its checkpoint finds the last state. The table stays small: its
+    size is bounded by the keys, not by the stream."""
 
     def __init__(self, spark: SparkSession, path: str, schema: str):
         self.spark, self.path, self.schema = spark, path, schema
-        self.versions: list[int] = []
-        self.last: int | None = None
+        self.manifest = f"{path}/manifest"
+        try:
+            rows = spark.read.parquet(self.manifest).select("batch_id").distinct().collect()
+            self.versions = sorted(int(r[0]) for r in rows)
+        except Exception:  # noqa: BLE001 - no manifest yet: a new table
+            self.versions = []
+
+    @property
+    def last(self) -> int | None:
+        return max(self.versions) if self.versions else None
 
     def previous(self, batch_id: int) -> DataFrame:
         older = [v for v in self.versions if v < batch_id]
@@ -65,9 +75,9 @@ class VersionedTable:
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
+        self.spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(self.manifest)
         if batch_id not in self.versions:
             self.versions.append(batch_id)
-        self.last = max(self.versions)
 
     def current(self) -> DataFrame:
         if self.last is None:
