@@ -46,9 +46,16 @@ def answer_groups(scores: DataFrame, keys: Sequence[str] = ("model",), k: int |
                  F.max(F.when(in_k, (F.col("value") == 1).cast("int"))).alias("ok")))
 
 
+def _vote_order() -> Column:
+    """(votes, -first_epoch) packed into one bigint, so ``max_by`` keeps a
+    fixed-width buffer and the aggregate stays a HashAggregate (a struct
+    ordering would force a sort-based aggregate). Epochs are below 2^31."""
+    return F.col("votes").cast("bigint") * F.lit(1 << 31) + (F.lit((1 << 31) - 1) - F.col("first_epoch"))
+
+
 def _vote_key() -> Column:
     answered = (F.coalesce(F.col("answer"), F.lit("")) != "") & (F.col("votes") > 0)
-    return F.when(answered, F.struct(F.col("votes"), (-F.col("first_epoch")).alias("neg_first")))
+    return F.when(answered, _vote_order())
 
 
 def sample_level(groups: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
@@ -58,9 +65,7 @@ def sample_level(groups: DataFrame, keys: Sequence[str] = ("model",)) -> DataFra
     return (groups.groupBy(*keys, "sample_id")
             .agg((F.sum("sum_value") / F.sum("n")).alias("mean_value"),
                  F.sum("n").alias("n_epochs"),
-                 F.max_by(F.col("ok"), _vote_key()).alias("maj_ok"),
-                 F.max_by(F.col("answer"), _vote_key()).alias("maj_answer"),
-                 F.max(F.when(_vote_key().isNotNull(), F.col("votes"))).alias("maj_votes_max")))
+                 F.max_by(F.col("ok"), _vote_key()).alias("maj_ok")))
 
 
 def accuracy(scores: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
@@ -107,8 +112,7 @@ def majority_answer(scores: DataFrame, keys: Sequence[str] = ("model",), k: int
     epoch; samples without any answer are absent."""
     keys = _keys(keys)
     g = answer_groups(scores, keys, k).filter((F.coalesce(F.col("answer"), F.lit("")) != "") & (F.col("votes") > 0))
-    win = F.max_by(F.struct("answer", "votes", "first_epoch", "ok"),
-                   F.struct(F.col("votes"), (-F.col("first_epoch")).alias("neg_first")))
+    win = F.max_by(F.struct("answer", "votes", "first_epoch", "ok"), _vote_order())
     return (g.groupBy(*keys, "sample_id").agg(win.alias("w"))
             .select(*keys, "sample_id", F.col("w.answer").alias("answer"), F.col("w.votes").alias("votes"),
                     F.col("w.first_epoch").alias("first_epoch"), F.col("w.ok").cast("boolean").alias("correct")))

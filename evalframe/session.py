@@ -40,13 +40,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) is a
     private folder created and registered.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="evalframe-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
+            pass
     elif not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
