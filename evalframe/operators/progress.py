@@ -50,18 +50,19 @@ def is_object_line(line: Column) -> Column:
 
 def line_updates(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Adds ``has_set``, ``contrib`` (the line's value if it SETs, else its
-    RAISE or NULL) and ``total`` (last total the line states)."""
+    RAISE or NULL) and ``total`` (last total the line states). The payload is
+    parsed once, in its own projection."""
     raw = F.col(line_col)
-    p = F.when(is_object_line(raw), F.from_json(raw, PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"}))
-    set_v = F.coalesce(p["progress"]["completed"], p["results"]["completed_samples"])
-    raise_v = F.greatest(p["sample"]["completed"], p["sample"]["index"] + 1,
-                         F.when(p["event"].isin(*SAMPLE_EVENTS), p["completed"]))
-    total = F.coalesce(p["sample"]["total"], p["progress"]["total"], p["results"]["total_samples"])
-    return (lines.withColumn("_p", p)
-            .withColumn("has_set", set_v.isNotNull())
+    parsed = lines.withColumn("_p", F.when(is_object_line(raw), F.from_json(raw, PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"})))
+    p = F.col("_p")
+    staged = parsed.withColumn("_set", F.coalesce(p["progress"]["completed"], p["results"]["completed_samples"])) \
+        .withColumn("_raise", F.greatest(p["sample"]["completed"], p["sample"]["index"] + 1,
+                                         F.when(p["event"].isin(*SAMPLE_EVENTS), p["completed"]))) \
+        .withColumn("total", F.coalesce(p["sample"]["total"], p["progress"]["total"], p["results"]["total_samples"]))
+    set_v, raise_v = F.col("_set"), F.col("_raise")
+    return (staged.withColumn("has_set", set_v.isNotNull())
             .withColumn("contrib", F.when(set_v.isNotNull(), F.greatest(set_v, raise_v)).otherwise(raise_v))
-            .withColumn("total", total)
-            .drop("_p"))
+            .drop("_p", "_set", "_raise"))
 
 
 def _segment_end(df: DataFrame, group: list[str], order: str, has_set: str, contrib: str,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalframe.fixtures import fixture
-from evalframe.functions import score as SC
+from evalframe.operators.scoring import score_choice_table
 from evalframe.operators import samples as SM
 
 
@@ -18,8 +18,7 @@ def choice_scores(spark: SparkSession, sf: str) -> DataFrame:
     """(model, sample_id, epoch, answer, value) of the multiple-choice task."""
     comp = fixture(spark, sf, "fx_completions")
     j = SM.join_targets(comp, choice_samples(spark, sf), ("choices", "target"))
-    sc = SC.score_choice("completion", "choices", "target")
-    return j.select("model", "sample_id", "epoch", sc["answer"].alias("answer"), sc["value"].alias("value"))
+    return score_choice_table(j, ["model", "sample_id", "epoch"])
 
 
 # DuckDB: the same scores, written independently (RE2 regex, list indexing).

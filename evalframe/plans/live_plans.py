@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from evalframe.fixtures import fixture
 from evalframe.functions import score as SC
+from evalframe.operators.scoring import score_choice_table
 from evalframe.functions.parse import py_strip
 from evalframe.operators import metrics as M
 from evalframe.plans import tasks as TK
@@ -108,9 +109,7 @@ def q_stream_score(spark, sf):
     samples = choice_samples(spark, sf).select("sample_id", "choices", "target")
 
     def score(df):
-        j = df.join(samples, "sample_id")
-        s = SC.score_choice("completion", "choices", "target")
-        return j.select("model", "sample_id", "epoch", s["answer"].alias("answer"), s["value"].alias("value"))
+        return score_choice_table(df.join(samples, "sample_id"), ["model", "sample_id", "epoch"])
 
     return STR.stream_score(spark, stream, score, work_dir(spark, "stream-scores"), work_dir(spark, "ckpt"))
 

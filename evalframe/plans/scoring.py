@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from evalframe.fixtures import fixture
 from evalframe.functions import parse as P
-from evalframe.functions import score as SC
+from evalframe.functions import score as SC  # noqa: F401
+from evalframe.operators import scoring as ST
 from evalframe.plans.common import CHOICE_FIXTURES, CHOICE_SCORES_CTE, choice_samples, choice_scores
 from evalframe.plans.registry import plan
 
@@ -14,9 +15,7 @@ from evalframe.plans.registry import plan
 @plan("parse_choice", CHOICE_SCORES_CTE + "select model, sample_id, epoch, answer from choice_scores",
       CHOICE_FIXTURES)
 def q_parse_choice(spark, sf):
-    comp = fixture(spark, sf, "fx_completions")
-    j = comp.join(choice_samples(spark, sf).select("sample_id", "choices"), "sample_id")
-    return j.select("model", "sample_id", "epoch", P.parse_choice("completion", "choices").alias("answer"))
+    return choice_scores(spark, sf).select("model", "sample_id", "epoch", "answer")
 
 
 @plan("score_choice", CHOICE_SCORES_CTE + "select model, sample_id, epoch, answer, value from choice_scores",
@@ -45,8 +44,7 @@ def q_parse_boxed(spark, sf):
       + _BOXED_SQL + ") t", ("fx_math",))
 def q_score_boxed(spark, sf):
     m = fixture(spark, sf, "fx_math")
-    s = SC.score_boxed("completion", "answer")
-    return m.select("sample_id", s["answer"].alias("answer"), s["value"].alias("value"))
+    return ST.score_boxed_table(m, ["sample_id"], "completion", "answer")
 
 
 def _wg_sql(c: str) -> str:
@@ -74,10 +72,7 @@ select sample_id, answer, case when lower(answer) = lower(truth) then 1.0 else 0
   case when lower(answer) = lower(truth) then 'True' else 'False' end as explanation
 from (""" + _WG_SQL + ") t", ("fx_working_group",))
 def q_score_working_group(spark, sf):
-    w = fixture(spark, sf, "fx_working_group")
-    s = SC.score_working_group("completion", "target")
-    return w.select("sample_id", s["answer"].alias("answer"), s["value"].alias("value"),
-                    s["explanation"].alias("explanation"))
+    return ST.score_working_group_table(fixture(spark, sf, "fx_working_group"), ["sample_id"])
 
 
 _GRADE_SQL = r"""
@@ -90,18 +85,15 @@ from fx_judge
 @plan("parse_judge_grade", "select sample_id, judge_model, coalesce(grade, 0.0) as grade, grade is not null as parsed from ("
       + _GRADE_SQL + ") t", ("fx_judge",))
 def q_parse_judge_grade(spark, sf):
-    j = fixture(spark, sf, "fx_judge")
-    s = SC.score_judge_grade("judge_output")
-    return j.select("sample_id", "judge_model", s["value"].alias("grade"), s["parsed"].alias("parsed"))
+    return ST.judge_grade_table(fixture(spark, sf, "fx_judge"), ["sample_id", "judge_model"])
 
 
 @plan("score_multi_judge", "select sample_id, round(avg(coalesce(grade, 0.0)), 9) as value, count(*) as n_judges from ("
       + _GRADE_SQL + ") t group by sample_id", ("fx_judge",))
 def q_score_multi_judge(spark, sf):
     from evalframe.operators.judging import multi_judge_mean
-    j = fixture(spark, sf, "fx_judge")
-    graded = j.select("sample_id", "judge_model", SC.score_judge_grade("judge_output")["value"].alias("value"))
-    out = multi_judge_mean(graded, ("sample_id",))
+    graded = ST.judge_grade_table(fixture(spark, sf, "fx_judge"), ["sample_id", "judge_model"])
+    out = multi_judge_mean(graded.withColumnRenamed("grade", "value"), ("sample_id",))
     return out.select("sample_id", F.round("value", 9).alias("value"), "n_judges")
 
 
@@ -122,9 +114,9 @@ from (select sample_id, judge_output,
 @plan("parse_judge_json", "select sample_id, b is not null as parsed, value as overall_score, reasoning from ("
       + _JSON_SQL + ") t", ("fx_judge_json",))
 def q_parse_judge_json(spark, sf):
-    j = fixture(spark, sf, "fx_judge_json")
-    v = P.parse_judge_json("judge_output")
-    return j.select("sample_id", v.isNotNull().alias("parsed"),
+    d = ST.parse_judge_json_table(fixture(spark, sf, "fx_judge_json"), ["sample_id"])
+    v = F.col("judge_doc")
+    return d.select("sample_id", v.isNotNull().alias("parsed"),
                     F.coalesce(F.try_variant_get(v, "$.overall_score", "double"), F.lit(0.0)).alias("overall_score"),
                     F.try_variant_get(v, "$.reasoning", "string").alias("reasoning"))
 
@@ -135,8 +127,5 @@ select sample_id, value, judge_output as answer,
   confidence, is_safe
 from (""" + _JSON_SQL + ") t", ("fx_judge_json",))
 def q_score_judge_json(spark, sf):
-    j = fixture(spark, sf, "fx_judge_json")
-    s = SC.score_judge_json("judge_output")
-    return j.select("sample_id", s["value"].alias("value"), s["answer"].alias("answer"),
-                    s["explanation"].alias("explanation"), s["metadata"]["confidence"].alias("confidence"),
-                    s["metadata"]["is_safe"].alias("is_safe"))
+    s = ST.score_judge_json_table(fixture(spark, sf, "fx_judge_json"), ["sample_id"])
+    return s.select("sample_id", "value", "answer", "explanation", "confidence", "is_safe")
