@@ -62,7 +62,8 @@ def _line_stream(spark, sf, name):
       ("fx_progress",))
 def q_stream_progress(spark, sf):
     stream = _line_stream(spark, sf, "stream-lines")
-    return STR.stream_progress(spark, stream, work_dir(spark, "stream-progress"), work_dir(spark, "ckpt"))
+    return STR.stream_progress(spark, stream, work_dir(spark, "stream-progress"), work_dir(spark, "ckpt"),
+                               state_partitions=spark.sparkContext.defaultParallelism)
 
 
 @plan("stream_log_tail", r"""

@@ -23,12 +23,28 @@ def write_in_order(df: DataFrame, path: str, order_col: str, pieces: int, fmt: s
     return path
 
 
+def start_with_partitions(writer, spark: SparkSession, shuffle_partitions: int | None):
+    """Start a query whose shuffles (and state store) use ``shuffle_partitions``.
+    A query copies the session's settings when it starts, and a checkpointed
+    query keeps its state partitioning for life; the session's own setting is
+    restored right after the start."""
+    if not shuffle_partitions:
+        return writer.start()
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def run_available_now(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None],
-                      output_mode: str = "append") -> None:
+                      output_mode: str = "append", shuffle_partitions: int | None = None) -> None:
     """Process everything available now, batch by batch, then stop. The
     checkpoint makes a restarted query resume after the last committed batch."""
-    q = (stream.writeStream.outputMode(output_mode).foreachBatch(on_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    w = (stream.writeStream.outputMode(output_mode).foreachBatch(on_batch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    q = start_with_partitions(w, stream.sparkSession, shuffle_partitions)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()

@@ -16,10 +16,16 @@ from evalframe.streaming.runner import VersionedTable, append_batches, run_avail
 TAIL_SCHEMA = "job_id long, seq long, line string"
 
 
-def stream_progress(spark: SparkSession, lines: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
+def stream_progress(spark: SparkSession, lines: DataFrame, out_path: str, checkpoint: str,
+                    state_partitions: int | None = None) -> DataFrame:
     """Run the per-job fold over a line stream until it is drained; returns
-    the newest state per job (equal to the batch ``progress_fold``)."""
-    run_available_now(SP.progress_updates(lines), checkpoint, append_batches(out_path), output_mode="update")
+    the newest state per job (equal to the batch ``progress_fold``).
+    ``state_partitions`` fixes the state store's partitioning when the
+    checkpoint is new (the state is one row per job). A job's lines in one
+    micro-batch form one group, so bound batches with ``maxFilesPerTrigger``
+    or ``maxBytesPerTrigger`` on the source."""
+    run_available_now(SP.progress_updates(lines), checkpoint, append_batches(out_path), output_mode="update",
+                      shuffle_partitions=state_partitions)
     return SP.latest_progress(spark.read.parquet(out_path))
 
 
