@@ -52,16 +52,25 @@ def build_judge_messages(input_col, target_col, completion_col) -> Column:
 
 
 def assemble_transcript(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
-                        role_col: str = "role", text_col: str = "text", sep: str = "\n\n") -> DataFrame:
+                        role_col: str = "role", text_col: str = "text", sep: str = "\n\n",
+                        piece_turns: int = 256) -> DataFrame:
     """One row per conversation: ``role: text`` of every turn in turn order.
-    The group is one conversation, whose transcript is the output value
-    itself; turns are sorted inside the group, never by partition order."""
-    t = F.struct(F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), F.col(text_col).alias("text"))
-    return (turns.groupBy(conv_col).agg(F.array_sort(F.collect_list(t)).alias("_t"))
-            .select(conv_col, F.size("_t").cast("bigint").alias("n_turns"),
-                    F.array_join(F.transform("_t", lambda x: F.concat(x["role"], F.lit(": "),
-                                                                      F.coalesce(x["text"], F.lit("")))),
-                                 sep).alias("transcript")))
+
+    The transcript is itself the whole group, so its bytes must meet in one
+    row; the work does not have to. Turns are first sorted and joined in
+    pieces of ``piece_turns`` consecutive turns (bounded groups spread over
+    tasks); the per-conversation step only orders and joins piece strings."""
+    line = F.concat(F.col(role_col), F.lit(": "), F.coalesce(F.col(text_col), F.lit("")))
+    piece = (turns.select(conv_col, F.col(turn_col).alias("_turn"), line.alias("_line"),
+                          F.floor(F.col(turn_col) / F.lit(piece_turns)).alias("_piece"))
+             .groupBy(conv_col, "_piece")
+             .agg(F.array_sort(F.collect_list(F.struct("_turn", "_line"))).alias("_t"))
+             .select(conv_col, "_piece", F.size("_t").alias("_n"),
+                     F.array_join(F.transform("_t", lambda x: x["_line"]), sep).alias("_text")))
+    return (piece.groupBy(conv_col)
+            .agg(F.array_sort(F.collect_list(F.struct("_piece", "_text"))).alias("_p"),
+                 F.sum("_n").cast("bigint").alias("n_turns"))
+            .select(conv_col, "n_turns", F.array_join(F.transform("_p", lambda x: x["_text"]), sep).alias("transcript")))
 
 
 def last_completion(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",

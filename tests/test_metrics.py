@@ -92,3 +92,17 @@ def test_metrics_by_slice_full_row(spark):
     full = [r for r in rows if r["is_full"] == 1]
     null_slice = [r for r in rows if r["is_full"] == 0 and r["subject"] is None]
     assert len(full) == 1 and full[0]["n_samples"] == 4 and len(null_slice) == 1
+
+
+def test_empty_scores_give_no_rows(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert M.eval_report(empty).count() == 0 and M.maj_at_k(empty).count() == 0
+
+
+def test_transcript_pieces_keep_turn_order(spark):
+    from evalframe.operators.prompts import assemble_transcript
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(700)][::-1]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    got = assemble_transcript(df, piece_turns=64).first()
+    assert got["n_turns"] == 700
+    assert got["transcript"] == "\n\n".join(f"{'user' if t % 2 == 0 else 'assistant'}: m{t}" for t in range(700))
