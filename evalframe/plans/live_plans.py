@@ -35,17 +35,34 @@ def _write_logs(spark, sf):
     return [d0, d1]
 
 
-@plan("list_eval_logs")
+def _model_of(name):
+    """The model of a log written under ``model=<value>/`` (file names are Spark's)."""
+    return F.url_decode(F.regexp_extract(name, r"model=([^/]+)/", 1))
+
+
+_LOG_MODELS = CHOICE_SCORES_CTE + """
+, per_sample as (select model, sample_id, avg(value) as m from choice_scores group by model, sample_id)
+, per_model as (select model, count(*) as n_samples, round(avg(m), 9) as pass_at_1 from per_sample group by model)
+"""
+
+
+@plan("list_eval_logs", _LOG_MODELS + """
+select model, dir_rank, 'json' as type, true as is_json from per_model cross join (values (0), (1)) d(dir_rank)""",
+      CHOICE_FIXTURES)
 def q_list_eval_logs(spark, sf):
-    return LG.list_eval_logs(spark, _write_logs(spark, sf))
+    logs = LG.list_eval_logs(spark, _write_logs(spark, sf))
+    return logs.select(_model_of(F.col("name")).alias("model"), "dir_rank", "type",
+                       F.col("name").endswith(".json").alias("is_json"))
 
 
-@plan("read_eval_logs")
+@plan("read_eval_logs", _LOG_MODELS + """
+select model, dir_rank, true as is_valid, n_samples, pass_at_1 from per_model cross join (values (0), (1)) d(dir_rank)""",
+      CHOICE_FIXTURES)
 def q_read_eval_logs(spark, sf):
     logs = LG.read_eval_logs(spark, _write_logs(spark, sf))
-    return logs.select("name", "dir_rank", "is_valid",
+    return logs.select(_model_of(F.col("name")).alias("model"), "dir_rank", "is_valid",
                        F.try_variant_get("doc", "$.n_samples", "bigint").alias("n_samples"),
-                       F.try_variant_get("doc", "$.pass_at_1", "double").alias("pass_at_1"))
+                       F.round(F.try_variant_get("doc", "$.pass_at_1", "double"), 9).alias("pass_at_1"))
 
 
 # ---- streaming -------------------------------------------------------------------------------

@@ -47,7 +47,32 @@ def _configs(spark, sf, name, truth):
     return sub.join(ref, "sample_id")
 
 
-@plan("flatten_yaml")
+# Oracle: the node rows of each fault's document, written out path by path.
+_FLAT_ROWS = [
+    ("''", "null", "'map'", "true"),
+    ("'apiVersion'", "'v1'", "'str'", "true"),
+    ("'kind'", "case when f = 6 then 'Slice' else 'NetworkSlice' end", "'str'", "true"),
+    ("'metadata'", "null", "'map'", "true"),
+    ("'metadata.name'", "req_name", "'str'", "true"),
+    ("'metadata.labels'", "null", "'map'", "true"),
+    ("'metadata.labels.region'", "case when f = 5 then 'dc-x' else req_region end", "'str'", "true"),
+    ("'spec'", "null", "'map'", "true"),
+    ("'spec.sst'", "cast(req_sst as varchar)", "'int'", "true"),
+    ("'spec.sd'", "req_sd", "'str'", "f <> 1"),
+    ("'spec.uplink_throughput'", "case when f = 3 then '50' else '50Mbps' end",
+     "case when f = 3 then 'int' else 'str' end", "true"),
+    ("'spec.downlink_throughput'", "'100Mbps'", "'str'", "true"),
+    ("'spec.max_latency'", "case when f = 7 then '1s' else '10ms' end", "'str'", "true"),
+    ("'spec.ue_density'", "case when f = 4 then 'HIGH' else 'high' end", "'str'", "true"),
+]
+_FLAT_SQL = "\nunion all\n".join(
+    f"select sample_id, 'valid' as status, {p} as path, {v} as value, {t} as vtype from fx_slice_yaml "
+    f"where f <> 2 and {cond}" for p, v, t, cond in _FLAT_ROWS) + """
+union all
+select sample_id, 'unparseable', null, null, null from fx_slice_yaml where f = 2"""
+
+
+@plan("flatten_yaml", _FLAT_SQL, ("fx_slice_yaml",))
 def q_flatten_yaml(spark, sf):
     return RB.flatten_yaml(fixture(spark, sf, "fx_slice_yaml"))
 

@@ -39,7 +39,7 @@ def rows(pdf):
 
 
 def test_all_keys_registered():
-    assert len(KEYS) == 74
+    assert len(KEYS) == 74 and set(E.oracle_sql()) == set(KEYS)
 
 
 def test_entry_runs(spark):
