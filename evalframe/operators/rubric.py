@@ -405,8 +405,9 @@ def score_rubric(rubric_key: str, configs: DataFrame, task_cols: dict[str, str],
     AMF: tac, mcc, mnc; subscriber: imsi, sd) to columns of ``configs``.
     Returns sample_id, status, one column per criterion, total and score.
     One narrow stage: parse both documents per row, then expressions.
-    Parsing is CPU-bound; ``min_partitions`` spreads the rows round-robin
-    first when the input arrives in few partitions."""
+    Parsing is CPU-bound and runs in the input's own partitions. Pass
+    ``min_partitions`` only for an input known to arrive in few partitions:
+    it adds a round-robin shuffle of the texts."""
     r = RUBRICS[rubric_key]
     src = configs.select(id_col, submission_col, reference_col,
                          *[F.col(c).alias(f"task_{k}") for k, c in task_cols.items()])

@@ -68,11 +68,17 @@ def q_read_eval_logs(spark, sf):
 # ---- streaming -------------------------------------------------------------------------------
 
 
+def _files_per_trigger(spark):
+    """Micro-batches of about one written range: each range is written as up to
+    one file per core, so a batch stays bounded however large the stream."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _line_stream(spark, sf, name):
     path = work_dir(spark, name)
     lines = fixture(spark, sf, "fx_progress").select("job_id", "seq", "ts", "line")
-    write_in_order(lines, path, "seq", pieces=4)
-    return LN.scan_progress_lines(spark, path, stream=True, max_files_per_trigger=1)
+    write_in_order(lines, path, "seq", pieces=4, key_col="job_id")
+    return LN.scan_progress_lines(spark, path, stream=True, max_files_per_trigger=_files_per_trigger(spark))
 
 
 @plan("stream_progress", PROGRESS_CTE + "select job_id, samples_completed, total_samples, last_update, n_lines from pf",
@@ -107,9 +113,10 @@ def q_stream_run_status(spark, sf):
     queued = jobs.select("run_id", "job_id", "model", F.lit("queued").alias("status"),
                          F.col("started_at").alias("last_update"), F.lit(0).alias("update_seq"))
     final = jobs.select("run_id", "job_id", "model", "status", "last_update", F.lit(1).alias("update_seq"))
-    queued.coalesce(1).write.mode("append").parquet(path)
-    write_in_order(final, path, "job_id", pieces=3)
-    stream = (spark.readStream.schema(JOB_UPDATE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path))
+    queued.repartition("job_id").write.mode("append").parquet(path)
+    write_in_order(final, path, "job_id", pieces=3, key_col="job_id")
+    stream = (spark.readStream.schema(JOB_UPDATE_SCHEMA).option("maxFilesPerTrigger", _files_per_trigger(spark))
+              .parquet(path))
     _, counts = STR.stream_run_status(spark, stream, work_dir(spark, "stream-status"), work_dir(spark, "ckpt"),
                                       JOB_UPDATE_SCHEMA)
     return counts
@@ -123,7 +130,8 @@ COMPLETION_SCHEMA = "sample_id long, model string, epoch int, completion string"
 def q_stream_score(spark, sf):
     path = work_dir(spark, "completion-files")
     write_in_order(fixture(spark, sf, "fx_completions"), path, "sample_id", pieces=3)
-    stream = spark.readStream.schema(COMPLETION_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    stream = (spark.readStream.schema(COMPLETION_SCHEMA).option("maxFilesPerTrigger", _files_per_trigger(spark))
+              .parquet(path))
     samples = choice_samples(spark, sf).select("sample_id", "choices", "target")
 
     def score(df):

@@ -9,17 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_in_order(df: DataFrame, path: str, order_col: str, pieces: int, fmt: str = "parquet") -> str:
-    """Append ``df`` to ``path`` as ``pieces`` files in ascending ``order_col``
-    ranges, one after another, so a file stream sees them in that order.
-    (For feeding fixtures; real producers append files as they go.)"""
+def write_in_order(df: DataFrame, path: str, order_col: str, pieces: int, fmt: str = "parquet",
+                   key_col: str | None = None) -> str:
+    """Append ``df`` to ``path`` in ``pieces`` ascending ``order_col`` ranges,
+    one write after another, so a file stream sees the ranges in that order.
+    Each range is written by all tasks in parallel (never funnelled into one
+    file); with ``key_col`` the rows of a range are clustered by key, so a
+    key's rows of one range sit in one file and reach a stateful stream in
+    order. (For feeding fixtures; real producers append files as they go.)"""
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
     if lo is None:
         return path
     width = (hi - lo) // pieces + 1
     piece = F.floor((F.col(order_col) - F.lit(lo)) / F.lit(width))
     for i in range(pieces):
-        df.filter(piece == i).coalesce(1).write.mode("append").format(fmt).save(path)
+        part = df.filter(piece == i)
+        if key_col:
+            part = part.repartition(key_col)
+        part.write.mode("append").format(fmt).save(path)
     return path
 
 
