@@ -43,7 +43,8 @@ def generate(work: DataFrame, fn: GenerateFn, keys: Sequence[str] = WORK_KEYS, p
              out_col: str = "completion") -> DataFrame:
     """One ``out_col`` per work row not already in ``done`` (matched on keys)."""
     keys = list(keys)
-    todo = work if done is None else work.join(done.select(*keys).distinct(), keys, "left_anti")
+    # an anti join ignores duplicate keys on its right side: no distinct needed
+    todo = work if done is None else work.join(done.select(*keys), keys, "left_anti")
     cols = [F.col(k) for k in keys] + [F.col(prompt_col).alias("prompt")]
     cols += [F.lit(v).alias(k) for k, v in (options or {}).items()]
     todo = todo.select(*cols)
