@@ -87,26 +87,55 @@ def _pieces(lines: DataFrame, job_col: str, seq_col: str, ts_col: str, line_col:
         .withColumn("_b", F.floor(F.col(seq_col) / F.lit(bucket)).cast("bigint"))
 
 
-def progress_fold(lines: DataFrame, job_col: str = "job_id", seq_col: str = "seq", ts_col: str = "ts",
-                  line_col: str = "line", bucket: int = DEFAULT_BUCKET) -> DataFrame:
-    """Final ``samples_completed``, ``total_samples``, ``last_update`` and line
-    count per job."""
+def progress_summary(lines: DataFrame, job_col: str = "job_id", seq_col: str = "seq", ts_col: str = "ts",
+                     line_col: str = "line", bucket: int = DEFAULT_BUCKET) -> DataFrame:
+    """One row per job summing up a run of its lines: ``any_set``,
+    ``end_value`` (the count after the lines as if entered with -inf),
+    ``total_samples`` (last stated total, NULL if none), ``last_update``
+    (time of the last line) and ``n_lines``. Summaries compose: see
+    ``enter`` and ``continue_progress``."""
     u = _pieces(lines, job_col, seq_col, ts_col, line_col, bucket)
     tot_key = F.when(F.col("total").isNotNull(), F.col(seq_col))
     pieces = _segment_end(u, [job_col, "_b"], seq_col, "has_set", "contrib", [
         F.max_by(F.col("total"), tot_key).alias("_tot"), F.max(tot_key).alias("_tot_seq"),
         F.max_by(F.col(ts_col), F.col(seq_col)).alias("_last_ts"), F.max(seq_col).alias("_last_seq"),
         F.count("*").alias("_n")])
-    job = _segment_end(pieces, [job_col], "_b", "any_set", "end_value", [
+    return _segment_end(pieces, [job_col], "_b", "any_set", "end_value", [
         F.max_by(F.col("_tot"), F.col("_tot_seq")).alias("total_samples"),
         F.max_by(F.col("_last_ts"), F.col("_last_seq")).alias("last_update"),
         F.sum("_n").alias("n_lines")])
-    zero = F.lit(0).cast("bigint")
-    return job.select(
+
+
+def enter(c_in: Column) -> Column:
+    """The count after a summarised run of lines entered with count ``c_in``."""
+    return F.when(F.col("any_set"), F.col("end_value")).otherwise(F.greatest(c_in, F.col("end_value")))
+
+
+def progress_fold(lines: DataFrame, job_col: str = "job_id", seq_col: str = "seq", ts_col: str = "ts",
+                  line_col: str = "line", bucket: int = DEFAULT_BUCKET) -> DataFrame:
+    """Final ``samples_completed``, ``total_samples``, ``last_update`` and line
+    count per job."""
+    job = progress_summary(lines, job_col, seq_col, ts_col, line_col, bucket)
+    return job.select(job_col, enter(F.lit(0).cast("bigint")).alias("samples_completed"),
+                      "total_samples", "last_update", "n_lines")
+
+
+def continue_progress(state: DataFrame, summary: DataFrame, job_col: str = "job_id") -> DataFrame:
+    """Progress per job after further lines: ``state`` is the progress before
+    them (``progress_fold``'s columns, one row per job), ``summary`` the
+    ``progress_summary`` of the new lines, which all come after the lines
+    counted in ``state``. Both sides hold one row per job."""
+    b = summary.select(job_col, "any_set", "end_value", F.col("total_samples").alias("_b_total"),
+                       F.col("last_update").alias("_b_last"), F.col("n_lines").alias("_b_n"))
+    j = state.join(b, job_col, "full_outer")
+    seen = F.col("_b_n").isNotNull()
+    c_in = F.coalesce(F.col("samples_completed"), F.lit(0).cast("bigint"))
+    return j.select(
         job_col,
-        F.when(F.col("any_set"), F.col("end_value"))
-         .otherwise(F.greatest(zero, F.coalesce(F.col("end_value"), zero))).alias("samples_completed"),
-        "total_samples", "last_update", "n_lines")
+        F.when(seen, enter(c_in)).otherwise(F.col("samples_completed")).alias("samples_completed"),
+        F.coalesce(F.col("_b_total"), F.col("total_samples")).alias("total_samples"),
+        F.when(seen, F.col("_b_last")).otherwise(F.col("last_update")).alias("last_update"),
+        (F.coalesce(F.col("n_lines"), F.lit(0)) + F.coalesce(F.col("_b_n"), F.lit(0))).alias("n_lines"))
 
 
 def progress_history(lines: DataFrame, job_col: str = "job_id", seq_col: str = "seq", ts_col: str = "ts",

@@ -57,16 +57,6 @@ def run_available_now(stream: DataFrame, checkpoint: str, on_batch: Callable[[Da
         raise q.exception()
 
 
-def append_batches(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink appending each batch with its ``batch_id``.
-    A replayed batch overwrites its own partition, so replays do not
-    duplicate rows."""
-    def sink(df: DataFrame, batch_id: int) -> None:
-        (df.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
-    return sink
-
-
 class VersionedTable:
     """A small table rewritten once per micro-batch under ``version=<batch>``.
 

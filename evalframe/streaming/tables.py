@@ -10,23 +10,33 @@ from pyspark.sql import functions as F
 
 from evalframe.operators import progress as PR
 from evalframe.operators import status as ST
-from evalframe.streaming import progress as SP
-from evalframe.streaming.runner import VersionedTable, append_batches, run_available_now
+from evalframe.streaming.runner import VersionedTable, run_available_now
 
 TAIL_SCHEMA = "job_id long, seq long, line string"
 
 
-def stream_progress(spark: SparkSession, lines: DataFrame, out_path: str, checkpoint: str,
+PROGRESS_SCHEMA = "job_id long, samples_completed long, total_samples long, last_update timestamp_ntz, n_lines long"
+
+
+def stream_progress(spark: SparkSession, lines: DataFrame, table_path: str, checkpoint: str,
                     state_partitions: int | None = None) -> DataFrame:
-    """Run the per-job fold over a line stream until it is drained; returns
-    the newest state per job (equal to the batch ``progress_fold``).
-    ``state_partitions`` fixes the state store's partitioning when the
-    checkpoint is new (the state is one row per job). A job's lines in one
-    micro-batch form one group, so bound batches with ``maxFilesPerTrigger``
-    or ``maxBytesPerTrigger`` on the source."""
-    run_available_now(SP.progress_updates(lines), checkpoint, append_batches(out_path), output_mode="update",
-                      shuffle_partitions=state_partitions)
-    return SP.latest_progress(spark.read.parquet(out_path))
+    """Run the per-job progress fold over a line stream until it is drained;
+    returns the progress per job (equal to the batch ``progress_fold``).
+
+    Each micro-batch is summarised like the batch operator, in
+    ``(job, seq range)`` pieces, so a job with a third of the lines never
+    lands in one task, and merged into the previous state version: a table
+    of one row per job, rewritten per batch and idempotent on replay. The
+    work is native aggregates and one join per batch; no Python runs.
+    ``state_partitions`` sets the shuffle partitions of the batch plans."""
+    state = VersionedTable(spark, table_path, PROGRESS_SCHEMA)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        summary = PR.progress_summary(batch.select("job_id", "seq", "ts", "line"))
+        state.write(PR.continue_progress(state.previous(batch_id), summary), batch_id)
+
+    run_available_now(lines, checkpoint, on_batch, shuffle_partitions=state_partitions)
+    return state.current()
 
 
 def stream_log_tail(spark: SparkSession, lines: DataFrame, table_path: str, checkpoint: str,

@@ -98,3 +98,24 @@ def test_log_tail_keeps_last_lines(spark):
     tail = PR.log_tail(_frame(spark, lines), 200).collect()
     one = sorted((r["seq"], r["line"]) for r in tail if r["job_id"] == 1)
     assert len(one) == 200 and one[0][1] == "line 50" and one[-1][1] == "line 249"
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.dictionaries(st.integers(1, 4), st.tuples(st.lists(line_strategy(), min_size=1, max_size=30),
+                                                     st.floats(0, 1)), min_size=1, max_size=3))
+def test_fold_continues_across_a_cut(spark, jobs):
+    """fold(all lines) = continue(fold(lines before a cut), summary(lines after)),
+    with jobs seen only before or only after the cut."""
+    from pyspark.sql import functions as F
+    full = {j: lines for j, (lines, _) in jobs.items()}
+    df = _frame(spark, full)
+    before = F.lit(False)
+    start = 0
+    for j, (lines, f) in jobs.items():          # _frame numbers seq job by job in this order
+        before = before | ((F.col("job_id") == j) & (F.col("seq") < start + int(f * len(lines))))
+        start += len(lines)
+    got = PR.continue_progress(PR.progress_fold(df.filter(before), bucket=4),
+                               PR.progress_summary(df.filter(~before), bucket=4))
+    res = {r["job_id"]: (r["samples_completed"], r["total_samples"], r["n_lines"]) for r in got.collect()}
+    for j, lines in full.items():
+        assert res[j] == (*py_fold(lines)[-1], len(lines))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from evalframe.operators import progress as PR
 from evalframe.sources import lines as LN
 from evalframe.streaming import tables as STR
+from evalframe.streaming.runner import write_in_order
 
 
 def _lines(spark, start, n, jobs=3):
@@ -37,3 +38,22 @@ def test_stream_progress_equals_batch_fold(spark, tmp_path):
     cols = ["job_id", "samples_completed", "total_samples", "n_lines"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
     assert got.filter(F.col("last_update").isNull()).count() == 0
+
+
+def test_stream_progress_survives_driver_restart(spark, tmp_path):
+    src, out, ckpt = str(tmp_path / "src"), str(tmp_path / "state"), str(tmp_path / "ckpt")
+    _lines(spark, 0, 150).coalesce(1).write.parquet(src)
+    STR.stream_progress(spark, LN.scan_progress_lines(spark, src, stream=True), out, ckpt)
+    _lines(spark, 150, 150).coalesce(1).write.mode("append").parquet(src)
+    got = STR.stream_progress(spark, LN.scan_progress_lines(spark, src, stream=True), out, ckpt)
+    want = PR.progress_fold(_lines(spark, 0, 300))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(got.columns).collect()))
+
+
+def test_feeder_keeps_each_jobs_range_in_one_file(spark, tmp_path):
+    path = str(tmp_path / "fed")
+    write_in_order(_lines(spark, 0, 600, jobs=5).repartition(4), path, "seq", pieces=3, key_col="job_id")
+    back = spark.read.parquet(path).withColumn("f", F.input_file_name())
+    per = back.groupBy("job_id", F.floor(F.col("seq") / 200).alias("r")).agg(F.countDistinct("f").alias("files"))
+    assert per.count() == 15 and per.filter("files > 1").count() == 0
+    assert back.count() == 600
