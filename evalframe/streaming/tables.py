@@ -28,7 +28,8 @@ def stream_progress(spark: SparkSession, lines: DataFrame, table_path: str, chec
     lands in one task, and merged into the previous state version: a table
     of one row per job, rewritten per batch and idempotent on replay. The
     work is native aggregates and one join per batch; no Python runs.
-    ``state_partitions`` sets the shuffle partitions of the batch plans."""
+    ``state_partitions`` sets the shuffle partitions of the query's session
+    copy, which the per-batch summary runs in."""
     state = VersionedTable(spark, table_path, PROGRESS_SCHEMA)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
