@@ -10,9 +10,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from evalframe.operators.samples import broadcast_if_small
+
 
 def log_name(path) -> "F.Column":
     """File name, prefixed by its ``key=value`` folder when the log table was
@@ -22,9 +24,7 @@ def log_name(path) -> "F.Column":
     return F.when(parent.contains("="), F.concat(parent, F.lit("/"), fname)).otherwise(fname)
 
 
-def list_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json") -> DataFrame:
-    """name, path, size, modified (epoch seconds), type for the JSON logs of
-    several folders; folders in the given order, newest first inside each."""
+def _listing(spark: SparkSession, dirs: Sequence[str], glob: str) -> DataFrame:
     parts = []
     for rank, d in enumerate(dirs):
         df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
@@ -34,14 +34,24 @@ def list_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json
                       (F.unix_micros("modificationTime") / F.lit(1e6)).alias("modified"),
                       F.lit("json").alias("type"), F.lit(rank).alias("dir_rank")))
         parts.append(df)
-    out = reduce(lambda a, b: a.unionByName(b), parts)
-    return out.orderBy("dir_rank", F.desc("modified"), "name")
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def list_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json") -> DataFrame:
+    """name, path, size, modified (epoch seconds), type for the JSON logs of
+    several folders; folders in the given order, newest first inside each."""
+    return _listing(spark, dirs, glob).orderBy("dir_rank", F.desc("modified"), "name")
 
 
 def read_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json") -> DataFrame:
     """One row per log name: the body from the first folder that has it,
     parsed to VARIANT, with ``is_valid`` false for bodies that do not parse
-    (the row is kept, as an error report)."""
+    (the row is kept, as an error report).
+
+    The folder each name comes from is decided on the file listing (metadata
+    only, one row per file); bodies are kept by a semi join against that
+    table, broadcast after a size check, so no body crosses the network."""
+    first = _listing(spark, dirs, glob).groupBy("name").agg(F.min("dir_rank").alias("dir_rank"))
     parts = []
     for rank, d in enumerate(dirs):
         df = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
@@ -50,11 +60,10 @@ def read_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json
                       F.url_decode(F.col("_metadata.file_path")).alias("path"),
                       F.col("value").alias("body"), F.lit(rank).alias("dir_rank")))
         parts.append(df)
-    allv = reduce(lambda a, b: a.unionByName(b), parts)
-    w = Window.partitionBy("name").orderBy("dir_rank")
-    first = allv.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    bodies = reduce(lambda a, b: a.unionByName(b), parts)
+    kept = bodies.join(broadcast_if_small(first), ["name", "dir_rank"], "left_semi")
     doc = F.try_parse_json("body")
-    return first.select("name", "path", "dir_rank", doc.alias("doc"), doc.isNotNull().alias("is_valid"))
+    return kept.select("name", "path", "dir_rank", doc.alias("doc"), doc.isNotNull().alias("is_valid"))
 
 
 def scan_rubrics(spark: SparkSession, path: str) -> DataFrame:

@@ -37,3 +37,10 @@ def test_scan_prunes_columns(spark):
     df = E.queries()["last_completion"](spark, SF_SMALL)
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(role), EqualTo(role,assistant)]" in p
+
+
+def test_log_bodies_are_kept_by_a_broadcast_semi_join(spark):
+    df = E.queries()["read_eval_logs"](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    p = plan_text(df)
+    assert "BroadcastHashJoin" in p and "LeftSemi" in p and "Window" not in p
