@@ -42,7 +42,6 @@ from (select l_partkey as sample_id, l_suppkey as s,
     row_number() over (partition by l_partkey, l_suppkey % 2
       order by l_orderkey, l_linenumber, l_suppkey, l_extendedprice, l_quantity) as epoch
   from lineitem) x
-where epoch <= 16
 """
 
 FIXTURE_SQL["fx_math"] = """
