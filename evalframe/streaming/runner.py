@@ -62,13 +62,15 @@ class VersionedTable:
 
     Each batch reads the previous version, merges the new rows and writes a
     new version; re-running a batch rewrites the same version, so retries are
-    idempotent. Committed versions are listed in a manifest table next to
-    them (written after the data), so a restarted driver resuming the stream
-    from its checkpoint finds the last state. The table stays small: its
-    size is bounded by the keys, not by the stream."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, schema
+    idempotent. A committed version is marked under ``manifest/batch_id=<b>``
+    (written after the data), so a restarted driver resuming the stream from
+    its checkpoint finds the last state. Only the newest ``retain`` versions
+    are kept: a replayed batch needs at most the version before it, so
+    storage and the manifest listing stay bounded however long the stream
+    runs. The table itself is bounded by the keys, not by the stream."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, retain: int = 3):
+        self.spark, self.path, self.schema, self.retain = spark, path, schema, max(int(retain), 2)
         self.manifest = f"{path}/manifest"
         try:
             rows = spark.read.parquet(self.manifest).select("batch_id").distinct().collect()
@@ -88,11 +90,27 @@ class VersionedTable:
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
-        self.spark.createDataFrame([(batch_id,)], "batch_id long").write.mode("append").parquet(self.manifest)
+        (self.spark.createDataFrame([(True,)], "committed boolean").write.mode("overwrite")
+         .parquet(f"{self.manifest}/batch_id={batch_id}"))
         if batch_id not in self.versions:
             self.versions.append(batch_id)
+        self._prune()
 
     def current(self) -> DataFrame:
         if self.last is None:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={self.last}")
+
+    def _prune(self) -> None:
+        """Drop versions older than the newest ``retain``; the mark goes first,
+        so a listed version always has its data."""
+        keep = sorted(self.versions)[-self.retain:]
+        for v in sorted(set(self.versions) - set(keep)):
+            self._delete(f"{self.manifest}/batch_id={v}")
+            self._delete(f"{self.path}/version={v}")
+        self.versions = keep
+
+    def _delete(self, path: str) -> None:
+        sc = self.spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)

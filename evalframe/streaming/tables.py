@@ -13,6 +13,7 @@ from evalframe.operators import status as ST
 from evalframe.streaming.runner import VersionedTable, run_available_now
 
 TAIL_SCHEMA = "job_id long, seq long, line string"
+COUNTS_SCHEMA = ("run_id string, total long, " + ", ".join(f"{s} long" for s in ST.STATUSES))
 
 
 PROGRESS_SCHEMA = "job_id long, samples_completed long, total_samples long, last_update timestamp_ntz, n_lines long"
@@ -62,17 +63,17 @@ def stream_run_status(spark: SparkSession, job_updates: DataFrame, table_path: s
     newest row per job into the jobs table and recomputes the per-run counts.
     Returns (jobs, counts) after the stream is drained."""
     jobs = VersionedTable(spark, f"{table_path}/jobs", jobs_schema)
-    counts_path = f"{table_path}/counts"
+    counts = VersionedTable(spark, f"{table_path}/counts", COUNTS_SCHEMA)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         merged = jobs.previous(batch_id).unionByName(batch.select(*[f.split()[0] for f in jobs_schema.split(", ")]))
         w = Window.partitionBy("job_id").orderBy(F.col("last_update").desc(), F.col("update_seq").desc())
         latest = merged.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
         jobs.write(latest, batch_id)
-        ST.run_status_counts(jobs.current()).write.mode("overwrite").parquet(f"{counts_path}/version={batch_id}")
+        counts.write(ST.run_status_counts(jobs.current()), batch_id)
 
     run_available_now(job_updates, checkpoint, on_batch)
-    return jobs.current(), spark.read.parquet(f"{counts_path}/version={jobs.last}")
+    return jobs.current(), counts.current()
 
 
 def stream_score(spark: SparkSession, completions: DataFrame, scorer: Callable[[DataFrame], DataFrame],

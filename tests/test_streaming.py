@@ -57,3 +57,19 @@ def test_feeder_keeps_each_jobs_range_in_one_file(spark, tmp_path):
     per = back.groupBy("job_id", F.floor(F.col("seq") / 200).alias("r")).agg(F.countDistinct("f").alias("files"))
     assert per.count() == 15 and per.filter("files > 1").count() == 0
     assert back.count() == 600
+
+
+def test_versioned_table_keeps_a_bounded_history(spark, tmp_path):
+    from evalframe.streaming.runner import VersionedTable
+    path = str(tmp_path / "vt")
+    t = VersionedTable(spark, path, "k long, v long", retain=3)
+    for b in range(6):
+        prev = t.previous(b)
+        t.write(prev.unionByName(spark.createDataFrame([(b, b * 10)], "k long, v long")), b)
+    assert t.versions == [3, 4, 5]
+    kept = sorted(p.name for p in (tmp_path / "vt").iterdir() if p.name.startswith("version="))
+    assert kept == ["version=3", "version=4", "version=5"]
+    again = VersionedTable(spark, path, "k long, v long", retain=3)     # a restarted driver
+    assert again.last == 5 and sorted(r.k for r in again.current().collect()) == list(range(6))
+    again.write(again.previous(5).unionByName(spark.createDataFrame([(9, 9)], "k long, v long")), 5)   # replay
+    assert sorted(r.k for r in again.current().collect()) == [0, 1, 2, 3, 4, 9]
