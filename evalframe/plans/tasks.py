@@ -38,6 +38,16 @@ METRICS: dict[str, MetricFn] = {
     "maj_at_k": lambda s, k: M.maj_at_k(s, k),
 }
 
+# Built-in metrics over per-sample rows: computed together in one aggregate
+# chain (while the name still maps to the built-in function).
+_SAMPLE_LEVEL = {
+    "accuracy": lambda: F.avg("mean_value"),
+    "pass_at_1": lambda: F.avg("mean_value"),
+    "stderr": lambda: M.stderr_of("mean_value"),
+    "maj_at_k": lambda: (F.sum(F.coalesce(F.col("maj_ok"), F.lit(0))) / F.count("*")).cast("double"),
+}
+_BUILTIN = dict(METRICS)
+
 
 def scorer(name: str | None = None, metrics: Sequence[str] = ("accuracy", "stderr")):
     """Register a per-row scorer with its default metrics."""
@@ -61,11 +71,19 @@ def apply_scorer(df: DataFrame, name: str, keep: Sequence[str], **cols) -> DataF
 
 
 def compute_metrics(scores: DataFrame, names: Sequence[str], keys: Sequence[str] = ("model",)) -> DataFrame:
-    """Each metric is its own small aggregate; results are joined on the keys
-    (a handful of rows each)."""
+    """The named metrics per keys. Built-in sample-level metrics share one
+    scan and one aggregate chain; every other metric (user-registered, or a
+    built-in name the user re-registered) is its own aggregate, joined on the
+    keys (a handful of rows each)."""
     keys = list(keys)
+    fused = [n for n in names if n in _SAMPLE_LEVEL and METRICS.get(n) is _BUILTIN[n]]
     out = None
+    if fused:
+        per = M.sample_level(M.answer_groups(scores, keys), keys)
+        out = per.groupBy(*keys).agg(*[_SAMPLE_LEVEL[n]().alias(n) for n in fused])
     for n in names:
+        if n in fused:
+            continue
         m = METRICS[n](scores, keys)
         out = m if out is None else out.join(m, keys, "outer")
     return out

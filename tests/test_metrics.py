@@ -106,3 +106,22 @@ def test_transcript_pieces_keep_turn_order(spark):
     got = assemble_transcript(df, piece_turns=64).first()
     assert got["n_turns"] == 700
     assert got["transcript"] == "\n\n".join(f"{'user' if t % 2 == 0 else 'assistant'}: m{t}" for t in range(700))
+
+
+def test_task_metrics_share_one_scan(spark):
+    from evalframe.plans import tasks as TK
+    s = spark.createDataFrame(ROWS, SCHEMA)
+    names = ["accuracy", "stderr", "maj_at_k", "pass_at_1"]
+    fused = {r["model"]: r for r in TK.compute_metrics(s, names).collect()}
+    for n in names:
+        one = {r["model"]: r[n] for r in TK._BUILTIN[n](s, ["model"]).collect()}
+        assert all(math.isclose(fused[m][n], v, abs_tol=1e-12) for m, v in one.items()), n
+    plan = TK.compute_metrics(s, names)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan                      # one aggregate chain, no per-metric joins
+    saved = TK.METRICS["accuracy"]
+    try:
+        TK.METRICS["accuracy"] = lambda sc, k: sc.groupBy(*k).agg(F.lit(7.0).alias("accuracy"))
+        got = {r["model"]: r for r in TK.compute_metrics(s, ["accuracy", "stderr"]).collect()}
+        assert all(r["accuracy"] == 7.0 and r["stderr"] is not None for r in got.values())
+    finally:
+        TK.METRICS["accuracy"] = saved
