@@ -4,8 +4,9 @@ The callable receives a pandas DataFrame (one Arrow batch of work rows, with
 the prompt and options) and returns one completion per row. It is the only
 place a model is contacted; everything around it is Spark:
 
-* finished keys are skipped with a left-anti join, so a retried or resumed
-  run never pays for a completion twice;
+* finished keys are skipped with a left-anti join, so a resumed run never
+  pays again for a completion that was written (a Spark task retry inside a
+  run does re-call the model for that task's rows);
 * ``partitions`` bounds how many tasks call the model at once (the
   connection cap); a callable may add its own concurrency inside a batch;
 * outputs should be written (``persist_completions``) before scoring, so a
