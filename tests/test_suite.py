@@ -118,3 +118,19 @@ def test_stub_run_end_to_end(spark):
     assert r.n_samples == 6 and r.accuracy == pytest.approx(sum(per.values()) / 6)
     # ties (2 votes each) go to the earliest epoch, i.e. the target letter: all answered samples win
     assert r.maj_at_k == pytest.approx(5 / 6)
+
+
+def stub_grader(pdf):
+    """Grades 90 from grader a, 30 from grader b; one reply without a grade."""
+    return [("$FINAL_SCORE: 90" if j == "a" else "$FINAL_SCORE: 30") if sid != 2 or j == "a" else "no grade"
+            for sid, j in zip(pdf["sample_id"], pdf["judge_model"])]
+
+
+def test_graded_task_through_generation(spark):
+    s = SU.load_samples("teleyaml", config_records(spark))
+    comp = spark.createDataFrame([("m", 1, 1, "kind: NetworkSlice"), ("m", 2, 1, "amf: {}")],
+                                 "model string, sample_id long, epoch int, completion string")
+    gw = SU.grader_work("teleyaml", comp, s, ["a", "b"], RB.rubric_table(spark))
+    replies = G.generate(gw, stub_grader, keys=SU.KEYS + ["judge_model"], out_col="judge_output")
+    r = SU.report("teleyaml", SU.score_replies("teleyaml", replies)).first()
+    assert r.n_samples == 2 and r.accuracy == pytest.approx(((90 + 30) / 2 + (90 + 0) / 2) / 2)
