@@ -122,9 +122,10 @@ def flatten_yaml(df: DataFrame, id_col: str = "sample_id", text_col: str = "subm
 
 # ---- node maps (scoring path) ---------------------------------------------------------
 
-def _node_map_batches(text_cols: dict[str, str], paths: Sequence[str] | None):
+def _node_map_batches(text_cols: dict[str, str], paths: Sequence[str] | None, keep_text: bool = True):
     import pandas as pd
     wanted = set(paths) if paths is not None else None
+    dropped = [] if keep_text else list(text_cols.values())
 
     def run(batches):
         for pdf in batches:
@@ -144,21 +145,26 @@ def _node_map_batches(text_cols: dict[str, str], paths: Sequence[str] | None):
                     types.append([n[2] for n in nodes])
                 extra[f"{side}_status"], extra[f"{side}_paths"] = status, keys
                 extra[f"{side}_values"], extra[f"{side}_vtypes"] = vals, types
-            yield pdf.assign(**extra) if len(pdf) else pd.DataFrame(columns=list(pdf.columns) + list(extra))
+            base = pdf.drop(columns=dropped)
+            yield base.assign(**extra) if len(pdf) else pd.DataFrame(columns=list(base.columns) + list(extra))
     return run
 
 
-def node_maps(df: DataFrame, text_cols: dict[str, str], paths: Sequence[str] | None = None) -> DataFrame:
+def node_maps(df: DataFrame, text_cols: dict[str, str], paths: Sequence[str] | None = None,
+              keep_text: bool = True) -> DataFrame:
     """Adds ``<side>_status`` and ``<side>_nodes`` (map path -> struct(value,
     vtype)) for each YAML text column, parsed once per row inside the scan's
-    stage: no shuffle, and only the requested paths are kept."""
-    fields = list(df.schema.fields)
+    stage: no shuffle, and only the requested paths are kept. With
+    ``keep_text=False`` the texts are not sent back from the Python workers
+    (most of the step's Arrow volume when nothing downstream reads them)."""
+    texts = set(text_cols.values())
+    fields = [f for f in df.schema.fields if keep_text or f.name not in texts]
     for side in text_cols:
         fields += [T.StructField(f"{side}_status", T.StringType()),
                    T.StructField(f"{side}_paths", T.ArrayType(T.StringType())),
                    T.StructField(f"{side}_values", T.ArrayType(T.StringType())),
                    T.StructField(f"{side}_vtypes", T.ArrayType(T.StringType()))]
-    out = df.mapInPandas(_node_map_batches(text_cols, paths), T.StructType(fields))
+    out = df.mapInPandas(_node_map_batches(text_cols, paths, keep_text), T.StructType(fields))
     for side in text_cols:
         nodes = F.map_from_arrays(F.col(f"{side}_paths"),
                                   F.arrays_zip(F.col(f"{side}_values").alias("value"),
@@ -413,7 +419,7 @@ def score_rubric(rubric_key: str, configs: DataFrame, task_cols: dict[str, str],
                          *[F.col(c).alias(f"task_{k}") for k, c in task_cols.items()])
     if min_partitions:
         src = src.repartition(min_partitions)
-    docs = node_maps(src, {"s": submission_col, "t": reference_col}, r.paths)
+    docs = node_maps(src, {"s": submission_col, "t": reference_col}, r.paths, keep_text=False)
     d = Doc()
     crit = _CRITERIA[rubric_key](d, {k: F.col(f"task_{k}") for k in task_cols})
     unparsed = F.col("s_status") == "unparseable"
