@@ -96,3 +96,28 @@ def q_eval_teleyaml(spark, sf):
 def q_eval_legacy_teleyaml(spark, sf):
     replies = _one_epoch(fixture(spark, sf, "fx_judge_json")).withColumn("judge_model", F.lit("grader"))
     return _report("legacy_teleyaml", SU.score_replies("legacy_teleyaml", replies))
+
+
+_SET_BOXED = f"""(select '{MODEL}' as model, case when parsed = target then 1.0 else 0.0 end as v
+  from ({_BOXED_SQL}) b) t"""
+
+
+@plan("eval_set", CHOICE_SCORES_CTE + _PER_SAMPLE + _vote_ctes(None) + """
+, mk as (select model, avg(ok) as maj from maj group by model)
+select *, cast(null as double) as maj_at_k from (""" + _summary_sql("teleqna", "per_sample", "m") + """) a
+union all
+select s.*, round(mk.maj, 9) as maj_at_k from (""" + _summary_sql("telelogs", "per_sample", "m") + """) s
+join mk on mk.model = s.model
+union all
+select *, cast(null as double) as maj_at_k from (""" + _summary_sql("telemath", _SET_BOXED, "v") + ") c",
+      CHOICE_FIXTURES + ("fx_math",))
+def q_eval_set(spark, sf):
+    math = fixture(spark, sf, "fx_math")
+    records = {"teleqna": fixture(spark, sf, "fx_samples"), "telelogs": fixture(spark, sf, "fx_samples"),
+               "telemath": math}
+    choice = fixture(spark, sf, "fx_completions")
+    completions = (choice.withColumn("task", F.lit("teleqna"))
+                   .unionByName(choice.withColumn("task", F.lit("telelogs")))
+                   .unionByName(_one_epoch(math.select("sample_id", "completion")).withColumn("task", F.lit("telemath"))))
+    out = SU.eval_set_report(records, completions)
+    return round9(out, "accuracy", "stderr", "maj_at_k")

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -172,3 +173,34 @@ def report(name: str, scores: DataFrame, keys: Sequence[str] = ("model",)) -> Da
         elif m == "maj_at_k":
             out.append((F.sum(F.coalesce(F.col("maj_ok"), F.lit(0))) / F.count("*")).cast("double").alias(m))
     return per.groupBy(*keys).agg(*out).withColumn("task", F.lit(t.name))
+
+
+# ---- several tasks at once (the batch driver's eval set) ---------------------------------
+
+def eval_set_work(records: dict[str, DataFrame], models: Sequence[str], limit: int | None = None,
+                  epochs: int | None = None) -> DataFrame:
+    """One work table for several tasks: per task its first ``limit`` samples
+    x models x epochs (each task's default epochs unless given), with a
+    ``task`` column. A union of the tasks' grids: no join, no shuffle."""
+    parts = [work(n, load_samples(n, r, limit=limit), models, epochs).withColumn("task", F.lit(n))
+             for n, r in records.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts).select("task", *KEYS, "system_prompt", "prompt")
+
+
+def eval_set_report(records: dict[str, DataFrame], completions: DataFrame, replies: DataFrame | None = None,
+                    limit: int | None = None) -> DataFrame:
+    """Every task's report from one completions table keyed by ``task`` (and
+    one grader-reply table keyed the same way for graded tasks); a metric a
+    task does not report is NULL. Each task filters on ``task``: with the
+    results laid out by task (``write_eval_results``) that prunes to the
+    task's own files, so the tables are read once in total."""
+    outs = []
+    for n, r in records.items():
+        if task(n).scorer in ("rubric_grader", "json_grader"):
+            if replies is None:
+                raise ValueError(f"{n} is scored from grader replies: pass replies=")
+            scores = score_replies(n, replies.filter(F.col("task") == n).drop("task"))
+        else:
+            scores = score(n, completions.filter(F.col("task") == n).drop("task"), load_samples(n, r, limit=limit))
+        outs.append(report(n, scores))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), outs)

@@ -39,11 +39,11 @@ def rows(pdf):
 
 
 SUITE_KEYS = {"eval_teleqna", "eval_telelogs", "eval_three_gpp", "eval_telemath", "eval_old_three_gpp",
-              "eval_teleyaml", "eval_legacy_teleyaml"}
+              "eval_teleyaml", "eval_legacy_teleyaml", "eval_set"}
 
 
 def test_all_keys_registered():
-    # the 74 survey operators plus one end-to-end plan per suite task, every one with an oracle
+    # the 74 survey operators plus one end-to-end plan per suite task and one eval set, every one with an oracle
     assert SUITE_KEYS <= set(KEYS) and len(set(KEYS) - SUITE_KEYS) == 74
     assert set(E.oracle_sql()) == set(KEYS)
 

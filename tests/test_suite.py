@@ -134,3 +134,19 @@ def test_graded_task_through_generation(spark):
     replies = G.generate(gw, stub_grader, keys=SU.KEYS + ["judge_model"], out_col="judge_output")
     r = SU.report("teleyaml", SU.score_replies("teleyaml", replies)).first()
     assert r.n_samples == 2 and r.accuracy == pytest.approx(((90 + 30) / 2 + (90 + 0) / 2) / 2)
+
+
+def test_eval_set_work_and_report(spark):
+    recs = {"teleqna": choice_records(spark), "telelogs": choice_records(spark), "teleyaml": config_records(spark)}
+    w = SU.eval_set_work(recs, ["m1", "m2"], limit=2)
+    per = {r["task"]: r["count"] for r in w.groupBy("task").count().collect()}
+    assert per == {"teleqna": 2 * 2 * 1, "telelogs": 2 * 2 * 4, "teleyaml": 2 * 2 * 1}   # each task's own epochs
+    assert w.columns == ["task", "model", "sample_id", "epoch", "system_prompt", "prompt"]
+    comp = spark.createDataFrame([("teleqna", "m1", 5, 1, "ANSWER: C"), ("telelogs", "m1", 5, 1, "ANSWER: A")],
+                                 "task string, model string, sample_id long, epoch int, completion string")
+    with pytest.raises(ValueError, match="grader replies"):
+        SU.eval_set_report(recs, comp, limit=2)
+    out = {r["task"]: r for r in SU.eval_set_report({k: recs[k] for k in ("teleqna", "telelogs")}, comp, limit=2)
+           .collect()}
+    assert out["teleqna"].accuracy == 1.0 and out["teleqna"].maj_at_k is None       # 5 % 3 = 2 -> C
+    assert out["telelogs"].accuracy == 0.0 and out["telelogs"].maj_at_k == 0.0
