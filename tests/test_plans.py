@@ -44,3 +44,9 @@ def test_log_bodies_are_kept_by_a_broadcast_semi_join(spark):
     df.write.format("noop").mode("overwrite").save()
     p = plan_text(df)
     assert "BroadcastHashJoin" in p and "LeftSemi" in p and "Window" not in p
+
+
+def test_dataset_scan_prunes_partitions(spark):
+    df = E.queries()["scan_eval_dataset"](spark, SF_SMALL)
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in p and "(split#" in p and "= test)" in p
