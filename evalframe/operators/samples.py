@@ -30,12 +30,18 @@ def _opt(df: DataFrame, name: str, dtype: str = "string") -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
 
 
+def _ord(df: DataFrame, ord_col: str, id_col: str) -> Column:
+    """The record order; records without one are ordered by their id."""
+    return F.col(ord_col) if ord_col in df.columns else F.col(id_col)
+
+
 # ---- projections -----------------------------------------------------------
 
 def map_choice_records(df: DataFrame, id_col: str = "sample_id", ord_col: str = "ord") -> DataFrame:
     """question, choices, 0-based ``answer`` -> sample with a letter target and
-    optional ``subject`` metadata (absent column -> NULL)."""
-    return df.select(F.col(id_col).alias("sample_id"), F.col(ord_col).alias("ord"),
+    optional ``subject`` metadata (absent column -> NULL); without an
+    ``ord`` column the samples are ordered by id."""
+    return df.select(F.col(id_col).alias("sample_id"), _ord(df, ord_col, id_col).alias("ord"),
                      F.col("question").alias("input"), F.col("choices"),
                      S.index_to_letter(F.col("answer")).alias("target"),
                      F.struct(_opt(df, "subject").alias("subject")).alias("metadata"))
@@ -45,7 +51,7 @@ def map_indexed_records(df: DataFrame, input_col: str = "input", index_col: str
                         id_col: str = "sample_id", ord_col: str = "ord") -> DataFrame:
     """Like ``map_choice_records`` but the index arrives as text; a value that
     is not an integer raises (ANSI cast), as the suite's ``int()`` does."""
-    return df.select(F.col(id_col).alias("sample_id"), F.col(ord_col).alias("ord"),
+    return df.select(F.col(id_col).alias("sample_id"), _ord(df, ord_col, id_col).alias("ord"),
                      F.col(input_col).alias("input"), F.col("choices"),
                      S.index_to_letter(F.col(index_col).cast("int")).alias("target"))
 

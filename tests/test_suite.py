@@ -150,3 +150,9 @@ def test_eval_set_work_and_report(spark):
            .collect()}
     assert out["teleqna"].accuracy == 1.0 and out["teleqna"].maj_at_k is None       # 5 % 3 = 2 -> C
     assert out["telelogs"].accuracy == 0.0 and out["telelogs"].maj_at_k == 0.0
+
+
+def test_records_without_order_use_the_id(spark):
+    recs = choice_records(spark).drop("ord")
+    first = SU.load_samples("teleqna", recs, limit=2)
+    assert sorted(r.sample_id for r in first.collect()) == [1, 2]
