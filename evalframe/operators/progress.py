@@ -143,20 +143,21 @@ def progress_history(lines: DataFrame, job_col: str = "job_id", seq_col: str = "
     """``samples_completed`` and ``total_samples`` after every line.
 
     Inside a piece: segment = running count of SET lines, local value =
-    running max of contributions within the segment; the piece's summary is
-    its last row. Across pieces: the count entering a piece comes from an
-    ordered window over the job's piece summaries (one row per piece)."""
-    u = _pieces(lines, job_col, seq_col, ts_col, line_col, bucket)
+    running max of contributions within the segment. Across pieces: the
+    count entering a piece comes from an ordered window over the job's piece
+    summaries (one row per piece), which are aggregated from the lines as in
+    the fold, without the ordered windows."""
+    pieces = _pieces(lines, job_col, seq_col, ts_col, line_col, bucket)
     wp = Window.partitionBy(job_col, "_b").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
-    u = u.withColumn("_seg", F.sum(F.col("has_set").cast("int")).over(wp)) \
-         .withColumn("_tot_local", F.last("total", ignorenulls=True).over(wp))
+    u = pieces.withColumn("_seg", F.sum(F.col("has_set").cast("int")).over(wp)) \
+              .withColumn("_tot_local", F.last("total", ignorenulls=True).over(wp))
     ws = Window.partitionBy(job_col, "_b", "_seg").orderBy(seq_col).rowsBetween(Window.unboundedPreceding, 0)
     u = u.withColumn("_local", F.max("contrib").over(ws))
 
-    summary = u.groupBy(job_col, "_b").agg(
-        (F.max("_seg") > 0).alias("any_set"),
-        F.max_by(F.col("_local"), F.col(seq_col)).alias("end_value"),
-        F.max_by(F.col("_tot_local"), F.col(seq_col)).alias("_tot_b"))
+    # piece summaries straight from the lines (as in the fold): no ordered window
+    tot_key = F.when(F.col("total").isNotNull(), F.col(seq_col))
+    summary = _segment_end(pieces, [job_col, "_b"], seq_col, "has_set", "contrib",
+                           [F.max_by(F.col("total"), tot_key).alias("_tot_b")])
     wj = Window.partitionBy(job_col).orderBy("_b")
     summary = summary.withColumn("_seg2", F.sum(F.col("any_set").cast("int")).over(
         wj.rowsBetween(Window.unboundedPreceding, 0)))
