@@ -53,3 +53,15 @@ def test_rubric_table_has_three_rubrics(spark):
     keys = sorted(r["category_key"] for r in RB.rubric_table(spark).collect())
     assert keys == ["amf_configuration", "slice_deployment", "ue_provisioning"]
     assert RB.rubric_table(spark).filter(F.col("rubric").contains("x 100 / 80")).count() == 1
+
+
+def test_node_maps_can_drop_the_texts(spark):
+    df = spark.createDataFrame([(1, "a: 1\nb: [x, y]\n", "a: '1'\n", 7)],
+                               "sample_id long, sub string, ref string, extra int")
+    keep = RB.node_maps(df, {"s": "sub", "t": "ref"}, ["a", "b"])
+    lean = RB.node_maps(df, {"s": "sub", "t": "ref"}, ["a", "b"], keep_text=False)
+    assert {"sub", "ref"} <= set(keep.columns) and not {"sub", "ref"} & set(lean.columns)
+    assert set(keep.columns) - set(lean.columns) == {"sub", "ref"}
+    r = lean.first()
+    assert r.extra == 7 and r.s_status == "valid" and r.s_nodes["a"].vtype == "int"
+    assert r.s_nodes["b"].value == '["x", "y"]' and r.t_nodes["a"].vtype == "str"
