@@ -191,7 +191,9 @@ def eval_set_report(records: dict[str, DataFrame], completions: DataFrame, repli
                     limit: int | None = None) -> DataFrame:
     """Every task's report from one completions table keyed by ``task`` (and
     one grader-reply table keyed the same way for graded tasks); a metric a
-    task does not report is NULL. Each task filters on ``task``: with the
+    task does not report is NULL. ``limit`` picks the samples a completion
+    is scored against; grader replies are taken as given (they exist only for
+    the samples that were run). Each task filters on ``task``: with the
     results laid out by task (``write_eval_results``) that prunes to the
     task's own files, so the tables are read once in total."""
     outs = []
