@@ -31,7 +31,8 @@ def _write_logs(spark, sf):
     d0, d1 = work_dir(spark, "logs-a"), work_dir(spark, "logs-b")
     M.eval_report(scores).repartition("model").write.partitionBy("model").json(d0)
     M.pass_at_1(scores).repartition("model").write.partitionBy("model").json(d1)
-    M.pass_at_1(scores).select(F.col("model").alias("value")).coalesce(1).write.text(d1 + "/notes")
+    # the non-JSON file lists the models just written (read back, not recomputed)
+    spark.read.json(d1).select(F.col("model").alias("value")).coalesce(1).write.text(d1 + "/notes")
     return [d0, d1]
 
 
