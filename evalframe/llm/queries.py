@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalframe.llm import decontaminate, histogram, language, packing, url_filter
+from evalframe.llm import decontaminate, histogram, jaccard, language, packing, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,20 @@ def op9_token_histogram(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
+
+
+@query
+def op1_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf, "documents"))
+
+
+ORACLES["op1_jaccard_join"] = r"""
+with recursive docs as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+sets as materialized (select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [hash(w)]
+    else list_distinct([hash(list_slice(w, i, i + 2)) for i in range(1, len(w) - 1)]) end as s from docs),
+sh as (select doc_id, len(s) as n, unnest(s) as g from sets),
+pairs as (select a.doc_id as x, b.doc_id as y, a.n as nx, b.n as ny, count(*) as c from sh a join sh b on a.g = b.g and a.doc_id < b.doc_id and 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n) group by all),
+links as materialized (select x, y from pairs where 100 * c >= 90 * (nx + ny - c) union all select y, x from pairs where 100 * c >= 90 * (nx + ny - c)),
+reached as (select doc_id as a, doc_id as b from sets union select r.a, l.y from reached r join links l on r.b = l.x)
+select doc_id, cast(len(s) as bigint) as n_shingles, c as component_id from sets join (select a, min(b) as c from reached group by a) on a = doc_id
+"""
