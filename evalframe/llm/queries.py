@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalframe.llm import decontaminate, histogram, jaccard, language, packing, url_filter
+from evalframe.llm import decontaminate, histogram, jaccard, language, packing, substrings, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -95,3 +95,19 @@ links as materialized (select x, y from pairs where 100 * c >= 90 * (nx + ny - c
 reached as (select doc_id as a, doc_id as b from sets union select r.a, l.y from reached r join links l on r.b = l.x)
 select doc_id, cast(len(s) as bigint) as n_shingles, c as component_id from sets join (select a, min(b) as c from reached group by a) on a = doc_id
 """
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.parse(table(spark, sf, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op3_substring_dedup"] = r"""
+with docs as materialized (select row_number() over () as r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as materialized (select r, doc_id, i, hash(list_slice(w, i, i + 12)) as h from (select r, doc_id, w, unnest(range(1, len(w) - 11)) as i from docs where len(w) >= 13)),
+small as (select h, min(doc_id) as m from win group by h),
+hit as (select r, list(i) as starts from win join small using (h) where doc_id > m group by r),
+cover as (select r, list_distinct(flatten(list_transform(starts, lambda s: range(s, s + 13)))) as gone from hit),
+kept as (select doc_id, w, case when gone is null then w else list_select(w, list_filter(range(1, len(w) + 1), lambda i: not list_contains(gone, i))) end as k from docs left join cover using (r))
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - len(k) as bigint) as n_removed, sha256(array_to_string(k, ' ')) as kept_sha256 from kept
+"""
