@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalframe.llm import decontaminate, histogram, jaccard, language, packing, substrings, url_filter
+from evalframe.llm import decontaminate, histogram, jaccard, language, packing, secrets, substrings, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,3 +111,41 @@ cover as (select r, list_distinct(flatten(list_transform(starts, lambda s: range
 kept as (select doc_id, w, case when gone is null then w else list_select(w, list_filter(range(1, len(w) + 1), lambda i: not list_contains(gone, i))) end as k from docs left join cover using (r))
 select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - len(k) as bigint) as n_removed, sha256(array_to_string(k, ' ')) as kept_sha256 from kept
 """
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["kind_no"] < len(secrets.BASE_RULES))
+
+    def count(kind: str):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(r.kind) for r in secrets.BASE_RULES]
+    return secrets.scan(table(spark, sf, "documents")).select("doc_id", *counts, F.sha2(secrets.written(base), 256).alias("base_sha256"),
+                                                              secrets.written(spans).alias("spans"))
+
+
+def _secret_oracle() -> str:
+    """Positions from the pieces between matches, rule by rule, in DuckDB."""
+    def quoted(s: str) -> str:
+        return s.replace("'", "''")
+
+    parts = []
+    for no, r in enumerate(secrets.RULES):
+        p = quoted(r.pattern)
+        parts.append(f"""select r, {no} as no, '{r.kind}' as kind, unnest(range(1, len(m) + 1)) as i, m, g, s from (select r, regexp_extract_all(t, '{p}') as m,
+            regexp_extract_all(t, '{p}', {r.group}) as g, regexp_split_to_array(t, '{p}') as s from docs where regexp_matches(t, '{p}'))""")
+    return f"""
+with docs as materialized (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+found as ({' union all '.join(parts)}),
+spans as (select r, no, kind, length(m[i]) as n, length(g[i]) as gn,
+    list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) as pos, i from found),
+kept as (select r, no, kind, kind || ':' || cast(pos as bigint) || ':' || cast(pos + n as bigint) as w, pos from spans where no <> 0 or gn >= 6),
+per as (select r, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+    string_agg(w, ',' order by pos, no) filter (no < 3) as base, string_agg(w, ',' order by pos, no) as spans from kept group by r)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from docs left join per using (r)"""
+
+
+ORACLES["op2_secret_scan"] = _secret_oracle()
