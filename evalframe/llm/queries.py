@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalframe.llm import decontaminate, histogram, jaccard, language, packing, secrets, substrings, url_filter
+from evalframe.llm import decontaminate, histogram, jaccard, language, neighbours, packing, quality, secrets, substrings, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -149,3 +149,18 @@ from docs left join per using (r)"""
 
 
 ORACLES["op2_secret_scan"] = _secret_oracle()
+
+
+@query
+def op4_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query
+def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    kept = language.held_out("doc_id", 3, 1)
+    labelled = docs.where(~kept).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    model = quality.fit(labelled)
+    return quality.score(docs, model).select("doc_id", kept.alias("held_out"), "score", "predicted")
