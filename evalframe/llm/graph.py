@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from evalframe.session import work_dir
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, with underscores added until no column has it (names are compared without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: the lineage ends
     there, and a lost executor costs a read of the files."""

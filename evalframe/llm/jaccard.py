@@ -29,11 +29,11 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalframe.llm.graph import connected_components, stage_table
+from evalframe.llm.graph import connected_components, fresh, stage_table
 from evalframe.llm.words import SPACES, mix, text_groups, text_shingles
 
 MISS = 1e-10
@@ -101,9 +101,9 @@ def node_of(s: np.ndarray) -> int:
 
 
 def _prepared(docs: DataFrame, text_col: str, k: int, t: float, sep, fold) -> DataFrame:
-    """Row-wise: ``_id, _th, n, node, keys``; a task gives the keys of equal sets once (its map-side combine)."""
+    """Row-wise: ``_id, _key, n, node, keys``; a task gives the keys of equal sets once (its map-side combine)."""
     light, runs, w = light_limit(t), reach(t), run_length(t)
-    schema = T.StructType([*docs.select("_id", "_th").schema, T.StructField("n", T.LongType()), T.StructField("node", T.LongType()),
+    schema = T.StructType([*docs.select("_id", "_key").schema, T.StructField("n", T.LongType()), T.StructField("node", T.LongType()),
                            T.StructField("keys", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,9 +122,9 @@ def _prepared(docs: DataFrame, text_col: str, k: int, t: float, sep, fold) -> Da
                     seen.add(nodes[-1])
                     keys.append(signatures(s, t, light, runs, w).astype(np.int64))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                                             names=["_id", "_th", "n", "node", "keys"])
+                                             names=["_id", "_key", "n", "node", "keys"])
 
-    return docs.select("_id", "_th", F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return docs.select("_id", "_key", F.col(text_col).alias("_text")).mapInArrow(run, schema)
 
 
 class _Union:
@@ -248,27 +248,25 @@ def _large(sets: DataFrame, t: float) -> DataFrame:
             .unionByName(crossing))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, threshold: float = 0.9,
-                       sep: np.ndarray = SPACES, fold: bool = True, block: int = BLOCK) -> DataFrame:
-    """``id_col, n_shingles, component_id`` per document row.
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_id, _key, _text``: the key tells rows apart that differ in id or text."""
+    return docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_key"), F.col(text_col).alias("_text"))
 
-    Words are runs of non-separators, A-Z folded if ``fold``. ``component_id`` is the smallest id reachable over links, the row's own included.
-    A text with fewer than ``k`` words has its whole sequence as the only shingle; a null or empty one, or one
-    without words, has no shingle and is linked with nothing. Repeated rows and rows with equal sets are linked. Null ids are kept, and never the smallest. Other columns
-    aren't read; an empty table gives no row.
-    """
-    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_th"), F.col(text_col).alias("_text"))
+
+def _components(rows: DataFrame, k: int, threshold: float, sep: np.ndarray, fold: bool, block: int) -> tuple[DataFrame, DataFrame]:
+    """All rows' ``_id, _key, n, node``, and ``node, root, first`` of the distinct sets: root names the component, first is the
+    smallest (id missing, id, key) with that set."""
     table = stage_table(_prepared(rows, "_text", k, threshold, sep, fold), "sets")
     entries = table.where("keys is not null").select(F.explode("keys").alias("key"), "node")
     heads = entries.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("key", "head")
     scanned = entries.join(heads, "key").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     labels = connected_components(scanned)
-    sizes = table.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min(F.struct("_id", "_th")).alias("first"), F.min("_id").alias("least"))
-    nodes = stage_table(sizes.join(labels, "node", "left").select("node", "n", F.col("component").alias("label"), "first", "least"), "nodes")
+    first = F.min(F.struct(F.col("_id").isNull().alias("missing"), F.col("_id").alias("id"), F.col("_key").alias("key")))
+    sizes = table.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), first.alias("first"))
+    nodes = stage_table(sizes.join(labels, "node", "left").select("node", "n", F.col("component").alias("label"), "first"), "nodes")
     linked = nodes.where("label is not null")
     blocks = linked.groupBy("label").agg(F.ceil(F.sum("n") / F.lit(block)).alias("blocks"))
-    wanted = linked.join(blocks, "label").select("node", "label", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"),
-                                                 F.col("first._id").alias("_id"), F.col("first._th").alias("_th"))
+    wanted = linked.join(blocks, "label").select("node", "label", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), F.col("first.key").alias("_key"))
     sets = _shingles(rows, wanted, k, sep, fold)
     several = wanted.where("blocks > 1").limit(1).count() > 0
     if several:
@@ -277,18 +275,42 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         found = connected_components(found.unionByName(_large(sets.where("blocks > 1"), threshold)))
     else:
         found = _roots(sets, ["label"], threshold).select("node", F.col("root").alias("component"))
-    named = nodes.select("node", "least").join(found, "node", "left").select("node", "least", F.coalesce("component", "node").alias("root"))
-    named = stage_table(named, "named")
-    smallest = named.groupBy("root").agg(F.min("least").alias("smallest"))
+    named = nodes.select("node", "first").join(found, "node", "left").select("node", "first", F.coalesce("component", "node").alias("root"))
+    return table.select("_id", "_key", "n", "node"), stage_table(named, "named")
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, threshold: float = 0.9,
+                       sep: np.ndarray = SPACES, fold: bool = True, block: int = BLOCK) -> DataFrame:
+    """``id_col, n_shingles, component_id`` per document row.
+
+    Words are runs of non-separators, A-Z folded if ``fold``. ``component_id`` is the smallest id reachable over links, the row's own included.
+    A text with fewer than ``k`` words has its whole sequence as the only shingle; a null or empty one, or one
+    without words, has no shingle and is linked with nothing. Repeated rows and rows with equal sets are linked. Null ids are kept, and never the smallest. Other columns
+    aren't read; an empty table gives no row.
+    """
+    table, named = _components(_keyed(docs, id_col, text_col), k, threshold, sep, fold, block)
+    smallest = named.groupBy("root").agg(F.min("first").id.alias("smallest"))
     ids = named.join(smallest, "root").select("node", "smallest")
-    return (table.select("_id", "n", "node").join(ids, "node", "left")
+    return (table.join(ids, "node", "left")
             .select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("node").isNull(), F.col("_id")).otherwise(F.col("smallest")).alias("component_id")))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8,
+             sep: np.ndarray = SPACES, fold: bool = True, block: int = BLOCK) -> DataFrame:
+    """One row of each component (the smallest id, then key), all columns unchanged. Rows without shingles are linked with nothing and stay."""
+    table, named = _components(_keyed(docs, id_col, text_col), k, threshold, sep, fold, block)
+    chosen = named.groupBy("root").agg(F.min("first").key.alias("_key")).select("_key", F.lit(False).alias("_every"))
+    kept = chosen.unionByName(table.where("node is null").select("_key", F.lit(True).alias("_every")).distinct())
+    key, every, number = (fresh(docs.columns, c) for c in ("_key", "_every", "_number"))
+    rows = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col))).join(kept.toDF(key, every), key)
+    order = F.row_number().over(Window.partitionBy(key).orderBy(every))
+    return rows.withColumn(number, order).where(F.col(every) | (F.col(number) == 1)).select(*docs.columns)
+
+
 def _shingles(rows: DataFrame, wanted: DataFrame, k: int, sep, fold) -> DataFrame:
     """The wanted nodes' sets, made again from one document of each."""
-    joined = rows.join(wanted, rows["_id"].eqNullSafe(wanted["_id"]) & (rows["_th"] == wanted["_th"])).select("_text", "node", "label", "blocks", "block")
+    joined = rows.join(wanted, "_key").select("_text", "node", "label", "blocks", "block")
     schema = T.StructType([*(T.StructField(c, T.LongType()) for c in ("node", "label", "blocks", "block")), T.StructField("shingles", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,6 +23,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evalframe.llm.graph import fresh
+
 WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (4, 3, 2, 1)
 UNDETERMINED = "und"
@@ -149,8 +151,6 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 def drop_undetermined(docs: DataFrame, model: LanguageModel, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
     """The rows whose language is determined with ``min_score`` at least; columns unchanged, no shuffle."""
     predict = predictor(docs.sparkSession, model)
-    name = "_language"
-    while name in docs.columns:
-        name += "_"
+    name = fresh(docs.columns, "_language")
     return (docs.withColumn(name, predict(F.col(text_col)))
             .where((F.col(f"{name}.lang_pred") != UNDETERMINED) & (F.col(f"{name}.score") >= min_score)).drop(name))

@@ -164,3 +164,9 @@ def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
     labelled = docs.where(~kept).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
     model = quality.fit(labelled)
     return quality.score(docs, model).select("doc_id", kept.alias("held_out"), "score", "predicted")
+
+
+@query
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf)

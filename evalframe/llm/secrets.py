@@ -19,6 +19,8 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from evalframe.llm.graph import fresh
+
 MASK = "[SECRET]"
 SPAN = "array<struct<start:bigint,kind_no:int,stop:bigint,kind:string>>"
 
@@ -126,10 +128,6 @@ def trigram_query(pattern: str) -> Query | None:
     return of(parser.parse(pattern))
 
 
-def _text(text_col: str) -> Column:
-    return F.coalesce(F.col(text_col), F.lit(""))
-
-
 def postings(docs: DataFrame, vocabulary: list[str], key: str = "_key", text_col: str = "_text") -> DataFrame:
     """The inverted index ``trigram, key`` of the vocabulary's trigrams."""
     low = F.lower(F.col(text_col))
@@ -172,19 +170,19 @@ def _spans(text: Column, rule: Rule, number: int) -> Column:
 def with_spans(docs: DataFrame, text_col: str, out: str, id_cols: list[str], rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with a column of all rules' spans (start, kind_no, stop, kind), sorted by start, then by the rules' order."""
     none = F.expr(f"cast(array() as {SPAN})")
-    keyed = docs.withColumn("_key", F.xxhash64(*[F.col(c) for c in [*id_cols, text_col]])).withColumn("_text", _text(text_col))
+    key, body, possible = (fresh(docs.columns, c) for c in ("_key", "_text", "_rules"))
+    keyed = docs.withColumn(key, F.xxhash64(*[F.col(c) for c in [*id_cols, text_col]])).withColumn(body, F.coalesce(F.col(text_col), F.lit("")))
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern)) is not None}
     if queries:
         vocabulary = sorted({t for q in queries.values() for s in q for t in s})
-        wanted = candidates(postings(keyed, vocabulary), queries)
-        keyed = keyed.join(wanted, "_key", "left")
-    else:
-        keyed = keyed.withColumn("_rules", F.lit(None).cast("array<string>"))
+        wanted = candidates(postings(keyed, vocabulary, key, body), queries, key).withColumnRenamed("_rules", possible)
+        keyed = keyed.join(wanted, key, "left")
     parts = []
     for i, rule in enumerate(rules):
-        possible = F.coalesce(F.array_contains("_rules", rule.kind), F.lit(False)) if rule.kind in queries else F.lit(True)
-        parts.append(F.when(possible & F.col("_text").rlike(rule.pattern), _spans(F.col("_text"), rule, i)).otherwise(none))
-    return keyed.withColumn(out, F.array_sort(F.concat(*parts))).drop("_key", "_text", "_rules")
+        text = F.col(body)
+        asked = F.coalesce(F.array_contains(possible, rule.kind), F.lit(False)) if rule.kind in queries else F.lit(True)
+        parts.append(F.when(asked & text.rlike(rule.pattern), _spans(text, rule, i)).otherwise(none))
+    return keyed.withColumn(out, F.array_sort(F.concat(*parts))).drop(key, body, possible)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -201,11 +199,13 @@ def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, mask: str = MASK) -> DataFrame:
-    """The documents with each span (overlapping ones together) replaced by ``mask``; null texts stay null, other columns are unchanged."""
-    name = "_spans"
-    while name in docs.columns:
-        name += "_"
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES, mask: str = MASK,
+           length_col: str | None = None) -> DataFrame:
+    """The documents with each span (overlapping ones together) replaced by ``mask``; other rows and columns are unchanged, null texts stay null.
+
+    ``length_col`` names a column that holds the text's length and follows a changed text.
+    """
+    name = fresh(docs.columns, "_spans")
     text = F.col(text_col)
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
@@ -219,4 +219,8 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule
 
     clean = F.aggregate(F.col(name), start, step, lambda acc: F.concat(acc["out"], cut(acc["at"], F.length(text).cast("bigint"))))
     found = with_spans(docs, text_col, name, [id_col], rules)
-    return found.withColumn(text_col, F.when(F.size(name) > 0, clean).otherwise(text)).select(*docs.columns)
+    hit = F.size(name) > 0
+    changed = {text_col: F.when(hit, clean).otherwise(text)}
+    if length_col is not None:
+        changed[length_col] = F.when(hit, F.length(clean).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
+    return found.withColumns(changed).select(*docs.columns)
