@@ -55,12 +55,11 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     schema = T.StructType([T.StructField(id_col, rows.schema[id_col].dataType), *(T.StructField(n, t) for n, t, _ in fields)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc, end = encoder(path), int(end_id).to_bytes(4, "little")
         for b in batches:
             owner, out, held = [], [[] for _ in fields], 0
             for row, text in enumerate(b.column(1).to_pylist()):
-                ids = np.array(enc.ids(text) if text else [], "<u4")
-                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                ids = np.frombuffer((enc.ids(text) if text else b"") + end, "<u4")
                 for start, length in binary_pieces(len(ids), max_tokens):
                     piece = ids[start:start + length]
                     owner.append(row)
