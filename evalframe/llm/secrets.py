@@ -218,9 +218,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule
                         F.concat(acc["out"], F.when(apart, F.concat(cut(acc["at"], s["start"]), F.lit(mask))).otherwise(F.lit(""))).alias("out"))
 
     clean = F.aggregate(F.col(name), start, step, lambda acc: F.concat(acc["out"], cut(acc["at"], F.length(text).cast("bigint"))))
-    found = with_spans(docs, text_col, name, [id_col], rules)
+    found, out = with_spans(docs, text_col, name, [id_col], rules), fresh(docs.columns, "_clean")
     hit = F.size(name) > 0
-    changed = {text_col: F.when(hit, clean).otherwise(text)}
+    changed = {text_col: F.col(out)}
     if length_col is not None:
-        changed[length_col] = F.when(hit, F.length(clean).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
-    return found.withColumns(changed).select(*docs.columns)
+        changed[length_col] = F.when(hit, F.length(out).cast(docs.schema[length_col].dataType)).otherwise(F.col(length_col))
+    return found.withColumn(out, F.when(hit, clean).otherwise(text)).select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
