@@ -33,7 +33,7 @@ from part
 FIXTURE_SQL["fx_completions"] = """
 select sample_id, model, cast(epoch as int) as epoch,
   case when r = 5 then 'I am not sure.'
-    else concat('First guess ANSWER: D', chr(10), 'After checking, ANSWER: ',
+    else concat('First guess ANSWER: D', chr(10), 'After checking, ANSWER:', case when r = 4 then ' ' else ' ' end,
       chr(cast(65 + case when r <= 2 then sample_id % 4 when r = 3 then (sample_id + 1) % 4 else s % 4 end as int)))
   end as completion
 from (select l_partkey as sample_id, l_suppkey as s,
@@ -72,6 +72,8 @@ from customer
 FIXTURE_SQL["fx_judge"] = """
 select o_orderkey as sample_id, judge_model,
   case when (o_orderkey + off) % 11 = 0 then 'No score given.'
+    when (o_orderkey + off) % 11 = 2 then concat('$FINAL_SCORE: ', cast((o_custkey + off) % 90 as string))
+    when (o_orderkey + off) % 11 = 3 then concat('$FINAL_SCORE : ', cast((o_custkey + off) % 80 as string), ' points')
     when (o_orderkey + off) % 11 = 1 then concat('$final_score : ', cast((o_custkey + off) % 101 as string))
     else concat('Step by step. $FINAL_SCORE: ', cast((o_custkey + off) % 100 as string), '.5') end as judge_output
 from orders cross join (values ('judge-a', 0), ('judge-b', 7)) as j(judge_model, off)
@@ -79,8 +81,12 @@ from orders cross join (values ('judge-a', 0), ('judge-b', 7)) as j(judge_model,
 
 FIXTURE_SQL["fx_judge_json"] = """
 select o_orderkey as sample_id,
-  case o_orderkey % 5
+  case o_orderkey % 9
     when 0 then concat('{"overall_score": ', cast(o_custkey % 10 + 1 as string), ', "confidence": 5, "is_safe": true, "reasoning": "ok"}')
+    when 4 then concat('{"overall_score": 3, "overall_score": ', cast(o_custkey % 7 as string), ', "reasoning": "key given twice"}')
+    when 5 then concat('{"confidence": NaN, "overall_score": ', cast(o_custkey % 8 as string), ', "reasoning": "not a number"}')
+    when 6 then '{"overall_score": 5, "reasoning": "one"} and {"overall_score": 6}'
+    when 7 then concat('{"overall_score": "', cast(o_custkey % 9 as string), '.5", "is_safe": false} and that is all.')
     when 1 then concat('Here it is:', chr(10), '{"overall_score": ', cast(o_custkey % 10 + 1 as string), ',', chr(10), '"reasoning": "two lines"}', chr(10), 'bye')
     when 2 then '{"reasoning": "no score key"}'
     when 3 then '{"overall_score": 7,'
@@ -171,7 +177,8 @@ select user_id as job_id, event_id as seq, ts, event_type, k,
     when 'signup' then concat('{"results":{"total_samples":100,"completed_samples":', cast(k as string), '}}')
     when 'purchase' then concat('{"progress":{"total":', cast(100 + k % 3 as string), ',"completed":', cast(k as string), '}}')
     when 'view' then concat('{"sample":{"index":', cast(k as string), ',"total":100}}')
-    when 'click' then concat('{"event":"sample_complete","completed":', cast(k as string), '}')
+    when 'click' then concat('{"event":"sample_complete","accuracy":', case when event_id % 3 = 0 then 'NaN' else '0.5' end, ',"completed":',
+      case when event_id % 4 = 0 then '1,"completed":' else '' end, cast(k as string), '}', case when event_id % 10 = 0 then ' done' else '' end)
     else 'INFO not json' end as line
 from (select user_id, event_id, ts, event_type,
     cast(replace(replace(props, '{"k": ', ''), '}', '') as int) as k from events) e

@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 BOXED_PATTERN = r"\\boxed\{((?:[^{}]++|\{[^{}]*+\})*+)\}"
 # Working-group names such as SA1, RAN2, SA3-LI (searched in upper-cased text).
 WORKING_GROUP_PATTERN = r"([A-Z]+\d+(?:-[A-Z]+)?)"
+# White space as Python's ``\s`` reads it in text: Java's ``\s`` is ASCII only. The
+# class is valid in Java and in RE2.
+SPACE = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 # Chosen letter of a multiple-choice reply; the last match wins.
-CHOICE_PATTERN = r"(?i)ANSWER\s*:\s*\(?([A-Z])\b"
+CHOICE_PATTERN = rf"(?i)ANSWER{SPACE}*:{SPACE}*\(?([A-Z])\b"
 # Grader score line.
-FINAL_SCORE_PATTERN = r"(?i)\$FINAL_SCORE\s*:\s*([0-9]+(?:\.[0-9]+)?)"
+FINAL_SCORE_PATTERN = rf"(?i)\$FINAL_SCORE{SPACE}*:{SPACE}*([0-9]+(?:\.[0-9]+)?)"
 # Outermost JSON object of a grader reply (greedy, across lines).
 JSON_OBJECT_PATTERN = r"(?s)\{.*\}"
 # ---- end of fixed values ----
@@ -70,10 +73,30 @@ def parse_choice(text, choices) -> Column:
     return F.when(letter.isNotNull() & (idx < F.size(_col(choices))), letter).otherwise(F.lit(""))
 
 
-def parse_judge_grade(text) -> Column:
-    """Number after the first ``$FINAL_SCORE:``; NULL when absent."""
-    hit = F.regexp_extract(_col(text), FINAL_SCORE_PATTERN, 1)
-    return F.when(hit != "", hit.cast("double"))
+def parse_judge_grade(text, pattern: str = FINAL_SCORE_PATTERN) -> Column:
+    """The first match's group 1 as a number; NULL when there is none."""
+    hit = F.regexp_extract(_col(text), pattern, 1)
+    return F.nullif(hit, F.lit("")).try_cast("double")
+
+
+_END = "__end_of_text__"
+_JSON_OPTIONS = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+
+
+def json_object(text, fields: str) -> Column:
+    """The text's JSON object as a struct of ``fields`` (DDL), NULL unless the whole text is one object.
+
+    The rule is that of a strict reader that takes NaN and infinities and keeps the last of repeated keys; a field whose
+    value has another type is NULL, its siblings stay. The text is read as the first of two array elements, so
+    text behind the object, or a second object, is noticed."""
+    both = F.from_json(F.concat(F.lit("["), _col(text), F.lit(f',{{"{_END}":7}}]')), f"array<struct<{fields}, `{_END}`: int>>", _JSON_OPTIONS)
+    whole = (F.size(both) == 2) & (F.try_element_at(both, F.lit(2))[_END] == 7)
+    return F.when(whole, F.try_element_at(both, F.lit(1)))
+
+
+def is_json_object(text) -> Column:
+    """The whole text is one JSON object (see ``json_object``)."""
+    return F.coalesce(json_object(text, "`__any__`: int").isNotNull(), F.lit(False))
 
 
 def judge_json_text(text) -> Column:
@@ -82,9 +105,16 @@ def judge_json_text(text) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(t, JSON_OBJECT_PATTERN, 0), F.lit("")), t)
 
 
+# Fields of the JSON grader's object, in the order it is asked for them.
+JUDGE_JSON_FIELDS = ("overall_score", "confidence", "factual_correctness", "relevance",
+                     "completeness", "conciseness", "is_safe", "reasoning")
+
+
 def parse_judge_json(text) -> Column:
-    """VARIANT of the grader's JSON object; NULL when it does not parse to an object."""
-    body = judge_json_text(text)
-    v = F.try_parse_json(body)
-    is_object = F.regexp_like(body, F.lit(r"^[ \t\r\n]*\{"))
-    return F.when(is_object, v)
+    """The grader's JSON object as a struct of its fields' texts; NULL when the reply holds no JSON object."""
+    return json_object(judge_json_text(text), ", ".join(f"{k}: string" for k in JUDGE_JSON_FIELDS))
+
+
+def judge_number(doc: Column, name: str) -> Column:
+    """A number of the grader's object (NaN and infinities are written in quotes by the reader)."""
+    return F.trim(doc[name], F.lit('"')).try_cast("double")

@@ -37,31 +37,6 @@ def score_working_group(completion, target) -> dict[str, Column]:
     return {"answer": ans, "value": ok.cast("double"), "explanation": expl}
 
 
-JUDGE_JSON_FIELDS = ("overall_score", "confidence", "factual_correctness", "relevance",
-                     "completeness", "conciseness", "is_safe", "reasoning")
-
-
-def score_judge_json(judge_output) -> dict[str, Column]:
-    """value = overall_score (0 when absent or unparsable); explanation =
-    reasoning, else the object as JSON; failures explain themselves."""
-    out = _col(judge_output)
-    v = P.parse_judge_json(out)
-    failed = v.isNull()
-    score = F.try_variant_get(v, "$.overall_score", "double")
-    reasoning = F.try_variant_get(v, "$.reasoning", "string")
-    meta = F.struct(*[F.try_variant_get(v, f"$.{k}", "double").alias(k) for k in JUDGE_JSON_FIELDS[:6]],
-                    F.try_variant_get(v, "$.is_safe", "boolean").alias("is_safe"),
-                    reasoning.alias("reasoning"))
-    return {
-        "answer": out,
-        "value": F.when(failed, F.lit(0.0)).otherwise(F.coalesce(score, F.lit(0.0))),
-        "explanation": F.when(failed, F.concat(F.lit("Failed to parse JSON: "), out))
-                        .otherwise(F.coalesce(reasoning, F.to_json(v))),
-        "parsed": ~failed,
-        "metadata": meta,
-    }
-
-
 def score_judge_grade(judge_output) -> dict[str, Column]:
     g = P.parse_judge_grade(judge_output)
     return {"value": F.coalesce(g, F.lit(0.0)), "parsed": g.isNotNull()}

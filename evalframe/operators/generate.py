@@ -1,16 +1,16 @@
 """Batch generation through a callable the caller supplies.
 
 The callable receives a pandas DataFrame (one Arrow batch of work rows, with
-the prompt and options) and returns one completion per row. It is the only
+the prompts and options) and returns one completion per row. It is the only
 place a model is contacted; everything around it is Spark:
 
 * finished keys are skipped with a left-anti join, so a resumed run never
   pays again for a completion that was written (a Spark task retry inside a
   run does re-call the model for that task's rows);
-* ``partitions`` bounds how many tasks call the model at once (the
-  connection cap); a callable may add its own concurrency inside a batch;
-* outputs should be written (``persist_completions``) before scoring, so a
-  lost executor during scoring does not regenerate anything.
+* ``run_in_slices`` commits the work in slices, so what is written grows during the run
+  and a failure costs one slice's unfinished tasks;
+* ``max_connections`` bounds how many tasks call the model at once; a callable may
+  add its own concurrency inside a batch.
 """
 
 from __future__ import annotations
@@ -18,62 +18,84 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 GenerateFn = Callable[[pd.DataFrame], Sequence[str]]
 
-WORK_KEYS = ("model", "sample_id", "epoch")
+WORK_KEYS = ("task", "model", "sample_id", "epoch")
+#: What a model is shown: a user prompt, a system prompt and whole message arrays.
+PROMPTS = ("system_prompt", "prompt", "messages")
+
+
+def work_keys(work: DataFrame, keys: Sequence[str] | None = None) -> list[str]:
+    """The columns that name a work row: those given, else WORK_KEYS and ``judge_model`` as far as the work has them."""
+    return list(keys) if keys is not None else [k for k in (*WORK_KEYS, "judge_model") if k in work.columns]
 
 
 def _run_batches(fn: GenerateFn, keys: list[str], out_col: str):
+    """Keys stay as Arrow sent them (pandas would turn integers with a NULL into floats); the callable sees pandas."""
+    import pyarrow as pa
+
     def run(batches):
-        for pdf in batches:
-            out = pdf[keys].copy()
-            result = list(fn(pdf)) if len(pdf) else []
-            if len(result) != len(pdf):
-                raise ValueError(f"generator returned {len(result)} completions for {len(pdf)} rows")
-            out[out_col] = result
-            yield out
+        for b in batches:
+            result = list(fn(b.to_pandas())) if b.num_rows else []
+            if len(result) != b.num_rows:
+                raise ValueError(f"generator returned {len(result)} completions for {b.num_rows} rows")
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keys), pa.array(result, pa.string())], names=[*keys, out_col])
     return run
 
 
-def generate(work: DataFrame, fn: GenerateFn, keys: Sequence[str] = WORK_KEYS, prompt_col: str = "prompt",
+def generate(work: DataFrame, fn: GenerateFn, keys: Sequence[str] | None = None, prompt_col: str = "prompt",
              options: dict | None = None, done: DataFrame | None = None, partitions: int | None = None,
              out_col: str = "completion") -> DataFrame:
-    """One ``out_col`` per work row not already in ``done`` (matched on keys)."""
-    keys = list(keys)
+    """One ``out_col`` per work row not already in ``done`` (matched on keys).
+
+    The callable sees the keys, every column of PROMPTS that the work has (``prompt_col`` as ``prompt``) and the
+    options. Keys must be unique: a repeated one fails the query before the model is called for it."""
+    keys = work_keys(work, keys)
     # an anti join ignores duplicate keys on its right side: no distinct needed
     todo = work if done is None else work.join(done.select(*keys), keys, "left_anti")
-    cols = [F.col(k) for k in keys] + [F.col(prompt_col).alias("prompt")]
-    cols += [F.lit(v).alias(k) for k, v in (options or {}).items()]
+    shown = [F.col(prompt_col if c == "prompt" else c).alias(c) for c in PROMPTS if (prompt_col if c == "prompt" else c) in work.columns]
+    cols = [F.col(k) for k in keys] + shown + [F.lit(v).alias(k) for k, v in (options or {}).items()]
+    # rows are dealt by key: the same task gets the same rows when it is run again, and sees repeated keys
     todo = todo.select(*cols)
-    if partitions:
-        todo = todo.repartition(partitions)
-    schema = T.StructType([todo.schema[k] for k in keys] + [T.StructField(out_col, T.StringType())])
-    return todo.mapInPandas(_run_batches(fn, keys, out_col), schema)
+    todo = todo.repartition(partitions, *keys) if partitions else todo.repartition(*keys)
+    copies = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
+    repeated = F.raise_error(F.concat(F.lit("work has a key twice: "), F.to_json(F.struct(*keys))))
+    names = todo.columns
+    todo = todo.withColumn("_copy", copies).where(F.when(F.col("_copy") > 1, repeated.cast("boolean")).otherwise(F.lit(True))).select(*names)
+    schema = T.StructType([work.schema[k] for k in keys] + [T.StructField(out_col, T.StringType())])
+    return todo.mapInArrow(_run_batches(fn, keys, out_col), schema)
 
 
 def generate_completions(work: DataFrame, fn: GenerateFn, max_connections: int | None = None,
                          max_tokens: int | None = None, temperature: float | None = None,
-                         done: DataFrame | None = None, keys: Sequence[str] = WORK_KEYS,
+                         done: DataFrame | None = None, keys: Sequence[str] | None = None,
                          prompt_col: str = "prompt") -> DataFrame:
     """Completions for a work grid; knobs are passed to the callable as columns."""
     opts = {k: v for k, v in (("max_tokens", max_tokens), ("temperature", temperature)) if v is not None}
     return generate(work, fn, keys, prompt_col, opts, done, max_connections)
 
 
-def generate_judgements(prompts: DataFrame, fn: GenerateFn, judges: Sequence[str],
-                        keys: Sequence[str] = ("sample_id",), prompt_col: str = "prompt",
+def generate_judgements(prompts: DataFrame, fn: GenerateFn, judges: Sequence[str] | None = None,
+                        keys: Sequence[str] | None = None, prompt_col: str = "prompt",
                         done: DataFrame | None = None, max_connections: int | None = None) -> DataFrame:
-    """Grader replies for every (prompt x grader model). Graders are run
-    configuration held on the driver, expanded by a generator in the scan's
-    stage (no join)."""
-    names = [j for j in judges if j]
-    work = prompts.withColumn("judge_model", F.explode(F.array(*[F.lit(j) for j in names])))
-    return generate(work, fn, list(keys) + ["judge_model"], prompt_col, None, done, max_connections,
-                    out_col="judge_output")
+    """Grader replies. Work that already names its grader (``judge_model``, as ``suite.grader_work`` gives it) is taken as it
+    is; otherwise each prompt is expanded for the ``judges``, run configuration held on the driver, by a generator in the
+    scan's stage (no join)."""
+    if "judge_model" in prompts.columns:
+        if judges is not None:
+            raise ValueError("the work already names its graders: pass no judges")
+        work = prompts
+    else:
+        names = [j for j in judges or () if j]
+        if not names:
+            raise ValueError("At least one grader model must be provided")
+        work = prompts.withColumn("judge_model", F.explode(F.array(*[F.lit(j) for j in names])))
+    own = None if keys is None else list(dict.fromkeys([*keys, "judge_model"]))
+    return generate(work, fn, own, prompt_col, None, done, max_connections, out_col="judge_output")
 
 
 def persist_completions(df: DataFrame, path: str, partition_by: Sequence[str] = ("model",)) -> DataFrame:
@@ -81,3 +103,16 @@ def persist_completions(df: DataFrame, path: str, partition_by: Sequence[str] =
     return the table read back, cutting the lineage to the model calls."""
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def run_in_slices(work: DataFrame, run: Callable[[DataFrame], DataFrame], path: str, slices: int, keys: Sequence[str] | None = None,
+                  partition_by: Sequence[str] = ("model",)) -> DataFrame:
+    """``run`` (a generation over some of the work) slice by slice, each appended to ``path`` when it is whole.
+
+    A slice is a range of the keys' hash, so a run that is started again with ``done`` set to the table at
+    ``path`` finds the finished slices' keys there."""
+    keys = work_keys(work, keys)
+    out = None
+    for i in range(max(slices, 1)):
+        out = persist_completions(run(work.where(F.pmod(F.xxhash64(*keys), F.lit(max(slices, 1))) == i)), path, partition_by)
+    return out

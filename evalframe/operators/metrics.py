@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -68,16 +68,22 @@ def sample_level(groups: DataFrame, keys: Sequence[str] = ("model",)) -> DataFra
                  F.max_by(F.col("ok"), _vote_key()).alias("maj_ok")))
 
 
+def sample_means(scores: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
+    """Per (keys, sample_id): ``mean_value`` over epochs and ``n_epochs``. No answer text is shuffled: metrics
+    without a vote start here."""
+    return scores.groupBy(*_keys(keys), "sample_id").agg(F.avg("value").alias("mean_value"), F.count("*").alias("n_epochs"))
+
+
 def accuracy(scores: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
     """Mean score per keys; with epochs, the mean of per-sample means."""
     keys = _keys(keys)
-    per = sample_level(answer_groups(scores, keys), keys)
+    per = sample_means(scores, keys)
     return per.groupBy(*keys).agg(F.avg("mean_value").alias("accuracy"))
 
 
 def stderr(scores: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
     keys = _keys(keys)
-    per = sample_level(answer_groups(scores, keys), keys)
+    per = sample_means(scores, keys)
     return per.groupBy(*keys).agg(stderr_of("mean_value").alias("stderr"))
 
 
@@ -91,7 +97,7 @@ def mean(values: DataFrame, keys: Sequence[str] = ("model",), value: str = "valu
 def pass_at_1(scores: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
     """Accuracy averaged over epochs, with its standard error over samples."""
     keys = _keys(keys)
-    per = sample_level(answer_groups(scores, keys), keys)
+    per = sample_means(scores, keys)
     return per.groupBy(*keys).agg(F.avg("mean_value").alias("pass_at_1"),
                                   stderr_of("mean_value").alias("stderr"),
                                   F.count("*").alias("n_samples"))
@@ -134,20 +140,23 @@ def eval_report(scores: DataFrame, keys: Sequence[str] = ("model",), k: int = 4)
 def metrics_by_slice(scores: DataFrame, slices: DataFrame, slice_col: str,
                      keys: Sequence[str] = ("model",)) -> DataFrame:
     """Accuracy, stderr and n for the whole set and for each slice value in one
-    pass. Per-sample means are reduced to (n, sum, sum of squares) per slice
-    before the grouping sets, so the expansion runs over a handful of rows.
+    pass. Per-sample means are reduced to (n, mean, sum of squared deviations) per slice
+    before the grouping sets, so the expansion runs over a handful of rows; the whole set's
+    deviations are the slices' own plus their means' distance from its mean, so nothing cancels.
     ``is_full`` is 1 on the whole-set row, telling it from a NULL slice."""
     keys = _keys(keys)
-    per = sample_level(answer_groups(scores, keys), keys)
-    per = per.join(slices.select("sample_id", slice_col), "sample_id", "left")
-    part = per.groupBy(*keys, slice_col).agg(F.count("*").alias("n"), F.sum("mean_value").alias("s"),
-                                             F.sum(F.col("mean_value") * F.col("mean_value")).alias("ss"))
+    per = sample_means(scores, keys).join(slices.select("sample_id", slice_col), "sample_id", "left")
+    part = per.groupBy(*keys, slice_col).agg(F.count("*").alias("n"), F.avg("mean_value").alias("m"),
+                                             (F.var_pop("mean_value") * F.count("*")).alias("m2"))
+    n, m = F.col("n"), F.col("m")
+    whole = Window.partitionBy(*keys)
+    part = part.withColumn("_all", F.sum(n * m).over(whole) / F.sum(n).over(whole))
     rolled = (part.groupingSets([[F.col(c) for c in keys], [F.col(c) for c in keys + [slice_col]]],
                                 *keys, slice_col)
-              .agg(F.grouping(slice_col).cast("bigint").alias("is_full"),
-                   F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("ss").alias("ss")))
-    var = (F.col("ss") - F.col("s") * F.col("s") / F.col("n")) / (F.col("n") - 1)
-    return rolled.select(*keys, slice_col, "is_full", F.col("n").alias("n_samples"),
-                         (F.col("s") / F.col("n")).alias("accuracy"),
-                         F.when(F.col("n") > 1, F.sqrt(F.greatest(var, F.lit(0.0)) / F.col("n")))
+              .agg(F.grouping(slice_col).cast("bigint").alias("is_full"), F.sum(n).alias("n_samples"),
+                   (F.sum(n * m) / F.sum(n)).alias("accuracy"), F.sum("m2").alias("_own"),
+                   F.sum(F.col("m2") + n * (m - F.col("_all")) * (m - F.col("_all"))).alias("_spread")))
+    squares = F.when(F.col("is_full") == 1, F.col("_spread")).otherwise(F.col("_own"))
+    return rolled.select(*keys, slice_col, "is_full", "n_samples", "accuracy",
+                         F.when(F.col("n_samples") > 1, F.sqrt(squares / (F.col("n_samples") - 1) / F.col("n_samples")))
                          .otherwise(F.lit(0.0)).alias("stderr"))

@@ -11,7 +11,7 @@ the SETs come first, a line acts on the running count ``c`` as
 
 so the count after a line is the running max of the line contributions since
 the last SET line (floored at 0 before the first SET). Only JSON integers
-count (``from_json`` into bigint fields leaves the rest NULL).
+count (a bigint field of ``json_object`` is NULL for anything else).
 
 Scale: a job may own a third of all lines, so nothing is partitioned by job
 alone. Lines are cut into ``(job, seq // bucket)`` pieces of bounded size;
@@ -23,37 +23,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from evalframe.functions import parse as P
 
 DEFAULT_BUCKET = 1 << 16
 
-PAYLOAD_SCHEMA = T.StructType([
-    T.StructField("results", T.StructType([T.StructField("total_samples", T.LongType()),
-                                           T.StructField("completed_samples", T.LongType())])),
-    T.StructField("progress", T.StructType([T.StructField("total", T.LongType()),
-                                            T.StructField("completed", T.LongType())])),
-    T.StructField("sample", T.StructType([T.StructField("total", T.LongType()),
-                                          T.StructField("completed", T.LongType()),
-                                          T.StructField("index", T.LongType())])),
-    T.StructField("event", T.StringType()),
-    T.StructField("completed", T.LongType()),
-])
+PAYLOAD = ("results: struct<total_samples: bigint, completed_samples: bigint>, progress: struct<total: bigint, completed: bigint>, "
+           "sample: struct<total: bigint, completed: bigint, index: bigint>, event: string, completed: bigint")
 
 # ---- fixed values: events whose ``completed`` raises the count ----
 SAMPLE_EVENTS = ("sample_complete", "sample_success", "sample")
 # ---- end of fixed values ----
 
 
-def is_object_line(line: Column) -> Column:
-    return F.regexp_like(line, F.lit(r"^[ \t\r\n]*\{")) & F.try_parse_json(line).isNotNull()
-
-
 def line_updates(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Adds ``has_set``, ``contrib`` (the line's value if it SETs, else its
     RAISE or NULL) and ``total`` (last total the line states). The payload is
     parsed once, in its own projection."""
-    raw = F.col(line_col)
-    parsed = lines.withColumn("_p", F.when(is_object_line(raw), F.from_json(raw, PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"})))
+    parsed = lines.withColumn("_p", P.json_object(line_col, PAYLOAD))
     p = F.col("_p")
     staged = parsed.withColumn("_set", F.coalesce(p["progress"]["completed"], p["results"]["completed_samples"])) \
         .withColumn("_raise", F.greatest(p["sample"]["completed"], p["sample"]["index"] + 1,

@@ -7,25 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evalframe.functions import parse as P
 from evalframe.functions import scalars as S
 
-# Dimension sides joined by broadcast must be proven small first.
-BROADCAST_MAX_ROWS = 100_000
-BROADCAST_MAX_BYTES = 64 << 20
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when a bounded scan (at most ``max_rows + 1`` rows
-    are read) proves it has at most ``max_rows`` rows and ``max_bytes`` of
-    JSON-encoded data; otherwise leave the join strategy to the planner and
-    AQE."""
-    probe = df.limit(max_rows + 1).agg(
-        F.count("*").alias("n"), F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("b")).first()
-    small = probe["n"] <= max_rows and (probe["b"] or 0) <= max_bytes
-    return F.broadcast(df) if small else df
-
-
 def _opt(df: DataFrame, name: str, dtype: str = "string") -> Column:
     return F.col(name) if name in df.columns else F.lit(None).cast(dtype)
 
@@ -88,14 +72,8 @@ def filter_answered(scores: DataFrame, column: str = "answer") -> DataFrame:
     return scores.filter(F.coalesce(F.col(column), F.lit("")) != "")
 
 
-def is_json_object(line) -> Column:
-    """The line parses as JSON and is an object."""
-    c = F.col(line) if isinstance(line, str) else line
-    return F.try_parse_json(c).isNotNull() & F.regexp_like(c, F.lit(r"^[ \t\r\n]*\{"))
-
-
 def filter_json_objects(lines: DataFrame, column: str = "line") -> DataFrame:
-    return lines.filter(is_json_object(column))
+    return lines.filter(P.is_json_object(column))
 
 
 # ---- joins -------------------------------------------------------------------
@@ -103,8 +81,8 @@ def filter_json_objects(lines: DataFrame, column: str = "line") -> DataFrame:
 def join_rubrics(samples: DataFrame, rubrics: DataFrame, category_col: str = "category") -> DataFrame:
     """Attach the rubric of each sample's normalised category; a category
     without a rubric fails the query. The rubric side is a small dimension
-    (one row per category), broadcast after a bounded count."""
-    r = broadcast_if_small(rubrics.select("category_key", "rubric"))
+    (one row per category): the planner broadcasts it by the size it sees, AQE by the size it measures."""
+    r = rubrics.select("category_key", "rubric")
     joined = samples.withColumn("category_key", S.normalise_category(F.col(category_col))) \
         .join(r, "category_key", "left")
     check = F.when(F.col("rubric").isNull(),
@@ -116,7 +94,7 @@ def rubric_gaps(samples: DataFrame, rubrics: DataFrame, category_col: str = "cat
     """Categories that have no rubric (the error case as a report)."""
     keys = samples.select(F.col(category_col).alias("category"),
                           S.normalise_category(F.col(category_col)).alias("category_key")).distinct()
-    return keys.join(broadcast_if_small(rubrics.select("category_key")), "category_key", "left_anti")
+    return keys.join(rubrics.select("category_key"), "category_key", "left_anti")
 
 
 def join_targets(completions: DataFrame, samples: DataFrame, cols: Sequence[str] = ("target",)) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evalframe.functions import parse as P
-from evalframe.functions.score import JUDGE_JSON_FIELDS, bool_value
+from evalframe.functions.score import bool_value
 
 
 def score_choice_table(df: DataFrame, keep: Sequence[str], completion: str = "completion",
@@ -49,32 +49,33 @@ def score_working_group_table(df: DataFrame, keep: Sequence[str], completion: st
 
 
 def parse_judge_json_table(df: DataFrame, keep: Sequence[str], output: str = "judge_output") -> DataFrame:
-    """Adds ``judge_doc`` (VARIANT, NULL when the reply holds no JSON object)."""
+    """Adds ``judge_doc`` (the object's fields as texts, NULL when the reply holds no JSON object)."""
     return df.select(*keep, F.col(output).alias("judge_output"), P.parse_judge_json(output).alias("judge_doc"))
 
 
 def score_judge_json_table(df: DataFrame, keep: Sequence[str], output: str = "judge_output") -> DataFrame:
     """value = overall_score (0 when absent or unparsable), answer = the reply,
-    explanation = reasoning (else the object as JSON, or the failure text),
-    plus the grader's eight fields."""
+    explanation = reasoning (else the object's own text, or the failure text),
+    plus the grader's eight fields. Two deviations from the suite, which prints a
+    Python dict there: an object without reasoning explains itself as JSON, and a
+    JSON null reasoning counts as none."""
     keep = list(keep)
     s = parse_judge_json_table(df, keep, output)
     v, failed = F.col("judge_doc"), F.col("judge_doc").isNull()
-    fields = [F.try_variant_get(v, f"$.{k}", "double").alias(k) for k in JUDGE_JSON_FIELDS[:6]]
-    fields += [F.try_variant_get(v, "$.is_safe", "boolean").alias("is_safe"),
-               F.try_variant_get(v, "$.reasoning", "string").alias("reasoning")]
+    fields = [P.judge_number(v, k).alias(k) for k in P.JUDGE_JSON_FIELDS[:6]]
+    fields += [v["is_safe"].try_cast("boolean").alias("is_safe"), v["reasoning"].alias("reasoning")]
     return s.select(
         *keep,
-        F.when(failed, F.lit(0.0)).otherwise(F.coalesce(F.try_variant_get(v, "$.overall_score", "double"),
-                                                        F.lit(0.0))).alias("value"),
+        F.coalesce(P.judge_number(v, "overall_score"), F.lit(0.0)).alias("value"),
         F.col("judge_output").alias("answer"),
         F.when(failed, F.concat(F.lit("Failed to parse JSON: "), F.col("judge_output")))
-         .otherwise(F.coalesce(F.try_variant_get(v, "$.reasoning", "string"), F.to_json(v))).alias("explanation"),
+         .otherwise(F.coalesce(v["reasoning"], P.judge_json_text("judge_output"))).alias("explanation"),
         (~failed).alias("parsed"),
         *fields)
 
 
-def judge_grade_table(df: DataFrame, keep: Sequence[str], output: str = "judge_output") -> DataFrame:
+def judge_grade_table(df: DataFrame, keep: Sequence[str], output: str = "judge_output",
+                      pattern: str = P.FINAL_SCORE_PATTERN) -> DataFrame:
     keep = list(keep)
-    s = df.select(*keep, P.parse_judge_grade(output).alias("_g"))
+    s = df.select(*keep, P.parse_judge_grade(output, pattern).alias("_g"))
     return s.select(*keep, F.coalesce(F.col("_g"), F.lit(0.0)).alias("grade"), F.col("_g").isNotNull().alias("parsed"))

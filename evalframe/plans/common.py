@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalframe.fixtures import fixture
+from evalframe.functions.parse import CHOICE_PATTERN
 from evalframe.operators.scoring import score_choice_table
 from evalframe.operators import samples as SM
 
@@ -27,7 +28,7 @@ CHOICE_SCORES_CTE = r"""
   select model, sample_id, epoch, answer, case when answer = target then 1.0 else 0.0 end as value
   from (select c.model, c.sample_id, c.epoch, chr(cast(65 + s.answer as int)) as target,
           case when c.m is not null and ascii(upper(c.m)) - 65 < len(s.choices) then upper(c.m) else '' end as answer
-        from (select *, regexp_extract_all(completion, '(?i)ANSWER\s*:\s*\(?([A-Z])\b', 1)[-1] as m
+        from (select *, regexp_extract_all(completion, '""" + CHOICE_PATTERN + r"""', 1)[-1] as m
               from fx_completions) c
         join fx_samples s on s.sample_id = c.sample_id) x)
 """

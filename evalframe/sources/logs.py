@@ -13,8 +13,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalframe.operators.samples import broadcast_if_small
-
 
 def log_name(path) -> "F.Column":
     """File name, prefixed by its ``key=value`` folder when the log table was
@@ -24,46 +22,62 @@ def log_name(path) -> "F.Column":
     return F.when(parent.contains("="), F.concat(parent, F.lit("/"), fname)).otherwise(fname)
 
 
-def _listing(spark: SparkSession, dirs: Sequence[str], glob: str) -> DataFrame:
-    parts = []
+def _plain_path(path) -> "F.Column":
+    """A file's path as both readers should see it: percent escapes undone, a plus sign kept (it is no space in a path)."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _present(spark: SparkSession, dirs: Sequence[str]) -> list[tuple[int, str]]:
+    """(rank, folder) of the folders that exist; an absent one has no logs."""
+    sc, out = spark.sparkContext, []
     for rank, d in enumerate(dirs):
-        df = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-              .option("recursiveFileLookup", "true").load(d)
-              .select(log_name("path").alias("name"), "path",
-                      F.col("length").alias("size"),
-                      (F.unix_micros("modificationTime") / F.lit(1e6)).alias("modified"),
-                      F.lit("json").alias("type"), F.lit(rank).alias("dir_rank")))
-        parts.append(df)
+        p = sc._jvm.org.apache.hadoop.fs.Path(d)
+        if p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p):
+            out.append((rank, d))
+    return out
+
+
+def _listing(spark: SparkSession, dirs: Sequence[str], glob: str, nested: bool) -> DataFrame:
+    parts = []
+    for rank, d in _present(spark, dirs):
+        df = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(nested).lower())
+        path = _plain_path(F.col("_metadata.file_path"))
+        parts.append(df.load(d).select(log_name(path).alias("name"), path.alias("path"), F.col("length").alias("size"),
+                                       (F.unix_micros("modificationTime") / F.lit(1e6)).alias("modified"),
+                                       F.lit("json").alias("type"), F.lit(rank).alias("dir_rank")))
+    if not parts:
+        return spark.createDataFrame([], "name string, path string, size long, modified double, type string, dir_rank int")
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def list_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json") -> DataFrame:
+def list_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json", nested: bool = False) -> DataFrame:
     """name, path, size, modified (epoch seconds), type for the JSON logs of
-    several folders; folders in the given order, newest first inside each."""
-    return _listing(spark, dirs, glob).orderBy("dir_rank", F.desc("modified"), "name")
+    several folders; folders in the given order, newest first inside each. A folder that isn't there has none; folders inside
+    are read only with ``nested``."""
+    return _listing(spark, dirs, glob, nested).orderBy("dir_rank", F.desc("modified"), "name")
 
 
-def read_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json") -> DataFrame:
+def read_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json", nested: bool = False) -> DataFrame:
     """One row per log name: the body from the first folder that has it,
     parsed to VARIANT, with ``is_valid`` false for bodies that do not parse
     (the row is kept, as an error report).
 
     The folder each name comes from is decided on the file listing (metadata
-    only, one row per file); bodies are kept by a semi join against that
-    table, broadcast after a size check, so no body crosses the network."""
-    first = _listing(spark, dirs, glob).groupBy("name").agg(F.min("dir_rank").alias("dir_rank"))
+    only, one row per file); bodies join it by their path, spelled by one rule on both sides. A file that is
+    listed and cannot be read back fails the query."""
+    listed = _listing(spark, dirs, glob, nested)
+    first = listed.groupBy("name").agg(F.min(F.struct("dir_rank", "path")).alias("f")).select("name", F.col("f.path").alias("path"), "f.dir_rank")
     parts = []
-    for rank, d in enumerate(dirs):
-        df = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
-              .text(d, wholetext=True)
-              .select(log_name(F.url_decode(F.col("_metadata.file_path"))).alias("name"),
-                      F.url_decode(F.col("_metadata.file_path")).alias("path"),
-                      F.col("value").alias("body"), F.lit(rank).alias("dir_rank")))
+    for _, d in _present(spark, dirs):
+        df = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", str(nested).lower()).text(d, wholetext=True)
+              .select(_plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("body")))
         parts.append(df)
+    if not parts:
+        return spark.createDataFrame([], "name string, path string, dir_rank int, doc variant, is_valid boolean")
     bodies = reduce(lambda a, b: a.unionByName(b), parts)
-    kept = bodies.join(broadcast_if_small(first), ["name", "dir_rank"], "left_semi")
-    doc = F.try_parse_json("body")
-    return kept.select("name", "path", "dir_rank", doc.alias("doc"), doc.isNotNull().alias("is_valid"))
+    lost = F.when(F.col("body").isNull(), F.raise_error(F.concat(F.lit("listed log could not be read: "), F.col("path"))).cast("string"))
+    doc = F.try_parse_json(F.coalesce("body", lost))
+    return first.join(bodies, "path", "left").select("name", "path", "dir_rank", doc.alias("doc"), doc.isNotNull().alias("is_valid"))
 
 
 def scan_rubrics(spark: SparkSession, path: str) -> DataFrame:

@@ -72,10 +72,11 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str, schema: str, retain: int = 3):
         self.spark, self.path, self.schema, self.retain = spark, path, schema, max(int(retain), 2)
         self.manifest = f"{path}/manifest"
-        try:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.manifest)
+        if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):  # unreadable marks are an error, not a new table
             rows = spark.read.parquet(self.manifest).select("batch_id").distinct().collect()
             self.versions = sorted(int(r[0]) for r in rows)
-        except Exception:  # noqa: BLE001 - no manifest yet: a new table
+        else:
             self.versions = []
 
     @property
@@ -89,6 +90,8 @@ class VersionedTable:
         return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={max(older)}")
 
     def write(self, df: DataFrame, batch_id: int) -> None:
+        if self.last is not None and batch_id < self.last:
+            raise ValueError(f"{self.path} is at batch {self.last}, the stream at {batch_id}: another checkpoint wrote this table")
         df.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
         (self.spark.createDataFrame([(True,)], "committed boolean").write.mode("overwrite")
          .parquet(f"{self.manifest}/batch_id={batch_id}"))

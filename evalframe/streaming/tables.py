@@ -12,11 +12,11 @@ from evalframe.operators import progress as PR
 from evalframe.operators import status as ST
 from evalframe.streaming.runner import VersionedTable, run_available_now
 
-TAIL_SCHEMA = "job_id long, seq long, line string"
+TAIL_SCHEMA = "job_id {job}, seq long, line string"
 COUNTS_SCHEMA = ("run_id string, total long, " + ", ".join(f"{s} long" for s in ST.STATUSES))
 
 
-PROGRESS_SCHEMA = "job_id long, samples_completed long, total_samples long, last_update timestamp_ntz, n_lines long"
+PROGRESS_SCHEMA = "job_id {job}, samples_completed long, total_samples long, last_update timestamp_ntz, n_lines long"
 
 
 def stream_progress(spark: SparkSession, lines: DataFrame, table_path: str, checkpoint: str,
@@ -31,7 +31,7 @@ def stream_progress(spark: SparkSession, lines: DataFrame, table_path: str, chec
     work is native aggregates and one join per batch; no Python runs.
     ``state_partitions`` sets the shuffle partitions of the query's session
     copy, which the per-batch summary runs in."""
-    state = VersionedTable(spark, table_path, PROGRESS_SCHEMA)
+    state = VersionedTable(spark, table_path, PROGRESS_SCHEMA.format(job=lines.schema["job_id"].dataType.simpleString()))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         summary = PR.progress_summary(batch.select("job_id", "seq", "ts", "line"))
@@ -46,10 +46,10 @@ def stream_log_tail(spark: SparkSession, lines: DataFrame, table_path: str, chec
     """Last ``n`` lines per job, live. Each micro-batch merges its lines into
     the previous tail and keeps the newest ``n`` per job; the tail table is
     bounded by jobs x n whatever the stream length."""
-    tail = VersionedTable(spark, table_path, TAIL_SCHEMA)
+    tail = VersionedTable(spark, table_path, TAIL_SCHEMA.format(job=lines.schema["job_id"].dataType.simpleString()))
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        new = batch.select(F.col("job_id").cast("bigint"), F.col("seq").cast("bigint"), "line")
+        new = batch.select("job_id", F.col("seq").cast("bigint"), "line")
         merged = tail.previous(batch_id).unionByName(new)
         tail.write(PR.log_tail(merged, n), batch_id)
 

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evalframe.functions import prompt_texts as T
+from evalframe.functions.parse import FINAL_SCORE_PATTERN
 from evalframe.functions.templates import render
 from evalframe.operators import metrics as M
 from evalframe.operators import prompts as PM
@@ -119,14 +120,25 @@ def score(name: str, completions: DataFrame, samples: DataFrame) -> DataFrame:
     raise ValueError(f"{name} is scored from grader replies: use grader_work and score_replies")
 
 
+def with_history(completions: DataFrame, turns: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Completions with a ``history`` column: the transcript of the turns (``keys``, turn, role, text) that led to each; NULL without turns."""
+    told = turns.withColumn("_conv", F.to_json(F.struct(*keys)))
+    history = PM.assemble_transcript(told, conv_col="_conv").select("_conv", F.col("transcript").alias("history"))
+    return completions.withColumn("_conv", F.to_json(F.struct(*keys))).join(history, "_conv", "left").drop("_conv")
+
+
 def grader_work(name: str, completions: DataFrame, samples: DataFrame, judges: Sequence[str],
-                rubrics: DataFrame | None = None) -> DataFrame:
+                rubrics: DataFrame | None = None, include_history: bool = False) -> DataFrame:
     """Grader inputs per (model, sample_id, epoch, judge_model): the rubric
     grader's prompt (rubric joined by category), or the JSON grader's
-    message array."""
+    message array. Graders are expanded here and nowhere else: pass the result to
+    ``generate_judgements`` without judges. With ``include_history`` the rubric grader's question is the
+    completion's ``history`` (see ``with_history``), the input where it has none."""
     t = task(name)
     cols = ["input", "target", "metadata"]
     j = SM.join_targets(completions, samples, cols)
+    if include_history:
+        j = j.withColumn("input", F.coalesce("history", "input"))
     names = [m for m in judges if m]
     if not names:
         raise ValueError("At least one grader model must be provided")
@@ -142,13 +154,13 @@ def grader_work(name: str, completions: DataFrame, samples: DataFrame, judges: S
     return j.select(*KEYS, F.explode(F.array(*[F.lit(m) for m in names])).alias("judge_model"), payload)
 
 
-def score_replies(name: str, replies: DataFrame) -> DataFrame:
+def score_replies(name: str, replies: DataFrame, grade_pattern: str = FINAL_SCORE_PATTERN) -> DataFrame:
     """Per-epoch scores from grader replies ``(model, sample_id, epoch,
-    judge_model, judge_output)``: the mean grade over graders, or the JSON
+    judge_model, judge_output)``: the mean grade over graders (group 1 of ``grade_pattern``), or the JSON
     grader's ``overall_score`` with its reasoning."""
     t = task(name)
     if t.scorer == "rubric_grader":
-        graded = SC.judge_grade_table(replies, KEYS + ["judge_model"])
+        graded = SC.judge_grade_table(replies, KEYS + ["judge_model"], pattern=grade_pattern)
         return multi_judge_mean(graded.withColumnRenamed("grade", "value"), KEYS)
     if t.scorer == "json_grader":
         return SC.score_judge_json_table(replies, KEYS)
@@ -163,7 +175,7 @@ def report(name: str, scores: DataFrame, keys: Sequence[str] = ("model",)) -> Da
     if "maj_at_k" in t.metrics:
         per = M.sample_level(M.answer_groups(scores, keys), keys)
     else:
-        per = scores.groupBy(*keys, "sample_id").agg(F.avg("value").alias("mean_value"))
+        per = M.sample_means(scores, keys)
     out: list[Column] = [F.count("*").alias("n_samples")]
     for m in t.metrics:
         if m in ("accuracy", "mean"):
@@ -191,18 +203,21 @@ def eval_set_report(records: dict[str, DataFrame], completions: DataFrame, repli
                     limit: int | None = None) -> DataFrame:
     """Every task's report from one completions table keyed by ``task`` (and
     one grader-reply table keyed the same way for graded tasks); a metric a
-    task does not report is NULL. ``limit`` picks the samples a completion
-    is scored against; grader replies are taken as given (they exist only for
-    the samples that were run). Each task filters on ``task``: with the
+    task does not report is NULL. ``limit`` picks the samples that are scored, of graded tasks
+    too (replies to others are left out). Each task filters on ``task``: with the
     results laid out by task (``write_eval_results``) that prunes to the
     task's own files, so the tables are read once in total."""
     outs = []
     for n, r in records.items():
+        samples = load_samples(n, r, limit=limit)
         if task(n).scorer in ("rubric_grader", "json_grader"):
             if replies is None:
                 raise ValueError(f"{n} is scored from grader replies: pass replies=")
-            scores = score_replies(n, replies.filter(F.col("task") == n).drop("task"))
+            own = replies.filter(F.col("task") == n).drop("task")
+            if limit:
+                own = own.join(samples.select("sample_id"), "sample_id", "left_semi")
+            scores = score_replies(n, own)
         else:
-            scores = score(n, completions.filter(F.col("task") == n).drop("task"), load_samples(n, r, limit=limit))
+            scores = score(n, completions.filter(F.col("task") == n).drop("task"), samples)
         outs.append(report(n, scores))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), outs)
