@@ -15,22 +15,15 @@ leaves open are ours and are stated next to each criterion.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from importlib.resources import files
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-FLAT_SCHEMA = T.StructType([
-    T.StructField("sample_id", T.LongType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("path", T.StringType()),
-    T.StructField("value", T.StringType()),
-    T.StructField("vtype", T.StringType()),
-])
-
-
 # ---- flatten (Python inside Arrow batches) ---------------------------------------
 
 def _vtype(v) -> str:
@@ -55,26 +48,69 @@ def _text(v):
     return v if isinstance(v, str) else (v.isoformat() if hasattr(v, "isoformat") else str(v))
 
 
-def _walk(node, path: str, out: list) -> None:
-    if isinstance(node, dict):
-        out.append((path, None, "map"))
-        for k, v in node.items():
-            _walk(v, f"{path}.{k}" if path else str(k), out)
-    elif isinstance(node, list):
-        flat = all(not isinstance(x, (dict, list)) for x in node)
-        out.append((path, json.dumps(node, default=str) if flat else None, "list"))
-        for i, v in enumerate(node):
-            _walk(v, f"{path}[{i}]", out)
-    else:
-        out.append((path, _text(node), _vtype(node)))
+def _key(k) -> str:
+    """A mapping key as a path part; dots and brackets of its own are escaped."""
+    return re.sub(r"([\\.\[])", r"\\\1", str(k))
+
+
+def _node(v) -> tuple[str | None, str]:
+    """(text, type) of one node."""
+    if isinstance(v, dict):
+        return None, "map"
+    if isinstance(v, list):
+        flat = all(not isinstance(x, (dict, list)) for x in v)
+        return (json.dumps(v, default=str) if flat else None), "list"
+    return _text(v), _vtype(v)
+
+
+def _walk(root) -> list[tuple[str, str | None, str]]:
+    """Every node in document order. A mapping or list that recurs through an alias is listed where it recurs and entered once,
+    so neither cycles nor repeated aliases grow the result."""
+    out, todo, entered = [], [("", root)], set()
+    while todo:
+        path, node = todo.pop()
+        out.append((path, *_node(node)))
+        if not isinstance(node, (dict, list)) or id(node) in entered:
+            continue
+        entered.add(id(node))
+        if isinstance(node, dict):
+            children = [(f"{path}.{_key(k)}" if path else _key(k), v) for k, v in node.items()]
+        else:
+            children = [(f"{path}[{i}]", v) for i, v in enumerate(node)]
+        todo.extend(reversed(children))
+    return out
+
+
+_STEP = re.compile(r"\[(\d+)\]|((?:\\.|[^.\[\\])+)")
+
+
+def _steps(path: str) -> list[int | str]:
+    return [int(i) if i else re.sub(r"\\(.)", r"\1", k) for i, k in _STEP.findall(path)]
+
+
+def _find(doc, steps: list[int | str]):
+    """The node at a path, or ``_ABSENT``."""
+    for step in steps:
+        if isinstance(step, int):
+            if not isinstance(doc, list) or step >= len(doc):
+                return _ABSENT
+        elif not isinstance(doc, dict) or step not in doc:
+            return _ABSENT
+        doc = doc[step]
+    return doc
+
+
+_ABSENT = object()
 
 
 def _load_mapping(text):
+    """The document if it is a mapping. Whatever a loader raises on a model's output (bad syntax, impossible dates,
+    too deep nesting) makes it no document."""
     import yaml  # gated: only this step needs it
     loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)   # libyaml when present
     try:
         doc = yaml.load(text, Loader=loader)
-    except yaml.YAMLError:
+    except (yaml.YAMLError, ValueError, RecursionError, TypeError, OverflowError, AttributeError, KeyError):
         return None
     return doc if isinstance(doc, dict) else None
 
@@ -93,78 +129,68 @@ def parse_config(text: str | None) -> tuple[str, dict | None]:
     return ("minor", doc) if doc is not None else ("unparseable", None)
 
 
-def _flatten_batches(id_col: str, text_col: str):
-    import pandas as pd
+def _keyed_schema(df: DataFrame, keys: Sequence[str]) -> list[T.StructField]:
+    return [df.schema[k] for k in keys]
+
+
+def flatten_yaml(df: DataFrame, id_col: str | Sequence[str] = "sample_id", text_col: str = "submission") -> DataFrame:
+    """One row per YAML node: (id columns, status, path, value, vtype); root
+    path is ``''``, list items ``a[0].b``, dots in keys escaped; an unparseable document gives one
+    row with NULL path. Id columns of any type pass through unchanged. Runs per partition on Arrow batches."""
+    import pyarrow as pa
+    keys = [id_col] if isinstance(id_col, str) else list(id_col)
+    names = ("status", "path", "value", "vtype")
+    schema = T.StructType(_keyed_schema(df, keys) + [T.StructField(n, T.StringType()) for n in names])
 
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for sid, text in zip(pdf[id_col].tolist(), pdf[text_col].tolist()):
+        for b in batches:
+            owner, rows = [], []
+            for i, text in enumerate(b.column(len(keys)).to_pylist()):
                 status, doc = parse_config(text)
-                if doc is None:
-                    rows.append((sid, status, None, None, None))
-                    continue
-                nodes: list = []
-                _walk(doc, "", nodes)
-                rows.extend((sid, status, p, v, t) for p, v, t in nodes)
-            yield pd.DataFrame(rows, columns=[f.name for f in FLAT_SCHEMA.fields])
-    return run
-
+                found = [(None, None, None)] if doc is None else _walk(doc)
+                owner += [i] * len(found)
+                rows += [(status, *n) for n in found]
+            at = pa.array(owner, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in range(len(keys))), *(pa.array([r[c] for r in rows], pa.string()) for c in range(4))],
+                                             names=[*keys, *names])
 
-def flatten_yaml(df: DataFrame, id_col: str = "sample_id", text_col: str = "submission") -> DataFrame:
-    """One row per YAML node: (sample_id, status, path, value, vtype); root
-    path is ``''``, list items ``a[0].b``; an unparseable document gives one
-    row with NULL path. Runs per partition on Arrow batches."""
-    src = df.select(F.col(id_col).cast("bigint").alias("sample_id"), F.col(text_col).alias("text"))
-    out = src.mapInPandas(_flatten_batches("sample_id", "text"), FLAT_SCHEMA)
-    return out if id_col == "sample_id" else out.withColumnRenamed("sample_id", id_col)
+    return df.select(*keys, F.col(text_col).alias("_text")).mapInArrow(run, schema)
 
 
 # ---- node maps (scoring path) ---------------------------------------------------------
 
-def _node_map_batches(text_cols: dict[str, str], paths: Sequence[str] | None, keep_text: bool = True):
-    import pandas as pd
-    wanted = set(paths) if paths is not None else None
-    dropped = [] if keep_text else list(text_cols.values())
-
-    def run(batches):
-        for pdf in batches:
-            extra: dict[str, list] = {}
-            for side, col in text_cols.items():
-                status, keys, vals, types = [], [], [], []
-                for text in pdf[col].tolist():
-                    st, doc = parse_config(text)
-                    nodes: list = []
-                    if doc is not None:
-                        _walk(doc, "", nodes)
-                    if wanted is not None:
-                        nodes = [n for n in nodes if n[0] in wanted]
-                    status.append(st)
-                    keys.append([n[0] for n in nodes])
-                    vals.append([n[1] for n in nodes])
-                    types.append([n[2] for n in nodes])
-                extra[f"{side}_status"], extra[f"{side}_paths"] = status, keys
-                extra[f"{side}_values"], extra[f"{side}_vtypes"] = vals, types
-            base = pdf.drop(columns=dropped)
-            yield base.assign(**extra) if len(pdf) else pd.DataFrame(columns=list(base.columns) + list(extra))
-    return run
-
-
-def node_maps(df: DataFrame, text_cols: dict[str, str], paths: Sequence[str] | None = None,
-              keep_text: bool = True) -> DataFrame:
+def node_maps(df: DataFrame, text_cols: dict[str, str], paths: Sequence[str], keep_text: bool = True) -> DataFrame:
     """Adds ``<side>_status`` and ``<side>_nodes`` (map path -> struct(value,
     vtype)) for each YAML text column, parsed once per row inside the scan's
-    stage: no shuffle, and only the requested paths are kept. With
-    ``keep_text=False`` the texts are not sent back from the Python workers
-    (most of the step's Arrow volume when nothing downstream reads them)."""
+    stage: no shuffle, and only the requested paths are looked up. The other columns, of any type, pass
+    through the Python workers as Arrow sent them. With
+    ``keep_text=False`` the texts are not sent back (most of the step's volume when nothing downstream reads them)."""
+    import pyarrow as pa
     texts = set(text_cols.values())
-    fields = [f for f in df.schema.fields if keep_text or f.name not in texts]
+    kept = [f for f in df.schema.fields if keep_text or f.name not in texts]
+    fields = list(kept)
     for side in text_cols:
-        fields += [T.StructField(f"{side}_status", T.StringType()),
-                   T.StructField(f"{side}_paths", T.ArrayType(T.StringType())),
-                   T.StructField(f"{side}_values", T.ArrayType(T.StringType())),
-                   T.StructField(f"{side}_vtypes", T.ArrayType(T.StringType()))]
-    out = df.mapInPandas(_node_map_batches(text_cols, paths, keep_text), T.StructType(fields))
+        fields += [T.StructField(f"{side}_status", T.StringType()), *(T.StructField(f"{side}_{c}", T.ArrayType(T.StringType())) for c in ("paths", "values", "vtypes"))]
+    at = {c: df.columns.index(c) for c in df.columns}
+    wanted = [(p, _steps(p)) for p in paths]
+
+    def run(batches):
+        for b in batches:
+            columns = [b.column(at[f.name]) for f in kept]
+            for col in text_cols.values():
+                status, found = [], []
+                last: tuple = (None, None)
+                for text in b.column(at[col]).to_pylist():
+                    if text is None or text != last[0]:  # neighbours often share a reference
+                        state, doc = parse_config(text)
+                        nodes = [] if doc is None else [(p, *_node(v)) for p, steps in wanted if (v := _find(doc, steps)) is not _ABSENT]
+                        last = text, (state, nodes)
+                    status.append(last[1][0])
+                    found.append(last[1][1])
+                columns += [pa.array(status, pa.string()), *(pa.array([[n[c] for n in nodes] for nodes in found], pa.list_(pa.string())) for c in range(3))]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in fields])
+
+    out = df.mapInArrow(run, T.StructType(fields))
     for side in text_cols:
         nodes = F.map_from_arrays(F.col(f"{side}_paths"),
                                   F.arrays_zip(F.col(f"{side}_values").alias("value"),
@@ -223,8 +249,8 @@ def type_errors(d: Doc, leaves: Sequence[str]) -> Column:
 
 
 def near_port(v: Column, vt: Column, want: int) -> Column:
-    port = F.when(vt == "int", v.cast("bigint"))
-    return F.when(port == want, F.lit(5)).when(F.abs(port - want) <= 2, F.lit(3)).otherwise(F.lit(1))
+    port = F.when(vt == "int", v.try_cast("bigint"))
+    return F.when(port == want, F.lit(5)).when(port.between(want - 2, want + 2), F.lit(3)).otherwise(F.lit(1))
 
 
 @dataclass
@@ -306,18 +332,14 @@ SUBSCRIBER = Rubric("ue_provisioning", "Subscriber profile YAML", 55,
 RUBRICS = {r.key: r for r in (SLICE, AMF, SUBSCRIBER)}
 
 
-def rubric_text(r: Rubric) -> str:
-    """Human-readable rubric built from the criteria list (what a grader reads)."""
-    lines = [f"{r.title} scoring rubric", "Each criterion scores 1, 3 or 5."]
-    lines += [f"* {cid}: {desc}" for cid, desc in r.criteria]
-    lines.append(f"final_score = sum of criteria x 100 / {r.max_points}")
-    return "\n".join(lines)
+def rubric_text(key: str) -> str:
+    """The rubric text that a grader reads: the fixed file of the category."""
+    return files("evalframe").joinpath("rubrics", f"{key}.txt").read_text(encoding="utf-8")
 
 
 def rubric_table(spark: SparkSession) -> DataFrame:
     """The rubric dimension: one row per category key."""
-    return spark.createDataFrame([(r.key, rubric_text(r)) for r in RUBRICS.values()],
-                                 "category_key string, rubric string")
+    return spark.createDataFrame([(k, rubric_text(k)) for k in RUBRICS], "category_key string, rubric string")
 
 
 # ---- criteria ---------------------------------------------------------------------------
@@ -402,29 +424,32 @@ def _subscriber(d: Doc, task: dict[str, Column]) -> list[Column]:
 _CRITERIA = {"slice_deployment": _slice, "amf_configuration": _amf, "ue_provisioning": _subscriber}
 
 
-def score_rubric(rubric_key: str, configs: DataFrame, task_cols: dict[str, str], id_col: str = "sample_id",
+def score_rubric(rubric_key: str, configs: DataFrame, task_cols: dict[str, str], id_col: str | Sequence[str] = "sample_id",
                  submission_col: str = "submission", reference_col: str = "reference",
-                 min_partitions: int | None = None) -> DataFrame:
+                 references: DataFrame | None = None, reference_key: str = "sample_id") -> DataFrame:
     """Score each submission against its reference config and task values.
 
-    ``task_cols`` maps the rubric's task inputs (slice: sst, sd, region;
-    AMF: tac, mcc, mnc; subscriber: imsi, sd) to columns of ``configs``.
-    Returns sample_id, status, one column per criterion, total and score.
-    One narrow stage: parse both documents per row, then expressions.
-    Parsing is CPU-bound and runs in the input's own partitions. Pass
-    ``min_partitions`` only for an input known to arrive in few partitions:
-    it adds a round-robin shuffle of the texts."""
+    ``id_col`` names one or more key columns of any type, such as (model, sample_id, epoch). ``task_cols`` maps the rubric's task inputs
+    (slice: sst, sd, region; AMF: tac, mcc, mnc; subscriber: imsi, sd) to columns of ``configs``.
+    Returns the keys, status, one column per criterion, total and score.
+
+    The reference is a column of ``configs``, parsed in the same row (one narrow stage), or, where models and epochs give a sample many
+    submissions, a row of ``references`` (``reference_key``, ``reference_col``): each is then parsed once and its few nodes are joined."""
     r = RUBRICS[rubric_key]
-    src = configs.select(id_col, submission_col, reference_col,
-                         *[F.col(c).alias(f"task_{k}") for k, c in task_cols.items()])
-    if min_partitions:
-        src = src.repartition(min_partitions)
-    docs = node_maps(src, {"s": submission_col, "t": reference_col}, r.paths, keep_text=False)
+    keys = [id_col] if isinstance(id_col, str) else list(id_col)
+    task = [F.col(c).alias(f"task_{k}") for k, c in task_cols.items()]
+    if references is None:
+        docs = node_maps(configs.select(*keys, submission_col, reference_col, *task), {"s": submission_col, "t": reference_col}, r.paths, keep_text=False)
+    else:
+        own = list(dict.fromkeys([*keys, reference_key]))
+        docs = node_maps(configs.select(*own, submission_col, *task), {"s": submission_col}, r.paths, keep_text=False)
+        truth = node_maps(references.select(reference_key, reference_col), {"t": reference_col}, r.paths, keep_text=False)
+        docs = docs.join(truth, reference_key)
     d = Doc()
     crit = _CRITERIA[rubric_key](d, {k: F.col(f"task_{k}") for k in task_cols})
     unparsed = F.col("s_status") == "unparseable"
     named = [F.when(unparsed, F.lit(1)).otherwise(c).alias(cid) for c, (cid, _) in zip(crit, r.criteria)]
-    out = docs.select(id_col, F.col("s_status").alias("status"), *named)
+    out = docs.select(*keys, F.col("s_status").alias("status"), *named)
     total = sum((F.col(cid) for cid, _ in r.criteria), F.lit(0))
     return out.withColumn("total", total.cast("int")) \
         .withColumn("score", F.col("total") * F.lit(100.0) / F.lit(r.max_points))

@@ -77,34 +77,55 @@ def q_flatten_yaml(spark, sf):
     return RB.flatten_yaml(fixture(spark, sf, "fx_slice_yaml"))
 
 
+def _scored(key, configs, task_cols):
+    """Status, every criterion in order, total and score."""
+    out = RB.score_rubric(key, configs, task_cols)
+    marks = F.concat_ws(" ", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c, _ in RB.RUBRICS[key].criteria])
+    return out.select("sample_id", "status", marks.alias("criteria"), "total", F.round("score", 9).alias("score"))
+
+
+def _marks_sql(key, faults, floor=()):
+    """The criteria text per fault id: 5 unless the fault names another mark; every mark 1 for the faults in ``floor``."""
+    ids = [c for c, _ in RB.RUBRICS[key].criteria]
+    cases = " ".join(f"when {f} then '" + " ".join(f"{c}={1 if f in floor else m.get(c, 5)}" for c in ids) + "'" for f, m in faults.items())
+    return f"case f {cases} end as criteria"
+
+
+# Worked out by hand from the rubrics: the marks that each fault changes.
+_SLICE_MARKS = _marks_sql("slice_deployment", {
+    0: {}, 1: {"S3": 3, "G2": 3, "T2": 1}, 2: {}, 3: {"S4": 3, "G3": 3, "F1": 3}, 4: {"G4": 3, "F3": 3}, 5: {"G5": 3, "T3": 3}, 6: {"G1": 3},
+    7: {"G4": 3, "F2": 3}}, floor=(2,))
+_AMF_MARKS = _marks_sql("amf_configuration", {
+    0: {}, 1: {"G2": 3}, 2: {"S2": 3, "S3": 3, "G3": 1, "F2": 3}, 3: {"S4": 1, "F1": 3}, 4: {"G5": 3}, 5: {"S1": 3}})
+_SUB_MARKS = _marks_sql("ue_provisioning", {
+    0: {}, 1: {"G2": 3, "F1": 3}, 2: {"S4": 3, "F2": 3}, 3: {"S2": 3, "S3": 1, "G3": 1, "G5": 3}, 4: {"G1": 3, "G5": 3}})
+
+
 # Oracle by fault id: each fault's criterion scores worked out by hand from the rubric.
-@plan("score_slice_rubric", """
-select sample_id, case when f = 2 then 'unparseable' else 'valid' end as status, cast(tot as int) as total,
+@plan("score_slice_rubric", f"""
+select sample_id, case when f = 2 then 'unparseable' else 'valid' end as status, {_SLICE_MARKS}, cast(tot as int) as total,
   round(tot * 100.0 / 80, 9) as score
 from (select sample_id, f, case f when 0 then 80 when 1 then 72 when 2 then 16 when 3 then 74 when 4 then 76
   when 5 then 76 when 6 then 78 else 76 end as tot from fx_slice_yaml) t""", ("fx_slice_yaml",))
 def q_score_slice_rubric(spark, sf):
     c = _configs(spark, sf, "fx_slice_yaml", "fx_slice_truth")
-    out = RB.score_rubric("slice_deployment", c, {"sst": "req_sst", "sd": "req_sd", "region": "req_region"})
-    return out.select("sample_id", "status", "total", F.round("score", 9).alias("score"))
+    return _scored("slice_deployment", c, {"sst": "req_sst", "sd": "req_sd", "region": "req_region"})
 
 
-@plan("score_amf_rubric", """
-select sample_id, case when f = 5 then 'minor' else 'valid' end as status, cast(tot as int) as total,
+@plan("score_amf_rubric", f"""
+select sample_id, case when f = 5 then 'minor' else 'valid' end as status, {_AMF_MARKS}, cast(tot as int) as total,
   round(tot * 100.0 / 55, 9) as score
 from (select sample_id, f, case f when 0 then 55 when 1 then 53 when 2 then 45 when 3 then 49 when 4 then 53
   else 53 end as tot from fx_amf_yaml) t""", ("fx_amf_yaml",))
 def q_score_amf_rubric(spark, sf):
     c = _configs(spark, sf, "fx_amf_yaml", "fx_amf_truth")
-    out = RB.score_rubric("amf_configuration", c, {"tac": "req_tac", "mcc": "req_mcc", "mnc": "req_mnc"})
-    return out.select("sample_id", "status", "total", F.round("score", 9).alias("score"))
+    return _scored("amf_configuration", c, {"tac": "req_tac", "mcc": "req_mcc", "mnc": "req_mnc"})
 
 
-@plan("score_subscriber_rubric", """
-select sample_id, 'valid' as status, cast(tot as int) as total, round(tot * 100.0 / 55, 9) as score
+@plan("score_subscriber_rubric", f"""
+select sample_id, 'valid' as status, {_SUB_MARKS}, cast(tot as int) as total, round(tot * 100.0 / 55, 9) as score
 from (select sample_id, f, case f when 0 then 55 when 1 then 51 when 2 then 51 when 3 then 43 else 51 end as tot
   from fx_sub_yaml) t""", ("fx_sub_yaml",))
 def q_score_subscriber_rubric(spark, sf):
     c = _configs(spark, sf, "fx_sub_yaml", "fx_sub_truth")
-    out = RB.score_rubric("ue_provisioning", c, {"imsi": "req_imsi", "sd": "req_sd"})
-    return out.select("sample_id", "status", "total", F.round("score", 9).alias("score"))
+    return _scored("ue_provisioning", c, {"imsi": "req_imsi", "sd": "req_sd"})

@@ -156,7 +156,7 @@ def q_render_system_prompt(spark, sf):
 
 def rubric_values_sql() -> str:
     from evalframe.operators.rubric import RUBRICS, rubric_text
-    rows = ", ".join(f"({sql_lit(r.key)}, {sql_lit(rubric_text(r))})" for r in RUBRICS.values())
+    rows = ", ".join(f"({sql_lit(k)}, {sql_lit(rubric_text(k))})" for k in RUBRICS)
     return f"(values {rows}) as rb(category_key, rubric)"
 
 
