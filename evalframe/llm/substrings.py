@@ -110,6 +110,7 @@ def _pieces(row: np.ndarray, starts: np.ndarray, source: np.ndarray, source_star
 def _grouped(batches: Iterator[pa.RecordBatch]):
     """(ids, keys, batch rows, texts) of bounded groups of rows ``key, id, text, ...``."""
     for b in batches:
+        b = b.filter(b.column(1).is_valid())
         keys, ids = b.column(0).to_numpy(), b.column(1).to_numpy()
         for rows, texts in text_groups(list(range(b.num_rows)), b.column(2).to_pylist(), GROUP_BYTES):
             yield ids[rows].astype(np.int64), keys[rows], b, rows, texts
@@ -226,7 +227,8 @@ def with_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     usable = rows.where("_id is not null and _text is not null")
     shared = (usable.mapInArrow(_anchor_rows(slices, window, gram, sep), PACKED).groupBy("slice").applyInArrow(_shared_anchors, "key long, anchor long")
               .groupBy("key").agg(F.collect_set("anchor").alias("anchors")))
-    candidates = rows.join(shared, rows["_key"] == shared["key"]).where("_id is not null and _text is not null").select("_key", "_id", "_text", "anchors")
+    # no filter here: both joins read the very same exchange of the texts, so Spark shuffles them once
+    candidates = rows.join(shared, rows["_key"] == shared["key"]).select("_key", "_id", "_text", "anchors")
     pieces = (candidates.mapInArrow(_window_rows(slices, window, gram, sep), PACKED).groupBy("slice").applyInArrow(_copied_pieces, PIECES)
               .groupBy("key").agg(F.collect_list(F.struct("start", "windows", "source_id", "source_start")).alias("pieces")))
     return rows.join(pieces, rows["_key"] == pieces["key"], "left").select("_key", "_id", "_text", "pieces")
