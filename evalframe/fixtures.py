@@ -188,6 +188,7 @@ FIXTURE_SQL["fx_jobs"] = """
 select concat('run-', cast(user_id % 20 as string)) as run_id, user_id as job_id,
   concat('lab/model-', cast(user_id % 4 as string)) as model,
   case when user_id % 3 = 0 then '' else concat('Label ', cast(user_id % 4 as string)) end as label,
+  case when user_id % 4 = 3 then null else concat('provider-', cast(user_id % 4 as string)) end as provider,
   case when user_id % 5 = 0 then 1 else 0 end as returncode,
   user_id % 7 = 0 as cancel_requested,
   case when user_id % 20 = 1 then 'complete' when user_id % 20 = 2 then 'queued'

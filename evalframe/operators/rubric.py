@@ -339,7 +339,9 @@ def rubric_text(key: str) -> str:
 
 def rubric_table(spark: SparkSession) -> DataFrame:
     """The rubric dimension: one row per category key."""
-    return spark.createDataFrame([(k, rubric_text(k)) for k in RUBRICS], "category_key string, rubric string")
+    rows = ", ".join(f"(:key{i}, :text{i})" for i in range(len(RUBRICS)))  # literal rows: the planner knows their size and broadcasts them
+    values = {f"key{i}": k for i, k in enumerate(RUBRICS)} | {f"text{i}": rubric_text(k) for i, k in enumerate(RUBRICS)}
+    return spark.sql(f"select * from values {rows} as t(category_key, rubric)", args=values)
 
 
 # ---- criteria ---------------------------------------------------------------------------

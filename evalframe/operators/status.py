@@ -52,7 +52,29 @@ def run_updated_at(runs: DataFrame, jobs: DataFrame, run_col: str = "run_id",
                                                         F.col("_lu").cast("timestamp"))).alias("updated_at"))
 
 
-def job_snapshot(jobs: DataFrame, now) -> DataFrame:
+def _opt(df: DataFrame, name: str) -> Column:
+    """A text column that may be absent (NULL then)."""
+    return F.col(name) if name in df.columns else F.lit(None).cast("string").alias(name)
+
+
+def run_report(runs: DataFrame, jobs: DataFrame, now, run_col: str = "run_id", created_col: str = "created_at",
+               update_col: str = "last_update") -> DataFrame:
+    """One row per run: task, ISO times, ``overall`` (counts by status and the run's status) and ``models``, the runs' job
+    snapshots ordered by job id. ``jobs`` holds what ``job_snapshot`` reads. A run's jobs meet in one row: a
+    run has one job per model."""
+    overall = run_overall_status(runs, jobs)
+    counts = [c for c in overall.columns if c != run_col]
+    overall = overall.select(run_col, F.struct(*counts).alias("overall"))
+    snaps = job_snapshot(jobs, now, [run_col])
+    rows = [c for c in snaps.columns if c != run_col]
+    models = snaps.groupBy(run_col).agg(F.array_sort(F.collect_list(F.struct(*rows))).alias("models"))
+    head = runs.select(run_col, "task", S.iso_timestamp(created_col).alias("created_at"))
+    return (head.join(run_updated_at(runs, jobs, run_col, created_col, update_col), run_col).join(overall, run_col)
+            .join(models, run_col, "left")
+            .withColumn("models", F.coalesce("models", F.expr("cast(array() as " + models.schema["models"].dataType.simpleString() + ")"))))
+
+
+def job_snapshot(jobs: DataFrame, now, keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """One status row per job. Expects ``samples_completed``,
     ``total_samples``, ``started_at``, ``finished_at`` and the job columns;
     ``now`` is an argument (a timestamp literal or column), never the clock."""
@@ -61,7 +83,7 @@ def job_snapshot(jobs: DataFrame, now) -> DataFrame:
     elapsed = S.elapsed_seconds("started_at", "finished_at", n)
     eta = S.estimate_remaining(done, F.col("total_samples"), "started_at", "finished_at", n)
     return jobs.select(
-        "job_id", "model", S.display_name("label", "model").alias("display_name"), "status",
+        *keep, "job_id", "model", S.display_name("label", "model").alias("display_name"), _opt(jobs, "provider"), "status",
         done.alias("samples_completed"), "total_samples",
         S.progress_percent(done, F.col("total_samples")).alias("progress_percent"),
         elapsed.alias("elapsed_seconds"), S.format_duration(elapsed).alias("elapsed"),

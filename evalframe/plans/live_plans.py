@@ -10,11 +10,14 @@ from evalframe.fixtures import fixture
 from evalframe.functions import score as SC
 from evalframe.operators.scoring import score_choice_table
 from evalframe.functions.parse import py_strip
+from evalframe.functions.prompt_texts import MATH_SYSTEM_TEMPLATE
+from evalframe.operators import generate as G
 from evalframe.operators import metrics as M
-from evalframe.plans import tasks as TK
+from evalframe.operators.prompts import render_system_prompt
+from evalframe.operators.samples import filter_difficulty
+from evalframe import tasks as TK
 from evalframe.plans.common import (CHOICE_FIXTURES, CHOICE_SCORES_CTE, choice_samples, choice_scores, round9)
 from evalframe.plans.registry import plan
-from evalframe.plans.scoring import _BOXED_SQL
 from evalframe.plans.status_plans import PROGRESS_CTE
 from evalframe.session import work_dir
 from evalframe.sources import lines as LN
@@ -197,24 +200,35 @@ def boxed_number(completion, target):
     return SC.score_boxed(completion, target)
 
 
-def _math_dataset(spark, sf):
-    return fixture(spark, sf, "fx_math").select("sample_id", F.col("answer").alias("target"), "difficulty")
+def _math_dataset(spark, sf, difficulty="full"):
+    math = filter_difficulty(fixture(spark, sf, "fx_math"), difficulty)
+    return math.select("sample_id", "ord" if "ord" in math.columns else F.col("sample_id").alias("ord"), F.col("question").alias("input"),
+                       F.col("answer").alias("target"), "difficulty")
+
+
+def _math_replies(pdf):
+    """Stand-in for a model client: boxes the sample's number plus the epoch, but for basic parity; shows the system prompt's length."""
+    return [f"{len(s)} \\boxed{{{i % 50 if e == 1 else i % 7}}}" for i, e, s in zip(pdf["sample_id"], pdf["epoch"], pdf["system_prompt"])]
 
 
 def _math_completions(spark, sf):
-    return fixture(spark, sf, "fx_math").select("sample_id", F.lit("lab/model-0").alias("model"),
-                                               F.lit(1).alias("epoch"), "completion")
+    """The work of the task as it is defined, generated and written."""
+    work = MATH_TASK.work(spark, sf, ["lab/model-0", "lab/model-1"], epochs=2)
+    return G.persist_completions(G.generate_completions(work, _math_replies), work_dir(spark, "task-completions"))
 
 
-MATH_TASK = TK.Task("telemath", _math_dataset, _math_completions, "boxed_number",
-                    {"completion": "completion", "target": "target"})
+MATH_TASK = TK.Task("telemath", _math_dataset, _math_completions, "boxed_number", {"completion": "completion", "target": "target"},
+                    system_prompt=lambda samples: render_system_prompt(MATH_SYSTEM_TEMPLATE, {}))
+BASIC_MATH = MATH_TASK.with_params(difficulty="basic")
 
 
 @plan("task_definition", """
-select 'telemath' as task, 'lab/model-0' as model, round(avg(v), 9) as accuracy,
-  round(coalesce(sqrt(var_samp(v) / count(v)), 0.0), 9) as stderr
-from (select case when parsed = target then 1.0 else 0.0 end as v from (""" + _BOXED_SQL + ") a) b",
+, per as (select difficulty, m.model, sample_id, (cast(answer = cast(sample_id % 50 as varchar) as int) + cast(answer = cast(sample_id % 7 as varchar) as int)) / 2 as v
+  from fx_math cross join (values ('lab/model-0'), ('lab/model-1')) m(model))
+select 'telemath' as task, part, model, round(avg(v), 9) as accuracy, round(coalesce(sqrt(var_samp(v) / count(v)), 0.0), 9) as stderr
+from (select 'full' as part, * from per union all select 'basic', * from per where difficulty = 'basic') x group by part, model""",
       ("fx_math",))
 def q_task_definition(spark, sf):
-    out = MATH_TASK.run(spark, sf)
-    return round9(out.select("task", "model", "accuracy", "stderr"), "accuracy", "stderr")
+    """The task over its whole dataset and, by its parameter, over one difficulty."""
+    out = [t.run(spark, sf).select("task", F.lit(part).alias("part"), "model", "accuracy", "stderr") for part, t in (("full", MATH_TASK), ("basic", BASIC_MATH))]
+    return round9(out[0].unionByName(out[1]), "accuracy", "stderr")

@@ -118,6 +118,32 @@ def iso_sql(t: str) -> str:
     return f"case when {t} is null or epoch_us({t}) = 0 then null else {_ISO.format(t=t)} end"
 
 
+_RUN_COUNTS = """
+, c as (select r.run_id, count(j.job_id) as total,
+    count(*) filter (where j.status = 'complete') as complete, count(*) filter (where j.status = 'failed') as failed,
+    count(*) filter (where j.status = 'cancelled') as cancelled, count(*) filter (where j.status = 'running') as running,
+    count(*) filter (where j.status = 'queued') as queued
+  from fx_runs r left join fx_jobs j on j.run_id = r.run_id group by r.run_id)
+"""
+
+
+@plan("run_report", PROGRESS_CTE + _RUN_COUNTS + f"""
+, models as (select j.run_id, string_agg(j.job_id || ':' || j.status || ':' || coalesce(j.provider, '-') || ':' || coalesce(pf.samples_completed, 0), ' ' order by j.job_id) as models,
+    max(j.last_update) as last from fx_jobs j left join pf on pf.job_id = j.job_id group by j.run_id)
+select r.run_id, r.task, {iso_sql('r.created_at')} as created_at, {iso_sql('greatest(r.created_at, last)')} as updated_at,
+  total, complete, failed, cancelled, running, queued, case
+  when running = 0 and queued = total and total > 0 then 'queued' when complete = total and total > 0 then 'complete'
+  when failed > 0 and failed + complete + cancelled = total then 'failed' when cancelled = total and total > 0 then 'cancelled'
+  when total = 0 then 'empty' else 'running' end as status, coalesce(models, '') as models
+from fx_runs r join c using (run_id) left join models using (run_id)""", ("fx_progress", "fx_runs", "fx_jobs"))
+def q_run_report(spark, sf):
+    jobs = _job_state(spark, sf).join(PR.progress_fold(_lines(spark, sf)).select("job_id", "samples_completed", "total_samples"), "job_id", "left")
+    out = ST.run_report(fixture(spark, sf, "fx_runs"), jobs, NOW)
+    models = F.array_join(F.transform("models", lambda m: F.concat_ws(":", m["job_id"].cast("string"), m["status"], F.coalesce(m["provider"], F.lit("-")),
+                                                                      m["samples_completed"].cast("string"))), " ")
+    return out.select("run_id", "task", "created_at", "updated_at", "overall.*", models.alias("models"))
+
+
 @plan("run_updated_at", f"""
 select r.run_id, {iso_sql('greatest(r.created_at, max(j.last_update))')} as updated_at
 from fx_runs r left join fx_jobs j on j.run_id = r.run_id group by r.run_id, r.created_at""", ("fx_runs", "fx_jobs"))
@@ -160,7 +186,7 @@ _ELAPSED = f"case when s.started_at is null then null else (epoch_us(coalesce(s.
           or el is null or el <= 0 then null when total_samples - coalesce(samples_completed, 0) <= 0 then 0.0
           else (total_samples - coalesce(samples_completed, 0)) * (el / coalesce(samples_completed, 0)) end as eta from e)
 select job_id, model, coalesce(nullif(label, ''), split_part(model, '/', -1)) as display_name, status,
-  coalesce(samples_completed, 0) as samples_completed, total_samples,
+  provider, coalesce(samples_completed, 0) as samples_completed, total_samples,
   round(case when total_samples is null or total_samples = 0 then null
     else greatest(0.0, least(1.0, coalesce(samples_completed, 0) / total_samples)) end * 100, 2) as progress_percent,
   round(el, 6) as elapsed_seconds, {_fmt_sql('el')} as elapsed, round(eta, 3) as eta_seconds, {_fmt_sql('eta')} as eta,

@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+BROADCAST_FILES = 100_000
+
+
 def log_name(path) -> "F.Column":
     """File name, prefixed by its ``key=value`` folder when the log table was
     written partitioned (file names repeat across such folders)."""
@@ -64,9 +67,12 @@ def read_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json
 
     The folder each name comes from is decided on the file listing (metadata
     only, one row per file); bodies join it by their path, spelled by one rule on both sides. A file that is
-    listed and cannot be read back fails the query."""
+    gone when it is read fails the query. Up to BROADCAST_FILES listed files (known to the driver
+    without a job) the listing is broadcast, so no body crosses the network."""
     listed = _listing(spark, dirs, glob, nested)
     first = listed.groupBy("name").agg(F.min(F.struct("dir_rank", "path")).alias("f")).select("name", F.col("f.path").alias("path"), "f.dir_rank")
+    if len(listed.inputFiles()) <= BROADCAST_FILES:
+        first = F.broadcast(first)
     parts = []
     for _, d in _present(spark, dirs):
         df = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", str(nested).lower()).text(d, wholetext=True)
@@ -75,9 +81,8 @@ def read_eval_logs(spark: SparkSession, dirs: Sequence[str], glob: str = "*.json
     if not parts:
         return spark.createDataFrame([], "name string, path string, dir_rank int, doc variant, is_valid boolean")
     bodies = reduce(lambda a, b: a.unionByName(b), parts)
-    lost = F.when(F.col("body").isNull(), F.raise_error(F.concat(F.lit("listed log could not be read: "), F.col("path"))).cast("string"))
-    doc = F.try_parse_json(F.coalesce("body", lost))
-    return first.join(bodies, "path", "left").select("name", "path", "dir_rank", doc.alias("doc"), doc.isNotNull().alias("is_valid"))
+    doc = F.try_parse_json("body")
+    return bodies.join(first, "path").select("name", "path", "dir_rank", doc.alias("doc"), doc.isNotNull().alias("is_valid"))
 
 
 def scan_rubrics(spark: SparkSession, path: str) -> DataFrame:

@@ -11,12 +11,13 @@ composition of DataFrame functions.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalframe.operators import metrics as M
+from evalframe.operators.samples import expand_work_grid
 
 ScorerFn = Callable[..., dict[str, Column]]
 MetricFn = Callable[[DataFrame, Sequence[str]], DataFrame]
@@ -79,7 +80,7 @@ def compute_metrics(scores: DataFrame, names: Sequence[str], keys: Sequence[str]
     fused = [n for n in names if n in _SAMPLE_LEVEL and METRICS.get(n) is _BUILTIN[n]]
     out = None
     if fused:
-        per = M.sample_level(M.answer_groups(scores, keys), keys)
+        per = M.sample_level(M.answer_groups(scores, keys), keys) if "maj_at_k" in fused else M.sample_means(scores, keys)
         out = per.groupBy(*keys).agg(*[_SAMPLE_LEVEL[n]().alias(n) for n in fused])
     for n in names:
         if n in fused:
@@ -91,9 +92,11 @@ def compute_metrics(scores: DataFrame, names: Sequence[str], keys: Sequence[str]
 
 @dataclass(frozen=True)
 class Task:
-    """dataset(spark, sf_dir) -> samples; completions(spark, sf_dir) -> rows
+    """dataset(spark, sf_dir, **params) -> samples; completions(spark, sf_dir) -> rows
     keyed (model, sample_id, epoch); scorer named in the registry with the
-    column mapping it needs; metrics by name."""
+    column mapping it needs; metrics by name. ``system_prompt(samples)`` is the column that a model is shown
+    first, ``prompt_col`` the sample's own question; ``params`` are the dataset's parameters (such as a difficulty), changed per run by
+    ``with_params``."""
     name: str
     dataset: Callable[[SparkSession, str], DataFrame]
     completions: Callable[[SparkSession, str], DataFrame]
@@ -102,9 +105,20 @@ class Task:
     metrics: tuple[str, ...] = ()
     system_prompt: Callable[[DataFrame], Column] | None = None
     params: dict = field(default_factory=dict)
+    prompt_col: str = "input"
+
+    def with_params(self, **params) -> "Task":
+        return replace(self, params={**self.params, **params})
+
+    def work(self, spark: SparkSession, sf: str, models: Sequence[str], epochs: int = 1) -> DataFrame:
+        """(task, model, sample_id, epoch, system_prompt, prompt) rows to generate."""
+        samples = self.dataset(spark, sf, **self.params)
+        system = F.lit(None).cast("string") if self.system_prompt is None else self.system_prompt(samples)
+        grid = expand_work_grid(samples.withColumn("system_prompt", system), models, epochs)
+        return grid.select(F.lit(self.name).alias("task"), "model", "sample_id", "epoch", "system_prompt", F.col(self.prompt_col).alias("prompt"))
 
     def scores(self, spark: SparkSession, sf: str) -> DataFrame:
-        samples = self.dataset(spark, sf)
+        samples = self.dataset(spark, sf, **self.params)
         comp = self.completions(spark, sf)
         j = comp.join(samples, "sample_id")
         cols = {k: F.col(v) for k, v in self.scorer_cols.items()}

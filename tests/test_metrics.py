@@ -1,7 +1,6 @@
 """Votes, means and standard errors on small hand-made score tables."""
 
 import math
-from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
@@ -10,21 +9,6 @@ from evalframe.operators import metrics as M
 SCHEMA = "model string, sample_id long, epoch int, answer string, value double"
 
 
-def py_maj(rows):
-    """Brute-force majority vote in list order (rows sorted by epoch)."""
-    grouped = defaultdict(list)
-    for m, s, e, a, v in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
-        grouped[(m, s)].append((a, v))
-    out = defaultdict(lambda: [0, 0])
-    for (m, _), sc in grouped.items():
-        answers = [a for a, _ in sc if a]
-        out[m][1] += 1
-        if answers:
-            maj = Counter(answers).most_common(1)[0][0]
-            out[m][0] += any(v == 1 and a == maj for a, v in sc)
-    return {m: c / n for m, (c, n) in out.items()}
-
-
 ROWS = [
     # tie between B (epoch 1) and C (epoch 2): earliest wins -> B, which is wrong
     ("m", 1, 1, "B", 0.0), ("m", 1, 2, "C", 1.0),
@@ -38,10 +22,10 @@ ROWS = [
 ]
 
 
-def test_maj_at_k_matches_brute_force(spark):
+def test_maj_at_k(spark):
     df = spark.createDataFrame(ROWS, SCHEMA)
     got = {r["model"]: r["maj_at_k"] for r in M.maj_at_k(df).collect()}
-    assert got == py_maj(ROWS) == {"m": 0.5, "n": 1.0}
+    assert got == {"m": 0.5, "n": 1.0}  # samples 2 and 4 of the four of m
 
 
 def test_majority_answer_ties(spark):
@@ -94,6 +78,16 @@ def test_metrics_by_slice_full_row(spark):
     assert len(full) == 1 and full[0]["n_samples"] == 4 and len(null_slice) == 1
 
 
+def test_slice_errors_do_not_cancel(spark):
+    """Scores near a million that differ by thousandths: the slices' errors equal those of the plain metric."""
+    rows = [("m", i, 1, "a", 1e6 + (i % 7) / 1000) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    slices = spark.createDataFrame([(i, "xy"[i % 2]) for i in range(400)], "sample_id long, subject string")
+    got = {(r.is_full, r.subject): r.stderr for r in M.metrics_by_slice(df, slices, "subject").collect()}
+    assert math.isclose(got[1, None], M.stderr(df).first().stderr, rel_tol=1e-6)
+    assert math.isclose(got[0, "x"], M.stderr(df.filter("sample_id % 2 = 0")).first().stderr, rel_tol=1e-6)
+
+
 def test_empty_scores_give_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert M.eval_report(empty).count() == 0 and M.maj_at_k(empty).count() == 0
@@ -109,7 +103,7 @@ def test_transcript_pieces_keep_turn_order(spark):
 
 
 def test_task_metrics_share_one_scan(spark):
-    from evalframe.plans import tasks as TK
+    from evalframe import tasks as TK
     s = spark.createDataFrame(ROWS, SCHEMA)
     names = ["accuracy", "stderr", "maj_at_k", "pass_at_1"]
     fused = {r["model"]: r for r in TK.compute_metrics(s, names).collect()}

@@ -7,9 +7,10 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from evalframe import plans
 from evalframe.fixtures import TABLES
 
-KEYS = sorted(E.queries())
+KEYS = sorted(plans.queries())
 
 
 @pytest.fixture(scope="module")
@@ -39,13 +40,13 @@ def rows(pdf):
 
 
 SUITE_KEYS = {"eval_teleqna", "eval_telelogs", "eval_three_gpp", "eval_telemath", "eval_old_three_gpp",
-              "eval_teleyaml", "eval_legacy_teleyaml", "eval_set"}
+              "eval_teleyaml", "eval_legacy_teleyaml", "eval_set", "run_report"}
 
 
 def test_all_keys_registered():
-    # the 74 survey operators plus one end-to-end plan per suite task and one eval set, every one with an oracle
+    # the 74 survey operators plus one end-to-end plan per suite task, one eval set and one run report, every one with an oracle
     assert SUITE_KEYS <= set(KEYS) and len(set(KEYS) - SUITE_KEYS) == 74
-    assert set(E.oracle_sql()) == set(KEYS)
+    assert set(plans.oracle_sql()) == set(KEYS) and set(KEYS) <= set(E.queries())
 
 
 def test_entry_runs(spark):

@@ -28,6 +28,29 @@ def test_parsers_have_no_python(spark):
         assert "Python" not in plan_text(E.queries()[k](spark, SF_SMALL)), k
 
 
+def test_metrics_without_a_vote_do_not_shuffle_answers(spark):
+    from evalframe.operators import metrics as M
+    scores = spark.createDataFrame([("m", 1, 1, "a", 1.0)], "model string, sample_id long, epoch int, answer string, value double")
+    slices = spark.createDataFrame([(1, "x")], "sample_id long, subject string")
+    for df in (M.accuracy(scores), M.stderr(scores), M.pass_at_1(scores), M.metrics_by_slice(scores, slices, "subject")):
+        assert "answer" not in plan_text(df).split("Scan")[0].split("Project")[0] and all(
+            "answer" not in line for line in plan_text(df).splitlines() if "Exchange" in line or "Aggregate" in line)
+
+
+def test_building_plans_starts_no_job(spark):
+    """But for fixture writes: joins with dimensions probe nothing."""
+    from evalframe.operators import samples as SM
+    samples = spark.createDataFrame([(1, "A b")], "sample_id long, category string")
+    rubrics = spark.createDataFrame([("a_b", "r")], "category_key string, rubric string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-build", "plan build")
+    try:
+        SM.join_rubrics(samples, rubrics), SM.rubric_gaps(samples, rubrics)
+        assert list(tracker.getJobIdsForGroup("plan-build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_work_grid_has_no_join(spark):
     p = plan_text(E.queries()["expand_work_grid"](spark, SF_SMALL))
     assert "Join" not in p and "Generate" in p
@@ -39,11 +62,11 @@ def test_scan_prunes_columns(spark):
     assert "PushedFilters: [IsNotNull(role), EqualTo(role,assistant)]" in p
 
 
-def test_log_bodies_are_kept_by_a_broadcast_semi_join(spark):
+def test_log_bodies_are_not_shuffled(spark):
     df = E.queries()["read_eval_logs"](spark, SF_SMALL)
     df.write.format("noop").mode("overwrite").save()
     p = plan_text(df)
-    assert "BroadcastHashJoin" in p and "LeftSemi" in p and "Window" not in p
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p and "Window" not in p
 
 
 def test_dataset_scan_prunes_partitions(spark):

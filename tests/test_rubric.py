@@ -52,7 +52,7 @@ def test_flatten_rows(spark):
 def test_rubric_table_has_three_rubrics(spark):
     keys = sorted(r["category_key"] for r in RB.rubric_table(spark).collect())
     assert keys == ["amf_configuration", "slice_deployment", "ue_provisioning"]
-    assert RB.rubric_table(spark).filter(F.col("rubric").contains("x 100 / 80")).count() == 1
+    assert RB.rubric_table(spark).filter(F.col("rubric").contains("(100 / 80)")).count() == 1
 
 
 def test_node_maps_can_drop_the_texts(spark):
@@ -65,3 +65,40 @@ def test_node_maps_can_drop_the_texts(spark):
     r = lean.first()
     assert r.extra == 7 and r.s_status == "valid" and r.s_nodes["a"].vtype == "int"
     assert r.s_nodes["b"].value == '["x", "y"]' and r.t_nodes["a"].vtype == "str"
+
+
+HOSTILE = {
+    "dotted key": "spec.sst: 1\n" + GOOD, "impossible date": GOOD.replace("NetworkSlice", "2024-99-99"), "cycle": "a: &x\n  b: *x\n" + GOOD,
+    "deep": "a: " + "[" * 3000 + "]" * 3000 + "\n" + GOOD, "aliases": "l0: &l0 [x]\n" + "".join(f"l{i}: &l{i} [" + ", ".join([f"*l{i - 1}"] * 9) + "]\n" for i in range(1, 12)) + GOOD,
+    "keys of any kind": "? [1, 2]\n: x\n1: y\ntrue: z\n" + GOOD, "merge": "<<: 3\n" + GOOD, "null": None, "number": "99999999999999999999",
+}
+
+
+def test_no_document_ends_the_job(spark):
+    got = _score(spark, list(HOSTILE.values()))
+    marks = dict(zip(HOSTILE, (got[i] for i in range(len(HOSTILE))), strict=True))
+    assert marks["dotted key"].status == "valid" and marks["dotted key"].total == 80 and marks["cycle"].total == 80 and marks["aliases"].total == 80
+    assert marks["null"].status == marks["number"].status == marks["impossible date"].status == "unparseable" and marks["deep"].total in (16, 80)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(HOSTILE.values())], "sample_id long, submission string")
+    assert RB.flatten_yaml(df).count() < 4000
+
+
+def test_huge_port_is_a_wrong_port(spark):
+    df = spark.createDataFrame([("a", "amf:\n  ngap:\n    server:\n      - port: 99999999999999999999\nnrf: {}\n", "amf: {}", "1", "2", "3")],
+                               "sample_id string, submission string, reference string, tac string, mcc string, mnc string")
+    r = RB.score_rubric("amf_configuration", df, {"tac": "tac", "mcc": "mcc", "mnc": "mnc"}).first()
+    assert r.G2 == 1 and r.status == "valid" and r.sample_id == "a"
+
+
+def test_keys_of_any_type_and_shared_references(spark):
+    rows = [("m1", 9007199254740993, 1, GOOD), ("m2", None, 1, GOOD), ("m2", 9007199254740993, 2, "kind: x")]
+    subs = spark.createDataFrame(rows, "model string, sample_id long, epoch int, submission string").withColumn("sst", F.lit(1)) \
+        .withColumn("sd", F.lit("000007")).withColumn("region", F.lit("dc-1"))
+    task = {"sst": "sst", "sd": "sd", "region": "region"}
+    keys = ["model", "sample_id", "epoch"]
+    inline = RB.score_rubric("slice_deployment", subs.withColumn("reference", F.lit(GOOD)), task, keys).collect()
+    assert {(r.model, r.sample_id, r.epoch): r.total == 80 for r in inline} == {r[:3]: r[3] == GOOD for r in rows}
+    refs = spark.createDataFrame([(9007199254740993, GOOD)], "sample_id long, reference string")
+    joined = RB.score_rubric("slice_deployment", subs, task, keys, references=refs).collect()
+    assert sorted(tuple(r) for r in joined) == sorted(tuple(r) for r in inline if r.sample_id is not None)
+    assert RB.flatten_yaml(subs, keys).filter("sample_id is null").count() > 0

@@ -34,6 +34,58 @@ def test_list_and_read_logs(spark, tmp_path):
     assert not logs["run2.json"]["is_valid"]
 
 
+NAMES = ["2024-05-29T12-38-43+00-00_math_X.json", "a b.json", "pct%20x.json", "pct%2Bx.json", "caf\u00e9.json"]
+
+
+def test_log_names_are_kept_whatever_they_hold(spark, tmp_path):
+    a, b = tmp_path / "logs a+b", tmp_path / "second"
+    a.mkdir(), b.mkdir(), (a / "inner").mkdir()
+    for i, n in enumerate(NAMES):
+        _write(a / n, json.dumps({"i": i}))
+        _write(b / n, json.dumps({"i": -1}))
+    _write(a / "inner" / "nested.json", "{}")
+    dirs = [str(tmp_path / "absent"), str(a), str(b)]
+    assert sorted(r["name"] for r in LG.list_eval_logs(spark, dirs).collect()) == sorted(NAMES * 2)
+    got = LG.read_eval_logs(spark, dirs).select("name", "dir_rank", F.try_variant_get("doc", "$.i", "int").alias("i")).collect()
+    assert sorted((r["name"], r["dir_rank"], r["i"]) for r in got) == sorted((n, 1, i) for i, n in enumerate(NAMES))
+    assert LG.list_eval_logs(spark, dirs[:1]).count() == 0 and LG.read_eval_logs(spark, dirs[:1]).count() == 0
+    assert "inner" not in str(got) and LG.list_eval_logs(spark, [str(a)], nested=True).count() == len(NAMES) + 1
+
+
+def test_a_dataset_written_twice_is_there_once(spark, tmp_path):
+    from evalframe.sources import datasets as DS
+    df = spark.createDataFrame([(1, "test"), (2, "test"), (3, "dev")], "sample_id long, split string")
+    for part in (df, df, df.filter("split = 'dev'")):
+        DS.write_eval_dataset(part, str(tmp_path / "d"), "q")
+    assert DS.scan_eval_dataset(spark, str(tmp_path / "d"), "q").count() == 2 and DS.scan_eval_dataset(spark, str(tmp_path / "d"), "q", "dev").count() == 1
+
+
+def test_generation_shows_prompts_keeps_tasks_apart_and_refuses_repeated_keys(spark, tmp_path):
+    seen_columns = str(tmp_path / "columns")
+
+    def model(pdf):
+        with open(seen_columns, "w") as f:
+            f.write(",".join(pdf.columns))
+        return [f"{s}|{p}" for s, p in zip(pdf["system_prompt"], pdf["prompt"])]
+
+    work = spark.createDataFrame([("t1", "m", 1, 1, "sys", "q1"), ("t2", "m", 1, 1, "sys2", "q2"), ("t2", "m", None, 1, "sys2", "q3")],
+                                 "task string, model string, sample_id long, epoch int, system_prompt string, prompt string")
+    out = G.generate_completions(work, model, temperature=0.5)
+    assert sorted(r.completion for r in out.collect()) == ["sys2|q2", "sys2|q3", "sys|q1"]
+    assert open(seen_columns).read().split(",") == ["task", "model", "sample_id", "epoch", "system_prompt", "prompt", "temperature"]
+    left = G.generate_completions(work, model, done=out.filter("task = 't1'")).collect()
+    assert sorted((r.task, r.sample_id is None) for r in left) == [("t2", False), ("t2", True)]
+    with pytest.raises(Exception, match="key twice"):
+        G.generate_completions(work.unionByName(work), model).collect()
+    path = str(tmp_path / "slices")
+    done = G.run_in_slices(work, lambda part: G.generate_completions(part, model, max_connections=2), path, slices=3)
+    assert done.count() == 3
+    graders = work.withColumn("judge_model", F.lit("j"))
+    assert G.generate_judgements(graders, model).count() == 3
+    with pytest.raises(ValueError, match="names its graders"):
+        G.generate_judgements(graders, model, ["a"])
+
+
 def test_scan_rubrics_flat_folder(spark, tmp_path):
     _write(tmp_path / "amf_configuration.txt", "AMF rubric {sbi}")
     _write(tmp_path / "notes.md", "skip")
