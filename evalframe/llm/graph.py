@@ -24,6 +24,13 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def smallest_hashes(rows: DataFrame, hash_col: str, n: int) -> DataFrame:
+    """The ``n`` rows of the smallest hashes (and rows that repeat the last of them): the same sample in every run. Only the
+    hashes are sorted and sent; the rows themselves stay where they are."""
+    last = rows.select(hash_col).orderBy(hash_col).limit(n).agg(F.max(hash_col)).first()[0]
+    return rows.where(F.col(hash_col) <= F.lit(last)) if last is not None else rows.limit(0)
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """``node, component`` (the smallest node reachable) of every node with an edge.
 

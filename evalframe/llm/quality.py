@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evalframe.llm.graph import smallest_hashes
+
 WORDS, SHAPES, REPEATS = 4096, 512, 32
 TERMS = WORDS + SHAPES + REPEATS
 WEIGHTS = (0.4, 1.0, 1.0)
@@ -119,7 +121,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lab
 
     sample = None
     for label in (0, 1):
-        part = rows.where(F.col("label") == label).orderBy("h", "text").limit(max_rows)
+        part = smallest_hashes(rows.where(F.col("label") == label), "h", max_rows)
         sample = part if sample is None else sample.unionByName(part)
     got = sample.mapInPandas(read, "label double, h long, at array<int>, w array<float>").collect()
     got = sorted((r for r in got if len(r["at"])), key=lambda r: (r["h"], r["label"]))
