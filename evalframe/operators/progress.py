@@ -79,18 +79,18 @@ def progress_summary(lines: DataFrame, job_col: str = "job_id", seq_col: str = "
     """One row per job summing up a run of its lines: ``any_set``,
     ``end_value`` (the count after the lines as if entered with -inf),
     ``total_samples`` (last stated total, NULL if none), ``last_update``
-    (time of the last line) and ``n_lines``. Summaries compose: see
+    (time of the last line), ``n_lines`` and the lines' ``first_seq`` and ``last_seq``. Summaries compose: see
     ``enter`` and ``continue_progress``."""
     u = _pieces(lines, job_col, seq_col, ts_col, line_col, bucket)
     tot_key = F.when(F.col("total").isNotNull(), F.col(seq_col))
     pieces = _segment_end(u, [job_col, "_b"], seq_col, "has_set", "contrib", [
         F.max_by(F.col("total"), tot_key).alias("_tot"), F.max(tot_key).alias("_tot_seq"),
-        F.max_by(F.col(ts_col), F.col(seq_col)).alias("_last_ts"), F.max(seq_col).alias("_last_seq"),
+        F.max_by(F.col(ts_col), F.col(seq_col)).alias("_last_ts"), F.max(seq_col).alias("_last_seq"), F.min(seq_col).alias("_first_seq"),
         F.count("*").alias("_n")])
     return _segment_end(pieces, [job_col], "_b", "any_set", "end_value", [
         F.max_by(F.col("_tot"), F.col("_tot_seq")).alias("total_samples"),
         F.max_by(F.col("_last_ts"), F.col("_last_seq")).alias("last_update"),
-        F.sum("_n").alias("n_lines")])
+        F.sum("_n").alias("n_lines"), F.min("_first_seq").alias("first_seq"), F.max("_last_seq").alias("last_seq")])
 
 
 def enter(c_in: Column) -> Column:
@@ -109,12 +109,16 @@ def progress_fold(lines: DataFrame, job_col: str = "job_id", seq_col: str = "seq
 
 def continue_progress(state: DataFrame, summary: DataFrame, job_col: str = "job_id") -> DataFrame:
     """Progress per job after further lines: ``state`` is the progress before
-    them (``progress_fold``'s columns, one row per job), ``summary`` the
-    ``progress_summary`` of the new lines, which all come after the lines
-    counted in ``state``. Both sides hold one row per job."""
-    b = summary.select(job_col, "any_set", "end_value", F.col("total_samples").alias("_b_total"),
-                       F.col("last_update").alias("_b_last"), F.col("n_lines").alias("_b_n"))
-    j = state.join(b, job_col, "full_outer")
+    them (``progress_fold``'s columns and ``last_seq``, one row per job), ``summary`` the
+    ``progress_summary`` of the new lines. A job's lines arrive in order of ``seq``: a line that is not behind all lines
+    counted in ``state`` fails the query, since the count at its place is no longer known. Both sides hold one row per job."""
+    if "last_seq" not in state.columns:  # a state from elsewhere: the order of its lines is the caller's word
+        state = state.withColumn("last_seq", F.lit(None).cast("bigint"))
+    b = summary.select(F.col(job_col).alias("_b_job"), "any_set", "end_value", F.col("total_samples").alias("_b_total"),
+                       F.col("last_update").alias("_b_last"), F.col("n_lines").alias("_b_n"), "first_seq", F.col("last_seq").alias("_b_seq"))
+    j = state.join(b, F.col(job_col).eqNullSafe(F.col("_b_job")), "full_outer").withColumn(job_col, F.coalesce(job_col, "_b_job"))
+    late = F.raise_error(F.format_string("late line: seq %d of a job that is at %d", F.col("first_seq"), F.col("last_seq")))
+    j = j.withColumn("_b_n", F.when(F.col("first_seq") <= F.col("last_seq"), late.cast("bigint")).otherwise(F.col("_b_n")))
     seen = F.col("_b_n").isNotNull()
     c_in = F.coalesce(F.col("samples_completed"), F.lit(0).cast("bigint"))
     return j.select(
@@ -122,7 +126,8 @@ def continue_progress(state: DataFrame, summary: DataFrame, job_col: str = "job_
         F.when(seen, enter(c_in)).otherwise(F.col("samples_completed")).alias("samples_completed"),
         F.coalesce(F.col("_b_total"), F.col("total_samples")).alias("total_samples"),
         F.when(seen, F.col("_b_last")).otherwise(F.col("last_update")).alias("last_update"),
-        (F.coalesce(F.col("n_lines"), F.lit(0)) + F.coalesce(F.col("_b_n"), F.lit(0))).alias("n_lines"))
+        (F.coalesce(F.col("n_lines"), F.lit(0)) + F.coalesce(F.col("_b_n"), F.lit(0))).alias("n_lines"),
+        F.coalesce(F.col("_b_seq"), F.col("last_seq")).alias("last_seq"))
 
 
 def progress_history(lines: DataFrame, job_col: str = "job_id", seq_col: str = "seq", ts_col: str = "ts",
@@ -157,7 +162,8 @@ def progress_history(lines: DataFrame, job_col: str = "job_id", seq_col: str = "
         job_col, "_b",
         F.coalesce(F.lag("_after").over(wj), zero).alias("_c_in"),
         F.last("_tot_b", ignorenulls=True).over(wj.rowsBetween(Window.unboundedPreceding, -1)).alias("_tot_in"))
-    out = u.join(carry, [job_col, "_b"])
+    carry = carry.select(F.col(job_col).alias("_c_job"), F.col("_b").alias("_c_b"), "_c_in", "_tot_in")
+    out = u.join(carry, F.col(job_col).eqNullSafe(F.col("_c_job")) & F.col("_b").eqNullSafe(F.col("_c_b")))
     value = F.when(F.col("_seg") > 0, F.col("_local")).otherwise(F.greatest(F.col("_c_in"), F.col("_local")))
     return out.select(job_col, seq_col, ts_col, value.alias("samples_completed"),
                       F.coalesce(F.col("_tot_local"), F.col("_tot_in")).alias("total_samples"))

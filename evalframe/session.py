@@ -60,11 +60,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for tables a plan writes."""
     return f"{checkpoint_root(spark)}/evalframe/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over the cluster's cores when it arrives in fewer
-    partitions (e.g. one large single-row-group file); a no-op for inputs that
-    are already split, which is the normal case on a cluster."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -1,5 +1,5 @@
 """Helpers to drive file streams: feed a folder in order, run a query with
-``availableNow`` into ``foreachBatch``, keep small versioned tables."""
+``availableNow`` into ``foreachBatch``, keep tables that batches update by key."""
 
 from __future__ import annotations
 
@@ -57,63 +57,77 @@ def run_available_now(stream: DataFrame, checkpoint: str, on_batch: Callable[[Da
         raise q.exception()
 
 
-class VersionedTable:
-    """A small table rewritten once per micro-batch under ``version=<batch>``.
+class KeyedTable:
+    """A table of one or a few rows per key that micro-batches update.
 
-    Each batch reads the previous version, merges the new rows and writes a
-    new version; re-running a batch rewrites the same version, so retries are
-    idempotent. A committed version is marked under ``manifest/batch_id=<b>``
-    (written after the data), so a restarted driver resuming the stream from
-    its checkpoint finds the last state. Only the newest ``retain`` versions
-    are kept: a replayed batch needs at most the version before it, so
-    storage and the manifest listing stay bounded however long the stream
-    runs. The table itself is bounded by the keys, not by the stream."""
+    Keys are dealt into ``buckets`` by hash. A batch reads and rewrites the buckets of its own keys only, under
+    ``batch=<id>/_bucket=<b>``, and then writes a mark ``manifest/batch_id=<id>`` that names the current version of every
+    bucket; so the cost of a batch follows the keys that moved, not all keys ever seen. Running a batch again writes the same
+    versions again. A restarted driver finds the state in the newest mark; marks that are there and cannot be read are an error, and
+    so is a stream whose batches are behind the table (it has another checkpoint). The newest ``retain`` marks and the versions
+    that they name are kept."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, retain: int = 3):
-        self.spark, self.path, self.schema, self.retain = spark, path, schema, max(int(retain), 2)
+    def __init__(self, spark: SparkSession, path: str, schema: str, key: str, buckets: int = 64, retain: int = 3):
+        self.spark, self.path, self.schema, self.key, self.buckets, self.retain = spark, path, schema, key, buckets, max(int(retain), 2)
         self.manifest = f"{path}/manifest"
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.manifest)
-        if p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):  # unreadable marks are an error, not a new table
-            rows = spark.read.parquet(self.manifest).select("batch_id").distinct().collect()
-            self.versions = sorted(int(r[0]) for r in rows)
-        else:
-            self.versions = []
+        self.marks: dict[int, dict[int, int]] = {}
+        if self._fs(self.manifest)[0].exists(self._fs(self.manifest)[1]):
+            rows = spark.read.schema("bucket int, version long, batch_id long").option("basePath", self.manifest).parquet(self.manifest).collect()
+            for r in rows:  # at most retain x buckets rows
+                self.marks.setdefault(int(r.batch_id), {})[r.bucket] = r.version
+
+    def _fs(self, path: str):
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
     @property
     def last(self) -> int | None:
-        return max(self.versions) if self.versions else None
+        return max(self.marks) if self.marks else None
 
-    def previous(self, batch_id: int) -> DataFrame:
-        older = [v for v in self.versions if v < batch_id]
-        if not older:
+    def _read(self, versions: dict[int, int]) -> DataFrame:
+        if not versions:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={max(older)}")
-
-    def write(self, df: DataFrame, batch_id: int) -> None:
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/batch={v}/_bucket={b}" for b, v in sorted(versions.items())])
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+
+    def before(self, batch_id: int, keys: DataFrame | None = None) -> DataFrame:
+        """The rows before a batch; with ``keys``, those of the buckets that hold one of them."""
+        older = [b for b in self.marks if b < batch_id]
+        versions = self.marks[max(older)] if older else {}
+        if keys is not None:
+            touched = {r[0] for r in keys.select(self._bucket()).distinct().collect()}  # at most one row per bucket
+            versions = {b: v for b, v in versions.items() if b in touched}
+        return self._read(versions)
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        """``rows``: all rows of every bucket that the batch touches."""
         if self.last is not None and batch_id < self.last:
             raise ValueError(f"{self.path} is at batch {self.last}, the stream at {batch_id}: another checkpoint wrote this table")
-        df.write.mode("overwrite").parquet(f"{self.path}/version={batch_id}")
-        (self.spark.createDataFrame([(True,)], "committed boolean").write.mode("overwrite")
-         .parquet(f"{self.manifest}/batch_id={batch_id}"))
-        if batch_id not in self.versions:
-            self.versions.append(batch_id)
+        out = f"{self.path}/batch={batch_id}"
+        rows.withColumn("_bucket", self._bucket()).repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(out)
+        fs, p = self._fs(out)
+        written = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(p) if s.isDirectory()]
+        older = [b for b in self.marks if b < batch_id]
+        mark = (self.marks[max(older)] if older else {}) | {b: batch_id for b in written}
+        (self.spark.createDataFrame([(b, v) for b, v in mark.items()], "bucket int, version long").coalesce(1)
+         .write.mode("overwrite").parquet(f"{self.manifest}/batch_id={batch_id}"))
+        self.marks[batch_id] = mark
         self._prune()
 
     def current(self) -> DataFrame:
-        if self.last is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/version={self.last}")
+        return self._read({} if self.last is None else self.marks[self.last])
 
     def _prune(self) -> None:
-        """Drop versions older than the newest ``retain``; the mark goes first,
-        so a listed version always has its data."""
-        keep = sorted(self.versions)[-self.retain:]
-        for v in sorted(set(self.versions) - set(keep)):
-            self._delete(f"{self.manifest}/batch_id={v}")
-            self._delete(f"{self.path}/version={v}")
-        self.versions = keep
+        """Drop old marks, then the versions that no mark names."""
+        for b in sorted(self.marks)[:-self.retain]:
+            self._delete(f"{self.manifest}/batch_id={b}")
+            named = {(k, v) for m, versions in self.marks.items() if m != b for k, v in versions.items()}
+            for bucket, version in self.marks.pop(b).items():
+                if (bucket, version) not in named:
+                    self._delete(f"{self.path}/batch={version}/_bucket={bucket}")
 
     def _delete(self, path: str) -> None:
-        sc = self.spark.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+        fs, p = self._fs(path)
+        fs.delete(p, True)

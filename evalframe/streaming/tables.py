@@ -10,13 +10,18 @@ from pyspark.sql import functions as F
 
 from evalframe.operators import progress as PR
 from evalframe.operators import status as ST
-from evalframe.streaming.runner import VersionedTable, run_available_now
+from evalframe.streaming.runner import KeyedTable, run_available_now
 
 TAIL_SCHEMA = "job_id {job}, seq long, line string"
 COUNTS_SCHEMA = ("run_id string, total long, " + ", ".join(f"{s} long" for s in ST.STATUSES))
 
 
-PROGRESS_SCHEMA = "job_id {job}, samples_completed long, total_samples long, last_update timestamp_ntz, n_lines long"
+PROGRESS_SCHEMA = "job_id {job}, samples_completed long, total_samples long, last_update timestamp_ntz, n_lines long, last_seq long"
+
+
+def _of(schema: str, lines: DataFrame) -> str:
+    """The schema with the job ids' own type."""
+    return schema.format(job=lines.schema["job_id"].dataType.simpleString())
 
 
 def stream_progress(spark: SparkSession, lines: DataFrame, table_path: str, checkpoint: str,
@@ -26,32 +31,31 @@ def stream_progress(spark: SparkSession, lines: DataFrame, table_path: str, chec
 
     Each micro-batch is summarised like the batch operator, in
     ``(job, seq range)`` pieces, so a job with a third of the lines never
-    lands in one task, and merged into the previous state version: a table
-    of one row per job, rewritten per batch and idempotent on replay. The
+    lands in one task, and merged into the state of its own jobs' buckets (see ``KeyedTable``). A job's lines arrive in order of ``seq``;
+    a late one fails the stream instead of giving a wrong count (``continue_progress``). The
     work is native aggregates and one join per batch; no Python runs.
     ``state_partitions`` sets the shuffle partitions of the query's session
     copy, which the per-batch summary runs in."""
-    state = VersionedTable(spark, table_path, PROGRESS_SCHEMA.format(job=lines.schema["job_id"].dataType.simpleString()))
+    state = KeyedTable(spark, table_path, _of(PROGRESS_SCHEMA, lines), "job_id")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         summary = PR.progress_summary(batch.select("job_id", "seq", "ts", "line"))
-        state.write(PR.continue_progress(state.previous(batch_id), summary), batch_id)
+        state.write(PR.continue_progress(state.before(batch_id, batch), summary), batch_id)
 
     run_available_now(lines, checkpoint, on_batch, shuffle_partitions=state_partitions)
-    return state.current()
+    return state.current().drop("last_seq")
 
 
 def stream_log_tail(spark: SparkSession, lines: DataFrame, table_path: str, checkpoint: str,
                     n: int = 200) -> DataFrame:
     """Last ``n`` lines per job, live. Each micro-batch merges its lines into
-    the previous tail and keeps the newest ``n`` per job; the tail table is
+    the tails of its own jobs' buckets and keeps the newest ``n`` per job; the table is
     bounded by jobs x n whatever the stream length."""
-    tail = VersionedTable(spark, table_path, TAIL_SCHEMA.format(job=lines.schema["job_id"].dataType.simpleString()))
+    tail = KeyedTable(spark, table_path, _of(TAIL_SCHEMA, lines), "job_id")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         new = batch.select("job_id", F.col("seq").cast("bigint"), "line")
-        merged = tail.previous(batch_id).unionByName(new)
-        tail.write(PR.log_tail(merged, n), batch_id)
+        tail.write(PR.log_tail(tail.before(batch_id, new).unionByName(new), n), batch_id)
 
     run_available_now(lines, checkpoint, on_batch)
     return tail.current()
@@ -60,17 +64,28 @@ def stream_log_tail(spark: SparkSession, lines: DataFrame, table_path: str, chec
 def stream_run_status(spark: SparkSession, job_updates: DataFrame, table_path: str, checkpoint: str,
                       jobs_schema: str) -> tuple[DataFrame, DataFrame]:
     """Job status rows arrive as a stream; each micro-batch upserts the
-    newest row per job into the jobs table and recomputes the per-run counts.
-    Returns (jobs, counts) after the stream is drained."""
-    jobs = VersionedTable(spark, f"{table_path}/jobs", jobs_schema)
-    counts = VersionedTable(spark, f"{table_path}/counts", COUNTS_SCHEMA)
+    newest row per job into the jobs table, and adds to the per-run counts what the moved jobs
+    changed: only their buckets are read and written. Returns (jobs, counts) after the stream is drained."""
+    jobs = KeyedTable(spark, f"{table_path}/jobs", jobs_schema, "job_id")
+    counts = KeyedTable(spark, f"{table_path}/counts", COUNTS_SCHEMA, "run_id")
+    columns = ["total", *ST.STATUSES]
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        merged = jobs.previous(batch_id).unionByName(batch.select(*[f.split()[0] for f in jobs_schema.split(", ")]))
+    def newest(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy("job_id").orderBy(F.col("last_update").desc(), F.col("update_seq").desc())
-        latest = merged.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-        jobs.write(latest, batch_id)
-        counts.write(ST.run_status_counts(jobs.current()), batch_id)
+        return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+
+    def signed(rows: DataFrame, sign: int) -> DataFrame:
+        return ST.run_status_counts(rows).select("run_id", *[(F.col(c) * sign).alias(c) for c in columns])
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        new = batch.select(*[f.split()[0] for f in jobs_schema.split(", ")])
+        keys = new.select("job_id").distinct()
+        before = jobs.before(batch_id, new)
+        jobs.write(newest(before.unionByName(new)), batch_id)
+        after = jobs.current().join(keys, "job_id", "left_semi")
+        change = signed(after, 1).unionByName(signed(before.join(keys, "job_id", "left_semi"), -1))
+        total = counts.before(batch_id, change).unionByName(change).groupBy("run_id").agg(*[F.sum(c).alias(c) for c in columns])
+        counts.write(total, batch_id)
 
     run_available_now(job_updates, checkpoint, on_batch)
     return jobs.current(), counts.current()

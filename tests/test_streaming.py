@@ -59,34 +59,67 @@ def test_feeder_keeps_each_jobs_range_in_one_file(spark, tmp_path):
     assert back.count() == 600
 
 
-def test_versioned_table_keeps_a_bounded_history(spark, tmp_path):
-    from evalframe.streaming.runner import VersionedTable
-    path = str(tmp_path / "vt")
-    t = VersionedTable(spark, path, "k long, v long", retain=3)
+def _keyed(spark, path, **options):
+    from evalframe.streaming.runner import KeyedTable
+    return KeyedTable(spark, path, "k long, v long", "k", **options)
+
+
+def test_a_batch_writes_the_buckets_of_its_keys_only(spark, tmp_path):
+    path = str(tmp_path / "kt")
+    t = _keyed(spark, path, buckets=16)
+    t.write(spark.range(1000).selectExpr("id as k", "0L as v"), 0)
+    one = spark.createDataFrame([(7, 1)], "k long, v long")
+    old = t.before(1, one)
+    assert 0 < old.count() < 200
+    t.write(old.filter("k != 7").unionByName(one), 1)
+    assert len([p for p in (tmp_path / "kt" / "batch=1").iterdir() if p.is_dir()]) == 1
+    assert t.current().count() == 1000 and t.current().filter("v = 1").count() == 1
+    again = _keyed(spark, path, buckets=16)     # a restarted driver
+    assert again.last == 1 and sorted(tuple(r) for r in again.current().collect()) == sorted(tuple(r) for r in t.current().collect())
+    again.write(again.before(1, one).filter("k != 7").unionByName(spark.createDataFrame([(7, 5)], "k long, v long")), 1)   # replay
+    assert again.current().count() == 1000 and again.current().filter("k = 7").first().v == 5
+
+
+def test_keyed_table_keeps_a_bounded_history(spark, tmp_path):
+    t = _keyed(spark, str(tmp_path / "kt"), buckets=2, retain=2)
     for b in range(6):
-        prev = t.previous(b)
-        t.write(prev.unionByName(spark.createDataFrame([(b, b * 10)], "k long, v long")), b)
-    assert t.versions == [3, 4, 5]
-    kept = sorted(p.name for p in (tmp_path / "vt").iterdir() if p.name.startswith("version="))
-    assert kept == ["version=3", "version=4", "version=5"]
-    again = VersionedTable(spark, path, "k long, v long", retain=3)     # a restarted driver
-    assert again.last == 5 and sorted(r.k for r in again.current().collect()) == list(range(6))
-    again.write(again.previous(5).unionByName(spark.createDataFrame([(9, 9)], "k long, v long")), 5)   # replay
-    assert sorted(r.k for r in again.current().collect()) == [0, 1, 2, 3, 4, 9]
-
-
-def test_versioned_table_refuses_foreign_and_unreadable_state(spark, tmp_path):
-    import pytest
+        row = spark.createDataFrame([(b % 2, b)], "k long, v long")
+        t.write(t.before(b, row).filter(f"k != {b % 2}").unionByName(row), b)
+    assert sorted(t.marks) == [4, 5] and sorted(tuple(r) for r in t.current().collect()) == [(0, 4), (1, 5)]
+    kept = [p for p in (tmp_path / "kt").glob("batch=*/_bucket=*")]
+    assert len(kept) <= 4 and len(list((tmp_path / "kt" / "manifest").glob("batch_id=*"))) == 2
+
 
-    from evalframe.streaming.runner import VersionedTable
-    path = str(tmp_path / "vt")
-    VersionedTable(spark, path, "k long").write(spark.createDataFrame([(1,)], "k long"), 7)
+def test_keyed_table_refuses_foreign_and_unreadable_state(spark, tmp_path):
+    import pytest
+    path = str(tmp_path / "kt")
+    _keyed(spark, path).write(spark.createDataFrame([(1, 1)], "k long, v long"), 7)
     with pytest.raises(ValueError, match="another checkpoint"):
-        VersionedTable(spark, path, "k long").write(spark.createDataFrame([(2,)], "k long"), 0)
-    for f in (tmp_path / "vt" / "manifest").rglob("*.parquet"):
+        _keyed(spark, path).write(spark.createDataFrame([(2, 2)], "k long, v long"), 0)
+    for f in (tmp_path / "kt" / "manifest").rglob("*.parquet"):
         f.write_bytes(b"not parquet")
     with pytest.raises(Exception):  # noqa: B017 - whatever the reader says; it must not look like a new table
-        VersionedTable(spark, path, "k long")
+        _keyed(spark, path)
+
+
+def test_late_lines_fail_instead_of_miscounting(spark):
+    import pytest
+    from evalframe.operators import progress as PR
+    schema = "job_id long, seq long, ts timestamp_ntz, line string"
+    line = lambda n: f'{{"progress":{{"completed":{n}}}}}'
+    first = PR.progress_summary(spark.createDataFrame([(1, 5, None, line(3)), (1, 6, None, line(9)), (2, 1, None, line(1))], schema))
+    none = spark.createDataFrame([], "job_id long, samples_completed long, total_samples long, last_update timestamp_ntz, n_lines long, last_seq long")
+    state = PR.continue_progress(none, first)
+    later = PR.continue_progress(state, PR.progress_summary(spark.createDataFrame([(1, 7, None, line(2)), (None, 1, None, line(4))], schema)))
+    assert sorted(((r.job_id, r.samples_completed, r.n_lines) for r in later.collect()), key=str) == [(1, 2, 3), (2, 1, 1), (None, 4, 1)]
+    with pytest.raises(Exception, match="late line"):
+        PR.continue_progress(state, PR.progress_summary(spark.createDataFrame([(1, 4, None, line(7))], schema))).collect()
+
+
+def test_history_keeps_lines_without_a_job(spark):
+    from evalframe.operators import progress as PR
+    lines = spark.createDataFrame([(None, 1, None, "x"), (1, 1, None, "x")], "job_id long, seq long, ts timestamp_ntz, line string")
+    assert PR.progress_history(lines).count() == 2
 
 
 def test_streams_take_text_job_ids(spark, tmp_path):
