@@ -16,7 +16,9 @@ count (a bigint field of ``json_object`` is NULL for anything else).
 Scale: a job may own a third of all lines, so nothing is partitioned by job
 alone. Lines are cut into ``(job, seq // bucket)`` pieces of bounded size;
 each piece is folded with a window of its own, and the per-job step runs
-over one summary row per piece.
+over one summary row per piece. ``bucket`` is a span of ``seq``: where ``seq`` is no
+dense count (microseconds, byte offsets), pass a span that holds some ten
+thousand lines, else the pieces are as many as the lines.
 """
 
 from __future__ import annotations

@@ -59,7 +59,8 @@ def assemble_transcript(turns: DataFrame, conv_col: str = "conv_id", turn_col: s
     The transcript is itself the whole group, so its bytes must meet in one
     row; the work does not have to. Turns are first sorted and joined in
     pieces of ``piece_turns`` consecutive turns (bounded groups spread over
-    tasks); the per-conversation step only orders and joins piece strings."""
+    tasks); the per-conversation step only orders and joins piece strings. A row
+    holds at most 2 GiB, so a longer conversation fails instead of being cut."""
     line = F.concat(F.col(role_col), F.lit(": "), F.coalesce(F.col(text_col), F.lit("")))
     piece = (turns.select(conv_col, F.col(turn_col).alias("_turn"), line.alias("_line"),
                           F.floor(F.col(turn_col) / F.lit(piece_turns)).alias("_piece"))
