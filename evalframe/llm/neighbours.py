@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalframe.llm.graph import stage_table
+from evalframe.llm.graph import fresh, stage_table
 
 TABLES, PROBES, ENOUGH, BLOCK = 28, 2, 4000, 512
 ENTRY = "id long, part int, axis int, vector array<double>"
@@ -132,7 +132,8 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
     of its own. Rows without a usable vector, or of another width than most, take no part. Ids are unique; an id that occurs twice counts once (the first by
     vector). An empty table gives no row.
     """
-    flagged = vectors.withColumn("_ask", is_query)
+    ask = fresh(vectors.columns, "_ask")
+    flagged = vectors.withColumn(ask, is_query)
     rows = usable(flagged, id_col, vector_col)
     widths = rows.groupBy(F.size("vector").alias("w")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), F.desc("w")).limit(1).collect()
     if not widths:
@@ -142,7 +143,7 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
     rows = stage_table(rows, "vectors")
     same = Window.partitionBy("h", "vector").orderBy("id")
     entered = (rows.withColumn("h", F.xxhash64("vector")).withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1).select("id", "vector"))
-    asked = flagged.where(F.col("_ask")).select(F.col(id_col).cast("long").alias("id")).distinct()
+    asked = flagged.where(F.col(ask)).select(F.col(id_col).cast("long").alias("id")).distinct()
     queries = stage_table(rows.join(asked, "id", "left_semi"), "queries")
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
     least, most = rows.agg(F.min(norm), F.max(norm)).first()
