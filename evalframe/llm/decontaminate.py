@@ -129,7 +129,7 @@ def _searcher(index, schema: T.StructType, id_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = index.value
         for b in batches:
-            for rows, texts in text_groups(list(range(b.num_rows)), b.column(1).to_pylist()):
+            for rows, texts in text_groups(b.column(1)):
                 best: dict[tuple, tuple[int, int]] = {}
                 for d, i, shared in items.search(texts):
                     key, got = (rows[d], items.ids[i]), (shared, len(items.sets[i]))
@@ -153,7 +153,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 clean = np.ones(b.num_rows, bool)
-                for rows, texts in text_groups(list(range(b.num_rows)), b.column(at).to_pylist()):
+                for rows, texts in text_groups(b.column(at)):
                     for d, _, _ in index.value.search(texts):
                         clean[rows[d]] = False
                 yield b.filter(pa.array(clean))

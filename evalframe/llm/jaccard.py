@@ -40,7 +40,7 @@ MISS = 1e-10
 RUN = 3
 LIST_COST = 2
 BLOCK = 4_000_000
-SEEN = 200_000
+SEEN = 100_000
 
 
 def run_length(t: float) -> int:
@@ -110,7 +110,7 @@ def _prepared(docs: DataFrame, text_col: str, k: int, t: float, sep, fold) -> Da
         seen: set[int] = set()
         for b in batches:
             n, nodes, keys = [], [], []
-            for _, texts in text_groups(list(range(b.num_rows)), b.column(2).to_pylist()):
+            for _, texts in text_groups(b.column(2)):
                 for s in text_shingles(texts, k, sep, fold):
                     n.append(len(s))
                     nodes.append(node_of(s) if len(s) else None)
@@ -315,7 +315,7 @@ def _shingles(rows: DataFrame, wanted: DataFrame, k: int, sep, fold) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at, texts in text_groups(list(range(b.num_rows)), b.column(0).to_pylist()):
+            for at, texts in text_groups(b.column(0)):
                 sets = text_shingles(texts, k, sep, fold)
                 keep = [i for i, s in zip(at, sets, strict=True) if len(s) and node_of(s) == b.column(1)[i].as_py()]
                 part = b.take(pa.array(keep, pa.int64()))

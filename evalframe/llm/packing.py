@@ -58,7 +58,8 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
         enc, end = encoder(path), int(end_id).to_bytes(4, "little")
         for b in batches:
             owner, out, held = [], [[] for _ in fields], 0
-            for row, text in enumerate(b.column(1).to_pylist()):
+            for row, value in enumerate(b.column(1)):
+                text = value.as_py()
                 ids = np.frombuffer((enc.ids(text) if text else b"") + end, "<u4")
                 for start, length in binary_pieces(len(ids), max_tokens):
                     piece = ids[start:start + length]

@@ -112,7 +112,7 @@ def _grouped(batches: Iterator[pa.RecordBatch]):
     for b in batches:
         b = b.filter(b.column(1).is_valid())
         keys, ids = b.column(0).to_numpy(), b.column(1).to_numpy()
-        for rows, texts in text_groups(list(range(b.num_rows)), b.column(2).to_pylist(), GROUP_BYTES):
+        for rows, texts in text_groups(b.column(2), GROUP_BYTES):
             yield ids[rows].astype(np.int64), keys[rows], b, rows, texts
 
 
@@ -262,7 +262,7 @@ def parse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for rows, texts in text_groups(list(range(b.num_rows)), b.column(1).to_pylist(), GROUP_BYTES):
+            for rows, texts in text_groups(b.column(1), GROUP_BYTES):
                 n, gone, kept, spans = [], [], [], []
                 for row, raw in zip(rows, texts, strict=True):
                     found = factors(b.column(2)[row].as_py() or [], window)

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 150_000
 CACHED_LENGTH = 48
 TRAILING = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
 
@@ -117,7 +117,7 @@ def token_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for b in batches:
-            n = [enc.count(t) + end_tokens if t else end_tokens for t in b.column(1).to_pylist()]
+            n = [enc.count(t) + end_tokens if (t := x.as_py()) else end_tokens for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], names=[id_col, "n_tokens"])
 
     return rows.mapInArrow(run, schema)

@@ -122,10 +122,12 @@ def text_shingles(texts: list[bytes], k: int, sep: np.ndarray = SPACES, fold: bo
     return out
 
 
-def text_groups(ids: list, texts: list, size: int = 4 << 20) -> Iterator[tuple[list, list[bytes]]]:
-    """Rows in groups of about ``size`` bytes of text, so that memory doesn't follow the batch; null texts are empty."""
+def text_groups(texts, size: int = 4 << 20) -> Iterator[tuple[list[int], list[bytes]]]:
+    """Positions and texts of an Arrow column (or list) in groups of about ``size`` bytes, read one by one, so that memory
+    doesn't follow the batch; null texts are empty."""
     got_ids, got, n = [], [], 0
-    for i, t in zip(ids, texts, strict=True):
+    for i, t in enumerate(texts):
+        t = t.as_py() if hasattr(t, "as_py") else t
         raw = t.encode("utf-8", "surrogatepass") if t is not None else b""
         got_ids.append(i)
         got.append(raw)
