@@ -6,7 +6,7 @@ latent dimensions (a truncated singular value decomposition). The labelled sampl
 document's cosine products with all of them are computed exactly, in blocks, and the ``neighbours`` largest
 vote with their similarity as weight.
 
-The model is fitted on at most ``max_rows`` labelled rows of each label (the smallest hashes of id and text: the same rows in every run), so what is
+The model is fitted on at most ``max_rows`` labelled ids of each label (the smallest hashes: the same ones in every run), so what is
 broadcast is bounded by parameters. Scoring covers whole texts of all rows, row by row, without a shuffle.
 """
 
@@ -106,23 +106,25 @@ class QualityModel:
         return np.clip(got, 0, 1)
 
 
-def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = 2000, rank: int = 48,
-        neighbours: int = 15) -> QualityModel:
-    """Fit on rows with a text and a label of 0 or 1."""
-    rows = (labelled.where(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull())
-            .select(F.col(label_col).cast("double").alias("label"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h")))
-    share = rows.agg(F.avg("label")).first()[0]
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", max_rows: int = 2000,
+        rank: int = 48, neighbours: int = 15) -> QualityModel:
+    """Fit on the texts of documents whose label is 0 or 1. The sample is chosen from the labels alone and, bounded as it is, broadcast to the documents, so no text is shuffled."""
+    marked = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
+              .select(F.col(id_col).alias("id"), F.col(label_col).cast("double").alias("label"), F.xxhash64(F.col(id_col)).alias("h")))
+    share = marked.agg(F.avg("label")).first()[0]
     prior = 0.5 if share is None else float(share)
+    chosen = None
+    for label in (0, 1):
+        part = smallest_hashes(marked.where(F.col("label") == label), "h", max_rows)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sample = texts.join(F.broadcast(chosen.dropDuplicates(["id", "label"])), "id").select("label", "h", "text")
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             found = [terms(t) for t in b["text"]]
             yield pd.DataFrame({"label": b["label"], "h": b["h"], "at": [a.tolist() for a, _ in found], "w": [w.tolist() for _, w in found]})
 
-    sample = None
-    for label in (0, 1):
-        part = smallest_hashes(rows.where(F.col("label") == label), "h", max_rows)
-        sample = part if sample is None else sample.unionByName(part)
     got = sample.mapInPandas(read, "label double, h long, at array<int>, w array<float>").collect()
     got = sorted((r for r in got if len(r["at"])), key=lambda r: (r["h"], r["label"]))
     n = len(got)

@@ -161,8 +161,7 @@ def op4_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     kept = language.held_out("doc_id", 3, 1)
-    labelled = docs.where(~kept).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
-    model = quality.fit(labelled)
+    model = quality.fit(docs, table(spark, sf, "labels").select("doc_id", "quality").where(~kept))
     return quality.score(docs, model).select("doc_id", kept.alias("held_out"), "score", "predicted")
 
 
