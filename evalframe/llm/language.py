@@ -23,13 +23,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evalframe.llm.graph import fresh
+from evalframe.llm.graph import fresh, smallest_hashes
 
 WORD = re.compile(r"[^\W\d_]+")
 ORDERS = (4, 3, 2, 1)
 UNDETERMINED = "und"
-CACHE = 300_000
-LONGEST_WORD = 64
+CACHE = 100_000
 
 
 def words_of(text: str) -> list[str]:
@@ -45,50 +44,78 @@ def grams(word: str, n: int) -> list[str]:
 
 
 class LanguageModel:
-    def __init__(self, words: dict[str, list[float]], grams_: dict[int, dict[str, list[float]]], langs: list[str]):
-        self.langs, self.words = langs, {w: np.array(v) for w, v in words.items()}
-        self.grams = {n: {g: np.array(v) for g, v in t.items()} for n, t in grams_.items()}
-        self._cache: dict[str, np.ndarray] = {}
+    """``words`` and ``grams`` (by order): log frequencies per language of ``langs``."""
+
+    def __init__(self, words: dict[str, tuple[float, ...]], grams_: dict[int, dict[str, tuple[float, ...]]], langs: list[str]):
+        self.langs, self.words, self.grams = langs, words, grams_
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start the cache of chunks: their row in a table of summed log frequencies, and whether they hold a letter."""
+        self._row: dict[str, int] = {}
+        self._known: dict[str, tuple[float, ...]] = {}
+        self._table = np.zeros((1024, max(len(self.langs), 1)))
+        self._letters = np.zeros(1024, bool)
 
     def __getstate__(self):
-        return {"langs": self.langs, "words": self.words, "grams": self.grams, "_cache": {}}
+        return {"langs": self.langs, "words": self.words, "grams": self.grams}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._forget()
 
-    def word(self, w: str) -> np.ndarray:
+    def word(self, w: str) -> tuple[float, ...]:
         """Log frequency of a word per language, with backoff."""
         got = self.words.get(w)
         if got is None:
-            got = self._cache.get(w)
-        if got is None:
-            got = np.zeros(len(self.langs))
+            marked = f" {w} "
             for n in ORDERS:
-                table = self.grams.get(n, {})
-                known = [table[g] for g in grams(w, n) if g in table]
+                find, source = self.grams.get(n, {}).get, marked if n > 1 else w
+                known = [v for i in range(len(source) - n + 1) if (v := find(source[i:i + n])) is not None]
                 if known:
-                    got = np.mean(known, axis=0)
-                    break
-            if len(self._cache) >= CACHE:
-                self._cache.clear()
-            if len(w) <= LONGEST_WORD:
-                self._cache[w] = got
+                    return tuple([sum(c) / len(known) for c in zip(*known, strict=True)])
+            return (0.0,) * len(self.langs)
         return got
 
+    def _learn(self, chunk: str) -> int:
+        row = len(self._row)
+        if row == len(self._table):
+            self._table = np.concatenate([self._table, np.zeros_like(self._table)])
+            self._letters = np.concatenate([self._letters, np.zeros_like(self._letters)])
+        self._row[chunk] = row
+        scores, letters = (0.0,) * len(self.langs), False
+        for w in WORD.findall(chunk):
+            got = self._known.get(w)
+            if got is None:
+                got = self._known[w] = self.word(w)
+            scores = got if not letters else tuple([a + b for a, b in zip(scores, got, strict=True)])
+            letters = True
+        self._table[row] = scores
+        self._letters[row] = letters and any(map(str.isalpha, chunk))
+        return row
+
     def predict(self, text: str | None) -> tuple[str, float]:
         """(language, score); a text without a letter, or null, is undetermined with score 0."""
-        found = Counter(words_of(text)) if text else None
-        if not found or not self.langs or not any(c.isalpha() for w in found for c in w):
+        found = Counter(text.lower().split()) if text else None  # words never cross white space
+        if not found or not self.langs:
+            return UNDETERMINED, 0.0
+        if len(self._row) >= CACHE:
+            self._forget()
+        known = self._row
+        rows = [known[c] if c in known else self._learn(c) for c in found]
+        if not self._letters[rows].any():
             return UNDETERMINED, 0.0
-        total = np.zeros(len(self.langs))
-        for w, n in found.items():
-            total += n * self.word(w)
+        total = np.fromiter(found.values(), np.float64, len(found)) @ self._table[rows]
         best = int(np.argmax(total))
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = 20_000,
-        max_words: int = 50_000, max_grams: int = 30_000) -> LanguageModel:
+        max_words: int = 20_000, max_grams: int = 10_000) -> LanguageModel:
     """Fit on the labelled rows (text and language not null); see the module's text for the bounds."""
     rows = (labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_h"))
-            .where("lang is not null and text is not null").orderBy("_h", "lang", "text").limit(max_rows).select("lang", "text"))
+            .where("lang is not null and text is not null"))
+    rows = smallest_hashes(rows, "_h", max_rows).select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -117,9 +144,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     entries.unpersist()
     langs = sorted({lang for t in tables.values() for by in t.values() for lang in by})
 
-    def logs(table: dict) -> dict[str, list[float]]:
+    def logs(table: dict) -> dict[str, tuple[float, ...]]:
         totals = {lang: sum(by.get(lang, 0) for by in table.values()) + 0.5 * len(table) for lang in langs}
-        return {g: [math.log((by.get(lang, 0) + 0.5) / totals[lang]) for lang in langs] for g, by in table.items()}
+        return {g: tuple([math.log((by.get(lang, 0) + 0.5) / totals[lang]) for lang in langs]) for g, by in table.items()}
 
     return LanguageModel(logs(tables[0]), {n: logs(tables[n]) for n in ORDERS}, langs)
 

@@ -63,7 +63,7 @@ def test_language_of_an_empty_training_table(spark):
 
 def test_language_backs_off_to_shorter_grams():
     model = language.LanguageModel({"known": [0.0, -9.0]}, {4: {" abc": [-1.0, -2.0]}, 3: {"xyz": [-5.0, -1.0]}, 2: {}, 1: {"q": [-3.0, -2.0]}}, ["a", "b"])
-    assert [model.word(w).tolist() for w in ("known", "abcxyz", "xyz", "qq", "--")] == [[0, -9], [-1, -2], [-5, -1], [-3, -2], [0, 0]]
+    assert [list(model.word(w)) for w in ("known", "abcxyz", "xyz", "qq", "--")] == [[0, -9], [-1, -2], [-5, -1], [-3, -2], [0, 0]]
 
 
 def contained(rows, items, k=5, t=0.8):
@@ -132,14 +132,15 @@ def test_quality_votes(spark):
         body = [w.capitalize() if j == 0 else w for j, w in enumerate(prose(rng, rng.randint(5, 60)))]
         rows.append((i, " ".join(body if good else rng.choice([[w.upper() + "!!" for w in body], [w + "$$$" for w in body], [body[0]] * 30])), int(good)))
     labelled = spark.createDataFrame([*rows[:100], (1000, None, 1), (1001, "x", None)], "doc_id long, text string, quality int")
-    model = quality.fit(labelled)
+    model = quality.fit(labelled.select("doc_id", "text"), labelled.select("doc_id", "quality"))
     got = {r.doc_id: r for r in quality.score(spark.createDataFrame(rows[100:], "doc_id long, text string, quality int"), model).collect()}
     assert np.mean([got[i].predicted == q for i, _, q in rows[100:]]) > 0.9
     out = quality.score(frame(spark, documents(n=12)), model).collect()
     assert len(out) == len(documents(n=12)) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in out)
     assert {r.score for r in out if r.doc_id in (900, 901, 902)} == {model.prior}
     assert quality.score(empty(spark), model).collect() == []
-    lone = quality.fit(spark.createDataFrame([], "doc_id long, text string, quality int"))
+    none = spark.createDataFrame([], "doc_id long, text string, quality int")
+    lone = quality.fit(none, none)
     assert lone.score(["a b", None]).tolist() == [0.5, 0.5]
 
 
