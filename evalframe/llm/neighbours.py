@@ -3,7 +3,7 @@
 Vectors are scaled to unit length, turned by fast Hadamard pseudo-rotations (three rounds of random signs and a Hadamard
 transform) and hashed to the nearest signed axis. Each of ``tables`` rotations gives one table; a vector is entered once in each, and a query
 probes the ``probes`` axes nearest to it (multiprobe). Candidates of a bucket are compared exactly, in double precision and blocks, and the best
-``k`` of each bucket go on to the final ranking.
+``k`` of each block (ties to the smaller id) go on to the final ranking.
 
 For the largest inner product, vectors of unequal norms get one more component that evens out the norms; the product with a query is unchanged up to scale.
 
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from evalframe.llm.graph import fresh, stage_table
 
-TABLES, PROBES, ENOUGH, BLOCK = 28, 2, 4000, 512
+TABLES, PROBES, ENOUGH, BLOCK, PAIRS = 28, 2, 4000, 512, 16384
 ENTRY = "id long, part int, axis int, vector array<double>"
 
 
@@ -96,6 +96,28 @@ def _blocks(entries: DataFrame, name: str, others: DataFrame, other: str) -> Dat
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("theirs") - 1))).drop("own", "theirs"))
 
 
+def products(q: np.ndarray, v: np.ndarray, row: np.ndarray, col: np.ndarray) -> np.ndarray:
+    """Inner products of the pairs: equal vectors give equal products wherever they lie, which a matrix product doesn't promise."""
+    parts = [(q[row[i:i + PAIRS]] * v[col[i:i + PAIRS]]).sum(axis=1) for i in range(0, len(row), PAIRS)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
+def best_of(q: np.ndarray, asked: np.ndarray, v: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and product of each query's ``k`` best vectors, ties to the smaller id; a query is none of its own. The matrix product only
+    leaves out what lies below the k-th value by more than its rounding; what is left is chosen by the products that are reported."""
+    near = q @ v.T
+    near[asked[:, None] == ids[None, :]] = -np.inf
+    n = min(k, near.shape[1])
+    last = np.partition(near, near.shape[1] - n, axis=1)[:, near.shape[1] - n]
+    slack = 1e-13 * q.shape[1] * np.linalg.norm(q, axis=1) * np.linalg.norm(v, axis=1).max()
+    row, col = np.nonzero((near >= (last - slack)[:, None]) & (near > -np.inf))
+    score = products(q, v, row, col)
+    order = np.lexsort((ids[col], -score, row))
+    row, col, score = row[order], col[order], score[order]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], col[keep], score[keep]
+
+
 def _search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """``query_id, vec_id, score``: the best ``k`` of each bucket a query probes."""
     keys = ["part", "axis", "vblock", "qblock"]
@@ -111,15 +133,8 @@ def _search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64())], names=["query_id", "vec_id", "score"])
         v, q = (x.flatten().to_numpy().reshape(len(x), -1) for x in (v, q))
         asked = qs.column("id").to_numpy()
-        near = q @ v.T
-        near[asked[:, None] == ids[None, :]] = -np.inf
-        n = min(k, near.shape[1])
-        top = np.argpartition(-near, n - 1, axis=1)[:, :n]
-        row = np.repeat(np.arange(len(q)), n)
-        col = top.ravel()
-        keep = np.isfinite(near[row, col])
-        row, col = row[keep], col[keep]
-        return pa.table([pa.array(asked[row]), pa.array(ids[col]), pa.array((q[row] * v[col]).sum(axis=1))], names=["query_id", "vec_id", "score"])
+        row, col, score = best_of(q, asked, v, ids, k)
+        return pa.table([pa.array(asked[row]), pa.array(ids[col]), pa.array(score)], names=["query_id", "vec_id", "score"])
 
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
 

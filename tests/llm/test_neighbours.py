@@ -68,3 +68,29 @@ def test_few_rows_and_empty_table(spark):
 def test_hadamard_keeps_lengths():
     x = np.random.default_rng(0).standard_normal((5, 16))
     assert np.allclose(np.linalg.norm(neighbours.rotate(x, 3, 16), axis=1), np.linalg.norm(x, axis=1))
+
+
+def test_ties_at_rank_k_go_to_the_smaller_ids(spark):
+    """Sixteen equal queries, 300 vectors that tie behind them and that only the exact search meets, and others; production parameters."""
+    rng = np.random.default_rng(5)
+
+    def at(cosine, n):
+        noise = rng.standard_normal((n, 4)) * [0, 1, 1, 1]
+        return np.sqrt(1 - cosine ** 2) * noise / np.linalg.norm(noise, axis=1, keepdims=True) + cosine * np.eye(4)[0]
+
+    v = np.concatenate([at(1, 16), at(-0.9, 300), at(-0.97, 100)])
+    ids = rng.permutation(len(v))
+    got, want = check(spark, [(int(i), x) for i, x in zip(ids, v, strict=True)], k=20)
+    straddling = [int(i) for i in ids[:16] if i % 4 == 0]
+    assert straddling and all([v for _, v, _ in got[q]] == [j for _, j in want[q]] for q in straddling)
+
+
+def test_a_block_keeps_the_smallest_of_tied_ids():
+    rng = np.random.default_rng(6)
+    q, tied = rng.standard_normal((1, 64)), rng.standard_normal(64)
+    tied *= 5 / (q[0] @ tied)
+    v = np.concatenate([q * np.linspace(0.5, 1, 15)[:, None], np.tile(tied, (21, 1)), -q * rng.uniform(0.1, 1, (400, 1))])
+    for _ in range(20):
+        at = rng.permutation(len(v))
+        row, col, score = neighbours.best_of(q, np.array([-1]), v[at], at, 20)
+        assert (row == 0).all() and sorted(at[col]) == [*range(15), *range(15, 20)] and (np.diff(score) <= 0).all()
