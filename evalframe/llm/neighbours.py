@@ -6,6 +6,7 @@ probes the ``probes`` axes nearest to it (multiprobe). Candidates of a bucket ar
 ``k`` of each block (ties to the smaller id) go on to the final ranking.
 
 For the largest inner product, vectors of unequal norms get one more component that evens out the norms; the product with a query is unchanged up to scale.
+What uneven norms and padded widths cost in recall is made up by probes: unless they are given, their number is measured on a sample of the queries.
 
 Identical vectors: of each group only the ``k + 1`` smallest ids can ever be among a query's ``k`` nearest (ties go to the smaller id), so the
 others aren't entered; every one can still be a query. Buckets are dealt into blocks of at most ``BLOCK`` vectors and ``BLOCK`` queries, so a hot
@@ -22,9 +23,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evalframe.llm.graph import fresh, stage_table
+from evalframe.llm.graph import fresh, smallest_hashes, stage_table
 
 TABLES, PROBES, ENOUGH, BLOCK, PAIRS = 28, 2, 4000, 512, 16384
+SAMPLE, AIM = 128, 0.92
 ENTRY = "id long, part int, axis int, vector array<double>"
 
 
@@ -63,6 +65,17 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(fine).where(F.exists("vector", lambda x: x != 0))
 
 
+def padded(width: int) -> int:
+    """The power of two that holds the width."""
+    return 1 << max(width - 1, 1).bit_length()
+
+
+def unit_rows(raw: np.ndarray, top: float | None) -> np.ndarray:
+    """Rows at unit length; with ``top``, the largest norm, by one more component that evens out the norms."""
+    norm = np.linalg.norm(raw, axis=1, keepdims=True)
+    return raw / norm if top is None else np.concatenate([raw / top, np.sqrt(np.maximum(1 - (norm / top) ** 2, 0))], axis=1)
+
+
 def _entries(rows: DataFrame, tables: list[int], probes: int, top: float | None) -> DataFrame:
     """Rows of ENTRY. ``top``: the largest norm, if vectors are to be evened out; None for queries and for vectors of one norm."""
 
@@ -72,12 +85,8 @@ def _entries(rows: DataFrame, tables: list[int], probes: int, top: float | None)
                 continue
             ids, width = b.column(0).to_numpy(), len(b.column(1)[0])
             raw = b.column(1).flatten().to_numpy().reshape(-1, width)
-            norm = np.linalg.norm(raw, axis=1, keepdims=True)
-            if top is None:
-                unit = raw / norm
-            else:
-                unit = np.concatenate([raw / top, np.sqrt(np.maximum(1 - (norm / top) ** 2, 0))], axis=1)
-            size = 1 << max(unit.shape[1] - 1, 1).bit_length()
+            unit = unit_rows(raw, top)
+            size = padded(unit.shape[1])
             for t in tables:
                 found = axes(rotate(unit, t, size), min(probes, 2 * size))
                 n = found.shape[1]
@@ -139,12 +148,56 @@ def _search(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(run, schema)
 
 
+def needed_probes(rows: DataFrame, queries: DataFrame, tables: int, top: float | None, k: int) -> int:
+    """The fewest probes, ``PROBES`` at least, by which the tables hold ``AIM`` of the ``k`` true neighbours of ``SAMPLE`` queries (the smallest hashes of
+    their ids): those are found exactly, and each is held by a table if its axis is among the query's nearest ``probes``. Every axis probed is every vector."""
+    got = smallest_hashes(queries.withColumn("_h", F.xxhash64("id")), "_h", SAMPLE).select("id", "vector").toArrow()
+    if not got.num_rows:
+        return PROBES
+    asked, q = got.column("id").to_numpy(), _matrix(got.column("vector"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, ids, score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            own = b.column(0).to_numpy()
+            r, c, s = best_of(q, asked, _matrix(b.column(1)), own, k)
+            row, ids, score = np.concatenate([row, r]), np.concatenate([ids, own[c]]), np.concatenate([score, s])
+            order = np.lexsort((ids, -score, row))
+            row, ids, score = row[order], ids[order], score[order]
+            keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+            row, ids, score = row[keep], ids[keep], score[keep]
+        yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(ids), pa.array(score)], names=["query", "id", "score"])
+
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "id")
+    near = (rows.select("id", "vector").mapInArrow(run, "query long, id long, score double").withColumn("_n", F.row_number().over(best))
+            .where(F.col("_n") <= k).select("query", "id"))
+    pairs = rows.join(F.broadcast(near), "id").select("query", "vector").toArrow()
+    if not pairs.num_rows:
+        return PROBES
+    row, v = pairs.column("query").to_numpy(), unit_rows(_matrix(pairs.column("vector")), top)
+    u = unit_rows(q, None)
+    size = padded(v.shape[1])
+    need = np.full(len(row), 2 * size)
+    for t in range(tables):
+        place = np.argsort(axes(rotate(u, t, size), 2 * size), axis=1)  # of each axis in the query's order
+        need = np.minimum(need, place[row, axes(rotate(v, t, size), 1)[:, 0]] + 1)
+    return max(PROBES, int(np.sort(need)[int(np.ceil(AIM * len(need))) - 1]))
+
+
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of equally long lists as rows."""
+    whole = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return whole.flatten().to_numpy().reshape(len(whole), -1)
+
+
 def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, tables: int = TABLES,
-            probes: int = PROBES, enough: int = ENOUGH) -> DataFrame:
+            probes: int | None = None, enough: int = ENOUGH) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row where the column ``is_query`` holds its ``k`` nearest found (all candidates, if fewer).
 
     Score is the inner product of the original vectors in double precision; ranks run from 1, ties go to the smaller id, and a row is no candidate
-    of its own. Rows without a usable vector, or of another width than most, take no part. Ids are unique; an id that occurs twice counts once (the first by
+    of its own. Without ``probes`` a sample of the queries says how many are needed. Rows without a usable vector, or of another width than most, take no part. Ids are unique; an id that occurs twice counts once (the first by
     vector). An empty table gives no row.
     """
     ask = fresh(vectors.columns, "_ask")
@@ -165,7 +218,9 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
     top = None if most - least <= 1e-3 * most else float(most)
     index = stage_table(_entries(entered, list(range(tables)), 1, top), "index")
     width = widths[0].w + (top is not None)
-    every = 2 << max(width - 1, 1).bit_length()
+    every = 2 * padded(width)
+    if probes is None:
+        probes = needed_probes(rows, queries, tables, top, k)
     probing = _probing(queries, list(range(tables)), probes, top)
     found = _search(index, probing, k)
     held = F.broadcast(index.groupBy("part", "axis").agg(F.count("*").alias("held")))  # a row per bucket: tables times axes

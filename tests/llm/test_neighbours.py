@@ -94,3 +94,8 @@ def test_a_block_keeps_the_smallest_of_tied_ids():
         at = rng.permutation(len(v))
         row, col, score = neighbours.best_of(q, np.array([-1]), v[at], at, 20)
         assert (row == 0).all() and sorted(at[col]) == [*range(15), *range(15, 20)] and (np.diff(score) <= 0).all()
+
+
+def test_production_defaults_on_uneven_norms(spark):
+    rng = np.random.default_rng(3)
+    check(spark, [(i, x * rng.uniform(0.2, 3)) for i, x in enumerate(rng.standard_normal((3000, 64)))], k=10, recall=0.9, enough=0)
