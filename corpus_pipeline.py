@@ -13,7 +13,7 @@ from evalframe.llm.graph import stage_table
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of no language: null texts and texts without a letter."""
+    """Drop documents of no language: null texts and texts without a letter. A corpus without labels teaches no model and keeps the same documents."""
     return language.drop_undetermined(docs, language.fit(docs))
 
 

@@ -175,9 +175,21 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     return docs.select(F.col(id_col), F.col(text_col).alias("_text")).withColumn("_p", predict("_text")).select(id_col, "_p.lang_pred", "_p.score")
 
 
+def has_letter(text: str | None) -> bool:
+    """Whether a text holds a letter, by the rule of ``predict``."""
+    return any(WORD.search(c) and any(map(str.isalpha, c)) for c in text.lower().split()) if text else False
+
+
 def drop_undetermined(docs: DataFrame, model: LanguageModel, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
-    """The rows whose language is determined with ``min_score`` at least; columns unchanged, no shuffle."""
-    predict = predictor(docs.sparkSession, model)
+    """The rows whose language is determined with ``min_score`` at least; columns unchanged, no shuffle.
+
+    With ``min_score`` 0 those are the texts with a letter. A model without languages (nothing was labelled) can't tell a language or a score:
+    all texts with a letter are kept then, whatever ``min_score``.
+    """
     name = fresh(docs.columns, "_language")
+    if not model.langs:
+        lettered = F.pandas_udf(lambda texts: texts.map(has_letter).astype(bool), "boolean")
+        return docs.withColumn(name, lettered(F.col(text_col))).where(F.col(name)).drop(name)
+    predict = predictor(docs.sparkSession, model)
     return (docs.withColumn(name, predict(F.col(text_col)))
             .where((F.col(f"{name}.lang_pred") != UNDETERMINED) & (F.col(f"{name}.score") >= min_score)).drop(name))

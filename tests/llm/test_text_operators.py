@@ -61,6 +61,16 @@ def test_language_of_an_empty_training_table(spark):
     assert model.predict("some words") == ("und", 0.0)
 
 
+def test_language_stage_keeps_a_corpus_without_labels(spark):
+    from corpus_pipeline import identify_language
+    texts = ["some words", None, "", "12 345 --", "\u00b2\u00b3", "7 x", "word_1"]
+    docs = spark.createDataFrame([(i, t, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    kept = identify_language(spark, docs, "")
+    assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [0, 5, 6]
+    model = language.LanguageModel({}, {}, ["a"])
+    assert all((model.predict(t)[0] == "a") == language.has_letter(t) for t in texts)
+
+
 def test_language_backs_off_to_shorter_grams():
     model = language.LanguageModel({"known": [0.0, -9.0]}, {4: {" abc": [-1.0, -2.0]}, 3: {"xyz": [-5.0, -1.0]}, 2: {}, 1: {"q": [-3.0, -2.0]}}, ["a", "b"])
     assert [list(model.word(w)) for w in ("known", "abcxyz", "xyz", "qq", "--")] == [[0, -9], [-1, -2], [-5, -1], [-3, -2], [0, 0]]
