@@ -10,7 +10,8 @@ What uneven norms and padded widths cost in recall is made up by probes: unless
 
 Identical vectors: of each group only the ``k + 1`` smallest ids can ever be among a query's ``k`` nearest (ties go to the smaller id), so the
 others aren't entered; every one can still be a query. Buckets are dealt into blocks of at most ``BLOCK`` vectors and ``BLOCK`` queries, so a hot
-bucket is many tasks' work. A query whose probed buckets hold fewer than ``enough`` vectors in all probes every bucket of the first table, that is all vectors.
+bucket is many tasks' work. A query whose probed buckets hold fewer than ``enough`` entries in all (a vector counts once per table it is met in) probes every
+bucket of the first table, that is all vectors: small tables are compared by brute force.
 """
 
 from __future__ import annotations
