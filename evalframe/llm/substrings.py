@@ -1,7 +1,8 @@
-"""Operator 3: substring deduplication by relative Lempel-Ziv parsing.
+"""Operator 3: substring deduplication by an index of word windows, in the form of a relative Lempel-Ziv parse.
 
-Every document is parsed against a reference: all documents with smaller ids. A *factor* is a stretch of words
-copied from one place of one reference document; factors of at least ``window`` words are duplicate spans.
+Every document is held against a reference: all documents with smaller ids. A *factor* is a stretch of words
+copied from one place of one reference document; factors of at least ``window`` words are duplicate spans. They are found window
+by window and merged afterwards; no longest match is extended, so a factor ends where the smallest holder of its windows changes.
 
 The reference is indexed in blocks, each a range of hash values, and documents visit every
 block that could hold a match for them:
@@ -11,8 +12,8 @@ block that could hold a match for them:
    any other anchor cannot match and go no further.
 2. *Index.* The remaining windows are entered by hash, together with their neighbours of the same anchor. A block
    names for each window the smallest document that holds it, and gives larger ones the pieces (start, windows, source, source start) they copy.
-3. *Parse.* A document's pieces are joined greedily, left to right, into factors as long as source and position run on. Windows that straddle a factor
-   boundary have been looked up on their own, so what one factor ends another goes on with, and no window is lost.
+3. *Merge.* A document's pieces are joined, left to right, into factors as long as source and position run on. Every window, also one that straddles a factor
+   boundary, has been looked up on its own, so what one factor ends another goes on with, and no window is lost.
 
 Texts of a task are indexed together before anything is shuffled: an anchor or window that several of them share
 travels once, and the other holders' results are known at once. So a passage in a third of all documents
@@ -235,7 +236,7 @@ def with_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def factors(pieces: list[dict], window: int = WINDOW) -> list[tuple[int, int, int, int]]:
-    """Greedy parse of one document: (start, words, source_id, source_start) from left to right, pieces joined while source and position run on."""
+    """Factors of one document: (start, words, source_id, source_start) from left to right, pieces joined while source and position run on."""
     out: list[list[int]] = []
     for start, windows, source, at in sorted({(p["start"], p["windows"], p["source_id"], p["source_start"]) for p in pieces}):
         if out and out[-1][2] == source and start - out[-1][0] == at - out[-1][3] and start <= out[-1][0] + out[-1][1]:
