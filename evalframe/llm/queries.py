@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evalframe.llm import decontaminate, histogram, jaccard, language, neighbours, packing, quality, secrets, substrings, url_filter
+from evalframe.llm import (decontaminate, exact_dedup, histogram, jaccard, language, merkle, neighbours, packing, quality, secrets, substrings, url_filter,
+                           whitening)
+from evalframe.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -165,6 +167,66 @@ def op7_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", kept.alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return whitening.transform(vectors, whitening.fit(vectors))
+
+
+@query
+def op12_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    index = exact_dedup.DigestIndex(spark, work_dir(spark, "digest-index"), buckets=exact_dedup.buckets_for(docs.count()))
+    found = exact_dedup.deduplicate(docs, index, deliveries=4)
+    return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+ORACLES["op12_exact_dedup"] = """
+select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
+  row_number() over (partition by coalesce(text, '') order by doc_id desc) = 1 as kept, sha256(coalesce(text, '')) as text_sha256
+from documents window w as (partition by coalesce(text, ''))
+"""
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    docs, text = table(spark, sf, "documents"), F.col("text")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = (F.crc32(F.col("doc_id").cast("string")) % 2 == 0) & text.contains("\n")
+    tampered = F.when(changed, merkle.leaf_hash(*fields, F.replace(text, F.lit("\n"), F.lit(""))))
+    rows = docs.select("doc_id", "source", merkle.leaf_hash(*fields, text).alias("leaf"), tampered.alias("tampered"))
+    found = merkle.manifest(rows, "doc_id", "source", "leaf", ["tampered"])
+    folded = found.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return folded.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("proof")), 256).alias("proof_sha256"), "folded_root",
+                         (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+ORACLES["op13_merkle_manifest"] = """
+with recursive d as materialized (select row_number() over () as r, *, case when list_reduce([4294967295] || list_transform(range(1, length(cast(doc_id as varchar)) + 1),
+    lambda i: cast(ascii(cast(doc_id as varchar)[i]) as bigint)), lambda c, b: list_reduce([xor(c, b)] || [cast(0 as bigint) for _ in range(8)], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))) % 2 = 1
+    then replace(text, chr(10), '') else text end as other from documents),
+f as (select r, doc_id, source, other is distinct from text as changed, concat_ws('', coalesce(strlen(cast(doc_id as varchar)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+    coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(cast(n_chars as varchar)) || ':' || n_chars, '-')) as head, text, other from d),
+h as materialized (select r, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) as leaf, sha256(head || coalesce(strlen(other) || ':' || other, '-')) as tampered from f),
+placed as materialized (select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as place from h),
+up as (select source, 0 as lvl, list(leaf order by place) as l from placed group by source
+  union all select source, lvl + 1, list_transform(range(0, (len(l) + 2) // 3), lambda i: sha256(array_to_string(l[3 * i + 1:3 * i + 3], ''))) from up where len(l) > 1),
+sub as materialized (select source, max(lvl) as height, arg_max(l, lvl)[1] as subroot, row_number() over (order by source nulls first) - 1 as place from up group by source),
+top as (select 0 as lvl, list(subroot order by place) as l from sub
+  union all select lvl + 1, list_transform(range(0, (len(l) + 2) // 3), lambda i: sha256(array_to_string(l[3 * i + 1:3 * i + 3], ''))) from top where len(l) > 1),
+paths as (select r, u.lvl, p.place // cast(3 ** u.lvl as bigint) as pos, u.l from placed p join up u on p.source is not distinct from u.source where len(u.l) > 1
+  union all select p.r, s.height + t.lvl, s.place // cast(3 ** t.lvl as bigint), t.l from placed p join sub s on p.source is not distinct from s.source, top t where len(t.l) > 1),
+steps as materialized (select r, lvl, coalesce(array_to_string(l[pos // 3 * 3 + 1:pos], ''), '') as before, coalesce(array_to_string(l[pos + 2:pos // 3 * 3 + 3], ''), '') as after from paths),
+folds as (select r, 0 as lvl, tampered as acc from placed
+  union all select f.r, f.lvl + 1, sha256(before || acc || after) from folds f join steps s on f.r = s.r and f.lvl = s.lvl),
+proof as (select r, sha256(string_agg(before || after, '' order by lvl)) as proof_sha256 from steps group by r),
+last as (select r, arg_max(acc, lvl) as folded_root from folds group by r),
+root as (select arg_max(l, lvl)[1] as root from top)
+select doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) as proof_sha256, folded_root, folded_root = root as verified
+from placed left join proof using (r) join last using (r) join sub s on placed.source is not distinct from s.source, root
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     import corpus_pipeline

@@ -14,7 +14,7 @@ from evalframe.llm import queries
 from test_oracle import rows as compared
 
 NAMES = {"op1_jaccard_join", "op2_secret_scan", "op3_substring_dedup", "op4_nearest_neighbours", "op5_language", "op6_decontamination", "op7_quality", "op8_url_filter",
-         "op9_token_histogram", "op10_packing", "pipeline"}
+         "op9_token_histogram", "op10_packing", "op11_embedding_whitening", "op12_exact_dedup", "op13_merkle_manifest", "pipeline"}
 
 
 @pytest.fixture(scope="module")
