@@ -113,7 +113,8 @@ def continue_progress(state: DataFrame, summary: DataFrame, job_col: str = "job_
     """Progress per job after further lines: ``state`` is the progress before
     them (``progress_fold``'s columns and ``last_seq``, one row per job), ``summary`` the
     ``progress_summary`` of the new lines. A job's lines arrive in order of ``seq``: a line that is not behind all lines
-    counted in ``state`` fails the query, since the count at its place is no longer known. Both sides hold one row per job."""
+    counted in ``state`` fails the query, since the count at its place is no longer known (``streaming.state`` keeps
+    what late lines need). Both sides hold one row per job."""
     if "last_seq" not in state.columns:  # a state from elsewhere: the order of its lines is the caller's word
         state = state.withColumn("last_seq", F.lit(None).cast("bigint"))
     b = summary.select(F.col(job_col).alias("_b_job"), "any_set", "end_value", F.col("total_samples").alias("_b_total"),

@@ -22,6 +22,7 @@ from evalframe.plans.status_plans import PROGRESS_CTE
 from evalframe.session import work_dir
 from evalframe.sources import lines as LN
 from evalframe.sources import logs as LG
+from evalframe.sources import raw_lines as RL
 from evalframe.streaming import tables as STR
 from evalframe.streaming.runner import write_in_order
 
@@ -112,6 +113,47 @@ def q_stream_progress(spark, sf):
                                state_partitions=spark.sparkContext.defaultParallelism)
 
 
+@plan("stream_late_progress", PROGRESS_CTE + "select job_id, samples_completed, total_samples, last_update, n_lines from pf",
+      ("fx_progress",))
+def q_stream_late_progress(spark, sf):
+    """The same stream with its lines dealt over the micro-batches by chance: most come late."""
+    path = work_dir(spark, "late-lines")
+    lines = fixture(spark, sf, "fx_progress").select("job_id", "seq", "ts", "line")
+    write_in_order(lines.withColumn("turn", F.pmod(F.xxhash64("job_id", "seq"), F.lit(4))), path, "turn", pieces=4)
+    stream = LN.scan_progress_lines(spark, path, stream=True, max_files_per_trigger=_files_per_trigger(spark))
+    return STR.stream_progress(spark, stream, work_dir(spark, "stream-progress"), work_dir(spark, "ckpt"),
+                               state_partitions=spark.sparkContext.defaultParallelism)
+
+
+# ---- plain text logs ----------------------------------------------------------------------------
+
+#: A line begins where the lines before it end, each with its line end.
+_RAW_CTE = """
+, raw as (select job_id, cast(coalesce(sum(strlen(line) + 1) over (partition by job_id order by seq rows between unbounded preceding and 1 preceding), 0) as bigint) as seq, line from fx_progress)
+"""
+
+
+def _raw_logs(spark, sf):
+    """The fixture's lines as text logs, one file a job."""
+    return RL.write_raw_logs(fixture(spark, sf, "fx_progress"), work_dir(spark, "raw-logs"))
+
+
+@plan("scan_raw_lines", _RAW_CTE + "select job_id, seq, line from raw", ("fx_progress",))
+def q_scan_raw_lines(spark, sf):
+    """Text logs as a table, a job's log read by several tasks."""
+    lines = RL.scan_raw_lines(spark, _raw_logs(spark, sf), range_bytes=1 << 16)
+    return lines.select(F.col("job_id").cast("bigint").alias("job_id"), "seq", "line")
+
+
+@plan("stream_raw_progress", PROGRESS_CTE + "select job_id, samples_completed, total_samples, n_lines from pf", ("fx_progress",))
+def q_stream_raw_progress(spark, sf):
+    """Text logs followed as a stream, folded to the progress of each job."""
+    lines = RL.scan_raw_lines(spark, _raw_logs(spark, sf), stream=True, range_bytes=1 << 16)
+    found = STR.stream_progress(spark, lines, work_dir(spark, "stream-progress"), work_dir(spark, "ckpt"),
+                                state_partitions=spark.sparkContext.defaultParallelism)
+    return found.select(F.col("job_id").cast("bigint").alias("job_id"), "samples_completed", "total_samples", "n_lines")
+
+
 @plan("stream_log_tail", r"""
 select job_id, seq, regexp_replace(line, '\s+$', '') as line
 from (select *, row_number() over (partition by job_id order by seq desc) as rn from fx_progress) t where rn <= 200""",
@@ -163,6 +205,18 @@ def q_stream_score(spark, sf):
     return STR.stream_score(spark, stream, score, work_dir(spark, "stream-scores"), work_dir(spark, "ckpt"))
 
 
+@plan("stream_eval_results", CHOICE_SCORES_CTE + "select 'telelogs' as task, model, sample_id, epoch, answer, value from choice_scores",
+      CHOICE_FIXTURES)
+def q_stream_eval_results(spark, sf):
+    """Scores appended to a result table by task and model as completions land."""
+    path = work_dir(spark, "completion-files")
+    write_in_order(fixture(spark, sf, "fx_completions"), path, "sample_id", pieces=3)
+    stream = spark.readStream.schema(COMPLETION_SCHEMA).option("maxFilesPerTrigger", _files_per_trigger(spark)).parquet(path)
+    samples = choice_samples(spark, sf).select("sample_id", "choices", "target")
+    scores = score_choice_table(stream.join(samples, "sample_id"), ["model", "sample_id", "epoch"]).withColumn("task", F.lit("telelogs"))
+    return STR.stream_eval_results(spark, scores, work_dir(spark, "stream-results"), work_dir(spark, "ckpt"))
+
+
 # ---- user-defined surface -----------------------------------------------------------------------
 
 @TK.scorer("exact_group", metrics=("accuracy", "stderr"))

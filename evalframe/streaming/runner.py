@@ -1,5 +1,5 @@
 """Helpers to drive file streams: feed a folder in order, run a query with
-``availableNow`` into ``foreachBatch``, keep tables that batches update by key."""
+``availableNow`` into ``foreachBatch``, keep what batches emit, read a query's state."""
 
 from __future__ import annotations
 
@@ -8,6 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Where a stateful query keeps its state: RocksDB on the executors, changes of each batch in the checkpoint. Avro rows let fields be
+#: added to a state's schema between runs.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.encodingFormat": "avro",
+}
+
 
 def write_in_order(df: DataFrame, path: str, order_col: str, pieces: int, fmt: str = "parquet",
                    key_col: str | None = None) -> str:
@@ -15,8 +23,7 @@ def write_in_order(df: DataFrame, path: str, order_col: str, pieces: int, fmt: s
     one write after another, so a file stream sees the ranges in that order.
     Each range is written by all tasks in parallel (never funnelled into one
     file); with ``key_col`` the rows of a range are clustered by key, so a
-    key's rows of one range sit in one file and reach a stateful stream in
-    order. (For feeding fixtures; real producers append files as they go.)"""
+    key's rows of one range sit in one file. (For feeding fixtures; real producers append files as they go.)"""
     lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
     if lo is None:
         return path
@@ -30,104 +37,64 @@ def write_in_order(df: DataFrame, path: str, order_col: str, pieces: int, fmt: s
     return path
 
 
-def start_with_partitions(writer, spark: SparkSession, shuffle_partitions: int | None):
-    """Start a query whose shuffles (and state store) use ``shuffle_partitions``.
-    A query copies the session's settings when it starts, and a checkpointed
-    query keeps its state partitioning for life; the session's own setting is
-    restored right after the start."""
-    if not shuffle_partitions:
-        return writer.start()
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+def start_with(writer, spark: SparkSession, settings: dict[str, str]):
+    """Start a query under ``settings``. A query copies the session's settings when it starts, and a checkpointed
+    query keeps its state partitioning and store for life; the session's own settings are restored right after the start."""
+    old = {k: spark.conf.get(k, None) for k in settings}
     try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         return writer.start()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def run_available_now(stream: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None],
-                      output_mode: str = "append", shuffle_partitions: int | None = None) -> None:
+                      output_mode: str = "append", shuffle_partitions: int | None = None, stateful: bool = False) -> None:
     """Process everything available now, batch by batch, then stop. The
     checkpoint makes a restarted query resume after the last committed batch."""
     w = (stream.writeStream.outputMode(output_mode).foreachBatch(on_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True))
-    q = start_with_partitions(w, stream.sparkSession, shuffle_partitions)
+    settings = (STATE_STORE if stateful else {}) | ({"spark.sql.shuffle.partitions": str(shuffle_partitions)} if shuffle_partitions else {})
+    q = start_with(w, stream.sparkSession, settings)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 
 
-class KeyedTable:
-    """A table of one or a few rows per key that micro-batches update.
-
-    Keys are dealt into ``buckets`` by hash. A batch reads and rewrites the buckets of its own keys only, under
-    ``batch=<id>/_bucket=<b>``, and then writes a mark ``manifest/batch_id=<id>`` that names the current version of every
-    bucket; so the cost of a batch follows the keys that moved, not all keys ever seen. Running a batch again writes the same
-    versions again. A restarted driver finds the state in the newest mark; marks that are there and cannot be read are an error, and
-    so is a stream whose batches are behind the table (it has another checkpoint). The newest ``retain`` marks and the versions
-    that they name are kept."""
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, key: str, buckets: int = 64, retain: int = 3):
-        self.spark, self.path, self.schema, self.key, self.buckets, self.retain = spark, path, schema, key, buckets, max(int(retain), 2)
-        self.manifest = f"{path}/manifest"
-        self.marks: dict[int, dict[int, int]] = {}
-        if self._fs(self.manifest)[0].exists(self._fs(self.manifest)[1]):
-            rows = spark.read.schema("bucket int, version long, batch_id long").option("basePath", self.manifest).parquet(self.manifest).collect()
-            for r in rows:  # at most retain x buckets rows
-                self.marks.setdefault(int(r.batch_id), {})[r.bucket] = r.version
-
-    def _fs(self, path: str):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    @property
-    def last(self) -> int | None:
-        return max(self.marks) if self.marks else None
-
-    def _read(self, versions: dict[int, int]) -> DataFrame:
-        if not versions:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/batch={v}/_bucket={b}" for b, v in sorted(versions.items())])
-
-    def _bucket(self):
-        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
-
-    def before(self, batch_id: int, keys: DataFrame | None = None) -> DataFrame:
-        """The rows before a batch; with ``keys``, those of the buckets that hold one of them."""
-        older = [b for b in self.marks if b < batch_id]
-        versions = self.marks[max(older)] if older else {}
-        if keys is not None:
-            touched = {r[0] for r in keys.select(self._bucket()).distinct().collect()}  # at most one row per bucket
-            versions = {b: v for b, v in versions.items() if b in touched}
-        return self._read(versions)
+def read_state(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
+    """The state variable ``name`` of a stateful query as a table, as of its last batch: ``key``, and ``value`` or ``list_element``."""
+    return spark.read.format("statestore").option("path", checkpoint).option("stateVarName", name).load()
+
+
+class BatchTable:
+    """What each micro-batch of a stream emits, as plain Parquet under ``batch_id=<id>``.
+
+    A batch that runs again (after a failure) replaces its own folder and no other, so the table is the same however often a batch is repeated. ``partition_by``
+    splits a batch's rows further, so that results of a task and model can be read alone."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: str, partition_by: tuple[str, ...] = ()):
+        self.spark, self.path, self.schema, self.partition_by = spark, path, schema, tuple(partition_by)
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
-        """``rows``: all rows of every bucket that the batch touches."""
-        if self.last is not None and batch_id < self.last:
-            raise ValueError(f"{self.path} is at batch {self.last}, the stream at {batch_id}: another checkpoint wrote this table")
-        out = f"{self.path}/batch={batch_id}"
-        rows.withColumn("_bucket", self._bucket()).repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(out)
-        fs, p = self._fs(out)
-        written = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(p) if s.isDirectory()]
-        older = [b for b in self.marks if b < batch_id]
-        mark = (self.marks[max(older)] if older else {}) | {b: batch_id for b in written}
-        (self.spark.createDataFrame([(b, v) for b, v in mark.items()], "bucket int, version long").coalesce(1)
-         .write.mode("overwrite").parquet(f"{self.manifest}/batch_id={batch_id}"))
-        self.marks[batch_id] = mark
-        self._prune()
-
-    def current(self) -> DataFrame:
-        return self._read({} if self.last is None else self.marks[self.last])
-
-    def _prune(self) -> None:
-        """Drop old marks, then the versions that no mark names."""
-        for b in sorted(self.marks)[:-self.retain]:
-            self._delete(f"{self.manifest}/batch_id={b}")
-            named = {(k, v) for m, versions in self.marks.items() if m != b for k, v in versions.items()}
-            for bucket, version in self.marks.pop(b).items():
-                if (bucket, version) not in named:
-                    self._delete(f"{self.path}/batch={version}/_bucket={bucket}")
-
-    def _delete(self, path: str) -> None:
-        fs, p = self._fs(path)
-        fs.delete(p, True)
+        w = rows.write.mode("overwrite")
+        (w.partitionBy(*self.partition_by) if self.partition_by else w).parquet(f"{self.path}/batch_id={batch_id}")
+
+    def read(self) -> DataFrame:
+        """All batches' rows, with ``batch_id``."""
+        sc = self.spark.sparkContext
+        p = sc._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p):
+            return self.spark.createDataFrame([], f"{self.schema}, batch_id bigint")
+        return self.spark.read.schema(f"{self.schema}, batch_id bigint").parquet(self.path)
+
+    def newest(self, *keys: str) -> DataFrame:
+        """Of each key the row of its newest batch."""
+        all_ = self.read()
+        columns = [c for c in all_.columns if c not in keys and c != "batch_id"]
+        best = all_.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch_id").alias("_row"))
+        return best.select(*keys, *[F.col("_row")[c].alias(c) for c in columns])

@@ -1,13 +1,20 @@
 """Streaming operators: restart from the checkpoint keeps the state."""
 
 import datetime as dt
+import random
 
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evalframe.operators import progress as PR
 from evalframe.sources import lines as LN
+from evalframe.streaming import state as S
 from evalframe.streaming import tables as STR
-from evalframe.streaming.runner import write_in_order
+from evalframe.streaming.runner import BatchTable, read_state, write_in_order
 
 
 def _lines(spark, start, n, jobs=3):
@@ -59,51 +66,138 @@ def test_feeder_keeps_each_jobs_range_in_one_file(spark, tmp_path):
     assert back.count() == 600
 
 
-def _keyed(spark, path, **options):
-    from evalframe.streaming.runner import KeyedTable
-    return KeyedTable(spark, path, "k long, v long", "k", **options)
-
-
-def test_a_batch_writes_the_buckets_of_its_keys_only(spark, tmp_path):
-    path = str(tmp_path / "kt")
-    t = _keyed(spark, path, buckets=16)
-    t.write(spark.range(1000).selectExpr("id as k", "0L as v"), 0)
-    one = spark.createDataFrame([(7, 1)], "k long, v long")
-    old = t.before(1, one)
-    assert 0 < old.count() < 200
-    t.write(old.filter("k != 7").unionByName(one), 1)
-    assert len([p for p in (tmp_path / "kt" / "batch=1").iterdir() if p.is_dir()]) == 1
-    assert t.current().count() == 1000 and t.current().filter("v = 1").count() == 1
-    again = _keyed(spark, path, buckets=16)     # a restarted driver
-    assert again.last == 1 and sorted(tuple(r) for r in again.current().collect()) == sorted(tuple(r) for r in t.current().collect())
-    again.write(again.before(1, one).filter("k != 7").unionByName(spark.createDataFrame([(7, 5)], "k long, v long")), 1)   # replay
-    assert again.current().count() == 1000 and again.current().filter("k = 7").first().v == 5
-
-
-def test_keyed_table_keeps_a_bounded_history(spark, tmp_path):
-    t = _keyed(spark, str(tmp_path / "kt"), buckets=2, retain=2)
-    for b in range(6):
-        row = spark.createDataFrame([(b % 2, b)], "k long, v long")
-        t.write(t.before(b, row).filter(f"k != {b % 2}").unionByName(row), b)
-    assert sorted(t.marks) == [4, 5] and sorted(tuple(r) for r in t.current().collect()) == [(0, 4), (1, 5)]
-    kept = [p for p in (tmp_path / "kt").glob("batch=*/_bucket=*")]
-    assert len(kept) <= 4 and len(list((tmp_path / "kt" / "manifest").glob("batch_id=*"))) == 2
-
-
-def test_keyed_table_refuses_foreign_and_unreadable_state(spark, tmp_path):
-    import pytest
-    path = str(tmp_path / "kt")
-    _keyed(spark, path).write(spark.createDataFrame([(1, 1)], "k long, v long"), 7)
-    with pytest.raises(ValueError, match="another checkpoint"):
-        _keyed(spark, path).write(spark.createDataFrame([(2, 2)], "k long, v long"), 0)
-    for f in (tmp_path / "kt" / "manifest").rglob("*.parquet"):
-        f.write_bytes(b"not parquet")
-    with pytest.raises(Exception):  # noqa: B017 - whatever the reader says; it must not look like a new table
-        _keyed(spark, path)
+PATTERNS = ('{{"progress":{{"completed":{n}}}}}', '{{"results":{{"completed_samples":{n},"total_samples":{t}}}}}', '{{"sample":{{"index":{n},"total":{t}}}}}',
+            '{{"sample":{{"completed":{n}}}}}', '{{"event":"sample","completed":{n}}}', "INFO {n}")
+
+
+def _random_lines(n, seed, jobs=("a", "b", None)):
+    rng = random.Random(seed)
+    t0 = dt.datetime(2024, 1, 1)
+    return [(rng.choice(jobs), i, t0 + dt.timedelta(seconds=i), rng.choice(PATTERNS[:2] if rng.random() < 0.1 else PATTERNS[2:]).format(n=rng.randrange(50), t=rng.randrange(90)))
+            for i in range(n)]
+
+
+LINES = "job_id string, seq long, ts timestamp_ntz, line string"
+
+
+def _progress(rows):
+    return sorted(map(tuple, rows), key=str)
+
+
+def test_late_and_shuffled_lines_equal_the_batch_fold(spark, tmp_path):
+    rows = _random_lines(900, 3)
+    src = str(tmp_path / "src")
+    shuffled = random.Random(4).sample(rows, len(rows))
+    columns = ["job_id", "samples_completed", "total_samples", "last_update", "n_lines"]
+    for at in range(0, 900, 300):                       # each batch holds lines from anywhere, each run is a restart
+        spark.createDataFrame(shuffled[at:at + 300], LINES).repartition(3).write.mode("append").parquet(src)
+        stream = LN.scan_progress_lines(spark, src, stream=True, schema=T._parse_datatype_string(LINES))
+        got = STR.stream_progress(spark, stream, str(tmp_path / "out"), str(tmp_path / "ckpt"), state_partitions=2)
+        want = PR.progress_fold(spark.createDataFrame(shuffled[:at + 300], LINES))
+        assert _progress(got.select(columns).collect()) == _progress(want.select(columns).collect())
+    table = BatchTable(spark, str(tmp_path / "out"), "job_id string, samples_completed long, total_samples long, last_update timestamp_ntz, n_lines long")
+    assert _progress(table.newest("job_id").select(columns).collect()) == _progress(got.select(columns).collect())
+    stairs = read_state(spark, str(tmp_path / "ckpt"), "stairs").collect()
+    assert len(stairs) <= 3 * 50                        # distinct counts a job, whatever the number of lines
+
+
+EVENTS = st.lists(st.tuples(st.booleans(), st.integers(-3, 9)), max_size=12)
+
+
+@given(EVENTS, st.randoms())
+@settings(max_examples=300, deadline=None)
+def test_summaries_merge_in_any_order(events, rng):
+    c = 0
+    for is_set, v in events:
+        c = v if is_set else max(c, v)
+    none = (None, None, [], None, None, None, None, 0)
+    parts = [(seq, v, [], None, None, seq, seq, 1) if is_set else (None, None, [(seq, v)], seq, v, seq, seq, 1) for seq, (is_set, v) in enumerate(events)]
+    rng.shuffle(parts)
+    while len(parts) > 1:                               # any bracketing
+        at = rng.randrange(len(parts) - 1)
+        parts[at:at + 2] = [S.merged(parts[at], parts[at + 1])]
+    got = S.merged(none, parts[0]) if parts else none
+    assert S.count(got) == c and got[7] == len(events) and got[5] == (len(events) - 1 if events else None)
+    stairs = got[2]
+    assert stairs == sorted(stairs) and all(a[1] > b[1] for a, b in zip(stairs, stairs[1:]))
+
+
+def test_tail_takes_late_lines_and_a_new_state_field(spark, tmp_path, monkeypatch):
+    src, ckpt = str(tmp_path / "src"), str(tmp_path / "ckpt")
+
+    def run():
+        return STR.stream_log_tail(spark, LN.scan_progress_lines(spark, src, stream=True), str(tmp_path / "t"), ckpt, n=4, state_partitions=2)
+
+    lines = _lines(spark, 0, 60, jobs=2)
+    lines.where("seq % 3 = 0").repartition(2).write.parquet(src)
+    run()
+
+    class Wider(S.TailState):                           # a later version keeps one field more
+        def init(self, handle):
+            self.tail = handle.getListState("tail", "seq bigint, line string, level string")
+
+        def handleInputRows(self, key, rows, timer_values):
+            held = [(x[0], x[1], x[2]) for x in self.tail.get()] if self.tail.exists() else []
+            held = sorted([*held, *((r.seq, r.line, "new") for r in rows)])[-self.n:]
+            self.tail.put(held)
+            yield Row(job_id=key[0], n_lines=len(held))
+
+    lines.where("seq % 3 != 0").repartition(2).write.mode("append").parquet(src)
+    monkeypatch.setattr(S, "TailState", Wider)
+    tail = run()
+    assert sorted(map(tuple, tail.collect())) == sorted(map(tuple, PR.log_tail(lines, 4).collect()))
+    levels = {r[0].level: 0 for r in read_state(spark, ckpt, "tail").select("list_element").collect()}
+    assert set(levels) == {None, "new"}
+
+
+def test_run_status_counts_follow_the_newest_rows(spark, tmp_path):
+    schema = "run_id string, job_id string, status string, last_update timestamp_ntz, update_seq int"
+    t0 = dt.datetime(2024, 1, 1)
+    day = dt.timedelta(days=1)
+    batches = [[("r1", "a", "running", t0 + day, 1), ("r1", "b", "queued", None, 0), ("r2", None, "queued", t0, 0)],
+               [("r1", "a", "queued", t0, 0), ("r1", "b", "running", t0, 1), ("r1", "b", "complete", t0, 2)],       # the first row is late
+               [("r2", "b", "failed", t0 + day, 0), ("r2", None, "queued", t0, 1)]]                                     # a job moves to another run
+    want = [{"r1": (2, 0, 0, 0, 1, 1), "r2": (1, 0, 0, 0, 0, 1)}, {"r1": (2, 1, 0, 0, 1, 0), "r2": (1, 0, 0, 0, 0, 1)}, {"r1": (1, 0, 0, 0, 1, 0), "r2": (2, 0, 1, 0, 0, 1)}]
+    for rows, counts_then in zip(batches, want):
+        spark.createDataFrame(rows, schema).repartition(2).write.mode("append").parquet(str(tmp_path / "src"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "src"))
+        jobs, counts = STR.stream_run_status(spark, stream, str(tmp_path / "t"), str(tmp_path / "c"), schema, state_partitions=2)
+        assert {r[0]: tuple(r[1:]) for r in counts.collect()} == counts_then
+    assert sorted((r.job_id or "", r.status) for r in jobs.collect()) == [("", "queued"), ("a", "running"), ("b", "failed")]
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark, tmp_path):
+    table = BatchTable(spark, str(tmp_path / "t"), "task string, model string, v long", ("task", "model"))
+    assert table.read().count() == 0
+    rows = spark.createDataFrame([("t", "a", 1), ("t", "b", 2), ("u", "a", 3)], "task string, model string, v long")
+    table.write(rows, 0)
+    table.write(rows.limit(1), 1)
+    table.write(rows.limit(1), 1)
+    table.write(rows, 0)                                # a replay of the first batch
+    assert sorted((r.task, r.model, r.v, r.batch_id) for r in table.read().collect()) == [("t", "a", 1, 0), ("t", "a", 1, 1), ("t", "b", 2, 0), ("u", "a", 3, 0)]
+    assert (tmp_path / "t" / "batch_id=0" / "task=u" / "model=a").is_dir()
+
+
+def test_results_sink_repeats_a_batch_that_failed(spark, tmp_path, monkeypatch):
+    schema = "task string, model string, sample_id long, value double"
+    rows = [("t", f"m{i % 3}", i, i / 7) for i in range(40)]
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(str(tmp_path / "src"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "src"))
+    real = BatchTable.write
+
+    def half_way(self, batch, batch_id):
+        real(self, batch.limit(5), batch_id)
+        raise RuntimeError("the driver is lost")
+
+    monkeypatch.setattr(BatchTable, "write", half_way)
+    with pytest.raises(Exception, match="the driver is lost"):
+        STR.stream_eval_results(spark, stream, str(tmp_path / "t"), str(tmp_path / "c"))
+    monkeypatch.setattr(BatchTable, "write", real)
+    got = STR.stream_eval_results(spark, stream, str(tmp_path / "t"), str(tmp_path / "c"))
+    assert sorted(map(tuple, got.collect())) == rows or sorted(map(tuple, got.collect())) == sorted(rows)
 
 
 def test_late_lines_fail_instead_of_miscounting(spark):
-    import pytest
     from evalframe.operators import progress as PR
     schema = "job_id long, seq long, ts timestamp_ntz, line string"
     line = lambda n: f'{{"progress":{{"completed":{n}}}}}'
