@@ -9,7 +9,7 @@ A job appends lines to a text file of its own. The source reads such files as a
 range was planned: a plain log says no more about when a line came.
 
 A task reads a range of bytes of one file: the lines that begin in it, however far the last of them reaches. A large log
-is therefore many tasks, and a task holds one block of bytes and the line it is in. A stream's offset is the byte behind the last complete line of every file; what a job
+is therefore many tasks, short logs share one, and a task holds one block of bytes and the line it is in. A stream's offset is the byte behind the last complete line of every file; what a job
 has written of its next line is left for the batch that sees its end. A file that has become shorter than the offset fails the stream.
 The table reads a last line without an end as well.
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 import datetime as dt
 import fnmatch
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -36,8 +36,7 @@ ROWS = 8192
 _ARROW = pa.schema([("job_id", pa.string()), ("seq", pa.int64()), ("ts", pa.timestamp("us")), ("line", pa.string())])
 
 
-@dataclass
-class LogRange(InputPartition):
+class LogRange(NamedTuple):
     """Lines that begin in bytes ``[start, end)`` of a file; nothing behind ``limit`` is read."""
 
     path: str
@@ -47,8 +46,12 @@ class LogRange(InputPartition):
     limit: int
     modified: int
 
-    def __init__(self, path: str, job: str, start: int, end: int, limit: int, modified: int):
-        self.path, self.job, self.start, self.end, self.limit, self.modified = path, job, start, end, limit, modified
+
+class LogTask(InputPartition):
+    """What one task reads: a range, or the ranges of several short files."""
+
+    def __init__(self, ranges: list[LogRange]):
+        self.ranges = ranges
 
 
 class LogFiles:
@@ -86,6 +89,17 @@ class LogFiles:
         job, step = self.job_of(path), self.range_bytes
         return [LogRange(path, job, at, min(at + step, end), limit, modified) for at in range(start, end, step)]
 
+    def tasks(self, ranges: list[LogRange]) -> list[LogTask]:
+        """Ranges dealt to tasks, in order, ``range_bytes`` a task at most."""
+        out, room = [], 0
+        for r in ranges:
+            if not out or r.end - r.start > room:
+                out.append(LogTask([]))
+                room = self.range_bytes
+            out[-1].ranges.append(r)
+            room -= r.end - r.start
+        return out
+
     def whole_lines(self, path: str, size: int, least: int) -> int:
         """The byte behind the last line end before ``size``; ``least`` is known to be one (or 0)."""
         with self.fs.open_input_file(path) as f:
@@ -149,13 +163,12 @@ class LogTableReader(DataSourceReader):
     def __init__(self, options):
         self.files = LogFiles(options)
 
-    def partitions(self) -> Sequence[LogRange]:
-        out = [r for path, size, modified in self.files.listed() for r in self.files.ranges(path, 0, size, size, modified)]
-        return out or [LogRange("", "", 0, 0, 0, 0)]
+    def partitions(self) -> Sequence[LogTask]:
+        return self.files.tasks([r for path, size, modified in self.files.listed() for r in self.files.ranges(path, 0, size, size, modified)]) or [LogTask([])]
 
-    def read(self, partition: LogRange) -> Iterator[pa.RecordBatch]:
-        if partition.path:
-            yield from self.files.read(partition)
+    def read(self, partition: LogTask) -> Iterator[pa.RecordBatch]:
+        for r in partition.ranges:
+            yield from self.files.read(r)
 
 
 class LogStreamReader(DataSourceStreamReader):
@@ -176,17 +189,18 @@ class LogStreamReader(DataSourceStreamReader):
                 self.seen[path] = (size, modified, self.files.whole_lines(path, size, least))
         return {path: end for path, (_, _, end) in sorted(self.seen.items()) if end}
 
-    def partitions(self, start: dict, end: dict) -> Sequence[LogRange]:
+    def partitions(self, start: dict, end: dict) -> Sequence[LogTask]:
         now, out = {path: (size, modified) for path, size, modified in self.files.listed()}, []
         for path, to in sorted(end.items()):
             at = start.get(path, 0)
             if to < at or to > at and now.get(path, (0, 0))[0] < to:
                 raise ValueError(f"{path} is shorter than what was read of it")
             out += self.files.ranges(path, at, to, to, now[path][1]) if to > at else []
-        return out
+        return self.files.tasks(out)
 
-    def read(self, partition: LogRange) -> Iterator[pa.RecordBatch]:
-        yield from self.files.read(partition)
+    def read(self, partition: LogTask) -> Iterator[pa.RecordBatch]:
+        for r in partition.ranges:
+            yield from self.files.read(r)
 
 
 class JobLogSource(DataSource):
