@@ -21,6 +21,7 @@ from evalframe.plans.registry import plan
 from evalframe.plans.status_plans import PROGRESS_CTE
 from evalframe.session import work_dir
 from evalframe.sources import lines as LN
+from evalframe.sources import log_rows as LRW
 from evalframe.sources import logs as LG
 from evalframe.sources import raw_lines as RL
 from evalframe.streaming import tables as STR
@@ -89,6 +90,28 @@ def q_read_eval_logs(spark, sf):
                        F.try_variant_get("doc", "$.folder", "int").alias("folder"))
 
 
+def _sample_logs(spark, sf):
+    """A log for each model and epoch, with all its samples and their scores; every third sample's grade is a letter, the others' a number."""
+    scores = choice_scores(spark, sf)
+    grade = F.when(F.col("sample_id") % 3 == 0, F.when(F.col("value") == 1, '"C"').otherwise('"I"')).otherwise(F.col("value").cast("int").cast("string"))
+    sample = F.format_string('{"id":%d,"epoch":%d,"scores":{"choice":{"value":%s,"answer":"%s"},"answered":{"value":%s}}}', "sample_id", "epoch", grade, "answer",
+                             (F.col("answer") != "").cast("string"))
+    logs = scores.groupBy("model", "epoch").agg(F.concat_ws(",", F.collect_list(sample)).alias("samples"), F.count("*").alias("n"))
+    body = F.format_string('{"status":"success","eval":{"task":"telelogs","model":"%s"},"results":{"total_samples":%d},"samples":[%s]}', "model", "n", "samples")
+    path = work_dir(spark, "sample-logs")
+    logs.select(F.concat("model", F.lit("-"), F.col("epoch")).alias("log"), body.alias("value")).write.partitionBy("log").text(path)
+    return LG.read_eval_logs(spark, [path], glob="*.txt", nested=True)
+
+
+@plan("read_log_samples", CHOICE_SCORES_CTE + """
+select model, cast(sample_id as varchar) as sample_id, epoch, 'choice' as scorer, value, answer from choice_scores
+union all select model, cast(sample_id as varchar), epoch, 'answered', case when answer <> '' then 1.0 else 0.0 end, null from choice_scores""", CHOICE_FIXTURES)
+def q_read_log_samples(spark, sf):
+    """Logs to sample rows, kept as shredded Parquet, and from there to score rows."""
+    stored = LRW.write_log_samples(LRW.log_samples(_sample_logs(spark, sf)), work_dir(spark, "log-samples"))
+    return LRW.log_scores(LRW.scan_log_samples(spark, stored)).select("model", "sample_id", "epoch", "scorer", "value", "answer")
+
+
 # ---- streaming -------------------------------------------------------------------------------
 
 
