@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from evalframe.fixtures import fixture
 from evalframe.functions import scalars as S
 from evalframe.operators import rubric as RB
+from evalframe.operators import rubric_checks as RC
 from evalframe.operators import samples as SM
 from evalframe.plans.registry import plan
 from evalframe.plans.sample_plans import rubric_values_sql
@@ -129,3 +130,27 @@ from (select sample_id, f, case f when 0 then 55 when 1 then 51 when 2 then 51 w
 def q_score_subscriber_rubric(spark, sf):
     c = _configs(spark, sf, "fx_sub_yaml", "fx_sub_truth")
     return _scored("ue_provisioning", c, {"imsi": "req_imsi", "sd": "req_sd"})
+
+
+_ALL_MARKS = {"slice_deployment": ("fx_slice_yaml", _SLICE_MARKS, 80, "when 2 then 'unparseable' else 'valid'"), "amf_configuration": ("fx_amf_yaml", _AMF_MARKS, 55, "when 5 then 'minor' else 'valid'"),
+              "ue_provisioning": ("fx_sub_yaml", _SUB_MARKS, 55, "when 99 then '' else 'valid'")}
+_BY_CHECKS = " union all ".join(f"""
+select sample_id, rubric, status, criteria, cast(total as int) as total, round(total * 100.0 / {most}, 9) as score from (select *, list_sum(list_transform(string_split(criteria, ' '),
+  lambda x: cast(string_split(x, '=')[2] as int))) as total from (select sample_id, '{key}' as rubric, case f {status} end as status, {marks} from {table}) a) b"""
+                                for key, (table, marks, most, status) in _ALL_MARKS.items())
+
+
+@plan("score_rubric_checks", _BY_CHECKS, ("fx_slice_yaml", "fx_amf_yaml", "fx_sub_yaml"))
+def q_score_rubric_checks(spark, sf):
+    """Submissions of all three kinds in one table, scored by the rubrics' check rows."""
+    inputs = {"slice_deployment": ("fx_slice_yaml", "fx_slice_truth"), "amf_configuration": ("fx_amf_yaml", "fx_amf_truth"), "ue_provisioning": ("fx_sub_yaml", "fx_sub_truth")}
+    names = ["sst", "sd", "region", "tac", "mcc", "mnc", "imsi"]
+    parts = []
+    for key, tables in inputs.items():
+        c = _configs(spark, sf, *tables)
+        parts.append(c.select("sample_id", F.lit(key).alias("rubric"), "submission", "reference", *[(F.col(f"req_{n}") if f"req_{n}" in c.columns else F.lit(None)).cast("string").alias(n) for n in names]))
+    out = RC.score_by_checks(parts[0].unionByName(parts[1]).unionByName(parts[2]), *RC.suite_checks(spark), task_cols={n: n for n in names})
+    order = {k: F.array(*[F.lit(c) for c, _ in r.criteria]) for k, r in RB.RUBRICS.items()}
+    ids = F.coalesce(*[F.when(F.col("rubric") == k, a) for k, a in order.items()])
+    marks = F.array_join(F.transform(ids, lambda c: F.concat(c, F.lit("="), F.try_element_at("criteria", c).cast("string"))), " ")
+    return out.select("sample_id", "rubric", "status", marks.alias("criteria"), "total", F.round("score", 9).alias("score"))
