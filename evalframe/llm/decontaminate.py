@@ -95,12 +95,13 @@ class ItemIndex:
 
 
 def item_blocks(benchmark: DataFrame, item_col: str, text_col: str, block_chars: int) -> Iterator[list[tuple]]:
-    """Distinct items in blocks whose text is about ``block_chars`` characters; each is collected on its own."""
+    """Distinct items in blocks whose text is about ``block_chars`` characters; each is collected on its own. All texts of one id are in one block,
+    where the best of them counts."""
     items = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).where("t is not null").distinct()
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_chars))
     for b in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == b)
+        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b)
         yield [(r.i, r.t) for r in part.sort("i", "t").collect()]
 
 
