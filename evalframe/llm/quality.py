@@ -31,21 +31,24 @@ CACHE = 200_000
 _RUNS = re.compile(r"(.)\1+")
 _LOWER, _UPPER, _DIGIT = re.compile(r"[^\W\d_]"), re.compile(r"[A-ZÀ-ÖØ-Þ]"), re.compile(r"\d")
 
-_cache: dict[str, tuple[int, int]] = {}
+_cache: dict[str, tuple[int, tuple[int, ...]]] = {}
 
 
 def shape(chunk: str) -> str:
-    """``Hello,`` is ``Aa,``; runs are collapsed and twelve signs are kept."""
+    """``Hello,`` is ``Aa,``; runs are collapsed."""
     out = _UPPER.sub("\x01", chunk)
     out = _DIGIT.sub("0", _LOWER.sub("a", out)).replace("\x01", "A")
-    return _RUNS.sub(r"\1", out)[:12]
+    return _RUNS.sub(r"\1", out)
 
 
-def _dimensions(chunk: str) -> tuple[int, int]:
+def _dimensions(chunk: str) -> tuple[int, tuple[int, ...]]:
+    """A chunk's word term, and a shape term for each twelve signs of its whole shape."""
     got = _cache.get(chunk)
     if got is None:
         core = chunk.lower().strip(".,;:!?()\"'*$%&#|")
-        got = (zlib.crc32(core.encode("utf-8", "replace")) % WORDS, WORDS + zlib.crc32(shape(chunk[:64]).encode("utf-8", "replace")) % SHAPES)
+        form = shape(chunk)
+        pieces = [form[i:i + 12] for i in range(0, len(form), 12)]
+        got = (zlib.crc32(core.encode("utf-8", "replace")) % WORDS, tuple(zlib.crc32(p.encode("utf-8", "replace")) % SHAPES for p in pieces))
         if len(_cache) >= CACHE:
             _cache.clear()
         if len(chunk) <= 64:
@@ -60,9 +63,10 @@ def terms(text: str | None) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
     counts = Counter(chunks)
     n = np.fromiter(counts.values(), np.float64, len(counts))
-    dims = np.array([_dimensions(c) for c in counts], np.int64)
-    words = np.bincount(dims[:, 0], np.log1p(n), WORDS)
-    shapes = np.sqrt(np.bincount(dims[:, 1] - WORDS, n, SHAPES) / len(chunks))
+    dims = [_dimensions(c) for c in counts]
+    words = np.bincount([w for w, _ in dims], np.log1p(n), WORDS)
+    pieces = np.fromiter((p for _, ps in dims for p in ps), np.int64)
+    shapes = np.sqrt(np.bincount(pieces, np.repeat(n, [len(ps) for _, ps in dims]), SHAPES) / len(chunks))
     repeats = np.zeros(REPEATS)
     np.add.at(repeats, np.minimum(np.log2(n).astype(int), 15), n / len(chunks))
     same = sum(map(str.__eq__, chunks, chunks[1:])) / len(chunks)
