@@ -74,7 +74,7 @@ select page_id, host, path, rule, case when rule in ('net/', 'example.com/de/')
 
 @query
 def op9_token_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return histogram.token_counts(table(spark, sf, "documents"))
+    return histogram.token_counts(table(spark, sf, "documents"), limits=(512, 1024, 2048, 4096, 8192), quantiles=(0.5, 0.9, 0.99))
 
 
 @query
