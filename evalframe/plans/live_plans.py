@@ -3,6 +3,9 @@
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -272,6 +275,25 @@ def q_custom_metric(spark, sf):
     return round9(TK.METRICS["any_correct"](choice_scores(spark, sf), ["model"]), "any_correct")
 
 
+def _entropy(counts):
+    n = sum(counts.values())
+    return -sum(c / n * math.log(c / n) for c in sorted(counts.values())) if n else None
+
+
+@TK.aggregate_metric("answer_entropy", ["answer"], init=Counter, merge=lambda a, b: a + b, finish=_entropy)
+def answer_entropy(counts, rows):
+    """User metric by a mergeable aggregate: entropy of the answers given."""
+    counts.update(a for a in rows["answer"].to_pylist() if a)
+    return counts
+
+
+@plan("custom_aggregate_metric", CHOICE_SCORES_CTE + """
+select model, epoch, round(-sum(n / total * ln(n / total)), 9) as answer_entropy from (select model, epoch, cast(count(*) as double) as n,
+  sum(count(*)) over (partition by model, epoch) as total from choice_scores where answer <> '' group by model, epoch, answer) t group by model, epoch""", CHOICE_FIXTURES)
+def q_custom_aggregate_metric(spark, sf):
+    return round9(TK.METRICS["answer_entropy"](choice_scores(spark, sf), ["model", "epoch"]), "answer_entropy")
+
+
 @TK.scorer("boxed_number", metrics=("accuracy", "stderr"))
 def boxed_number(completion, target):
     return SC.score_boxed(completion, target)

@@ -3,7 +3,8 @@
 A scorer is a Python function that returns Columns (``value``, ``answer``,
 optionally ``explanation``) from the columns of a completions-with-targets
 DataFrame; it stays in the JVM unless the function itself chooses a pandas
-UDF. A metric is a function (scores DataFrame, keys) -> DataFrame. A task
+UDF. A metric is a function (scores DataFrame, keys) -> DataFrame, or a mergeable
+aggregate of four small functions. A task
 bundles dataset, prompt, scorer and metrics under a name; running it is a
 composition of DataFrame functions.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evalframe.operators import metrics as M
+from evalframe.operators.aggregates import Aggregate, aggregate
 from evalframe.operators.samples import expand_work_grid
 
 ScorerFn = Callable[..., dict[str, Column]]
@@ -66,6 +68,15 @@ def metric(name: str | None = None):
     return deco
 
 
+def aggregate_metric(name: str, columns: Sequence[str], init: Callable, merge: Callable, finish: Callable):
+    """Register a metric by its mergeable aggregate (see ``operators.aggregates``); the decorated function is its ``update``."""
+    def deco(update: Callable) -> Callable:
+        made = Aggregate(name, tuple(columns), init, update, merge, finish)
+        METRICS[name] = lambda scores, keys: aggregate(scores, made, keys)
+        return update
+    return deco
+
+
 def apply_scorer(df: DataFrame, name: str, keep: Sequence[str], **cols) -> DataFrame:
     out = SCORERS[name].fn(**cols)
     return df.select(*keep, *[c.alias(k) for k, c in out.items()])
