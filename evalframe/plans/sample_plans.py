@@ -13,6 +13,7 @@ from evalframe.operators import generate as G
 from evalframe.operators import prompts as PM
 from evalframe.operators import samples as SM
 from evalframe.plans.common import CHOICE_FIXTURES, CHOICE_SCORES_CTE, choice_samples, choice_scores
+from evalframe.operators.selection import first_samples
 from evalframe.plans.registry import plan
 from evalframe.session import work_dir
 from evalframe.sources import datasets as DS
@@ -250,3 +251,12 @@ select jp.sample_id, j.judge_model, 'Checked the rubric.' || chr(10) || '$FINAL_
 from jp cross join (values ('judge-a'), ('judge-b')) j(judge_model)""", ("fx_yaml_answers",))
 def q_generate_judgements(spark, sf):
     return G.generate_judgements(_judge_prompts(spark, sf), stub_grader, ["judge-a", "judge-b"])
+
+
+@plan("limit_samples_many", """
+select model, sample_id, epoch, turn from (select model, sample_id, epoch, sample_id % 50 as turn, row_number() over (partition by model order by sample_id % 50, sample_id * 100 + epoch) as rn from fx_completions) t
+where rn <= (select count(*) // 5 from fx_completions)""", ("fx_completions",))
+def q_limit_samples_many(spark, sf):
+    """A fifth of all completions for each model, by a column of many ties."""
+    rows = fixture(spark, sf, "fx_completions").select("model", "sample_id", "epoch", (F.col("sample_id") % 50).alias("turn"), (F.col("sample_id") * 100 + F.col("epoch")).alias("place"))
+    return first_samples(rows, rows.count() // 5, "model", "turn", "place", bins=64, most=500).drop("place")
