@@ -42,7 +42,7 @@ def line_updates(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Adds ``has_set``, ``contrib`` (the line's value if it SETs, else its
     RAISE or NULL) and ``total`` (last total the line states). The payload is
     parsed once, in its own projection."""
-    parsed = lines.withColumn("_p", P.json_object(line_col, PAYLOAD))
+    parsed = lines.withColumn("_pair", P.json_pair(line_col, PAYLOAD)).withColumn("_p", P.first_object("_pair")).drop("_pair")
     p = F.col("_p")
     staged = parsed.withColumn("_set", F.coalesce(p["progress"]["completed"], p["results"]["completed_samples"])) \
         .withColumn("_raise", F.greatest(p["sample"]["completed"], p["sample"]["index"] + 1,

@@ -50,7 +50,15 @@ def score_working_group_table(df: DataFrame, keep: Sequence[str], completion: st
 
 def parse_judge_json_table(df: DataFrame, keep: Sequence[str], output: str = "judge_output") -> DataFrame:
     """Adds ``judge_doc`` (the object's fields as texts, NULL when the reply holds no JSON object)."""
-    return df.select(*keep, F.col(output).alias("judge_output"), P.parse_judge_json(output).alias("judge_doc"))
+    return _judge_docs(df, keep, output).drop("_text")
+
+
+def _judge_docs(df: DataFrame, keep: Sequence[str], output: str) -> DataFrame:
+    """``judge_output``, the object's text ``_text`` and ``judge_doc``. Each step is used several times by the next, so each is a projection
+    of its own: one regex and one JSON parse a reply."""
+    said = df.select(*keep, F.col(output).alias("judge_output"), P.judge_json_text(output).alias("_text"))
+    pairs = said.select("*", P.json_pair("_text", P.JUDGE_JSON_SCHEMA).alias("_pair"))
+    return pairs.select(*keep, "judge_output", "_text", P.first_object("_pair").alias("judge_doc"))
 
 
 def score_judge_json_table(df: DataFrame, keep: Sequence[str], output: str = "judge_output") -> DataFrame:
@@ -60,7 +68,7 @@ def score_judge_json_table(df: DataFrame, keep: Sequence[str], output: str = "ju
     Python dict there: an object without reasoning explains itself as JSON, and a
     JSON null reasoning counts as none."""
     keep = list(keep)
-    s = parse_judge_json_table(df, keep, output)
+    s = _judge_docs(df, keep, output)
     v, failed = F.col("judge_doc"), F.col("judge_doc").isNull()
     fields = [P.judge_number(v, k).alias(k) for k in P.JUDGE_JSON_FIELDS[:6]]
     fields += [v["is_safe"].try_cast("boolean").alias("is_safe"), v["reasoning"].alias("reasoning")]
@@ -69,7 +77,7 @@ def score_judge_json_table(df: DataFrame, keep: Sequence[str], output: str = "ju
         F.coalesce(P.judge_number(v, "overall_score"), F.lit(0.0)).alias("value"),
         F.col("judge_output").alias("answer"),
         F.when(failed, F.concat(F.lit("Failed to parse JSON: "), F.col("judge_output")))
-         .otherwise(F.coalesce(v["reasoning"], P.judge_json_text("judge_output"))).alias("explanation"),
+         .otherwise(F.coalesce(v["reasoning"], F.col("_text"))).alias("explanation"),
         (~failed).alias("parsed"),
         *fields)
 
