@@ -32,7 +32,7 @@ def test_what_was_paid_is_found_again(spark, tmp_path):
     calls, journal = tmp_path / "calls", str(tmp_path / "journal")
     calls.mkdir()
     rows = work(spark)
-    lost = G.generate_completions(rows, client(str(calls), fail_after=90), max_connections=4, journal=journal, call_rows=7)
+    lost = G.generate_completions(rows, client(str(calls), fail_after=90), max_connections=1, journal=journal, call_rows=7)
     with pytest.raises(Exception, match="the executor is lost"):
         lost.collect()
     first = paid(calls)
@@ -60,7 +60,7 @@ def test_the_same_query_after_a_loss_goes_on(spark, tmp_path):
             open(f"{calls}/{i}.{uuid.uuid4().hex}", "w").close()
         return [str(i) for i in pdf["sample_id"]]
 
-    made = G.generate_completions(work(spark, 120), answer, max_connections=2, journal=journal, call_rows=5)
+    made = G.generate_completions(work(spark, 120), answer, max_connections=1, journal=journal, call_rows=5)
     with pytest.raises(Exception, match="lost"):
         made.collect()
     again = made.select("*")                     # the same plan, which knows nothing of the journal's rows: the tasks find them
