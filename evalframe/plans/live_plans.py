@@ -277,7 +277,7 @@ def q_custom_metric(spark, sf):
 
 def _entropy(counts):
     n = sum(counts.values())
-    return -sum(c / n * math.log(c / n) for c in sorted(counts.values())) if n else None
+    return 0.0 - sum(c / n * math.log(c / n) for c in sorted(counts.values())) if n else None
 
 
 @TK.aggregate_metric("answer_entropy", ["answer"], init=Counter, merge=lambda a, b: a + b, finish=_entropy)
@@ -288,8 +288,9 @@ def answer_entropy(counts, rows):
 
 
 @plan("custom_aggregate_metric", CHOICE_SCORES_CTE + """
-select model, epoch, round(-sum(n / total * ln(n / total)), 9) as answer_entropy from (select model, epoch, cast(count(*) as double) as n,
-  sum(count(*)) over (partition by model, epoch) as total from choice_scores where answer <> '' group by model, epoch, answer) t group by model, epoch""", CHOICE_FIXTURES)
+select model, epoch, round(cast(0 as double) - sum(n / total * ln(n / total)) filter (n > 0), 9) as answer_entropy from (select model, epoch,
+  cast(count(*) filter (answer <> '') as double) as n, sum(count(*) filter (answer <> '')) over (partition by model, epoch) as total
+  from choice_scores group by model, epoch, answer) t group by model, epoch""", CHOICE_FIXTURES)
 def q_custom_aggregate_metric(spark, sf):
     return round9(TK.METRICS["answer_entropy"](choice_scores(spark, sf), ["model", "epoch"]), "answer_entropy")
 
