@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from evalframe.operators import metrics as M
 from evalframe.operators.aggregates import Aggregate, aggregate
+from evalframe.operators.batch_scorer import DEFAULT_BYTES, BatchScorerFn, score_batches
 from evalframe.operators.samples import expand_work_grid
 
 ScorerFn = Callable[..., dict[str, Column]]
@@ -28,8 +29,9 @@ MetricFn = Callable[[DataFrame, Sequence[str]], DataFrame]
 @dataclass(frozen=True)
 class ScorerDef:
     name: str
-    fn: ScorerFn
+    fn: ScorerFn | BatchScorerFn
     metrics: tuple[str, ...]
+    batch_bytes: int | None = None      # of a scorer over batches
 
 
 SCORERS: dict[str, ScorerDef] = {}
@@ -60,6 +62,14 @@ def scorer(name: str | None = None, metrics: Sequence[str] = ("accuracy", "stder
     return deco
 
 
+def batch_scorer(name: str | None = None, metrics: Sequence[str] = ("accuracy", "stderr"), batch_bytes: int = DEFAULT_BYTES):
+    """Register a scorer over batches of rows (see ``operators.batch_scorer``) with its default metrics."""
+    def deco(fn: BatchScorerFn) -> BatchScorerFn:
+        SCORERS[name or fn.__name__] = ScorerDef(name or fn.__name__, fn, tuple(metrics), batch_bytes)
+        return fn
+    return deco
+
+
 def metric(name: str | None = None):
     """Register an aggregate over (sample, epoch) scores."""
     def deco(fn: MetricFn) -> MetricFn:
@@ -78,7 +88,10 @@ def aggregate_metric(name: str, columns: Sequence[str], init: Callable, merge: C
 
 
 def apply_scorer(df: DataFrame, name: str, keep: Sequence[str], **cols) -> DataFrame:
-    out = SCORERS[name].fn(**cols)
+    known = SCORERS[name]
+    if known.batch_bytes:
+        return score_batches(df, known.fn, keep, cols, known.batch_bytes)
+    out = known.fn(**cols)
     return df.select(*keep, *[c.alias(k) for k, c in out.items()])
 
 

@@ -41,7 +41,7 @@ def rows(pdf):
 
 SUITE_KEYS = {"eval_teleqna", "eval_telelogs", "eval_three_gpp", "eval_telemath", "eval_old_three_gpp",
               "eval_teleyaml", "eval_legacy_teleyaml", "eval_set", "run_report"}
-MORE_KEYS = {"limit_samples_many", "custom_aggregate_metric", "score_rubric_checks", "read_log_samples", "scan_raw_lines", "stream_raw_progress", "stream_late_progress", "stream_eval_results"}
+MORE_KEYS = {"custom_batch_scorer", "limit_samples_many", "custom_aggregate_metric", "score_rubric_checks", "read_log_samples", "scan_raw_lines", "stream_raw_progress", "stream_late_progress", "stream_eval_results"}
 
 
 def test_all_keys_registered():
