@@ -254,19 +254,19 @@ def exact_group(completion, target):
 
 @TK.batch_scorer("strict_group", batch_bytes=1 << 16)
 def strict_group(rows):
-    """User scorer over batches; a reply of more than four words is none that it can score."""
+    """User scorer over batches; a reply that names two groups is none that it can score."""
     answers = []
     for reply in rows["completion"]:
-        if len((reply or "").split(" ")) > 4:
-            raise ValueError("too long")
+        if "," in (reply or ""):
+            raise ValueError("two groups")
         answers.append((reply or "").lower())
     return {"value": [float(a == t.lower()) for a, t in zip(answers, rows["target"])], "answer": answers}
 
 
 @plan("custom_batch_scorer", """
-select sample_id, case when long then null when lower(coalesce(completion, '')) = lower(target) then 1.0 else 0.0 end as value,
-  case when not long then lower(coalesce(completion, '')) end as answer, case when long then 'ValueError: too long' end as error
-from (select *, len(string_split(coalesce(completion, ''), ' ')) > 4 as long from fx_working_group) t""", ("fx_working_group",))
+select sample_id, case when two then null when lower(coalesce(completion, '')) = lower(target) then 1.0 else 0.0 end as value,
+  case when not two then lower(coalesce(completion, '')) end as answer, case when two then 'ValueError: two groups' end as error
+from (select *, strpos(coalesce(completion, ''), ',') > 0 as two from fx_working_group) t""", ("fx_working_group",))
 def q_custom_batch_scorer(spark, sf):
     w = fixture(spark, sf, "fx_working_group")
     return TK.apply_scorer(w, "strict_group", ["sample_id"], completion=F.col("completion"), target=F.col("target")).drop("explanation")
