@@ -16,9 +16,9 @@ Sets are split by size at a boundary chosen by cost (``light_limit``):
 
 Scanning a list links every member to the list's smallest member only (candidates, linear in the list);
 components of these candidates are verified exactly: each distinct set goes once to its component's
-task, where sets are compared by counting over a local inverted index until all that can be connected is (no pair is tested
-whose ends are already connected). Components of more than ``block`` shingles are split into blocks (see ``_large``), so
-no task's memory follows a hot group. Equal sets are one node all along.
+task, where sets that share one of their rarest shingles are compared until all that can be connected is (see ``link_sets``). Components of
+more than ``block`` shingles are first cut to the sets that share rare shingles (see ``_refined``); what is still larger, groups of near
+copies, is split into blocks (see ``_large``), so no task's memory follows a hot group. Equal sets are one node all along.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ RUN = 3
 LIST_COST = 2
 BLOCK = 4_000_000
 SEEN = 100_000
+#: Sets that one step of a hub's comparison takes.
+TOGETHER = 4096
 
 
 def run_length(t: float) -> int:
@@ -100,9 +102,9 @@ def node_of(s: np.ndarray) -> int:
     return int(mix(mix(s, 7).sum(dtype=np.uint64, keepdims=True), len(s))[0].astype(np.int64))
 
 
-def _prepared(docs: DataFrame, text_col: str, k: int, t: float, sep, fold) -> DataFrame:
+def _prepared(docs: DataFrame, text_col: str, k: int, t: float, sep, fold, exact: bool) -> DataFrame:
     """Row-wise: ``_id, _key, n, node, keys``; a task gives the keys of equal sets once (its map-side combine)."""
-    light, runs, w = light_limit(t), reach(t), run_length(t)
+    light, runs, w = light_limit(t), 1 << 40 if exact else reach(t), run_length(t)
     schema = T.StructType([*docs.select("_id", "_key").schema, T.StructField("n", T.LongType()), T.StructField("node", T.LongType()),
                            T.StructField("keys", T.ArrayType(T.LongType()))])
 
@@ -148,37 +150,57 @@ class _Union:
 def link_sets(sets: list[np.ndarray], t: float, hubs: list[int] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(root, links tested so far) of each set, connected exactly as the links among the sets connect them.
 
-    A *hub* is compared with all sets at once by counting over an inverted index. Once every set outside the largest component has been a
-    hub, no untested pair can connect anything. With ``hubs`` given, just these are compared with all.
+    Shingles are ordered by the number of sets that hold them, rare ones first. Linked sets share one of the first ``missing + 1`` shingles of
+    both, so a passage that many sets have in common brings no two of them together as long as they have enough rarer shingles.
+    A *hub* is compared with all sets that share one of these with it. Once every set outside the largest component has been a
+    hub, no untested pair can connect anything. With ``hubs`` given, just these are compared.
     """
     n = len(sets)
     size = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(n), size)
-    tokens, token = np.unique(np.concatenate(sets), return_inverse=True)
-    order = np.argsort(token, kind="stable")
-    first = np.searchsorted(token[order], np.arange(len(tokens) + 1))
-    posting, df = owner[order], np.diff(first)
+    _, token, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(df), np.int64)
+    rank[np.argsort(df, kind="stable")] = np.arange(len(df))
+    token = rank[token]
+    token = token[np.lexsort((token, owner))]
     start = np.concatenate([[0], np.cumsum(size)])
-    union, degree, done = _Union(n), np.zeros(n, np.int64), np.zeros(n, bool)
-    weight = np.add.reduceat(df[token], start[:-1]) / np.maximum(size, 1)
+    head = 1 + size - -(-size * round(t * 10_000) // 10_000)
+    early = np.arange(len(token)) - start[owner] < head[owner]
+    by = np.argsort(token[early], kind="stable")
+    posting, held = owner[early][by], token[early][by]
+    first = np.searchsorted(held, np.arange(len(df) + 1))
+    met = np.diff(first)
+    weight = np.add.reduceat(met[token] * early, start[:-1])
+    union, degree = _Union(n), np.zeros(n, np.int64)
+    done, mark = weight <= head, np.zeros(len(df), bool)  # nobody else holds their first shingles
 
     def compare(h: int) -> None:
-        own = token[start[h]:start[h + 1]]
-        lengths = df[own]
-        at = np.repeat(first[own] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-        shared = np.bincount(posting[at], minlength=n)
-        hit = np.flatnonzero(_linked(shared, size + size[h] - shared, t))
-        done[h], degree[h] = True, len(hit)
-        root = union.find(h)
-        for i in hit.tolist():
-            other = union.find(i)
-            if other != root:
-                root, other = min(root, other), max(root, other)
-                union.up[other] = root
+        done[h] = True
+        own = token[start[h]:start[h] + head[h]]
+        others = np.unique(np.concatenate([posting[first[x]:first[x + 1]] for x in own]))
+        others = others[_linked(np.minimum(size[others], size[h]), np.maximum(size[others], size[h]), t)]
+        whole = token[start[h]:start[h + 1]]
+        mark[whole] = True
+        for at in range(0, len(others), TOGETHER):
+            some = others[at:at + TOGETHER]
+            lengths = size[some]
+            ends = np.cumsum(lengths)
+            place = np.repeat(start[some] - ends + lengths, lengths) + np.arange(ends[-1])
+            shared = np.add.reduceat(mark[token[place]].astype(np.int64), ends - lengths)
+            hit = some[_linked(shared, lengths + size[h] - shared, t)]
+            degree[h] += len(hit)
+            root = union.find(h)
+            for i in hit.tolist():
+                other = union.find(i)
+                if other != root:
+                    root, other = min(root, other), max(root, other)
+                    union.up[other] = root
+        mark[whole] = False
 
     if hubs is not None:
         for h in hubs:
-            compare(h)
+            if not done[h]:
+                compare(h)
         return union.roots(), degree
     compare(int(np.argmax(weight)))
     while True:
@@ -187,10 +209,11 @@ def link_sets(sets: list[np.ndarray], t: float, hubs: list[int] | None = None) -
         outside = np.flatnonzero(~done & (roots != np.argmax(count)))
         if not len(outside):
             return union.roots(), degree
-        rank = outside[np.argsort(-weight[outside], kind="stable")]
-        for h in rank[:max(1, len(rank) // 8)]:
-            if union.find(h) != int(np.argmax(count)):
-                compare(int(h))
+        order = outside[np.argsort(-weight[outside], kind="stable")]
+        largest = int(np.argmax(count))
+        for h in order[:max(1, len(order) // 8)].tolist():
+            if union.find(h) != union.find(largest):
+                compare(h)
 
 
 def _linked(shared: np.ndarray, union: np.ndarray, t: float) -> np.ndarray:
@@ -248,15 +271,41 @@ def _large(sets: DataFrame, t: float) -> DataFrame:
             .unionByName(crossing))
 
 
+def _refined(sets: DataFrame, t: float, block: int) -> DataFrame:
+    """``sets`` of components above one block, with the labels and blocks of smaller ones: of the sets that share one of their first
+    ``missing + 1`` shingles, rare ones in the component first. Linked sets share one, so no link is lost; sets without a partner are left out.
+
+    Shingles are counted and ranked as rows (plain joins and windows), so nothing of a component meets in one task."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, raw in enumerate(b.column(2)):
+                token = np.frombuffer(raw.as_py(), np.int64)
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.full(len(token), b.column(c)[i].as_py(), np.int64)) for c in (0, 1)), pa.array(token)], ["label", "node", "token"])
+
+    tokens = stage_table(sets.select("label", "node", "shingles").mapInArrow(cut, "label long, node long, token long"), "tokens")
+    df = tokens.groupBy("label", "token").agg(F.count("*").alias("df"))
+    ranked = tokens.join(df, ["label", "token"]).withColumn("at", F.row_number().over(Window.partitionBy("label", "node").orderBy("df", "token")))
+    sizes = tokens.groupBy("label", "node").agg(F.count("*").alias("n"))
+    head = F.expr(f"n - (n * {round(t * 10_000)} + 9999) div 10000 + 1")
+    early = stage_table(ranked.where("df > 1").join(sizes, ["label", "node"]).where(F.col("at") <= head).select("label", "token", "node"), "early")
+    heads = early.groupBy("label", "token").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("label", "token", "head")
+    stars = early.join(heads, ["label", "token"]).where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    labels = connected_components(stars).select("node", F.col("component").alias("label"))
+    labelled = stage_table(labels.join(sizes.drop("label"), "node"), "refined")
+    blocks = labelled.groupBy("label").agg(F.ceil(F.sum("n") / F.lit(block)).alias("blocks"))
+    again = labelled.join(blocks, "label").select("node", "label", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
+    return sets.select("node", "shingles").join(again, "node").select(sets.columns)
+
+
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``_id, _key, _text``: the key tells rows apart that differ in id or text."""
     return docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("_key"), F.col(text_col).alias("_text"))
 
 
-def _components(rows: DataFrame, k: int, threshold: float, sep: np.ndarray, fold: bool, block: int) -> tuple[DataFrame, DataFrame]:
+def _components(rows: DataFrame, k: int, threshold: float, sep: np.ndarray, fold: bool, block: int, exact: bool) -> tuple[DataFrame, DataFrame]:
     """All rows' ``_id, _key, n, node``, and ``node, root, first`` of the distinct sets: root names the component, first is the
     smallest (id missing, id, key) with that set."""
-    table = stage_table(_prepared(rows, "_text", k, threshold, sep, fold), "sets")
+    table = stage_table(_prepared(rows, "_text", k, threshold, sep, fold, exact), "sets")
     entries = table.where("keys is not null").select(F.explode("keys").alias("key"), "node")
     heads = entries.groupBy("key").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("key", "head")
     scanned = entries.join(heads, "key").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
@@ -271,8 +320,12 @@ def _components(rows: DataFrame, k: int, threshold: float, sep: np.ndarray, fold
     several = wanted.where("blocks > 1").limit(1).count() > 0
     if several:
         sets = stage_table(sets, "shingles")
-        found = _roots(sets.where("blocks = 1"), ["label"], threshold).select(F.col("node").alias("a"), F.col("root").alias("b"))
-        found = connected_components(found.unionByName(_large(sets.where("blocks > 1"), threshold)))
+        parts = stage_table(_refined(sets.where("blocks > 1"), threshold, block), "parts")
+        small = sets.where("blocks = 1").unionByName(parts.where("blocks = 1"))
+        found = _roots(small, ["label"], threshold).select(F.col("node").alias("a"), F.col("root").alias("b"))
+        if parts.where("blocks > 1").limit(1).count():
+            found = found.unionByName(_large(parts.where("blocks > 1"), threshold))
+        found = connected_components(found)
     else:
         found = _roots(sets, ["label"], threshold).select("node", F.col("root").alias("component"))
     named = nodes.select("node", "first").join(found, "node", "left").select("node", "first", F.coalesce("component", "node").alias("root"))
@@ -280,15 +333,15 @@ def _components(rows: DataFrame, k: int, threshold: float, sep: np.ndarray, fold
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, threshold: float = 0.9,
-                       sep: np.ndarray = SPACES, fold: bool = True, block: int = BLOCK) -> DataFrame:
+                       sep: np.ndarray = SPACES, fold: bool = True, block: int = BLOCK, exact: bool = False) -> DataFrame:
     """``id_col, n_shingles, component_id`` per document row.
 
     Words are runs of non-separators, A-Z folded if ``fold``. ``component_id`` is the smallest id reachable over links, the row's own included.
     A text with fewer than ``k`` words has its whole sequence as the only shingle; a null or empty one, or one
     without words, has no shingle and is linked with nothing. Repeated rows and rows with equal sets are linked. Null ids are kept, and never the smallest. Other columns
-    aren't read; an empty table gives no row.
+    aren't read; an empty table gives no row. With ``exact`` every run of a heavy set is entered, so that no chance is involved (about eight times the entries for texts of 300 words).
     """
-    table, named = _components(_keyed(docs, id_col, text_col), k, threshold, sep, fold, block)
+    table, named = _components(_keyed(docs, id_col, text_col), k, threshold, sep, fold, block, exact)
     smallest = named.groupBy("root").agg(F.min("first").id.alias("smallest"))
     ids = named.join(smallest, "root").select("node", "smallest")
     return (table.join(ids, "node", "left")
@@ -297,9 +350,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, threshold: float = 0.8,
-             sep: np.ndarray = SPACES, fold: bool = True, block: int = BLOCK) -> DataFrame:
+             sep: np.ndarray = SPACES, fold: bool = True, block: int = BLOCK, exact: bool = False) -> DataFrame:
     """One row of each component (the smallest id, then key), all columns unchanged. Rows without shingles are linked with nothing and stay."""
-    table, named = _components(_keyed(docs, id_col, text_col), k, threshold, sep, fold, block)
+    table, named = _components(_keyed(docs, id_col, text_col), k, threshold, sep, fold, block, exact)
     chosen = named.groupBy("root").agg(F.min("first").key.alias("_key")).select("_key", F.lit(False).alias("_every"))
     kept = chosen.unionByName(table.where("node is null").select("_key", F.lit(True).alias("_every")).distinct())
     key, every, number = (fresh(docs.columns, c) for c in ("_key", "_every", "_number"))

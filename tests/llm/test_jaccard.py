@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -71,6 +72,62 @@ def test_near_copies_of_one_document_are_one_component(spark):
         assert sorted((tuple(r) for r in got), key=str) == brute(rows, 3, 90)[0]
 
 
+def passage_documents(n, own, rng):
+    """Unlinked documents with a passage of 27 words in common."""
+    passage = " ".join(f"p{i}" for i in range(27))
+    return [(i, passage + " " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(own))) for i in range(n)]
+
+
+def test_a_shared_passage_brings_no_sets_together():
+    """Sets of 40 shingles that share 25, none linked: only the links are tested, so four times the sets take far less than sixteen times."""
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 2**63, 25, dtype=np.uint64)
+    took = []
+    for n in (4000, 16000):
+        sets = [np.unique(np.concatenate([passage, rng.integers(0, 2**63, 15, dtype=np.uint64)])) for _ in range(n)]
+        sets[7] = np.unique(np.append(sets[3][1:], sets[3][0]))  # a copy
+        at = time.process_time()
+        roots, _ = jaccard.link_sets(sets, 0.9)
+        took.append(time.process_time() - at)
+        assert roots[7] == roots[3] and len(np.unique(roots)) == n - 1
+    assert took[1] < 8 * max(took[0], 0.5)
+
+
+def test_links_equal_all_pairs():
+    rng = np.random.default_rng(3)
+    for t in (0.8, 0.9):
+        base = [rng.integers(0, 2**63, int(rng.integers(1, 60)), dtype=np.uint64) for _ in range(6)]
+        sets = []
+        for _ in range(150):
+            s = base[rng.integers(6)]
+            s = np.append(s[rng.random(len(s)) > 0.06], rng.integers(0, 2**63, int(rng.integers(0, 3)), dtype=np.uint64))
+            sets.append(np.unique(s if len(s) else base[0]))
+        want = jaccard._Union(len(sets))
+        for i in range(len(sets)):
+            for j in range(i):
+                shared = len(np.intersect1d(sets[i], sets[j]))
+                if jaccard._linked(np.array(shared), np.array(len(sets[i]) + len(sets[j]) - shared), t):
+                    a, b = sorted((want.find(i), want.find(j)))
+                    want.up[b] = a
+        assert jaccard.link_sets(sets, t)[0].tolist() == want.roots().tolist()
+
+
+def test_a_component_of_many_blocks_is_cut_by_rare_shingles(spark):
+    rng = random.Random(8)
+    rows = passage_documents(150, 15, rng)
+    rows += [(1000 + i, t + (" more" if i % 2 else "")) for i, (_, t) in enumerate(rows[:20])]
+    got = jaccard.jaccard_components(frame(spark, rows), block=600).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 3, 90)[0]
+
+
+def test_every_run_is_entered_if_exact(spark):
+    rows = documents(seed=6, n=40)
+    got = jaccard.jaccard_components(frame(spark, rows), exact=True).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(rows, 3, 90)[0]
+    s = np.arange(1, 1001, dtype=np.uint64)
+    assert len(jaccard.signatures(s, 0.9, 5, 1 << 40, jaccard.RUN)) == 998
+
+
 def test_empty_table(spark):
     assert jaccard.jaccard_components(empty(spark)).collect() == []
     assert jaccard.keep_one(empty(spark)).collect() == []
