@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from evalframe.llm.graph import fresh
 
 MASK = "[SECRET]"
+#: Elements of one chunk of a running sum, and code points of one piece of a text.
+PIECE, SIGNS = 64, 4096
 SPAN = "array<struct<start:bigint,kind_no:int,stop:bigint,kind:string>>"
 
 
@@ -147,24 +149,57 @@ def candidates(index: DataFrame, queries: dict[str, Query], key: str = "_key") -
     return had.select(key, rules.alias("_rules")).where(F.size("_rules") > 0)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _before(values: Column, fold) -> Column:
+    """For each element of an array of longs, ``fold`` (sum or largest, from 0) over the elements before it. In chunks of ``PIECE`` elements, and
+    of ``PIECE`` chunks' folds, so that the work for an element doesn't grow with the array."""
+    zero = F.lit(0).cast("bigint")
+
+    def over(part: Column) -> Column:
+        return F.aggregate(part, zero, fold)
+
+    def chunked(array: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(array) - 1) / PIECE).cast("int")), lambda c: F.slice(array, c * PIECE + 1, F.lit(PIECE)))
+
+    def within(chunks: Column, bases: Column) -> Column:
+        return F.flatten(F.transform(chunks, lambda chunk, c: F.transform(
+            chunk, lambda _, i: fold(F.get(bases, c), over(F.slice(chunk, F.lit(1), i))))))
+
+    def plain(array: Column) -> Column:
+        return F.transform(array, lambda _, i: over(F.slice(array, F.lit(1), i)))
+
+    def scan(array: Column, levels: int) -> Column:
+        if not levels:
+            return plain(array)
+        return _let(chunked(array), lambda chunks: _let(scan_of(F.transform(chunks, over), levels - 1), lambda bases: within(chunks, bases)))
+
+    def scan_of(array: Column, levels: int) -> Column:
+        return _let(array, lambda x: scan(x, levels))
+
+    return F.when(F.size(values) == 0, F.expr("cast(array() as array<bigint>)")).otherwise(scan_of(values, 2))
+
+
 def _spans(text: Column, rule: Rule, number: int) -> Column:
     """Matches of one rule with their code point positions: the text's pieces between matches tell where each match starts."""
-    pattern = F.lit(rule.pattern)
-    gaps = F.split(text, rule.pattern, -1)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    sized = F.transform(F.arrays_zip(found.alias("m"), F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("g")),
-                        lambda x: F.struct(F.length(x["m"]).alias("m"), F.length(x["g"]).alias("g")))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr(f"cast(array() as {SPAN})").alias("out"))
+    gaps = F.transform(F.split(text, rule.pattern, -1), lambda g: F.length(g).cast("bigint"))
+
+    def lengths(group: int) -> Column:
+        return F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(group)), lambda m: F.length(m).cast("bigint"))
 
-    def step(acc, x):
-        begin = acc["at"] + F.length(x["gap"])
-        stop = begin + x["size"]["m"]
-        span = F.struct(begin.alias("start"), F.lit(number).alias("kind_no"), stop.alias("stop"), F.lit(rule.kind).alias("kind"))
-        kept = F.when(x["size"]["g"] >= rule.shortest, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
-        return F.struct(stop.alias("at"), kept.cast(SPAN).alias("out"))
+    def placed(found: Column, kept: Column, gap: Column) -> Column:
+        widths = F.zip_with(F.slice(gap, F.lit(1), F.size(found)), found, lambda g, m: g + m)
+        return _let(_before(widths, lambda x, y: x + y), lambda start: F.transform(found, lambda m, i: F.struct(
+            (F.get(start, i) + F.get(gap, i)).alias("start"), F.lit(number).alias("kind_no"), (F.get(start, i) + F.get(gap, i) + m).alias("stop"),
+            F.lit(rule.kind).alias("kind"), F.get(kept, i).alias("size"))))
 
-    rows = F.zip_with(F.slice(gaps, 1, F.greatest(F.size(gaps) - 1, F.lit(0))), sized, lambda g, s: F.struct(g.alias("gap"), s.alias("size")))
-    return F.aggregate(rows, start, step, lambda acc: acc["out"])
+    sized = _let(gaps, lambda gap: _let(lengths(0), lambda found: placed(found, found, gap) if not rule.group
+                                        else _let(lengths(rule.group), lambda kept: placed(found, kept, gap))))
+    fits = F.filter(sized, lambda x: x["size"] >= rule.shortest)
+    return F.transform(fits, lambda x: F.struct(x["start"].alias("start"), x["kind_no"].alias("kind_no"), x["stop"].alias("stop"), x["kind"].alias("kind"))).cast(SPAN)
 
 
 def with_spans(docs: DataFrame, text_col: str, out: str, id_cols: list[str], rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -207,17 +242,25 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule
     """
     name = fresh(docs.columns, "_spans")
     text = F.col(text_col)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    none = F.lit("")
+
+    def part(pieces: Column, i: Column, a: Column, n: Column) -> Column:
+        return F.substring(F.coalesce(F.get(pieces, i.cast("int")), none), (a + 1).cast("int"), n.cast("int"))
 
-    def cut(a: Column, b: Column) -> Column:
-        return F.substring(text, (a + 1).cast("int"), F.greatest(b - a, F.lit(0)).cast("int"))
+    def cut(pieces: Column, a: Column, b: Column) -> Column:
+        """The text from ``a`` to ``b``, from pieces of SIGNS code points each: nothing before the first of them is read."""
+        i, j = F.floor(a / SIGNS), F.floor(b / SIGNS)
+        middle = F.array_join(F.slice(pieces, (i + 2).cast("int"), F.greatest(j - i - 1, F.lit(0)).cast("int")), "")
+        several = F.concat(part(pieces, i, a % SIGNS, F.lit(SIGNS)), middle, part(pieces, j, F.lit(0), b % SIGNS))
+        return F.when(b <= a, none).when(i == j, part(pieces, i, a % SIGNS, b - a)).otherwise(several)
 
-    def step(acc, s):
-        apart = s["start"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"),
-                        F.concat(acc["out"], F.when(apart, F.concat(cut(acc["at"], s["start"]), F.lit(mask))).otherwise(F.lit(""))).alias("out"))
+    def cleaned(spans: Column, pieces: Column) -> Column:
+        stops = F.transform(spans, lambda s: s["stop"])
+        kept = _let(_before(stops, lambda x, y: F.greatest(x, y)), lambda ends: F.transform(spans, lambda s, i: F.when(
+            s["start"] >= F.get(ends, i), F.concat(cut(pieces, F.get(ends, i), s["start"]), F.lit(mask))).otherwise(none)))
+        return F.concat(F.array_join(kept, ""), cut(pieces, F.array_max(stops), F.length(text).cast("bigint")))
 
-    clean = F.aggregate(F.col(name), start, step, lambda acc: F.concat(acc["out"], cut(acc["at"], F.length(text).cast("bigint"))))
+    clean = _let(F.col(name), lambda spans: _let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{SIGNS}}}"), F.lit(0)), lambda pieces: cleaned(spans, pieces)))
     found, out = with_spans(docs, text_col, name, [id_col], rules), fresh(docs.columns, "_clean")
     hit = F.size(name) > 0
     changed = {text_col: F.col(out)}

@@ -1,4 +1,6 @@
+import random
 import re
+import time
 
 from helpers import documents, empty, frame
 
@@ -66,6 +68,41 @@ def test_redaction_removes_every_span_and_nothing_else(spark):
         assert r.n_chars == (len(r.text) if r.text else None) or r.text == ""
 
 
+def many(n, seed=0):
+    """A text of ``n`` hex tokens, some of them in an assignment (two kinds that overlap), between other signs."""
+    rng = random.Random(seed)
+    return "".join(rng.choice(["\U0001f600 ", "\u00e9t\u00e9 ", "plain words\n", " token=", "x" * rng.randrange(300)]) + f"{rng.getrandbits(128):032x} " for _ in range(n))
+
+
+def masked(text):
+    out, at = "", 0
+    for s, e in sorted((s, e) for s, _, e, _ in brute(text)):
+        out += (text[at:s] + secrets.MASK) if s >= at else ""
+        at = max(at, e)
+    return out + text[at:]
+
+
+def test_texts_with_many_matches(spark):
+    """Chunks of chunks of running sums, and pieces of text that spans cross."""
+    rows = [(i, many(n, i)) for i, n in enumerate([1, 63, 64, 65, 128, 4095, 4096, 4097, 9000])]
+    rows += [(20, "0123456789abcdef" * 3000), (21, "y" * 4096 + "0123456789abcdef" * 2), (22, "y" * 4080 + "0123456789abcdef" * 2 + "z" * 9000)]
+    docs = frame(spark, rows)
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.scan(docs).collect()}
+    assert got == {i: brute(t) for i, t in rows}
+    assert {r.doc_id: r.text for r in secrets.redact(docs).collect()} == {i: masked(t) for i, t in rows}
+
+
+def test_work_grows_with_the_matches(spark):
+    took = []
+    for n in (16_000, 64_000):
+        docs = frame(spark, [(0, many(n))]).coalesce(1)
+        at = time.monotonic()
+        assert secrets.scan(docs).selectExpr("size(spans) n").first().n >= n
+        assert secrets.MASK in secrets.redact(docs).first().text
+        took.append(time.monotonic() - at)
+    assert took[1] < 8 * max(took[0], 2)
+
+
 def test_plan_has_no_python(spark):
     plan = secrets.scan(frame(spark, rows()))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
