@@ -10,8 +10,8 @@ What uneven norms and padded widths cost in recall is made up by probes: unless
 
 Identical vectors: of each group only the ``k + 1`` smallest ids can ever be among a query's ``k`` nearest (ties go to the smaller id), so the
 others aren't entered; every one can still be a query. Buckets are dealt into blocks of at most ``BLOCK`` vectors and ``BLOCK`` queries, so a hot
-bucket is many tasks' work. A query whose probed buckets hold fewer than ``enough`` entries in all (a vector counts once per table it is met in) probes every
-bucket of the first table, that is all vectors: small tables are compared by brute force.
+bucket is many tasks' work. The hashed search decides at every size of the table. Only a query that meets fewer than ``k`` vectors in its buckets probes every
+bucket of the first table, that is all vectors.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from evalframe.llm.graph import fresh, smallest_hashes, stage_table
 
-TABLES, PROBES, ENOUGH, BLOCK, PAIRS = 28, 2, 4000, 512, 16384
+TABLES, PROBES, BLOCK, PAIRS = 28, 2, 512, 16384
 SAMPLE, AIM = 128, 0.92
 ENTRY = "id long, part int, axis int, vector array<double>"
 
@@ -194,7 +194,7 @@ def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, tables: int = TABLES,
-            probes: int | None = None, enough: int = ENOUGH) -> DataFrame:
+            probes: int | None = None) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row where the column ``is_query`` holds its ``k`` nearest found (all candidates, if fewer).
 
     Score is the inner product of the original vectors in double precision; ranks run from 1, ties go to the smaller id, and a row is no candidate
@@ -223,13 +223,17 @@ def nearest(vectors: DataFrame, is_query, id_col: str = "vec_id", vector_col: st
     if probes is None:
         probes = needed_probes(rows, queries, tables, top, k)
     probing = _probing(queries, list(range(tables)), probes, top)
-    found = _search(index, probing, k)
-    held = F.broadcast(index.groupBy("part", "axis").agg(F.count("*").alias("held")))  # a row per bucket: tables times axes
-    full = probing.join(held, ["part", "axis"]).groupBy("id").agg(F.sum("held").alias("seen")).where(F.col("seen") >= max(enough, k)).select("id")
+    found = stage_table(_ranked(_search(index, probing, k), k), "found")
+    full = found.where(F.col("rank") == k).select(F.col("query_id").alias("id"))
     rest = _search(index.where("part = 0"), _probing(queries.join(full, "id", "left_anti"), [0], every, top), k)
-    ranked = found.unionByName(rest).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return _ranked(found.drop("rank").unionByName(rest), k)
+
+
+def _ranked(pairs: DataFrame, k: int) -> DataFrame:
+    """Each query's ``k`` best of pairs that may repeat, ranked."""
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return ranked.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    once = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return once.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
 
 
 def _probing(queries: DataFrame, tables: list[int], probes: int, top: float | None) -> DataFrame:

@@ -55,8 +55,8 @@ def test_exact_on_small_tables_with_awkward_rows(spark):
 def test_recall_of_the_hashed_search(spark):
     rng = np.random.default_rng(2)
     v = rng.standard_normal((3000, 32))
-    check(spark, [(i, x) for i, x in enumerate(v / np.linalg.norm(v, axis=1, keepdims=True))], k=10, recall=0.9, enough=0)
-    check(spark, [(i, x * rng.uniform(0.2, 3)) for i, x in enumerate(v[:1500])], k=10, recall=0.9, enough=0, probes=4)  # one more component: twice as many axes
+    check(spark, [(i, x) for i, x in enumerate(v / np.linalg.norm(v, axis=1, keepdims=True))], k=10, recall=0.9)
+    check(spark, [(i, x * rng.uniform(0.2, 3)) for i, x in enumerate(v[:1500])], k=10, recall=0.9, probes=4)  # one more component: twice as many axes
 
 
 def test_few_rows_and_empty_table(spark):
@@ -98,4 +98,27 @@ def test_a_block_keeps_the_smallest_of_tied_ids():
 
 def test_production_defaults_on_uneven_norms(spark):
     rng = np.random.default_rng(3)
-    check(spark, [(i, x * rng.uniform(0.2, 3)) for i, x in enumerate(rng.standard_normal((3000, 64)))], k=10, recall=0.9, enough=0)
+    check(spark, [(i, x * rng.uniform(0.2, 3)) for i, x in enumerate(rng.standard_normal((3000, 64)))], k=10, recall=0.9)
+
+
+def test_small_tables_are_searched_by_hashing(spark):
+    """One table and one probe: what a query is given lies on its axis, however small the table; a query of too few vectors there is given all there are."""
+    rng = np.random.default_rng(8)
+    v = rng.standard_normal((400, 8))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    on = neighbours.axes(neighbours.rotate(v, 0, 8), 1)[:, 0]
+    met = np.bincount(on, minlength=16)
+    rows = list(enumerate(v))
+    got, want = answers(neighbours.nearest(frame(spark, rows), F.col("vec_id") % 4 == 0, k=20, tables=1, probes=1)), brute(rows, 20, 4)
+    few = [q for q in got if met[on[q]] <= 20]
+    assert 0 < len(few) < len(got) == 100
+    for q, near in got.items():
+        found = [i for _, i, _ in near]
+        own = sorted(((-(v[q] * v[i]).sum(), i) for i in np.flatnonzero(on == on[q]) if i != q))[:20]
+        assert found == ([j for _, j in want[q]] if q in few else [i for _, i in own])
+
+
+def test_recall_of_small_tables(spark):
+    rng = np.random.default_rng(9)
+    v = rng.standard_normal((500, 64))
+    check(spark, [(i, x) for i, x in enumerate(v / np.linalg.norm(v, axis=1, keepdims=True))], k=20, recall=0.9)
