@@ -4,7 +4,8 @@ A text's terms are its words, the shapes of its chunks (letter case, digits and
 each term falls in one of ``TERMS`` hashed dimensions. Terms are weighted by inverse document frequency and projected to ``rank``
 latent dimensions (a truncated singular value decomposition). The labelled sample's latent vectors are broadcast; every
 document's cosine products with all of them are computed exactly, in blocks, and the ``neighbours`` largest
-vote with their similarity as weight.
+vote with their similarity as weight. Equally near labelled rows count in the sample's order (hash of the id, then label), and the products are
+summed in one order, so a score depends on its text alone, not on the rows of its block.
 
 The model is fitted on at most ``max_rows`` labelled ids of each label (the smallest hashes: the same ones in every run), so what is
 broadcast is bounded by parameters. Scoring covers whole texts of all rows, row by row, without a shuffle.
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evalframe.llm.graph import smallest_hashes
+from evalframe.llm.neighbours import best_of
 
 WORDS, SHAPES, REPEATS = 4096, 512, 32
 TERMS = WORDS + SHAPES + REPEATS
@@ -98,15 +100,17 @@ class QualityModel:
         got = np.full(len(texts), self.prior)
         if not len(self.vectors):
             return got
-        k = min(self.neighbours, len(self.vectors))
+        labelled, order = self.vectors.astype(np.float64), np.arange(len(self.vectors))
         for a in range(0, len(texts), block):
-            rows = self.latent([terms(t) for t in texts[a:a + block]])
-            near = rows @ self.vectors.T
-            top = np.argpartition(-near, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(near, top, axis=1).astype(np.float64), 0) ** 4
-            total = weight.sum(axis=1)
-            voted = (weight * self.labels[top]).sum(axis=1)
-            got[a:a + block] = np.where((total > 0) & rows.any(axis=1), voted / np.where(total > 0, total, 1), self.prior)
+            rows = self.latent([terms(t) for t in texts[a:a + block]]).astype(np.float64)
+            some = np.flatnonzero(rows.any(axis=1))
+            if not len(some):
+                continue
+            row, near, cosine = best_of(rows[some], np.full(len(some), -1), labelled, order, self.neighbours)
+            weight = np.maximum(cosine, 0) ** 4
+            total = np.bincount(row, weight, len(some))
+            voted = np.bincount(row, weight * self.labels[near], len(some))
+            got[a + some] = np.where(total > 0, voted / np.where(total > 0, total, 1), self.prior)
         return np.clip(got, 0, 1)
 
 

@@ -92,3 +92,27 @@ def test_quality_equals_plain_neighbours(spark):
         assert any(v is None or abs(r.score - v) < 1e-4 for v in by_id[r.doc_id]) and r.predicted == int(r.score >= 0.5)
     assert tied < 10
     assert len({round(r.score, 3) for r in scored}) > 50
+
+
+def test_quality_of_tied_neighbours_does_not_depend_on_the_block():
+    """Forty labelled rows in four groups of ten equal vectors and 13 neighbours: of the group at the cut the first rows in order vote, in blocks of any size."""
+    rng = np.random.default_rng(4)
+    vectors = np.repeat(rng.standard_normal((4, 8)), 10, axis=0)[rng.permutation(40)].astype(np.float32)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    labels = rng.integers(0, 2, 40).astype(float)
+    model = quality.QualityModel(rng.standard_normal((quality.TERMS, 8)).astype(np.float32), vectors, labels, 0.25, 13)
+    words = [t for _, t, _ in texts(random.Random(6), 200)] + ["", " ", None]
+    whole = model.score(words)
+    for block in (1, 7, 64):
+        assert (model.score(words, block) == whole).all()
+    assert (model.score(words[::-1]) == whole[::-1]).all() and (whole[-3:] == 0.25).all()
+    seen = set()
+    for t, score in zip(words, whole, strict=True):
+        v = model.latent([quality.terms(t)])[0].astype(float)
+        near = [float((v * x).sum()) for x in vectors.astype(float)]
+        top = sorted(range(40), key=lambda j: (-near[j], j))[:13]
+        weight = [max(near[j], 0) ** 4 for j in top]
+        want = sum(w * labels[j] for w, j in zip(weight, top, strict=True)) / sum(weight) if sum(weight) else 0.25
+        assert abs(score - want) < 1e-12
+        seen.add(round(want, 6))
+    assert len(seen) > 4
