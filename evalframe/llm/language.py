@@ -139,7 +139,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     per_gram = counts.mapInPandas(split, "n_chars int, gram string, lang string, n long").groupBy("n_chars", "gram", "lang").agg(F.sum("n").alias("n"))
     entries = (per_word.unionByName(per_gram).groupBy("n_chars", "gram").agg(F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("by")).persist())
     orders = [(0, max_words), *((n, max_grams) for n in ORDERS)]
-    kept = {n: entries.where(F.col("n_chars") == n).orderBy(F.desc("n"), "gram").limit(most).select("gram", "by") for n, most in orders}
+    # coalesce: the last cut is made in a task, so that the driver gets the kept entries only and not as many of each partition
+    kept = {n: entries.where(F.col("n_chars") == n).orderBy(F.desc("n"), "gram").limit(most).select("gram", "by").coalesce(1) for n, most in orders}
     tables = {n: {r.gram: {x.lang: x.n for x in r.by} for r in df.collect()} for n, df in kept.items()}
     entries.unpersist()
     langs = sorted({lang for t in tables.values() for by in t.values() for lang in by})
@@ -183,7 +184,8 @@ def has_letter(text: str | None) -> bool:
 def drop_undetermined(docs: DataFrame, model: LanguageModel, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
     """The rows whose language is determined with ``min_score`` at least; columns unchanged, no shuffle.
 
-    With ``min_score`` 0 those are the texts with a letter. A model without languages (nothing was labelled) can't tell a language or a score:
+    With ``min_score`` 0 those are the texts with a letter; with 0.5 also those are rejected for which no language is as likely as all others
+    together (texts in a script or a language that the model has never seen, single words that several languages share). A model without languages (nothing was labelled) can't tell a language or a score:
     all texts with a letter are kept then, whatever ``min_score``.
     """
     name = fresh(docs.columns, "_language")

@@ -9,6 +9,7 @@ import pytest
 from helpers import documents, empty, fold, frame, prose, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from evalframe.llm import decontaminate, histogram, language, packing, quality, url_filter
 from evalframe.llm.tokens import default_vocabulary, encoder
@@ -71,6 +72,19 @@ def test_language_stage_keeps_a_corpus_without_labels(spark):
     assert all((model.predict(t)[0] == "a") == language.has_letter(t) for t in texts)
 
 
+def test_language_stage_rejects_texts_that_no_language_explains(spark):
+    """Three languages that share one word: it is as likely in each, and so is a script that none has."""
+    from corpus_pipeline import identify_language
+    own = {"aa": "bo ka zu", "bb": "tri men qua", "cc": "sch ung lich"}
+    rows = [(i, f"{own[g]} kx", g) for i, g in enumerate(list(own) * 4)]
+    rows += [(100, "kx", None), (101, "\u4e2d\u6587 \u5b57", None), (102, "kx bo", None), (103, "bo ka tri", "bb"), (104, None, "aa"), (104, "men", "aa"), (104, "men", "aa"), (105, "7 8", "aa")]
+    docs = frame(spark, []).select("doc_id", "text", "lang").unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    docs = docs.withColumn("score", F.lit(1)).withColumn("_language", F.lit("x"))
+    kept = identify_language(spark, docs, "")
+    assert kept.schema == docs.schema
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(12), 102, 103, 104, 104]
+
+
 def test_language_backs_off_to_shorter_grams():
     model = language.LanguageModel({"known": [0.0, -9.0]}, {4: {" abc": [-1.0, -2.0]}, 3: {"xyz": [-5.0, -1.0]}, 2: {}, 1: {"q": [-3.0, -2.0]}}, ["a", "b"])
     assert [list(model.word(w)) for w in ("known", "abcxyz", "xyz", "qq", "--")] == [[0, -9], [-1, -2], [-5, -1], [-3, -2], [0, 0]]
