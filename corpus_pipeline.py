@@ -11,10 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from evalframe.llm import decontaminate, jaccard, language, packing, secrets
 from evalframe.llm.graph import stage_table
 
+#: The posterior that a document's language has to reach: as likely as all others together.
+LEAST_SCORE = 0.5
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of no language: null texts and texts without a letter. A corpus without labels teaches no model and keeps the same documents."""
-    return language.drop_undetermined(docs, language.fit(docs))
+    """Keep documents whose language the model tells with a score of ``LEAST_SCORE`` at least: null texts, texts without a letter and texts that no language explains go.
+
+    A corpus without labels teaches no model; then all texts with a letter are kept.
+    """
+    return language.drop_undetermined(docs, language.fit(docs), min_score=LEAST_SCORE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
