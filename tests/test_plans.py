@@ -78,3 +78,13 @@ def test_dataset_scan_prunes_partitions(spark):
         df.explain(mode="formatted")       # the formatted plan lists scan metadata untruncated
     line = next(x for x in buf.getvalue().splitlines() if x.startswith("PartitionFilters:"))
     assert "= teleqna)" in line and "= default)" in line and "= test)" in line
+
+
+def test_made_configurations_are_not_broadcast(spark, tmp_path):
+    """Texts made from small columns look small to the planner."""
+    from evalframe.plans import rubric_plans as RP
+    rows = [(i, i % 25) for i in range(40)]
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int").write.parquet(str(tmp_path / "customer.parquet"))
+    for name, truth in (("fx_slice_yaml", "fx_slice_truth"), ("fx_amf_yaml", "fx_amf_truth"), ("fx_sub_yaml", "fx_sub_truth")):
+        df = RP._configs(spark, str(tmp_path), name, truth)
+        assert df.count() == 40 and "Broadcast" not in plan_text(df), name
