@@ -97,10 +97,12 @@ def rubric_gaps(samples: DataFrame, rubrics: DataFrame, category_col: str = "cat
     return keys.join(rubrics.select("category_key"), "category_key", "left_anti")
 
 
-def join_targets(completions: DataFrame, samples: DataFrame, cols: Sequence[str] = ("target",)) -> DataFrame:
+def join_targets(completions: DataFrame, samples: DataFrame, cols: Sequence[str] = ("target",), merge: bool = False) -> DataFrame:
     """Pair each completion with its sample's target (equi-join on
-    ``sample_id``; AQE picks broadcast when the sample side is small)."""
-    return completions.join(samples.select("sample_id", *cols), "sample_id", "inner")
+    ``sample_id``; AQE picks broadcast when the sample side is small). With ``merge`` the two are sorted and
+    nothing is broadcast: for streams, whose batches are sized by compressed files that hold far more in memory."""
+    targets = samples.select("sample_id", *cols)
+    return completions.join(targets.hint("merge") if merge else targets, "sample_id", "inner")
 
 
 # ---- fixed values: task names and their benchmark aliases ----

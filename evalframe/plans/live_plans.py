@@ -17,7 +17,7 @@ from evalframe.functions.prompt_texts import MATH_SYSTEM_TEMPLATE
 from evalframe.operators import generate as G
 from evalframe.operators import metrics as M
 from evalframe.operators.prompts import render_system_prompt
-from evalframe.operators.samples import filter_difficulty
+from evalframe.operators.samples import filter_difficulty, join_targets
 from evalframe import tasks as TK
 from evalframe.plans.common import (CHOICE_FIXTURES, CHOICE_SCORES_CTE, choice_samples, choice_scores, round9)
 from evalframe.plans.registry import plan
@@ -238,8 +238,8 @@ def q_stream_eval_results(spark, sf):
     path = work_dir(spark, "completion-files")
     write_in_order(fixture(spark, sf, "fx_completions"), path, "sample_id", pieces=3)
     stream = spark.readStream.schema(COMPLETION_SCHEMA).option("maxFilesPerTrigger", _files_per_trigger(spark)).parquet(path)
-    samples = choice_samples(spark, sf).select("sample_id", "choices", "target")
-    scores = score_choice_table(stream.join(samples, "sample_id"), ["model", "sample_id", "epoch"]).withColumn("task", F.lit("telelogs"))
+    paired = join_targets(stream, choice_samples(spark, sf), ("choices", "target"), merge=True)
+    scores = score_choice_table(paired, ["model", "sample_id", "epoch"]).withColumn("task", F.lit("telelogs"))
     return STR.stream_eval_results(spark, scores, work_dir(spark, "stream-results"), work_dir(spark, "ckpt"))
 
 

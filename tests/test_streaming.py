@@ -227,3 +227,26 @@ def test_streams_take_text_job_ids(spark, tmp_path):
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in PR.progress_fold(lines).select(*got.columns).collect())
     tail = STR.stream_log_tail(spark, spark.readStream.schema(lines.schema).parquet(str(tmp_path / "lines")), str(tmp_path / "t2"), str(tmp_path / "c2"), n=3)
     assert sorted(r.job_id for r in tail.collect()) == ["ab12"] * 3 + ["cd34"] * 3
+
+
+def joined_by_merge(spark, monkeypatch, query):
+    """Whether the query's stream meets its samples in a merge join; its rows."""
+    from evalframe.plans import live_plans as LP
+    from conftest import SF_SMALL
+    met, real = [], LP.score_choice_table
+
+    def seen(df, *args):
+        if df.isStreaming:
+            met.append(df._jdf.queryExecution().analyzed().toString())
+        return real(df, *args)
+
+    monkeypatch.setattr(LP, "score_choice_table", seen)
+    rows = query(spark, SF_SMALL)
+    batch = LP.choice_scores(spark, SF_SMALL).select("model", "sample_id", "epoch", "answer", "value")
+    assert sorted(map(tuple, rows.select(*batch.columns).collect())) == sorted(map(tuple, batch.collect()))
+    return bool(met) and all("strategy=merge" in p for p in met)
+
+
+def test_eval_results_stream_broadcasts_no_batch(spark, monkeypatch):
+    from evalframe.plans import live_plans as LP
+    assert joined_by_merge(spark, monkeypatch, LP.q_stream_eval_results)
