@@ -223,10 +223,10 @@ def q_stream_score(spark, sf):
     write_in_order(fixture(spark, sf, "fx_completions"), path, "sample_id", pieces=3)
     stream = (spark.readStream.schema(COMPLETION_SCHEMA).option("maxFilesPerTrigger", _files_per_trigger(spark))
               .parquet(path))
-    samples = choice_samples(spark, sf).select("sample_id", "choices", "target")
+    samples = choice_samples(spark, sf)
 
     def score(df):
-        return score_choice_table(df.join(samples, "sample_id"), ["model", "sample_id", "epoch"])
+        return score_choice_table(join_targets(df, samples, ("choices", "target"), merge=True), ["model", "sample_id", "epoch"])
 
     return STR.stream_score(spark, stream, score, work_dir(spark, "stream-scores"), work_dir(spark, "ckpt"))
 

@@ -250,3 +250,8 @@ def joined_by_merge(spark, monkeypatch, query):
 def test_eval_results_stream_broadcasts_no_batch(spark, monkeypatch):
     from evalframe.plans import live_plans as LP
     assert joined_by_merge(spark, monkeypatch, LP.q_stream_eval_results)
+
+
+def test_score_stream_broadcasts_no_batch(spark, monkeypatch):
+    from evalframe.plans import live_plans as LP
+    assert joined_by_merge(spark, monkeypatch, LP.q_stream_score)
