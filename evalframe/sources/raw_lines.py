@@ -9,7 +9,7 @@ A job appends lines to a text file of its own. The source reads such files as a
 range was planned: a plain log says no more about when a line came.
 
 A task reads a range of bytes of one file: the lines that begin in it, however far the last of them reaches. A large log
-is therefore many tasks, short logs share one, and a task holds one block of bytes and the line it is in. A stream's offset is the byte behind the last complete line of every file; what a job
+is therefore many tasks, short logs share one (and so do ranges, where there are very many), and a task holds one block of bytes and the line it is in. A stream's offset is the byte behind the last complete line of every file; what a job
 has written of its next line is left for the batch that sees its end. A file that has become shorter than the offset fails the stream.
 The table reads a last line without an end as well.
 
@@ -24,8 +24,10 @@ from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
 SCHEMA = "job_id string, seq bigint, ts timestamp_ntz, line string"
@@ -33,9 +35,24 @@ DEFAULT_RANGE = 64 << 20
 BLOCK = 1 << 20
 ROWS = 8192
 
+_ESCAPED = {*map(chr, range(1, 32)), *"\"#%'*/:=?\\{[]^\x7f"}
 _ARROW = pa.schema([("job_id", pa.string()), ("seq", pa.int64()), ("ts", pa.timestamp("us")), ("line", pa.string())])
 
 
+#: Tasks of a read, as long as none reads more than DEFAULT_RANGE.
+MOST_TASKS = 1024
+
+
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or address, and the path in it."""
+    return pafs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (pafs.LocalFileSystem(), path)
+
+
+def folder_name(value: str | None) -> str:
+    """A value in the name of a ``key=value`` folder, spelled as Spark's table writers do."""
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value) if value else "__HIVE_DEFAULT_PARTITION__"
+
+
 class LogRange(NamedTuple):
     """Lines that begin in bytes ``[start, end)`` of a file; nothing behind ``limit`` is read."""
 
@@ -63,7 +80,7 @@ class LogFiles:
         path = options.get("path")
         if not path:
             raise ValueError("joblog needs a path")
-        self.fs, self.root = pafs.FileSystem.from_uri(path) if ":" in path.split("/")[0] else (pafs.LocalFileSystem(), path)
+        self.fs, self.root = file_system(path)
 
     def listed(self) -> list[tuple[str, int, int]]:
         """(path, size, modification time in microseconds) by path. Hidden files, and files in hidden folders, are none of a job's."""
@@ -90,12 +107,13 @@ class LogFiles:
         return [LogRange(path, job, at, min(at + step, end), limit, modified) for at in range(start, end, step)]
 
     def tasks(self, ranges: list[LogRange]) -> list[LogTask]:
-        """Ranges dealt to tasks, in order, ``range_bytes`` a task at most."""
+        """Ranges dealt to tasks, in order, ``range_bytes`` a task at most; more where that would make over MOST_TASKS of them, up to DEFAULT_RANGE."""
         out, room = [], 0
+        most = max(self.range_bytes, min(DEFAULT_RANGE, -(-sum(r.end - r.start for r in ranges) // MOST_TASKS)))
         for r in ranges:
             if not out or r.end - r.start > room:
                 out.append(LogTask([]))
-                room = self.range_bytes
+                room = most
             out[-1].ranges.append(r)
             room -= r.end - r.start
         return out
@@ -228,7 +246,45 @@ def scan_raw_lines(spark: SparkSession, path: str, glob: str = "*", stream: bool
 
 
 def write_raw_logs(lines: DataFrame, path: str, job_col: str = "job_id", order_col: str = "seq", line_col: str = "line") -> str:
-    """A text log for each job (``job_id=<job>/part-*``), its lines in order. (A log is one file, so a job's lines meet in one task.)"""
+    """A text log for each job (``job_id=<job>/part-*``), its lines in order. (A log is one file, so a job's lines meet in one task.)
+
+    The tasks write the logs themselves: a table writer's steps for each folder, and its commit that moves every file from the driver, take longer than
+    the lines of a short log. A log appears under its name when it is whole, and a task that runs again writes the same names."""
+    fs, root = file_system(path)
+    if fs.get_file_info(root).type != pafs.FileType.NotFound:
+        raise FileExistsError(path)
+    fs.create_dir(root)
     rows = lines.select(job_col, order_col, line_col).repartition(job_col).sortWithinPartitions(job_col, order_col)
-    rows.select(rows[job_col].alias("job_id"), rows[line_col].alias("value")).write.partitionBy("job_id").text(path)
+    rows.select(rows[job_col].cast("string").alias("job_id"), rows[line_col].cast("string").alias("line")).mapInArrow(_log_writer(path), "logs bigint").agg(F.sum("logs")).collect()
     return path
+
+
+def _log_writer(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+        task = TaskContext.get()
+        (fs, root), name, logs = file_system(path), f"part-{task.partitionId():05d}", 0
+        held, out = None, None          # the folder being written and its open log
+
+        def close():
+            if out is not None:
+                out.close()
+                whole = f"{root}/{held}/{name}.txt"
+                if fs.get_file_info(whole).type == pafs.FileType.File:      # by an earlier run of this task
+                    fs.delete_file(whole)
+                fs.move(f"{root}/{held}/.{name}-{task.taskAttemptId()}", whole)
+
+        for b in batches:
+            jobs, at = b.column(0), 0
+            runs = pc.run_end_encode(jobs)
+            for job, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist()):
+                if (folder := f"job_id={folder_name(job)}") != held:
+                    close()
+                    held, logs = folder, logs + 1
+                    fs.create_dir(f"{root}/{folder}")
+                    out = fs.open_output_stream(f"{root}/{folder}/.{name}-{task.taskAttemptId()}")
+                out.write("".join([f"{line or ''}\n" for line in b.column(1).slice(at, end - at).to_pylist()]).encode())
+                at = end
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([logs], pa.int64())], names=["logs"])
+    return run

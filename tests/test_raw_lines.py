@@ -114,3 +114,36 @@ def test_written_logs_come_back(spark, tmp_path):
     path = RL.write_raw_logs(lines, str(tmp_path / "w"))
     got = RL.scan_raw_lines(spark, path)
     assert [(r.job_id, r.line) for r in got.orderBy("job_id", "seq").collect()] == [(str(j), f"{j} {s}") for j in range(3) for s in range(20)]
+
+
+def test_tasks_write_logs_of_odd_jobs(spark, tmp_path):
+    lines = spark.createDataFrame([("a/b", 2, None), ("a/b", 1, "é\r"), (None, 1, "x"), ("", 2, "y"), ("k=1 %", 1, "z")], "job_id string, seq long, line string").repartition(3)
+    path = RL.write_raw_logs(lines, str(tmp_path / "w"))
+    old = str(tmp_path / "old")
+    lines.select("job_id", lines.line.alias("value")).write.partitionBy("job_id").text(old)
+    folders = lambda p: {f.name for f in (tmp_path / p).iterdir() if f.name.startswith("job_id=")}
+    assert folders("w") == folders("old") == {"job_id=a%2Fb", "job_id=__HIVE_DEFAULT_PARTITION__", "job_id=k%3D1 %25"}
+    assert rows(RL.scan_raw_lines(spark, path)) == sorted([("a%2Fb", 0, "é"), ("a%2Fb", 4, ""), ("k%3D1 %25", 0, "z"), *[("__HIVE_DEFAULT_PARTITION__", a, t) for a, t in
+                                                          got_default(path)]])
+    assert not any(f.name.startswith(".") for f in (tmp_path / "w").rglob("*"))     # each moved to its name when whole, by its task; no table writer
+    assert not (tmp_path / "w" / "_SUCCESS").exists()
+    with pytest.raises(FileExistsError):
+        RL.write_raw_logs(lines, path)
+
+
+def got_default(path):
+    """The lines of jobs without a name: one log if a task had them all, else two."""
+    import pathlib
+    files = sorted(pathlib.Path(path, "job_id=__HIVE_DEFAULT_PARTITION__").iterdir())
+    texts = [f.read_text() for f in files]
+    assert sorted("".join(texts).split()) == ["x", "y"]
+    return [(at, line) for t in texts for at, line in zip((0, 2), t.split())]
+
+
+def test_many_ranges_share_tasks(tmp_path):
+    (tmp_path / "a.log").write_bytes(b"x\n" * 50_000)
+    files = RL.LogFiles({"path": str(tmp_path), "rangebytes": "4"})
+    ranges = [r for path, size, m in files.listed() for r in files.ranges(path, 0, size, size, m)]
+    dealt = files.tasks(ranges)
+    assert [r for t in dealt for r in t.ranges] == ranges and len(ranges) == 25_000 and len(dealt) <= 2 * RL.MOST_TASKS
+    assert [len(t.ranges) for t in files.tasks(ranges[:100])] == [1] * 100
