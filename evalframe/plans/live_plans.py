@@ -93,16 +93,23 @@ def q_read_eval_logs(spark, sf):
                        F.try_variant_get("doc", "$.folder", "int").alias("folder"))
 
 
+#: Samples of a log, about: a log is one document in one task.
+LOG_SAMPLES = 20_000
+
+
 def _sample_logs(spark, sf):
-    """A log for each model and epoch, with all its samples and their scores; every third sample's grade is a letter, the others' a number."""
+    """Logs for each model and epoch, as many as keep them at about LOG_SAMPLES samples (one up to that), with the samples' scores; every third sample's
+    grade is a letter, the others' a number."""
     scores = choice_scores(spark, sf)
+    blocks = max(1, -(-choice_samples(spark, sf).count() // LOG_SAMPLES))
+    block = [F.pmod(F.xxhash64("sample_id"), F.lit(blocks)).alias("block")] if blocks > 1 else []
     grade = F.when(F.col("sample_id") % 3 == 0, F.when(F.col("value") == 1, '"C"').otherwise('"I"')).otherwise(F.col("value").cast("int").cast("string"))
     sample = F.format_string('{"id":%d,"epoch":%d,"scores":{"choice":{"value":%s,"answer":"%s"},"answered":{"value":%s}}}', "sample_id", "epoch", grade, "answer",
                              (F.col("answer") != "").cast("string"))
-    logs = scores.groupBy("model", "epoch").agg(F.concat_ws(",", F.collect_list(sample)).alias("samples"), F.count("*").alias("n"))
+    logs = scores.groupBy("model", "epoch", *block).agg(F.concat_ws(",", F.collect_list(sample)).alias("samples"), F.count("*").alias("n"))
     body = F.format_string('{"status":"success","eval":{"task":"telelogs","model":"%s"},"results":{"total_samples":%d},"samples":[%s]}', "model", "n", "samples")
     path = work_dir(spark, "sample-logs")
-    logs.select(F.concat("model", F.lit("-"), F.col("epoch")).alias("log"), body.alias("value")).write.partitionBy("log").text(path)
+    logs.select(F.concat("model", F.lit("-"), F.col("epoch"), *[x for _ in block for x in (F.lit("-"), F.col("block"))]).alias("log"), body.alias("value")).write.partitionBy("log").text(path)
     return LG.read_eval_logs(spark, [path], glob="*.txt", nested=True)
 
 

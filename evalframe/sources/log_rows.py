@@ -44,8 +44,8 @@ def log_samples(logs: DataFrame) -> DataFrame:
     """One row a sample: ``name, task, model, pos`` (from 0), ``sample_id`` (text), ``epoch`` (1 if the sample states none) and ``sample`` (VARIANT)."""
     head = logs.where("is_valid").select("name", _field("doc", *HEADER["task"]).alias("task"), _field("doc", *HEADER["model"]).alias("model"),
                                          F.try_variant_get("doc", "$.samples", "variant").alias("_samples"))
-    listed = head.where(_kind(F.col("_samples")) == "ARRAY")
-    rows = listed.lateralJoin(listed.sparkSession.tvf.variant_explode(F.col("_samples").outer()))
+    # what is exploded without a key was an array: told from the rows, for the kind of a whole document takes a walk through it
+    rows = head.lateralJoin(head.sparkSession.tvf.variant_explode(F.col("_samples").outer())).where("key is null")
     return rows.select("name", "task", "model", F.col("pos").cast("bigint").alias("pos"), _field("value", "$.id", "string").alias("sample_id"),
                        F.coalesce(_field("value", "$.epoch", "int"), F.lit(1)).alias("epoch"), F.col("value").alias("sample"))
 
@@ -55,8 +55,8 @@ def log_scores(samples: DataFrame) -> DataFrame:
 
     ``value`` is a number as it is, true and false as 1 and 0, a letter grade as ``LETTER_VALUES`` has it, else null; ``value_text`` is what the log says, arrays and objects as JSON."""
     keys = ["name", "task", "model", "sample_id", "epoch"]
-    own = samples.select(*keys, F.try_variant_get("sample", "$.scores", "variant").alias("_scores")).where(_kind(F.col("_scores")) == "OBJECT")
-    rows = own.lateralJoin(own.sparkSession.tvf.variant_explode(F.col("_scores").outer())).select(*keys, F.col("key").alias("scorer"), F.col("value").alias("score"))
+    own = samples.select(*keys, F.try_variant_get("sample", "$.scores", "variant").alias("_scores"))
+    rows = own.lateralJoin(own.sparkSession.tvf.variant_explode(F.col("_scores").outer())).where("key is not null").select(*keys, F.col("key").alias("scorer"), F.col("value").alias("score"))
     said = rows.select("*", F.try_variant_get("score", "$.value", "variant").alias("_value")).select("*", _kind(F.col("_value")).alias("_kind"))
     text = F.try_variant_get("_value", "$", "string")
     letters = F.create_map(*[F.lit(x) for pair in LETTER_VALUES.items() for x in pair])

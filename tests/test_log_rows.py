@@ -55,3 +55,19 @@ def test_shredded_samples_read_only_what_is_asked_for(spark, tmp_path):
     assert "sample:struct<" in scan and "sample:variant" not in scan       # the path is read as a column of its own
     assert one.where("name = 'big.json' and a is not null").count() == 3000
     assert sorted(map(str, LR.log_scores(back).collect())) == sorted(map(str, LR.log_scores(samples).collect()))
+
+
+def test_large_sample_logs_are_several(spark, tmp_path, monkeypatch):
+    """A log stays one document of bounded size however many samples there are; the sample rows are the same."""
+    from evalframe.plans import live_plans as LP
+    parts = [(i, f"p{i}", "b", "t", i % 7) for i in range(50)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    lines = [(i, i % 50, i % 9, i % 4, float(i % 11), float(i)) for i in range(300)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    whole = LP._sample_logs(spark, str(tmp_path)).select("name").collect()
+    want = sorted(map(str, LP.q_read_log_samples(spark, str(tmp_path)).collect()))
+    monkeypatch.setattr(LP, "LOG_SAMPLES", 10)
+    logs = LP._sample_logs(spark, str(tmp_path))
+    sizes = [r.n_samples for r in LR.log_headers(logs).collect()]
+    assert len(sizes) > len(whole) and max(sizes) < 30 and len({r.name for r in logs.select("name").collect()}) == len(sizes)
+    assert sorted(map(str, LP.q_read_log_samples(spark, str(tmp_path)).collect())) == want and len(want) == 600
