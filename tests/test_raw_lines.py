@@ -147,3 +147,14 @@ def test_many_ranges_share_tasks(tmp_path):
     dealt = files.tasks(ranges)
     assert [r for t in dealt for r in t.ranges] == ranges and len(ranges) == 25_000 and len(dealt) <= 2 * RL.MOST_TASKS
     assert [len(t.ranges) for t in files.tasks(ranges[:100])] == [1] * 100
+
+
+def test_stream_of_many_short_logs_has_a_bounded_number_of_tasks(tmp_path, monkeypatch):
+    monkeypatch.setattr(RL, "MOST_TASKS", 10)
+    for i in range(300):
+        (tmp_path / f"j{i}.log").write_bytes(b"x" * 9 + b"\n")
+    reader = RL.LogStreamReader({"path": str(tmp_path), "rangebytes": "10"})
+    end = reader.latestOffset()
+    dealt = reader.partitions({}, end)
+    assert len(dealt) <= 20 and {r.path: r.end for t in dealt for r in t.ranges} == end
+    assert sum(r.num_rows for t in dealt for r in reader.read(t)) == 300
