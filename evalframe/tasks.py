@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 from evalframe.operators import metrics as M
 from evalframe.operators.aggregates import Aggregate, aggregate
 from evalframe.operators.batch_scorer import DEFAULT_BYTES, BatchScorerFn, score_batches
+from evalframe.operators.generate import tasks_for
 from evalframe.operators.samples import expand_work_grid
 
 ScorerFn = Callable[..., dict[str, Column]]
 MetricFn = Callable[[DataFrame, Sequence[str]], DataFrame]
+#: Samples of a scoring task, about; each has the completions of all models and epochs.
+SCORED_SAMPLES = 50_000
 
 
 @dataclass(frozen=True)
@@ -144,6 +147,9 @@ class Task:
     def scores(self, spark: SparkSession, sf: str) -> DataFrame:
         samples = self.dataset(spark, sf, **self.params)
         comp = self.completions(spark, sf)
+        n = tasks_for(samples, SCORED_SAMPLES)
+        if n:       # else a task sorts, and holds sums for, ever more rows
+            comp, samples = comp.repartition(n, "sample_id"), samples.repartition(n, "sample_id").hint("merge")
         j = comp.join(samples, "sample_id")
         cols = {k: F.col(v) for k, v in self.scorer_cols.items()}
         return apply_scorer(j, self.scorer, ["model", "sample_id", "epoch"], **cols)
