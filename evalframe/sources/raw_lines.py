@@ -13,14 +13,21 @@ is therefore many tasks, short logs share one (and so do ranges, where there are
 has written of its next line is left for the batch that sees its end. A file that has become shorter than the offset fails the stream.
 The table reads a last line without an end as well.
 
+A stream's planner lists the folder once a batch and looks at the end of the files that have changed, no further back than their last line end; the tasks read the rest.
+
 Files are reached by ``pyarrow.fs``: plain paths, ``file:``, ``hdfs:``, ``s3:`` and ``gs:`` addresses.
 """
 
 from __future__ import annotations
 
+import base64
 import datetime as dt
 import fnmatch
-from collections.abc import Iterator, Sequence
+import json
+import re
+import zlib
+from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -42,6 +49,16 @@ _ARROW = pa.schema([("job_id", pa.string()), ("seq", pa.int64()), ("ts", pa.time
 #: Tasks of a read, as long as none reads more than DEFAULT_RANGE.
 MOST_TASKS = 1024
 
+#: What the planner reads of a log's end at first; it goes on in larger steps, up to BLOCK.
+TAIL = 1 << 10
+
+#: Logs that the planner looks into at a time where each look waits for a store (on local disks threads would only wait for each other),
+#: and how many a thread takes in turn.
+LOOKS, IN_TURN = 16, 256
+
+#: Logs in an offset that stays plain. Spark keeps the offsets of its last 100 batches as text on the driver, and writes one a batch.
+PLAIN_LOGS = 10_000
+
 
 def file_system(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a path or address, and the path in it."""
@@ -53,6 +70,18 @@ def folder_name(value: str | None) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value) if value else "__HIVE_DEFAULT_PARTITION__"
 
 
+def packed(ends: dict[str, int]) -> dict:
+    """``{path: byte}`` as an offset: as it is or, of many logs, packed into one text."""
+    if len(ends) <= PLAIN_LOGS:
+        return ends
+    return {"packed": base64.b64encode(zlib.compress(json.dumps(ends).encode())).decode()}
+
+
+def unpacked(offset: dict) -> dict[str, int]:
+    text = offset.get("packed")
+    return json.loads(zlib.decompress(base64.b64decode(text))) if isinstance(text, str) else offset
+
+
 class LogRange(NamedTuple):
     """Lines that begin in bytes ``[start, end)`` of a file; nothing behind ``limit`` is read."""
 
@@ -75,7 +104,7 @@ class LogFiles:
     """The log files under a folder (or one file)."""
 
     def __init__(self, options):
-        self.pattern = options.get("glob", "*")
+        self.named = re.compile(fnmatch.translate(options.get("glob", "*"))).match
         self.range_bytes = int(options.get("rangebytes", DEFAULT_RANGE))
         path = options.get("path")
         if not path:
@@ -91,9 +120,10 @@ class LogFiles:
             infos = [info] if info.type == pafs.FileType.File else []
         out = []
         for i in infos:
-            inner = i.path[len(self.root):].split("/")
-            if i.type == pafs.FileType.File and fnmatch.fnmatch(i.base_name, self.pattern) and not any(p[:1] in (".", "_") for p in inner):
-                out.append((i.path, i.size, (i.mtime_ns or 0) // 1000))
+            if i.type == pafs.FileType.File:
+                inner = "/" + i.path[len(self.root):]
+                if "/." not in inner and "/_" not in inner and self.named(i.base_name):
+                    out.append((i.path, i.size, (i.mtime_ns or 0) // 1000))
         return sorted(out)
 
     @staticmethod
@@ -121,16 +151,30 @@ class LogFiles:
     def whole_lines(self, path: str, size: int, least: int) -> int:
         """The byte behind the last line end before ``size``; ``least`` is known to be one (or 0)."""
         with self.fs.open_input_file(path) as f:
-            to = size
+            to, step = size, min(TAIL, BLOCK)
             while to > least:
-                at = max(least, to - BLOCK)
+                at = max(least, to - step)
                 f.seek(at)
                 found = f.read(to - at).rfind(b"\n")
                 if found >= 0:
                     return at + found + 1
-                to = at
+                to, step = at, min(4 * step, BLOCK)
         return least
 
+    def read_all(self, ranges: Iterable[LogRange]) -> Iterator[pa.RecordBatch]:
+        """The lines of ranges; those of short logs share batches."""
+        held: list[pa.RecordBatch] = []
+        rows = size = 0
+        for r in ranges:
+            for b in self.read(r):
+                if held and (rows + b.num_rows > ROWS or size + b.nbytes > 4 * BLOCK):
+                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    held, rows, size = [], 0, 0
+                held.append(b)
+                rows, size = rows + b.num_rows, size + b.nbytes
+        if held:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
     def read(self, r: LogRange) -> Iterator[pa.RecordBatch]:
         """The lines of a range as Arrow batches."""
         job, ts = r.job, dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=r.modified)
@@ -185,12 +229,11 @@ class LogTableReader(DataSourceReader):
         return self.files.tasks([r for path, size, modified in self.files.listed() for r in self.files.ranges(path, 0, size, size, modified)]) or [LogTask([])]
 
     def read(self, partition: LogTask) -> Iterator[pa.RecordBatch]:
-        for r in partition.ranges:
-            yield from self.files.read(r)
+        return self.files.read_all(partition.ranges)
 
 
 class LogStreamReader(DataSourceStreamReader):
-    """Offsets are ``{path: byte}``. The reader remembers what it has seen of each file, so that only files that have changed are looked into."""
+    """Offsets are ``{path: byte}``, ``packed`` where there are many. The reader remembers what it has seen of each file, so that only files that have changed are looked into."""
 
     def __init__(self, options):
         self.files = LogFiles(options)
@@ -200,15 +243,25 @@ class LogStreamReader(DataSourceStreamReader):
         return {}
 
     def latestOffset(self) -> dict:
+        changed = []
         for path, size, modified in self.files.listed():
             was = self.seen.get(path)
             if was is None or was[:2] != (size, modified):
-                least = was[2] if was and was[2] <= size else 0
-                self.seen[path] = (size, modified, self.files.whole_lines(path, size, least))
-        return {path: end for path, (_, _, end) in sorted(self.seen.items()) if end}
+                changed.append((path, size, modified, was[2] if was and was[2] <= size else 0))
+
+        def look(some):
+            return [(path, (size, modified, self.files.whole_lines(path, size, least))) for path, size, modified, least in some]
+
+        with ThreadPoolExecutor(1 if isinstance(self.files.fs, pafs.LocalFileSystem) else LOOKS) as pool:
+            for found in pool.map(look, [changed[i:i + IN_TURN] for i in range(0, len(changed), IN_TURN)]):
+                self.seen.update(found)
+        return packed({path: end for path, (_, _, end) in sorted(self.seen.items()) if end})
 
     def partitions(self, start: dict, end: dict) -> Sequence[LogTask]:
-        now, out = {path: (size, modified) for path, size, modified in self.files.listed()}, []
+        start, end = unpacked(start), unpacked(end)
+        now, out = self.seen, []
+        if any(path not in now for path in end):      # a batch planned by an earlier run of the stream
+            now = {path: (size, modified) for path, size, modified in self.files.listed()}
         for path, to in sorted(end.items()):
             at = start.get(path, 0)
             if to < at or to > at and now.get(path, (0, 0))[0] < to:
@@ -217,8 +270,13 @@ class LogStreamReader(DataSourceStreamReader):
         return self.files.tasks(out)
 
     def read(self, partition: LogTask) -> Iterator[pa.RecordBatch]:
-        for r in partition.ranges:
-            yield from self.files.read(r)
+        return self.files.read_all(map(self._whole, partition.ranges))
+
+    def _whole(self, r: LogRange) -> LogRange:
+        """The range, of a file that still reaches to its offset."""
+        if (self.files.fs.get_file_info(r.path).size or 0) < r.limit:
+            raise ValueError(f"{r.path} is shorter than its offset")
+        return r
 
 
 class JobLogSource(DataSource):

@@ -137,17 +137,17 @@ class ProgressState(StatefulProcessor):
         self.stairs = handle.getListState("stairs", "seq bigint, value bigint")
 
     def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
-        now = (None, None, [], None, None, None, None, 0)
-        if self.head.exists():
-            h = self.head.get()
+        now, h = (None, None, [], None, None, None, None, 0), self.head.get()   # each call for a state is a trip to the JVM
+        if h is not None:
             now = (h[0], h[1], [(s[0], s[1]) for s in self.stairs.get()], h[2], h[3], h[4], h[5], h[6])
+        had = now[2]
         for r in rows:
             now = merged(now, (r.set_seq, r.set_value, [(s["seq"], s["value"]) for s in r.stairs], r.total_seq, r.total, r.last_seq, r.last_update, r.n_lines))
         done = count(now)
         self.head.update((now[0], now[1], *now[3:], done))
         if now[2]:
             self.stairs.put(now[2])
-        else:
+        elif had:
             self.stairs.clear()
         yield Row(job_id=key[0], samples_completed=done, total_samples=now[4], last_update=now[6], n_lines=now[7])
 

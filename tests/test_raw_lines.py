@@ -1,12 +1,15 @@
 """Text logs as a table and as a stream."""
 
+import json
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from evalframe.operators import progress as PR
 from evalframe.sources import raw_lines as RL
+from evalframe.streaming import state as S
 from evalframe.streaming import tables as STR
 
 
@@ -158,3 +161,117 @@ def test_stream_of_many_short_logs_has_a_bounded_number_of_tasks(tmp_path, monke
     dealt = reader.partitions({}, end)
     assert len(dealt) <= 20 and {r.path: r.end for t in dealt for r in t.ranges} == end
     assert sum(r.num_rows for t in dealt for r in reader.read(t)) == 300
+
+
+def test_planner_reads_no_more_than_the_ends_of_logs(tmp_path):
+    for i in range(20):
+        (tmp_path / f"j{i}.log").write_bytes(b"x" * 99 + b"\n" if i % 2 else (b"x" * 99 + b"\n") * 2000 + b"torn")
+    (tmp_path / "torn.log").write_bytes(b"a\n" + b"y" * 300_000)
+    reader, got = RL.LogStreamReader({"path": str(tmp_path)}), []
+
+    class Counting:
+        def __init__(self, inner):
+            self.inner = inner
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+        def open_input_file(self, path):
+            f = self.inner.open_input_file(path)
+
+            class File:
+                __enter__, __exit__, seek = (lambda s: s), (lambda s, *x: f.close()), (lambda s, at: f.seek(at))
+
+                def read(s, n):
+                    got.append((path, n))
+                    return f.read(n)
+            return File()
+
+    reader.files.fs = Counting(reader.files.fs)
+    end = reader.latestOffset()
+    assert {p.rpartition("/")[2]: e for p, e in end.items()} == {"torn.log": 2} | {f"j{i}.log": 100 if i % 2 else 200_000 for i in range(20)}
+    assert sum(n for p, n in got if not p.endswith("torn.log")) <= 20 * 1024     # 2 MB of lines
+    assert len(got) <= 20 + 10
+
+
+def test_planner_lists_a_folder_once_a_batch_and_tasks_see_a_log_that_shrinks(tmp_path):
+    for i in range(5):
+        (tmp_path / f"j{i}.log").write_bytes(b"x\n" * 10)
+    reader, lists = RL.LogStreamReader({"path": str(tmp_path)}), []
+    listed = reader.files.listed
+    reader.files.listed = lambda: lists.append(1) or listed()
+    end = reader.latestOffset()
+    dealt = reader.partitions({}, end)
+    assert len(lists) == 1 and sum(b.num_rows for t in dealt for b in reader.read(t)) == 50
+    later = RL.LogStreamReader({"path": str(tmp_path)})     # plans again what an earlier run had planned
+    assert [t.ranges for t in later.partitions({}, end)] == [t.ranges for t in dealt]
+    (tmp_path / "j3.log").write_bytes(b"x\n")
+    with pytest.raises(ValueError, match="shorter"):
+        RL.LogStreamReader({"path": str(tmp_path)}).partitions({}, end)
+    with pytest.raises(ValueError, match="shorter"):
+        [b for t in dealt for b in reader.read(t)]
+
+
+def test_offset_over_many_logs_is_short(tmp_path, monkeypatch):
+    monkeypatch.setattr(RL, "PLAIN_LOGS", 10)
+    folder = tmp_path / ("deep" * 20)
+    folder.mkdir()
+    new = lambda: RL.LogStreamReader({"path": str(folder)})
+    for i in range(8):
+        (folder / f"j{i}.log").write_bytes(b"x\n" * i)
+    plain = new().latestOffset()
+    assert plain == {str(folder / f"j{i}.log"): 2 * i for i in range(1, 8)}
+    for i in range(4, 400):
+        (folder / f"j{i}.log").write_bytes(b"x\n" * i)
+    end = json.loads(json.dumps(new().latestOffset()))
+    assert len(json.dumps(end)) < 400 * 20 and end == new().latestOffset()
+    whole = {str(folder / f"j{i}.log"): 2 * i for i in range(1, 400)}
+    assert {r.path: r.end for t in new().partitions({}, end) for r in t.ranges} == whole
+    assert {r.path for t in new().partitions(plain, end) for r in t.ranges} == set(whole) - set(plain)      # an offset kept plain goes on
+    assert new().partitions(end, end) == []
+    (folder / "j9.log").write_bytes(b"x\n" * 10)
+    assert [tuple(r)[2:4] for t in new().partitions(end, new().latestOffset()) for r in t.ranges] == [(18, 20)]
+
+
+@pytest.mark.parametrize("kind", [RL.LogTableReader, RL.LogStreamReader])
+def test_short_logs_share_batches(tmp_path, kind):
+    for i in range(300):
+        (tmp_path / f"j{i}.log").write_bytes(b"".join(b"%d %d\n" % (i, k) for k in range(50)))
+    reader = kind({"path": str(tmp_path)})
+    dealt = reader.partitions() if kind is RL.LogTableReader else reader.partitions({}, reader.latestOffset())
+    got = [b for t in dealt for b in reader.read(t)]
+    assert len(got) == 2 and max(b.num_rows for b in got) <= RL.ROWS
+    assert sorted((r["job_id"], r["line"]) for b in got for r in b.to_pylist()) == sorted((f"j{i}", f"{i} {k}") for i in range(300) for k in range(50))
+
+
+def test_state_of_a_job_takes_few_calls():
+    calls = []
+
+    class Var:
+        def __init__(self, name):
+            self.name, self.value = name, None
+
+        def __getattr__(self, call):
+            def run(*x):
+                calls.append((self.name, call))
+                if call in ("update", "put", "clear"):
+                    self.value = x[0] if x else None
+                return self.value is not None if call == "exists" else iter(self.value or ()) if self.name == "stairs" else self.value
+            return run
+
+    class Handle:
+        getValueState = staticmethod(lambda name, schema: Var(name))
+        getListState = staticmethod(lambda name, schema: Var(name))
+
+    state = S.ProgressState()
+    state.init(Handle)
+
+    def step(seq, value, stairs):
+        calls.clear()
+        row = Row(set_seq=seq, set_value=value, stairs=[{"seq": a, "value": b} for a, b in stairs], total_seq=None, total=None, last_seq=seq, last_update=None, n_lines=1)
+        done = next(iter(state.handleInputRows(("j",), iter([row]), None)))
+        return done.samples_completed, done.n_lines, len(calls)
+
+    assert step(1, 5, []) == (5, 1, 2)                  # read and written once
+    assert step(2, 6, [(3, 9)])[:2] == (9, 2)
+    assert step(4, 7, [])[:2] == (7, 3) and ("stairs", "clear") in calls      # stairs before a SET go
