@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evalframe.operators import rubric as RB
@@ -142,11 +142,11 @@ def _holds(c: Column) -> Column:
     loose = lambda x: F.lower(F.regexp_replace(x, "^0+", ""))
     listed, span = c["listed"], c["span"]
     number = F.when(kind == "int", value.try_cast("bigint"))
-    rules = {"exists": kind.isNotNull(), "eq": value == operand, "eq_reference": value == truth["value"], "eq_path": value == F.try_element_at(F.col("s_nodes"), operand)["value"],
-             "eq_task": value == task, "eq_task_loosely": loose(value) == loose(task), "one_of": F.array_contains(listed, value),
-             "one_of_any_case": F.array_contains(listed, F.lower(value)), "matches": F.regexp_like(value, operand), "ends_with": F.endswith(value, operand),
-             "type_is": F.array_contains(listed, kind), "type_is_not": ~F.coalesce(F.array_contains(listed, kind), F.lit(False)),
-             "type_as_reference": ~F.coalesce(kind != truth["vtype"], F.lit(False)), "between": number.between(F.try_element_at(span, F.lit(1)), F.try_element_at(span, F.lit(2)))}
+    rules = {"type_as_reference": ~F.coalesce(kind != truth["vtype"], F.lit(False)), "exists": kind.isNotNull(), "eq_reference": value == truth["value"], "eq_task": value == task,
+             "type_is": F.array_contains(listed, kind), "matches": F.regexp_like(value, operand), "eq_path": value == F.try_element_at(F.col("s_nodes"), operand)["value"],
+             "eq": value == operand, "type_is_not": ~F.coalesce(F.array_contains(listed, kind), F.lit(False)), "ends_with": F.endswith(value, operand),
+             "between": number.between(F.try_element_at(span, F.lit(1)), F.try_element_at(span, F.lit(2))), "one_of": F.array_contains(listed, value),
+             "one_of_any_case": F.array_contains(listed, F.lower(value)), "eq_task_loosely": loose(value) == loose(task)}  # the usual ones first: they are tried in turn
     out = F.when(predicate.isNull(), F.raise_error(F.lit("a condition without a predicate")).cast("boolean"))
     for name, rule in rules.items():
         out = out.when(predicate == name, rule)
@@ -158,14 +158,22 @@ def score_by_checks(configs: DataFrame, checks: DataFrame, bands: DataFrame, tas
     """Score each submission by the rubric its row names: id columns, rubric, ``status``, ``criteria`` (map id -> points), ``total`` and ``score`` (of 100).
 
     ``task_cols`` maps task inputs to columns. Rows of a rubric that has no checks or bands don't come out (``rubric_gaps`` finds such). Submission and reference are parsed
-    once a row, for the paths that the checks name. A row meets its rubric's checks in a broadcast join; what is shuffled are counts by criterion, summed
-    up in each task before, so neither texts nor nodes leave their task."""
+    once a row, for the paths that the checks name. A row meets its rubric's whole book (criteria, their checks and bands: one row a rubric) in a broadcast join and stays one row;
+    what is shuffled is one flag a check, so neither texts nor nodes leave their task. Rows of the same id columns, rubric and status count together."""
     keys = [id_col] if isinstance(id_col, str) else list(id_col)
     lists = ["one_of", "one_of_any_case", "type_is", "type_is_not"]
     condition = F.struct("path", "predicate", "operand", F.when(F.col("predicate").isin(lists), F.from_json("operand", "array<string>")).alias("listed"),
                          F.when(F.col("predicate") == "between", F.from_json("operand", "array<bigint>")).alias("span"))
     rules = checks.join(bands, ["rubric", "criterion"], "left_semi").groupBy("rubric", "criterion", "level", "check").agg(F.collect_list(condition).alias("conditions"))
-    steps = bands.groupBy("rubric", "criterion").agg(F.collect_list(F.struct("points", "need")).alias("bands"))
+    # Checks of a criterion and level count together: a slot, with a place among its rubric's slots. A band counts the slots of its points and those without a level.
+    slots = rules.groupBy("rubric", "criterion", "level").agg(F.collect_list("conditions").alias("checks")) \
+        .withColumn("at", F.row_number().over(Window.partitionBy("rubric").orderBy("criterion", "level")) - 1)
+    tests = slots.groupBy("rubric").agg(F.sort_array(F.collect_list(F.struct("at", "checks"))).alias("_slots"))
+    counted = F.transform("bands", lambda b: F.struct(b["points"].alias("points"), b["need"].alias("need"), F.transform(F.filter(
+        "levels", lambda s: s["level"].isNull() | (s["level"] == b["points"])), lambda s: s["at"]).alias("at")))
+    book = slots.groupBy("rubric", "criterion").agg(F.collect_list(F.struct("at", "level")).alias("levels")) \
+        .join(bands.groupBy("rubric", "criterion").agg(F.collect_list(F.struct("points", "need")).alias("bands")), ["rubric", "criterion"]) \
+        .groupBy("rubric").agg(F.sort_array(F.collect_list(F.struct("criterion", counted.alias("bands")))).alias("_book"))
     most = bands.groupBy("rubric", "criterion").agg(F.max("points").alias("p")).groupBy("rubric").agg(F.sum("p").alias("_most"))
     paths = [r[0] for r in checks.select("path").union(checks.where("predicate = 'eq_path'").select("operand")).distinct().limit(MOST_BROADCAST + 1).collect()]  # a rubric's paths
     if len(paths) > MOST_BROADCAST:
@@ -174,14 +182,20 @@ def score_by_checks(configs: DataFrame, checks: DataFrame, bands: DataFrame, tas
     docs = configs.select(*keys, F.col(rubric_col).alias("rubric"), submission_col, reference_col, task.alias("_task"))
     docs = RB.node_maps(docs, {"s": submission_col, "t": reference_col}, sorted(p for p in paths if p and p != STATUS), keep_text=False)
     small = rules.count() <= MOST_BROADCAST
-    met = docs.join(F.broadcast(rules) if small else rules, "rubric")
-    held = met.select(*keys, "rubric", F.col("s_status").alias("status"), "criterion", "level", F.forall("conditions", _holds).alias("held"))
-    count = held.groupBy(*keys, "rubric", "status", "criterion").agg(F.count_if(F.col("held") & F.col("level").isNull()).alias("n"),
-                                                                      F.collect_list(F.when(F.col("held"), F.col("level"))).alias("levels"))
-    reached = F.filter("bands", lambda b: F.col("n") + F.size(F.filter("levels", lambda v: v == b["points"])) >= b["need"])
-    earned = count.join(F.broadcast(steps) if small else steps, ["rubric", "criterion"]) \
-        .withColumn("p", F.when(F.col("status") != "unparseable", F.array_max(F.transform(reached, lambda b: b["points"]))))
-    marks = earned.groupBy(*keys, "rubric", "status").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("criterion", F.coalesce("p", F.lit(FLOOR)).alias("points"))))).alias("criteria"),
-                                                         F.sum(F.coalesce("p", F.lit(FLOOR))).cast("int").alias("total"))
+    met = docs.join(F.broadcast(tests) if small else tests, "rubric")
+    held = met.select(*keys, "rubric", F.col("s_status").alias("status"), F.transform("_slots", lambda s: F.size(F.filter(s["checks"], lambda c: F.forall(c, _holds)))).alias("_held"))
+    seen = held.groupBy(*keys, "rubric", "status").agg(F.collect_list("_held").alias("_seen"))
+    both = F.reduce(F.slice("_seen", F.lit(2), F.size("_seen")), F.element_at("_seen", 1), lambda n, more: F.zip_with(n, more, lambda x, y: x + y))
+    known = seen.select(*keys, "rubric", "status", both.alias("_n")).join(F.broadcast(book) if small else book, "rubric")
+
+    def points(c: Column) -> Column:
+        """The most points of the criterion's bands that are reached."""
+        n = lambda b: F.reduce(b["at"], F.lit(0), lambda n, at: n + F.get("_n", at))
+        best = F.reduce(c["bands"], F.lit(None).cast("int"), lambda p, b: F.when(n(b) >= b["need"], F.greatest(p, b["points"])).otherwise(p))
+        return F.coalesce(F.when(F.col("status") != "unparseable", best), F.lit(FLOOR))
+
+    # the joins keep the planner from working out flags and marks again wherever they are read
+    marks = known.withColumn("_marks", F.transform("_book", lambda c: F.struct(c["criterion"].alias("criterion"), points(c).alias("points")))) \
+        .select(*keys, "rubric", "status", F.map_from_entries("_marks").alias("criteria"), F.reduce("_marks", F.lit(0).cast("bigint"), lambda n, m: n + m["points"]).cast("int").alias("total"))
     out = marks.join(F.broadcast(most) if small else most, "rubric")
     return out.select(*keys, "rubric", "status", "criteria", "total", (F.col("total") * F.lit(100.0) / F.col("_most")).alias("score"))

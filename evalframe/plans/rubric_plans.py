@@ -44,9 +44,10 @@ def q_rubric_gaps(spark, sf):
 
 def _configs(spark, sf, name, truth):
     """Submissions with their references. Both sides are texts made from a few small columns, so the planner's sizes say nothing about them: a merge join,
-    or all references meet in the driver to be broadcast."""
-    sub = fixture(spark, sf, name)
-    ref = fixture(spark, sf, truth).select("sample_id", F.col("submission").alias("reference"))
+    or all references meet in the driver to be broadcast, in a number of tasks that stays, or texts that pack well meet in a few tasks to be parsed."""
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    sub = fixture(spark, sf, name).repartition(tasks, "sample_id")
+    ref = fixture(spark, sf, truth).select("sample_id", F.col("submission").alias("reference")).repartition(tasks, "sample_id")
     return sub.join(ref.hint("merge"), "sample_id")
 
 

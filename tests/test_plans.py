@@ -1,6 +1,7 @@
 """Physical plan shapes that matter at scale."""
 
 import __spark_entry__ as E
+from pyspark.sql import functions as F
 from conftest import SF_SMALL
 
 
@@ -88,3 +89,11 @@ def test_made_configurations_are_not_broadcast(spark, tmp_path):
     for name, truth in (("fx_slice_yaml", "fx_slice_truth"), ("fx_amf_yaml", "fx_amf_truth"), ("fx_sub_yaml", "fx_sub_truth")):
         df = RP._configs(spark, str(tmp_path), name, truth)
         assert df.count() == 40 and "Broadcast" not in plan_text(df), name
+
+
+def test_made_configurations_keep_their_tasks(spark, tmp_path):
+    """Few bytes that take long to parse aren't put together in one task."""
+    from evalframe.plans import rubric_plans as RP
+    spark.createDataFrame([(i, i % 25) for i in range(400)], "c_custkey long, c_nationkey int").write.parquet(str(tmp_path / "customer.parquet"))
+    df = RP._configs(spark, str(tmp_path), "fx_slice_yaml", "fx_slice_truth")
+    assert df.groupBy(F.spark_partition_id().alias("task")).count().count() >= 2 * spark.sparkContext.defaultParallelism

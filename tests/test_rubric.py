@@ -102,3 +102,32 @@ def test_keys_of_any_type_and_shared_references(spark):
     joined = RB.score_rubric("slice_deployment", subs, task, keys, references=refs).collect()
     assert sorted(tuple(r) for r in joined) == sorted(tuple(r) for r in inline if r.sample_id is not None)
     assert RB.flatten_yaml(subs, keys).filter("sample_id is null").count() > 0
+
+
+def test_plain_documents_need_no_loader(monkeypatch):
+    import yaml
+    nested = "a:\n- b: 1\n  c:\n    - x\n    - 'y z'\n  # a remark\n- d\ne: [p, 2, true] # end\nf:\ng: \"#\"\nh: 10.0.0.1\n"
+    want = yaml.safe_load(nested)
+    monkeypatch.setattr(yaml, "load", lambda *a, **k: 1 / 0)
+    assert RB.parse_config(nested) == ("valid", want) and want["a"][0]["c"] == ["x", "y z"] and want["f"] is None
+    assert RB.parse_config(GOOD)[0] == "valid"
+
+
+def test_plain_reader_and_loader_agree():
+    """Whatever the plain reader takes is what the loader makes of it, on lines put together at random; mistakes and everything else are left to the loader."""
+    import random
+
+    import yaml
+    rng = random.Random(3)
+    values = ["", "", "1", "x", "007", "-1", "+1", "1.5", "1e3", "0x1f", "1_0", "1:30", "1.2.3.4", "true", "Yes", "n", "null", "~", "2024-01-01", "2024-99-99", "a b", "a:b", "a: b", "- a", "---", "[a, 1]", "[a,]", "[]",
+              "{}", "'x'", '"x"', "'it''s'", '"\\n"', "#c", "x #c", "x#c", "&a x", "*a", "!!str 1", "|", "=", "\t", ".inf", "x\t", "\u00e9", "9" * 5000]
+    keys = ["a", "b", "c", "a.b", "yes", "n", "1", "on", "null", "<<", "=", "'q'", "_x", "x" * 1100]
+    taken = 0
+    for _ in range(6000):
+        text = "\n".join(" " * rng.choice([0, 0, 0, 2, 2, 4, 3]) + rng.choice(["", "", "", "- ", "-  "]) + rng.choice(["", rng.choice(keys) + ":", rng.choice("abc") + ": ", rng.choice("abc") + ": "])
+                         + rng.choice(["", "1", "x", rng.choice(values)]) for _ in range(rng.randrange(1, 7))) + rng.choice(["", "\n"])
+        doc = RB._read_plain(text)
+        if doc is not None:
+            taken += 1
+            assert repr(doc) == repr(yaml.load(text, Loader=getattr(yaml, "CSafeLoader", yaml.SafeLoader))), text
+    assert taken > 300

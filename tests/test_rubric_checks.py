@@ -79,3 +79,24 @@ def test_texts_stay_in_their_task(spark):
     parsed = physical.index("MapInArrow")
     above = physical[:parsed]              # from the parsed documents to the result: the checks come by broadcast, only counts are dealt out
     assert above.count("BroadcastHashJoin") >= 1 and above.count("Exchange hashpartitioning(sample_id") <= 3 and "s_nodes" not in "".join(x for x in above.split("\n") if "Exchange" in x)
+
+
+def test_a_submission_stays_one_row(spark):
+    """Checks meet a submission as one book a rubric: no row a check, and rows are dealt out by their keys once."""
+    rows = [(i, "slice_deployment", GOOD, GOOD) for i in range(20)]
+    df = spark.createDataFrame(rows, "sample_id long, rubric string, submission string, reference string")
+    plan = RC.score_by_checks(df, *RC.suite_checks(spark))._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan =="):]
+    above = physical[:physical.index("MapInArrow")]
+    assert above.count("Exchange hashpartitioning(sample_id") == 1 and "hashpartitioning(sample_id" in above and ", criterion" not in above.split("Exchange hashpartitioning(sample_id")[1].split("\n")[0]
+
+
+def test_rows_of_one_key_count_together(spark):
+    """Two checks of which each row holds another one, or the same one twice; keys may be null; another status is another row."""
+    checks = spark.createDataFrame([("net", "A", None, 0, "x", "exists", None), ("net", "A", None, 1, "y", "exists", None), ("net", "B", 7, 0, "x", "eq", "1"), ("net", "C", 3, 0, "x", "eq", "1")], RC.CHECKS)
+    bands = spark.createDataFrame([("net", "A", 5, 2), ("net", "A", 3, 1), ("net", "B", 7, 2), ("net", "C", 4, 0), ("net", "C", 3, 1), ("net", "D", 5, 1)], RC.BANDS)
+    docs = spark.createDataFrame([(1, "net", "x: 1"), (1, "net", "y: 1"), (None, "net", "x: 1"), (None, "net", "x: 1"), (2, "net", "x: 1"), (2, "net", "```\nx: 1\n```"), (3, "net", None), (4, None, "x: 1")],
+                                 "id long, rubric string, submission string").withColumn("reference", F.lit(None).cast("string"))
+    got = sorted((r.id or 0, r.status, dict(r.criteria), r.total, r.score) for r in RC.score_by_checks(docs, checks, bands, id_col="id").collect())
+    assert got == [(0, "valid", {"A": 5, "B": 7, "C": 4}, 16, 16 * 100 / 21), (1, "valid", {"A": 5, "B": 1, "C": 4}, 10, 10 * 100 / 21), (2, "minor", {"A": 3, "B": 1, "C": 4}, 8, 8 * 100 / 21),
+                   (2, "valid", {"A": 3, "B": 1, "C": 4}, 8, 8 * 100 / 21), (3, "unparseable", {"A": 1, "B": 1, "C": 1}, 3, 3 * 100 / 21)]
